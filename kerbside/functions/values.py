@@ -96,3 +96,24 @@ def json_raw(col, path: str) -> Column:
     v = F.get_json_object(_c(col), path)
     bare = v.rlike(r"^[\[{]") | v.rlike(r"^-?[0-9][0-9.eE+-]*$") | v.isin("true", "false")
     return F.when(bare, v).otherwise(F.concat(F.lit('"'), v, F.lit('"')))
+
+
+def with_timezone(df: DataFrame, org_col: str, mapping: DataFrame, patterns: list[tuple[str, str]] | None = None,
+                  name: str = "timezone") -> DataFrame:
+    """Organisation → time zone; unknown organisations get NULL (as the CASE does).
+
+    ``mapping`` (columns ``org``, ``timezone``) is a lookup table: an equi
+    left join that the planner broadcasts by its size.  ``patterns`` are
+    ordered ``(like_pattern, zone)`` pairs tried first -- order matters when
+    one prefix contains another (``scmau%`` before ``scm%``).
+    """
+    m = mapping.select(F.col("org").alias("__org"), F.col("timezone").alias("__tz"))
+    out = df.join(m, df[org_col] == m["__org"], "left")
+    tz = F.col("__tz")
+    if patterns:
+        expr = None
+        for pat, zone in patterns:
+            cond = F.col(org_col).like(pat)
+            expr = F.when(cond, F.lit(zone)) if expr is None else expr.when(cond, F.lit(zone))
+        tz = expr.otherwise(tz)
+    return out.withColumn(name, tz).drop("__org", "__tz")

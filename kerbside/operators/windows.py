@@ -30,7 +30,7 @@ def join_on(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataF
     """
     keys = list(keys)
     if not keys:
-        return left.crossJoin(right)
+        raise ValueError("join_on needs at least one key")
     r = right.select(*[F.col(k).alias("__rk_" + k) for k in keys],
                      *[c for c in right.columns if c not in keys])
     cond = [left[k].eqNullSafe(r["__rk_" + k]) for k in keys]
@@ -241,9 +241,13 @@ def running_total(df: DataFrame, order, value: str, name: str = "running", keys=
     if opening is not None:
         if keys:
             out = join_on(out, opening.select(*keys, opening_col), keys)
+            open_v = F.col(opening_col)
         else:
-            out = out.crossJoin(F.broadcast(opening.select(opening_col).limit(1)))
-        out = out.withColumn(name, F.col(name) + F.coalesce(F.col(opening_col), F.lit(0))).drop(opening_col)
+            # a single value: scalar sub-query, evaluated once
+            open_v = opening.select(opening_col).scalar()
+        out = out.withColumn(name, F.col(name) + F.coalesce(open_v, F.lit(0)))
+        if keys:
+            out = out.drop(opening_col)
     return out
 
 
