@@ -121,21 +121,19 @@ def interval_join(events: DataFrame, intervals: DataFrame, keys: Sequence[str],
     return out.drop(*["__k_" + k for k in keys], "__bk")
 
 
-def interval_join_either(events: DataFrame, intervals: DataFrame, keys: Sequence[str], a: str, d: str,
+def interval_join_either(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str, d: str,
                          start: str, end: str, how: str = "inner") -> DataFrame:
     """Pairs where arrival ``a`` OR departure ``d`` lies in [start, end].
 
-    One equi-join on the keys with the OR as a residual -- never a union of
-    two joins, which would count a visit inside the interval twice.
+    The four time columns may come from either side.  One equi-join on the
+    keys with the OR as a residual -- never a union of two joins, which
+    would count a visit inside the interval twice.
     """
     keys = list(keys)
-    r = intervals.select(*[F.col(k).alias("__k_" + k) for k in keys],
-                         *[c for c in intervals.columns if c not in keys])
-    inside_a = (events[a] >= r[start]) & (events[a] <= r[end])
-    inside_d = (events[d] >= r[start]) & (events[d] <= r[end])
-    cond = [events[k] == r["__k_" + k] for k in keys]
-    out = events.join(r, cond + [inside_a | inside_d], how)
-    return out.drop(*["__k_" + k for k in keys])
+    r = right.select(*[F.col(k).alias("__k_" + k) for k in keys], *[c for c in right.columns if c not in keys])
+    inside = (F.col(a).between(F.col(start), F.col(end))) | (F.col(d).between(F.col(start), F.col(end)))
+    cond = [left[k] == r["__k_" + k] for k in keys] + [inside]
+    return left.join(r, cond, how).drop(*["__k_" + k for k in keys])
 
 
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -251,7 +251,7 @@ def cases(spark: SparkSession, base: str) -> DataFrame:
                      F.lit("late").alias("source"), F.lit("late").alias("type")),
         ).alias("fees"),
         F.expr("CASE WHEN l_returnflag = 'N' THEN array() ELSE array(named_struct("
-               "'amount', l_extendedprice * (1 - l_discount) / 1000, "
+               "'amount', l_extendedprice * (1 - l_discount) / 10, "
                "'description', concat('pay', l_linenumber))) END")
         .cast("array<struct<amount:double,description:string>>").alias("transactions"),
         F.col("l_linestatus").alias("line_status"),

@@ -131,7 +131,7 @@ SELECT o_orderkey // 3 AS id, o_orderkey % 3 AS rev, o_orderkey AS order_key,
   o_orderdate AS arrival, o_orderdate + to_minutes(o_orderkey % 300) AS departure,
   l_orderkey * 10 + l_linenumber AS ticket_id, l_shipdate AS issuing_time,
   l_extendedprice / 1000 AS base_fee, l_tax * 100 AS late_fee,
-  CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_extendedprice * (1 - l_discount) / 1000 END AS paid_amount,
+  CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_extendedprice * (1 - l_discount) / 10 END AS paid_amount,
   l_returnflag, l_linestatus AS line_status, l_linenumber
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     "fact_visit": """

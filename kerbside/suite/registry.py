@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from kerbside.session import apply_core_conf
-from kerbside.suite import basic, windows
+from kerbside.suite import basic, joins, windows
 
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-for _m in (basic, windows):
+for _m in (basic, joins, windows):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)
 
