@@ -92,10 +92,14 @@ def json_text(col, path: str) -> Column:
 
 
 def json_raw(col, path: str) -> Column:
-    """JSON_EXTRACT: like :func:`json_text`, but string values keep their quotes."""
-    v = F.get_json_object(_c(col), path)
-    bare = v.rlike(r"^[\[{]") | v.rlike(r"^-?[0-9][0-9.eE+-]*$") | v.isin("true", "false")
-    return F.when(bare, v).otherwise(F.concat(F.lit('"'), v, F.lit('"')))
+    """JSON_EXTRACT: the JSON text at ``path`` -- string values keep their quotes.
+
+    Parsed once into a VARIANT (``try_parse_json``: invalid text → NULL) and
+    re-serialised, so strings, numbers, arrays and objects all come back as
+    JSON text.
+    """
+    v = F.try_variant_get(F.try_parse_json(_c(col)), path, "variant")
+    return F.to_json(v)
 
 
 def with_timezone(df: DataFrame, org_col: str, mapping: DataFrame, patterns: list[tuple[str, str]] | None = None,

@@ -45,4 +45,5 @@ def collect_sorted_text(col, sep: str = ",", distinct: bool = False) -> Column:
     """Array aggregate rendered as sorted, joined text (element order is undefined)."""
     c = F.col(col) if isinstance(col, str) else col
     arr = F.collect_set(c) if distinct else F.collect_list(c)
-    return F.array_join(F.sort_array(arr), sep)
+    # no (non-NULL) elements → NULL, like ARRAY_AGG over no rows
+    return F.when(F.size(arr) > 0, F.array_join(F.sort_array(arr), sep))
