@@ -70,9 +70,15 @@ def latest_by_key(df: DataFrame, keys, order, tiebreak=None, ascending: bool = F
     if where_before is not None:
         df = df.where(where_before)
     names = [c for c in df.columns if c not in keys]
-    okeys = [f"__o{i}" for i in range(len(order))]
-    packed = F.struct(*[(F.col(o) if isinstance(o, str) else o).alias(n) for o, n in zip(order, okeys)],
-                      *[F.col(c).alias(c) for c in names])
+    # ordering fields lead the struct; plain column names are not repeated
+    lead, seen = [], set()
+    for i, o in enumerate(order):
+        if isinstance(o, str) and o in names and o not in seen:
+            lead.append(F.col(o).alias(o))
+            seen.add(o)
+        else:
+            lead.append((F.col(o) if isinstance(o, str) else o).alias(f"__o{i}"))
+    packed = F.struct(*lead, *[F.col(c).alias(c) for c in names if c not in seen])
     agg = F.min(packed) if ascending else F.max(packed)
     out = df.groupBy(*keys).agg(agg.alias("__r"))
     return out.select(*keys, *[F.col("__r")[c].alias(c) for c in names]).select(*df.columns)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from kerbside.session import apply_core_conf
-from kerbside.suite import aggs, basic, functions, joins, windows
+from kerbside.suite import aggs, basic, functions, joins, reports_visits, windows
 
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-for _m in (basic, joins, aggs, windows, functions):
+for _m in (basic, joins, aggs, windows, functions, reports_visits):
     QUERIES.update(_m.QUERIES)
     ORACLE.update(_m.ORACLE)
 
