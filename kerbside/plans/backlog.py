@@ -23,3 +23,40 @@ def status_transitions(df: DataFrame, key: str, ts: str, status: str, day: str,
     aggs = [F.sum(F.when((F.col(status) == v) & ~prev.eqNullSafe(F.lit(v)), 1).otherwise(0)).alias(name)
             for name, v in counted.items()]
     return lagged.groupBy(day).agg(*aggs)
+
+
+def backlog(events: DataFrame, key: str, ts: str, status: str, day: str, opened: str, resolved: str,
+            start=None, end=None, tiebreak=None) -> DataFrame:
+    """Daily items moved into ``opened`` / ``resolved`` and the running unresolved balance.
+
+    Transitions are found over the whole history (so the balance carries
+    everything before ``start``); the balance is a two-level running sum
+    over days (monthly buckets), and only then are the report days kept.
+    """
+    from kerbside.functions.timefn import parse_day
+    t = status_transitions(events, key, ts, status, day, {"opened": opened, "resolved": resolved},
+                           tiebreak=tiebreak, bucket=F.to_date(ts))
+    t = t.withColumn("net", F.col("opened") - F.col("resolved"))
+    r = W.running_total(t, day, "net", name="backlog", bucket=F.trunc(day, "month"))
+    if start is not None:
+        r = r.where(F.col(day).between(F.lit(parse_day(start)), F.lit(parse_day(end))))
+    return r.drop("net")
+
+
+def resolution_times(events: DataFrame, key: str, ts: str, status: str, author: str, tiebreak=None) -> DataFrame:
+    """Each status change with the next one: status, author, time, days/hours to it, first resolver.
+
+    One window spec (key, ts) serves every LEAD; the first non-NULL next
+    author from the current row on is the first resolver.
+    """
+    from kerbside.functions.timefn import boundaries
+    n = W.with_next(events.withColumn("__t", F.col(ts)), key, ts, [status, author, "__t"], tiebreak=tiebreak)
+    n = n.withColumnRenamed("next___t", "next_ts").drop("__t")
+    n = W.first_non_null_after(n, key, [ts] + ([tiebreak] if tiebreak else []), "next_" + author, "first_resolver")
+    return n.select("*", boundaries("day", ts, "next_ts").alias("days_to_next"),
+                    boundaries("hour", ts, "next_ts").alias("hours_to_next"))
+
+
+def first_transitions(df: DataFrame, key: str, label: str, ts: str, tiebreak=None) -> DataFrame:
+    """First time each item reached each label (an item can count once per label)."""
+    return W.earliest_by_key(df, [key, label], ts, tiebreak=tiebreak)

@@ -242,7 +242,7 @@ def cases(spark: SparkSession, base: str) -> DataFrame:
     o = scan(spark, base, "orders")
     li = scan(spark, base, "lineitem")
     breach = F.struct(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ticket_id"),
+        (F.expr("l_orderkey div 3") * 100 + F.col("l_linenumber")).alias("ticket_id"),
         F.col("l_shipdate").alias("issuing_time"),
         F.array(
             F.struct((F.col("l_extendedprice") / 1000).alias("amount"),

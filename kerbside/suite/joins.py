@@ -168,8 +168,8 @@ def anti_left_is_null(spark, base):
 @q("semi_correlated_outer_pred", """
 WITH b AS (SELECT id, rev, ticket_id FROM case_lines)
 SELECT id, rev, ticket_id FROM b
-WHERE (id, rev) IN (SELECT id, max(rev) FROM case_lines
-                    WHERE case_ts >= TIMESTAMP '1996-01-01 00:00:00' AND b.ticket_id >= 50000 GROUP BY id)""",
+WHERE rev = (SELECT max(c.rev) FROM case_lines c
+             WHERE c.id = b.id AND c.case_ts >= TIMESTAMP '1996-01-01 00:00:00' AND b.ticket_id >= 50000)""",
    ["case_lines"])
 def semi_correlated_outer_pred(spark, base):
     c = D.cases(spark, base)

@@ -129,7 +129,7 @@ SELECT o_orderkey // 3 AS id, o_orderkey % 3 AS rev, o_orderkey AS order_key,
   concat('P', o_custkey) AS plate,
   CASE o_custkey % 5 WHEN 0 THEN 'DK' WHEN 1 THEN 'DE' WHEN 2 THEN 'GB' WHEN 3 THEN 'SE' END AS vehicle_state,
   o_orderdate AS arrival, o_orderdate + to_minutes(o_orderkey % 300) AS departure,
-  l_orderkey * 10 + l_linenumber AS ticket_id, l_shipdate AS issuing_time,
+  (l_orderkey // 3) * 100 + l_linenumber AS ticket_id, l_shipdate AS issuing_time,
   l_extendedprice / 1000 AS base_fee, l_tax * 100 AS late_fee,
   CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_extendedprice * (1 - l_discount) / 10 END AS paid_amount,
   l_returnflag, l_linestatus AS line_status, l_linenumber
