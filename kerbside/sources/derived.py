@@ -338,3 +338,37 @@ def cutover(spark: SparkSession, base: str) -> DataFrame:
              .select(F.col("s_suppkey").alias("site_key"),
                      F.expr("date_add(DATE '1997-01-01', CAST(s_suppkey * 37 % 1500 AS INT))")
                      .alias("transition_date")))
+
+
+# Fixed values of the test mapping: polygon templates as (dx, dy) offsets in
+# a 2 x 2 cell; the first ring is the outline (counter-clockwise), further
+# rings are holes (clockwise).
+POLYGON_TEMPLATES = {
+    0: [[(0, 0), (2, 0), (2, 2), (0, 2)]],
+    1: [[(0, 0), (2, 0), (0, 2)]],
+    2: [[(0, 0), (2, 0), (2, 1), (1, 1), (1, 2), (0, 2)]],
+    3: [[(0, 0), (2, 0), (2, 2), (0, 2)], [(0.5, 0.5), (0.5, 1.5), (1.5, 1.5), (1.5, 0.5)]],
+    4: [[(1, 0), (2, 1), (1, 2), (0, 1)]],
+}
+
+
+def polygons(spark: SparkSession, base: str) -> DataFrame:
+    """One polygon per nation on a 5 x 5 layout of 2 x 2 cells; the shape cycles by key."""
+    n = scan(spark, base, "nation")
+    i = (F.col("n_nationkey") % 5).cast("double")
+    j = F.expr("n_nationkey div 5").cast("double")
+    shape = F.expr("(n_nationkey + n_nationkey div 5) % 5")
+    rings = None
+    for s, tmpl in POLYGON_TEMPLATES.items():
+        arr = F.array(*[F.array(*[F.struct((2 * i + F.lit(float(dx))).alias("lon"), (2 * j + F.lit(float(dy))).alias("lat"))
+                                  for dx, dy in ring]) for ring in tmpl])
+        rings = F.when(shape == s, arr) if rings is None else rings.when(shape == s, arr)
+    return n.select("n_nationkey", "n_name", rings.alias("rings"))
+
+
+def points(spark: SparkSession, base: str) -> DataFrame:
+    """Site locations from customer keys (0.1 grid, so some lie exactly on polygon edges)."""
+    c = scan(spark, base, "customer")
+    return c.select("c_custkey", "c_mktsegment",
+                    ((F.col("c_custkey") % 100).cast("double") / 10).alias("lon"),
+                    ((F.col("c_custkey") * 7 % 100).cast("double") / 10).alias("lat"))

@@ -165,3 +165,25 @@ def with_inputs(sql: str, *names: str) -> str:
     if m:
         return f"WITH {ctes},\n{body[m.end():]}"
     return f"WITH {ctes}\n{body}"
+
+
+def _polygon_sql() -> str:
+    from kerbside.sources.derived import POLYGON_TEMPLATES
+    whens = []
+    for s, tmpl in POLYGON_TEMPLATES.items():
+        rings = ", ".join("[" + ", ".join(f"{{'lon': 2 * i + {float(dx)}, 'lat': 2 * j + {float(dy)}}}"
+                                          for dx, dy in ring) + "]" for ring in tmpl)
+        whens.append(f"WHEN {s} THEN [{rings}]")
+    return (f"SELECT n_nationkey, n_name, CASE (n_nationkey + n_nationkey // 5) % 5 {' '.join(whens)} END AS rings "
+            "FROM (SELECT *, CAST(n_nationkey % 5 AS DOUBLE) AS i, CAST(n_nationkey // 5 AS DOUBLE) AS j FROM nation)")
+
+
+INPUTS["polygons"] = _polygon_sql()
+INPUTS["points"] = """
+SELECT c_custkey, c_mktsegment, CAST(c_custkey % 100 AS DOUBLE) / 10 AS lon, CAST(c_custkey * 7 % 100 AS DOUBLE) / 10 AS lat
+FROM customer"""
+INPUTS["poly_edges"] = """
+SELECT n_nationkey, ring[k + 1].lon AS x1, ring[k + 1].lat AS y1,
+  ring[(k + 1) % len(ring) + 1].lon AS x2, ring[(k + 1) % len(ring) + 1].lat AS y2
+FROM (SELECT n_nationkey, ring, unnest(range(len(ring))) AS k
+      FROM (SELECT n_nationkey, unnest(rings) AS ring FROM polygons))"""

@@ -237,3 +237,41 @@ def site_metrics(spark, base):
                     F.coalesce("footfall", F.lit(0)).alias("footfall"),
                     F.coalesce("raw_footfall", F.lit(0)).alias("raw_footfall"),
                     F.coalesce("visits", F.lit(0)).alias("visits"), "avg_stay")
+
+
+_HITS = """hits AS (SELECT p.c_custkey, e.n_nationkey FROM points p JOIN poly_edges e ON (e.y1 > p.lat) <> (e.y2 > p.lat)
+    WHERE p.lon < (e.x2 - e.x1) * (p.lat - e.y1) / (e.y2 - e.y1) + e.x1
+    GROUP BY ALL HAVING count(*) % 2 = 1)"""
+
+
+@q("spatial_join", f"""
+WITH {_HITS}
+SELECT p.c_custkey, h.n_nationkey FROM points p LEFT JOIN hits h ON p.c_custkey = h.c_custkey""",
+   ["polygons", "points", "poly_edges"])
+def spatial_join(spark, base):
+    from kerbside.operators.spatial import points_in_polygons
+    return points_in_polygons(D.points(spark, base), D.polygons(spark, base), "c_custkey", "n_nationkey")
+
+
+@q("site_map", f"""
+WITH {_HITS},
+cen AS (SELECT n_nationkey, sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS cx,
+               sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS cy FROM poly_edges GROUP BY n_nationkey)
+SELECT pg.n_name AS name, round(cen.cx, 6) AS centroid_lon, round(cen.cy, 6) AS centroid_lat, count(h.c_custkey) AS sites,
+  array_to_string(list_sort(list(DISTINCT p.c_mktsegment) FILTER (WHERE p.c_mktsegment IS NOT NULL)), ',') AS segments
+FROM polygons pg JOIN cen ON pg.n_nationkey = cen.n_nationkey LEFT JOIN hits h ON h.n_nationkey = pg.n_nationkey
+LEFT JOIN points p ON p.c_custkey = h.c_custkey
+GROUP BY pg.n_name, cen.cx, cen.cy""", ["polygons", "points", "poly_edges"])
+def site_map(spark, base):
+    from kerbside.operators.aggregates import collect_sorted_text
+    from kerbside.operators.spatial import points_in_polygons, polygon_centroids
+    polys = D.polygons(spark, base)
+    pts = D.points(spark, base)
+    hits = points_in_polygons(pts, polys, "c_custkey", "n_nationkey", how="inner")
+    hits = hits.join(pts.select("c_custkey", "c_mktsegment"), "c_custkey")
+    cen = polygon_centroids(polys, "n_nationkey")
+    m = polys.select("n_nationkey", F.col("n_name").alias("name")).join(cen, "n_nationkey").join(hits, "n_nationkey", "left")
+    return m.groupBy("name", "centroid_lon", "centroid_lat").agg(
+        F.count("c_custkey").alias("sites"), collect_sorted_text("c_mktsegment", distinct=True).alias("segments")) \
+        .select("name", r6("centroid_lon").alias("centroid_lon"), r6("centroid_lat").alias("centroid_lat"), "sites",
+                "segments")
