@@ -23,7 +23,7 @@ CORE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # dimension/lookup tables are broadcast by size; anything larger than
     # this is shuffled.  Operators that force a broadcast check a bound first.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

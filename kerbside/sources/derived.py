@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.sources.tables import scan
+from kerbside.sources.tables import literal_table, scan
 
 # Fixed values of the test mapping (not reference data).
 ORG_TIMEZONES = [
@@ -59,7 +59,7 @@ def visits(spark: SparkSession, base: str) -> DataFrame:
 
 def org_timezone(spark: SparkSession) -> DataFrame:
     """Organisation → IANA zone lookup (7 rows; org6 deliberately missing)."""
-    return spark.createDataFrame(ORG_TIMEZONES, "org string, timezone string")
+    return literal_table(spark, ORG_TIMEZONES, ["org", "timezone"])
 
 
 def site_log(spark: SparkSession, base: str) -> DataFrame:

@@ -71,3 +71,20 @@ def register_tables(spark: SparkSession, base: str, names: Iterable[str] = DRIVE
 def run_sql(spark: SparkSession, sql: str, **params) -> DataFrame:
     """Parameterised query: ``:name`` markers bound from keyword arguments."""
     return spark.sql(sql, args=params or None)
+
+
+def literal_table(spark: SparkSession, rows, columns: list[str]) -> DataFrame:
+    """A small literal table as a local relation (``VALUES``).
+
+    Unlike ``createDataFrame`` over a Python list, a local relation carries
+    its exact size, so the planner knows it is tiny and broadcasts it in
+    joins without a hint.
+    """
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, str):
+            return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return repr(v)
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")

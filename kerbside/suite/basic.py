@@ -13,7 +13,7 @@ from kerbside.functions.values import blank_to_null, key_part, recode, split_key
 from kerbside.operators import windows as W
 from kerbside.sources import derived as D
 from kerbside.sources import sinks
-from kerbside.sources.tables import run_sql, scan, scan_glob, union_orgs
+from kerbside.sources.tables import literal_table, scan, scan_glob, union_orgs
 from kerbside.suite.common import day_text
 from kerbside.suite.oracle_inputs import with_inputs
 
@@ -336,7 +336,7 @@ WITH labels AS (SELECT * FROM (VALUES (1, 'Sunday'), (2, 'Monday'), (3, 'Tuesday
 SELECT l.dow, l.label, count(e.event_id) AS events
 FROM labels l LEFT JOIN events e ON dayofweek(e.ts) + 1 = l.dow GROUP BY ALL""")
 def union_literal_rows(spark, base):
-    labels = spark.createDataFrame(WEEKDAYS, "dow int, label string")
+    labels = literal_table(spark, WEEKDAYS, ["dow", "label"])
     counts = scan(spark, base, "events").groupBy(F.dayofweek("ts").alias("dow")).agg(
         F.count(F.lit(1)).alias("events"))
     return (labels.join(counts, "dow", "left")
