@@ -23,13 +23,13 @@ def local_time(ts, tz) -> Column:
 
     NULL zone gives NULL, as the reference's CASE-derived zone does.
     """
-    tz = F.lit(tz) if isinstance(tz, str) and "/" in tz else _c(tz)
+    tz = F.lit(tz) if isinstance(tz, str) else tz  # a name is a zone; pass a Column for per-row zones
     return F.convert_timezone(F.lit("UTC"), tz, _c(ts).cast("timestamp_ntz"))
 
 
 def utc_time(local_ts, tz) -> Column:
     """Local wall-clock → UTC instant (inverse of :func:`local_time`)."""
-    tz = F.lit(tz) if isinstance(tz, str) and "/" in tz else _c(tz)
+    tz = F.lit(tz) if isinstance(tz, str) else tz
     return F.convert_timezone(tz, F.lit("UTC"), _c(local_ts).cast("timestamp_ntz"))
 
 
