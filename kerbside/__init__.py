@@ -1,0 +1,3 @@
+"""kerbside: visit, notice and permit analytics as Spark DataFrame operators."""
+
+__all__ = ["functions", "operators", "plans", "sources", "session"]

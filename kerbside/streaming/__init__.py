@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The reference's reports are bounded batch queries over stored tables: no
+watermark, streaming window, trigger or state appears in any of them, so
+this package deliberately holds nothing.  Every report in ``kerbside.plans``
+is a plain DataFrame plan and can be applied per micro-batch through
+``foreachBatch`` by a caller who needs it.
+"""
