@@ -90,10 +90,29 @@ def earliest_by_key(df: DataFrame, keys, order, tiebreak=None, where_before=None
 
 
 def rank_rows(df: DataFrame, keys, order, name: str = "rn", ascending: bool = False,
-              tiebreak=None) -> DataFrame:
-    """``ROW_NUMBER()`` beside each row (the rank itself is wanted)."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(*_order(order, ascending), *_order(tiebreak, True))
-    return df.withColumn(name, F.row_number().over(w))
+              tiebreak=None, bucket: Column | None = None) -> DataFrame:
+    """``ROW_NUMBER()`` beside each row (the rank itself is wanted).
+
+    With ``bucket`` (coarse and monotone in the first ordering column) the
+    rank is split: row_number inside (keys, bucket) plus the number of the
+    key's rows in buckets that sort before it -- a per-bucket count,
+    prefix-summed per key over buckets (small).  Same numbers, no task
+    ranks more than one bucket of one key.
+    """
+    keys = _cols(keys)
+    tb_asc = ascending if tiebreak is None else True
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*_order(order, ascending), *_order(tiebreak, tb_asc))
+        return df.withColumn(name, F.row_number().over(w))
+    b = df.withColumn("__b", bucket)
+    w = Window.partitionBy(*keys, "__b").orderBy(*_order(order, ascending), *_order(tiebreak, tb_asc))
+    inner = b.withColumn("__in", F.row_number().over(w))
+    cnt = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    wk = (Window.partitionBy(*keys).orderBy(F.col("__b").asc() if ascending else F.col("__b").desc())
+          .rowsBetween(Window.unboundedPreceding, -1))
+    offs = cnt.select(*keys, "__b", F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
+    out = join_on(inner, offs, keys + ["__b"])
+    return out.withColumn(name, (F.col("__in") + F.col("__off")).cast("int")).drop("__b", "__in", "__off")
 
 
 def latest_ties(df: DataFrame, keys, ts: str, inner: Column | None = None) -> DataFrame:
@@ -159,10 +178,30 @@ def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None =
 
 
 def with_next(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str = "next_",
-              tiebreak=None) -> DataFrame:
-    """``LEAD(c)`` for each col over one window spec (one exchange, one sort)."""
-    w = Window.partitionBy(*_cols(keys)).orderBy(F.col(order), *[F.col(t) for t in _cols(tiebreak)])
-    return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
+              tiebreak=None, bucket: Column | None = None) -> DataFrame:
+    """``LEAD(c)`` for each col over one window spec (one exchange, one sort).
+
+    ``bucket`` splits the window as in :func:`with_previous`: the last row of
+    a bucket takes the first row of the key's next non-empty bucket.
+    """
+    keys = _cols(keys)
+    tb = _cols(tiebreak)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(F.col(order), *[F.col(t) for t in tb])
+        return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
+    b = df.withColumn("__b", bucket)
+    w = Window.partitionBy(*keys, "__b").orderBy(F.col(order), *[F.col(t) for t in tb])
+    inner = b.select("*", F.lead(F.lit(1)).over(w).alias("__more"),
+                     *[F.lead(c).over(w).alias("__lead_" + c) for c in cols])
+    head = (b.groupBy(*keys, "__b")
+             .agg(F.min(F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb],
+                                 *[F.col(c).alias("__v_" + c) for c in cols])).alias("__h")))
+    wk = Window.partitionBy(*keys).orderBy("__b")
+    carry = head.select(*keys, "__b", F.lead("__h").over(wk).alias("__nh"))
+    j = join_on(inner, carry, keys + ["__b"])
+    return j.select(*df.columns, *[
+        F.when(F.col("__more").isNull(), F.col("__nh")["__v_" + c]).otherwise(F.col("__lead_" + c)).alias(prefix + c)
+        for c in cols])
 
 
 def previous_strictly_earlier(df: DataFrame, keys, ts: str, name: str = "prev_ts") -> DataFrame:
@@ -174,10 +213,10 @@ def previous_strictly_earlier(df: DataFrame, keys, ts: str, name: str = "prev_ts
     (an aggregate), lag over those, join back on (key, ts).
     """
     keys = _cols(keys)
-    distinct_ts = df.select(*keys, ts).distinct()
-    w = Window.partitionBy(*keys).orderBy(ts)
-    prev = distinct_ts.select(*keys, ts, F.lag(ts).over(w).alias(name))
-    return df.join(prev, on=keys + [ts], how="left")
+    distinct_ts = df.select(*keys, ts).where(F.col(ts).isNotNull()).distinct()
+    prev = with_previous(distinct_ts, keys, ts, [ts], prefix="__p_", bucket=F.to_date(ts))
+    prev = prev.withColumnRenamed("__p_" + ts, name)
+    return join_on(df, prev, keys + [ts])
 
 
 def period_lag(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
@@ -283,11 +322,32 @@ def percentile_band(df: DataFrame, keys, col: str, lo: float = 0.05, hi: float =
     return join_on(df, band, keys)
 
 
-def first_non_null_after(df: DataFrame, keys, order, col: str, name: str) -> DataFrame:
-    """First non-NULL ``col`` from the current row to the end of the partition."""
-    w = (Window.partitionBy(*_cols(keys)).orderBy(*[F.col(o) for o in _cols(order)])
+def first_non_null_after(df: DataFrame, keys, order, col: str, name: str,
+                         bucket: Column | None = None) -> DataFrame:
+    """First non-NULL ``col`` from the current row to the end of the partition.
+
+    With ``bucket`` (monotone in the first ordering column): first non-NULL
+    to the end of the row's bucket, else the first non-NULL of the key's
+    later buckets (per-bucket first values, windowed per key: small).
+    """
+    keys = _cols(keys)
+    order = _cols(order)
+    if bucket is None:
+        w = (Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
+             .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        return df.withColumn(name, F.first(col, ignorenulls=True).over(w))
+    b = df.withColumn("__b", bucket)
+    w = (Window.partitionBy(*keys, "__b").orderBy(*[F.col(o) for o in order])
          .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    return df.withColumn(name, F.first(col, ignorenulls=True).over(w))
+    inner = b.withColumn("__in", F.first(col, ignorenulls=True).over(w))
+    # every bucket of the key, also those holding only NULLs (their first value is NULL)
+    firsts = (b.groupBy(*keys, "__b")
+               .agg(F.min(F.when(F.col(col).isNotNull(),
+                                 F.struct(*[F.col(o) for o in order], F.col(col).alias("__v")))).alias("__f")))
+    wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
+    later = firsts.select(*keys, "__b", F.first(F.col("__f")["__v"], ignorenulls=True).over(wk).alias("__later"))
+    out = join_on(inner, later, keys + ["__b"])
+    return out.withColumn(name, F.coalesce("__in", "__later")).drop("__b", "__in", "__later")
 
 
 def total_over(df: DataFrame, keys, value, name: str) -> DataFrame:

@@ -50,9 +50,12 @@ def resolution_times(events: DataFrame, key: str, ts: str, status: str, author:
     author from the current row on is the first resolver.
     """
     from kerbside.functions.timefn import boundaries
-    n = W.with_next(events.withColumn("__t", F.col(ts)), key, ts, [status, author, "__t"], tiebreak=tiebreak)
+    day = F.to_date(ts)
+    n = W.with_next(events.withColumn("__t", F.col(ts)), key, ts, [status, author, "__t"], tiebreak=tiebreak,
+                    bucket=day)
     n = n.withColumnRenamed("next___t", "next_ts").drop("__t")
-    n = W.first_non_null_after(n, key, [ts] + ([tiebreak] if tiebreak else []), "next_" + author, "first_resolver")
+    n = W.first_non_null_after(n, key, [ts] + ([tiebreak] if tiebreak else []), "next_" + author, "first_resolver",
+                               bucket=day)
     return n.select("*", boundaries("day", ts, "next_ts").alias("days_to_next"),
                     boundaries("hour", ts, "next_ts").alias("hours_to_next"))
 

@@ -55,7 +55,8 @@ def repeat_visitors(visits: DataFrame, keys, plate: str, ts: str, start, end,
     v = visits.where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
     v = W.with_previous(v, [plate] + keys, ts, [ts], prefix="prev_", tiebreak=tiebreak, bucket=F.to_date(ts))
     v = v.where(F.col(ts) >= F.lit(dt.datetime.combine(s, dt.time())).cast("timestamp_ntz"))
-    v = W.rank_rows(v, keys + [plate], [ts] + ([tiebreak] if tiebreak else []), name="rn")
+    v = W.rank_rows(v, keys + [plate], [ts] + ([tiebreak] if tiebreak else []), name="rn",
+                    bucket=F.to_date(ts))
     prev = F.col("prev_" + ts)
     if by_day:
         recent = F.to_date(prev) >= F.date_sub(F.to_date(ts), within.days)

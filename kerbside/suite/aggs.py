@@ -183,7 +183,7 @@ def agg_group_then_max_rn(spark, base):
     # GROUP BY every column including rn with MAX(rn): only duplicate removal
     from kerbside.operators.windows import rank_rows
     v = D.visits(spark, base).select("out_plate", key_part("ors_id", 2).alias("site"), "arrival", "rev_id")
-    r = rank_rows(v, "out_plate", ["arrival", "rev_id"])
+    r = rank_rows(v, "out_plate", ["arrival", "rev_id"], bucket=F.to_date("arrival"))
     return r.select("out_plate", "site", day_text(F.to_date("arrival")).alias("day"), "rn").dropDuplicates()
 
 

@@ -163,7 +163,8 @@ def period_compare(spark, base):
     from kerbside.operators.windows import rank_rows
     f = D.fact_visit(spark, base)
     lab = PV.label_periods(f, "entry_date", _PERIODS)
-    r = rank_rows(lab, ["period", "site_key", "vehicle_key"], ["entry_time", "visit_key"])
+    r = rank_rows(lab, ["period", "site_key", "vehicle_key"], ["entry_time", "visit_key"],
+                  bucket=F.to_date("entry_time"))
     return r.groupBy("period", "site_key").agg(F.count(F.lit(1)).alias("visits"),
                                                F.count_distinct("vehicle_key").alias("vehicles"),
                                                F.count_if(F.col("rn") > 1).alias("repeat_visits"))

@@ -150,3 +150,17 @@ def test_running_occupancy_closes(spark):
     tot = occ.agg(F.sum("entries"), F.sum("exits")).first()
     opening = PO.opening_balance(v, "site", "a", "d", "UTC", "20240109").first().opening
     assert last.occupancy == opening + tot[0] - tot[1]
+
+
+def test_split_rank_lead_first_value(spark):
+    df = skewed(spark).withColumn("a", F.when(F.col("v") % 4 == 0, F.col("v").cast("string")))
+    for asc in (True, False):
+        plain = W.rank_rows(df, "k", "t", ascending=asc, tiebreak="id")
+        split = W.rank_rows(df, "k", "t", ascending=asc, tiebreak="id", bucket=F.to_date("t"))
+        assert rows_of(plain, ["id", "rn"]) == rows_of(split, ["id", "rn"])
+    plain = W.with_next(df, "k", "t", ["v", "a"], tiebreak="id")
+    split = W.with_next(df, "k", "t", ["v", "a"], tiebreak="id", bucket=F.to_date("t"))
+    assert rows_of(plain, ["id", "next_v", "next_a"]) == rows_of(split, ["id", "next_v", "next_a"])
+    plain = W.first_non_null_after(df, "k", ["t", "id"], "a", "fa")
+    split = W.first_non_null_after(df, "k", ["t", "id"], "a", "fa", bucket=F.to_date("t"))
+    assert rows_of(plain, ["id", "fa"]) == rows_of(split, ["id", "fa"])
