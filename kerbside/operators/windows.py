@@ -7,20 +7,27 @@ single task.  The operators here therefore prefer:
 * aggregate forms (``max(struct(...))`` / ``max`` + join back) for
   newest/oldest row per key -- these combine map-side, so a hot key costs
   one row per input partition in the shuffle;
-* *split* windows for lag / running totals: rows are windowed inside
-  ``(key, bucket)`` where ``bucket`` is a coarse, order-preserving slice of
-  the ordering column (a day, say); the per-bucket tail / total is a small
-  aggregate, windowed per key to carry values across bucket edges, and
-  joined back.  Exact, and no task sees more than one bucket of one key.
+* *split* windows for rank / lag / lead / first-value / running totals:
+  rows are windowed inside ``(key, bucket)`` where ``bucket`` is a coarse,
+  order-preserving slice of the ordering column (a day, a month); the
+  per-bucket summary (count, tail, head, total, first value) is a grouped
+  aggregate combined map-side (a column-pruned second read of the input,
+  one row per (key, bucket) per partition in the shuffle), windowed per key
+  over buckets (small), and joined back on the (key, bucket) columns the
+  rows are already partitioned by.  Exact, and no task holds more than one
+  bucket of one key.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_FIRST_DAY = _dt.date(1, 1, 1)
+
 
 def join_on(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
     """Equi-join on same-named keys where NULL matches NULL (window semantics).
@@ -51,6 +58,25 @@ def _order(order, ascending: bool):
     return out
 
 
+def _split(df: DataFrame, keys, bucket: Column) -> tuple[DataFrame, list[str]]:
+    """Add NULL-free partition columns for (keys, bucket).
+
+    Each key becomes (text value, is-NULL flag), so NULL keys form their own
+    group as in a window, yet every later join is a plain equi-join on the
+    very columns the rows are already partitioned by (no re-shuffle of the
+    big side).  The bucket is a date; a NULL bucket (NULL ordering value)
+    becomes the first day, which sorts first ascending and last descending --
+    the same places ``ORDER BY`` gives NULLs.
+    """
+    exprs, names = [], []
+    for i, k in enumerate(keys):
+        c = F.col(k) if isinstance(k, str) else k
+        exprs += [F.coalesce(c.cast("string"), F.lit("")).alias(f"__kv{i}"), c.isNull().alias(f"__kn{i}")]
+        names += [f"__kv{i}", f"__kn{i}"]
+    b = F.coalesce(bucket.cast("date"), F.lit(_FIRST_DAY.isoformat().rjust(10, "0")).cast("date"))
+    return df.select("*", *exprs, b.alias("__b")), names
+
+
 # ---------------------------------------------------------------- newest row
 
 def latest_by_key(df: DataFrame, keys, order, tiebreak=None, ascending: bool = False,
@@ -93,26 +119,24 @@ def rank_rows(df: DataFrame, keys, order, name: str = "rn", ascending: bool = Fa
               tiebreak=None, bucket: Column | None = None) -> DataFrame:
     """``ROW_NUMBER()`` beside each row (the rank itself is wanted).
 
-    With ``bucket`` (coarse and monotone in the first ordering column) the
-    rank is split: row_number inside (keys, bucket) plus the number of the
-    key's rows in buckets that sort before it -- a per-bucket count,
-    prefix-summed per key over buckets (small).  Same numbers, no task
-    ranks more than one bucket of one key.
+    ``order`` columns sort ascending or descending; ``tiebreak`` columns
+    always ascending.  With ``bucket`` (a date, monotone in the first
+    ordering column) the rank is split: row_number inside (keys, bucket)
+    plus the number of the key's rows in buckets that sort before it -- a
+    per-bucket count, prefix-summed per key over buckets.
     """
     keys = _cols(keys)
-    tb_asc = ascending if tiebreak is None else True
+    spec = [*_order(order, ascending), *_order(tiebreak, True)]
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*_order(order, ascending), *_order(tiebreak, tb_asc))
-        return df.withColumn(name, F.row_number().over(w))
-    b = df.withColumn("__b", bucket)
-    w = Window.partitionBy(*keys, "__b").orderBy(*_order(order, ascending), *_order(tiebreak, tb_asc))
-    inner = b.withColumn("__in", F.row_number().over(w))
-    cnt = b.groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    wk = (Window.partitionBy(*keys).orderBy(F.col("__b").asc() if ascending else F.col("__b").desc())
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*spec)))
+    b, kc = _split(df, keys, bucket)
+    inner = b.withColumn("__in", F.row_number().over(Window.partitionBy(*kc, "__b").orderBy(*spec)))
+    cnt = b.groupBy(*kc, "__b").agg(F.count(F.lit(1)).alias("__n"))
+    wk = (Window.partitionBy(*kc).orderBy(F.col("__b").asc() if ascending else F.col("__b").desc())
           .rowsBetween(Window.unboundedPreceding, -1))
-    offs = cnt.select(*keys, "__b", F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
-    out = join_on(inner, offs, keys + ["__b"])
-    return out.withColumn(name, (F.col("__in") + F.col("__off")).cast("int")).drop("__b", "__in", "__off")
+    offs = cnt.select(*kc, "__b", F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
+    out = inner.join(offs, kc + ["__b"], "left")
+    return out.select(*df.columns, (F.col("__in") + F.col("__off")).cast("int").alias(name))
 
 
 def latest_ties(df: DataFrame, keys, ts: str, inner: Column | None = None) -> DataFrame:
@@ -148,33 +172,31 @@ def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None =
                   prefix: str = "prev_", bucket: Column | None = None, tiebreak=None) -> DataFrame:
     """``LAG(c) OVER (PARTITION BY keys ORDER BY order[, tiebreak])`` for each col.
 
-    With ``bucket`` (an order-preserving coarse expression of ``order``,
-    e.g. ``to_date(ts)``) the lag is split: windows run per (keys, bucket),
-    the first row of each bucket takes the last row of the nearest earlier
-    non-empty bucket of the same key (a small per-bucket aggregate,
-    windowed per key).  Equal results, bounded task size under key skew.
+    With ``bucket`` (a date, monotone in ``order``, e.g. ``to_date(ts)``)
+    the lag is split: windows run per (keys, bucket); the first row of each
+    bucket takes the last row of the nearest earlier non-empty bucket of the
+    same key.
     """
     keys = _cols(keys)
     cols = list(cols or [order])
     tb = _cols(tiebreak)
+    spec = [F.col(order), *[F.col(t) for t in tb]]
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(F.col(order), *[F.col(t) for t in tb])
+        w = Window.partitionBy(*keys).orderBy(*spec)
         return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
-
-    b = df.withColumn("__b", bucket)
-    w = Window.partitionBy(*keys, "__b").orderBy(F.col(order), *[F.col(t) for t in tb])
+    b, kc = _split(df, keys, bucket)
+    w = Window.partitionBy(*kc, "__b").orderBy(*spec)
     inner = b.select("*", F.row_number().over(w).alias("__rn"),
                      *[F.lag(c).over(w).alias("__lag_" + c) for c in cols])
-    tail = (b.groupBy(*keys, "__b")
-             .agg(F.max(F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb],
-                                 *[F.col(c).alias("__v_" + c) for c in cols])).alias("__t")))
-    wk = Window.partitionBy(*keys).orderBy("__b")
-    carry = tail.select(*keys, "__b", F.lag("__t").over(wk).alias("__pt"))
-    j = join_on(inner, carry, keys + ["__b"])
-    out = j.select(*df.columns, *[
+    # last row of each bucket: max of (order, tiebreak) -- NULLs sort first, as in the window
+    tail = b.groupBy(*kc, "__b").agg(
+        F.max(F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb],
+                       *[F.col(c).alias("__v_" + c) for c in cols])).alias("__t"))
+    carry = tail.select(*kc, "__b", F.lag("__t").over(Window.partitionBy(*kc).orderBy("__b")).alias("__pt"))
+    j = inner.join(carry, kc + ["__b"], "left")
+    return j.select(*df.columns, *[
         F.when(F.col("__rn") == 1, F.col("__pt")["__v_" + c]).otherwise(F.col("__lag_" + c)).alias(prefix + c)
         for c in cols])
-    return out
 
 
 def with_next(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str = "next_",
@@ -186,19 +208,19 @@ def with_next(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str
     """
     keys = _cols(keys)
     tb = _cols(tiebreak)
+    spec = [F.col(order), *[F.col(t) for t in tb]]
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(F.col(order), *[F.col(t) for t in tb])
+        w = Window.partitionBy(*keys).orderBy(*spec)
         return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
-    b = df.withColumn("__b", bucket)
-    w = Window.partitionBy(*keys, "__b").orderBy(F.col(order), *[F.col(t) for t in tb])
+    b, kc = _split(df, keys, bucket)
+    w = Window.partitionBy(*kc, "__b").orderBy(*spec)
     inner = b.select("*", F.lead(F.lit(1)).over(w).alias("__more"),
                      *[F.lead(c).over(w).alias("__lead_" + c) for c in cols])
-    head = (b.groupBy(*keys, "__b")
-             .agg(F.min(F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb],
-                                 *[F.col(c).alias("__v_" + c) for c in cols])).alias("__h")))
-    wk = Window.partitionBy(*keys).orderBy("__b")
-    carry = head.select(*keys, "__b", F.lead("__h").over(wk).alias("__nh"))
-    j = join_on(inner, carry, keys + ["__b"])
+    head = b.groupBy(*kc, "__b").agg(
+        F.min(F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb],
+                       *[F.col(c).alias("__v_" + c) for c in cols])).alias("__h"))
+    carry = head.select(*kc, "__b", F.lead("__h").over(Window.partitionBy(*kc).orderBy("__b")).alias("__nh"))
+    j = inner.join(carry, kc + ["__b"], "left")
     return j.select(*df.columns, *[
         F.when(F.col("__more").isNull(), F.col("__nh")["__v_" + c]).otherwise(F.col("__lead_" + c)).alias(prefix + c)
         for c in cols])
@@ -210,7 +232,7 @@ def previous_strictly_earlier(df: DataFrame, keys, ts: str, name: str = "prev_ts
     The correlated ``(SELECT MAX(ts) FROM t t2 WHERE t2.k = t.k AND
     t2.ts < t.ts)`` sub-query.  ``LAG`` equals it only when times are unique
     per key; here ties are handled exactly: take the distinct times per key
-    (an aggregate), lag over those, join back on (key, ts).
+    (an aggregate), lag over those (split by day), join back on (key, ts).
     """
     keys = _cols(keys)
     distinct_ts = df.select(*keys, ts).where(F.col(ts).isNotNull()).distinct()
@@ -220,7 +242,11 @@ def previous_strictly_earlier(df: DataFrame, keys, ts: str, name: str = "prev_ts
 
 
 def period_lag(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
-    """Previous *existing* period's values (not the previous calendar period)."""
+    """Previous *existing* period's values (not the previous calendar period).
+
+    Runs over a per-period aggregate (one row per key and period), so the
+    window is small whatever the size of the fact.
+    """
     return with_previous(df, keys, order, cols, prefix=prefix)
 
 
@@ -243,9 +269,9 @@ def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
     # last value of each device in the global order, carried to the next device
     # (NULLs sort last in either direction, so a device holding a NULL ends on it)
     last = F.min(seq) if descending else F.max(seq)
-    edge = df.groupBy(device).agg(F.when(F.count(seq) == F.count(F.lit(1)), last).alias("__last"))
+    edge = lagged.groupBy(device).agg(F.when(F.count(seq) == F.count(F.lit(1)), last).alias("__last"))
+    # one row per device: a single small window over the device list
     wd = Window.orderBy(F.col(device).desc() if descending else F.col(device).asc())
-    # one row per device: the small side of the carry
     carry = edge.select(device, F.lag("__last").over(wd).alias("__carry"))
     j = join_on(lagged, carry, [device])
     prev = F.coalesce(F.col("__prev"), F.col("__carry"))
@@ -272,17 +298,15 @@ def running_total(df: DataFrame, order, value: str, name: str = "running", keys=
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         out = df.withColumn(name, F.sum(value).over(w))
     else:
-        b = df.withColumn("__b", bucket)
-        w = (Window.partitionBy(*keys, "__b").orderBy(*[F.col(o) for o in order])
+        b, kc = _split(df, keys, bucket)
+        w = (Window.partitionBy(*kc, "__b").orderBy(*[F.col(o) for o in order])
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         inner = b.withColumn("__in", F.sum(value).over(w))
-        tot = b.groupBy(*keys, "__b").agg(F.sum(value).alias("__bt"))
-        wk = (Window.partitionBy(*keys).orderBy("__b")
-              .rowsBetween(Window.unboundedPreceding, -1))
-        offs = tot.select(*keys, "__b", F.coalesce(F.sum("__bt").over(wk), F.lit(0)).alias("__off"))
-        out = (join_on(inner, offs, keys + ["__b"])
-                    .withColumn(name, F.col("__in") + F.col("__off"))
-                    .drop("__b", "__in", "__off"))
+        tot = b.groupBy(*kc, "__b").agg(F.sum(value).alias("__bt"))
+        wk = Window.partitionBy(*kc).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        offs = tot.select(*kc, "__b", F.coalesce(F.sum("__bt").over(wk), F.lit(0)).alias("__off"))
+        out = (inner.join(offs, kc + ["__b"], "left")
+                    .select(*df.columns, (F.col("__in") + F.col("__off")).alias(name)))
     if opening is not None:
         if keys:
             out = join_on(out, opening.select(*keys, opening_col), keys)
@@ -300,7 +324,7 @@ def rolling_values(df: DataFrame, keys, order, col: str, n: int, name: str = "hi
     """Previous ``n`` values (excluding the current row) as an array.
 
     Empty frames give NULL (the reference's ARRAY_AGG over no rows), not
-    Spark's ``[]``.
+    Spark's ``[]``.  Meant for per-day aggregates: the frame is bounded.
     """
     w = (Window.partitionBy(*_cols(keys)).orderBy(*[F.col(o) for o in _cols(order)])
          .rowsBetween(-n, -1))
@@ -326,32 +350,35 @@ def first_non_null_after(df: DataFrame, keys, order, col: str, name: str,
                          bucket: Column | None = None) -> DataFrame:
     """First non-NULL ``col`` from the current row to the end of the partition.
 
-    With ``bucket`` (monotone in the first ordering column): first non-NULL
-    to the end of the row's bucket, else the first non-NULL of the key's
-    later buckets (per-bucket first values, windowed per key: small).
+    With ``bucket`` (a date, monotone in the first ordering column): first
+    non-NULL to the end of the row's bucket, else the first non-NULL of the
+    key's later buckets (per-bucket first values, windowed per key).
     """
     keys = _cols(keys)
     order = _cols(order)
+    spec = [F.col(o) for o in order]
     if bucket is None:
-        w = (Window.partitionBy(*keys).orderBy(*[F.col(o) for o in order])
-             .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        w = Window.partitionBy(*keys).orderBy(*spec).rowsBetween(Window.currentRow, Window.unboundedFollowing)
         return df.withColumn(name, F.first(col, ignorenulls=True).over(w))
-    b = df.withColumn("__b", bucket)
-    w = (Window.partitionBy(*keys, "__b").orderBy(*[F.col(o) for o in order])
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    b, kc = _split(df, keys, bucket)
+    w = Window.partitionBy(*kc, "__b").orderBy(*spec).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     inner = b.withColumn("__in", F.first(col, ignorenulls=True).over(w))
     # every bucket of the key, also those holding only NULLs (their first value is NULL)
-    firsts = (b.groupBy(*keys, "__b")
-               .agg(F.min(F.when(F.col(col).isNotNull(),
-                                 F.struct(*[F.col(o) for o in order], F.col(col).alias("__v")))).alias("__f")))
-    wk = Window.partitionBy(*keys).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
-    later = firsts.select(*keys, "__b", F.first(F.col("__f")["__v"], ignorenulls=True).over(wk).alias("__later"))
-    out = join_on(inner, later, keys + ["__b"])
-    return out.withColumn(name, F.coalesce("__in", "__later")).drop("__b", "__in", "__later")
+    firsts = b.groupBy(*kc, "__b").agg(
+        F.min(F.when(F.col(col).isNotNull(), F.struct(*spec, F.col(col).alias("__v")))).alias("__f"))
+    wk = Window.partitionBy(*kc).orderBy("__b").rowsBetween(1, Window.unboundedFollowing)
+    later = firsts.select(*kc, "__b", F.first(F.col("__f")["__v"], ignorenulls=True).over(wk).alias("__later"))
+    out = inner.join(later, kc + ["__b"], "left")
+    return out.select(*df.columns, F.coalesce("__in", "__later").alias(name))
 
 
 def total_over(df: DataFrame, keys, value, name: str) -> DataFrame:
-    """``SUM(value) OVER (PARTITION BY keys)`` as aggregate + join (skew-safe)."""
+    """``SUM(value) OVER (PARTITION BY keys)`` as aggregate + join (skew-safe).
+
+    The aggregate is combined map-side (one row per key per partition) and
+    has one row per key; the join back is broadcast when that is small, or
+    a sort-merge join whose hot-key partition AQE splits.
+    """
     keys = _cols(keys)
     v = F.col(value) if isinstance(value, str) else value
     tot = df.groupBy(*keys).agg(F.sum(v).alias(name))
