@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.timefn import bucket_floor, local_date, local_time, parse_day
+from kerbside.functions.timefn import between_local_days, bucket_floor, local_time, parse_day
 from kerbside.functions.values import greatest_strict, least_strict
 from kerbside.operators.grids import entity_grid
 
@@ -80,7 +80,7 @@ def running_occupancy(visits: DataFrame, sites: DataFrame, site: str, plate: str
     slots in the report, independent of the data volume.
     """
     s, e = parse_day(start), parse_day(end)
-    base = visits.where(local_date(arrival, tz).between(F.lit(s - dt.timedelta(days=1)), F.lit(e)))
+    base = visits.where(between_local_days(arrival, tz, s - dt.timedelta(days=1), e))
     flows = flow_counts(base, site, plate, arrival, departure, tz, minutes)
     grid = slot_grid(sites, s, e, minutes)
     g = zero_fill(grid, flows, [site, "slot"], ["entries", "exits"])

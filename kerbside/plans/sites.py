@@ -41,8 +41,9 @@ def site_status(status: DataFrame, keys, ts: str, tiebreak: str | None = None) -
 
 def process_rates(metrics: DataFrame, tz: str, start, end, keys=("org", "region", "site")) -> DataFrame:
     """Accepted / total and footfall per site and local day."""
+    from kerbside.functions.timefn import between_local_days
     d = local_date("start_time", tz)
-    m = metrics.where(d.between(F.lit(parse_day(start)), F.lit(parse_day(end))))
+    m = metrics.where(between_local_days("start_time", tz, start, end))
     return m.groupBy(*keys, d.alias("day")).agg(
         F.sum("accepted").alias("accepted"), F.sum("total").alias("total"),
         safe_ratio(F.sum("accepted"), F.sum("total")).alias("process_rate"))

@@ -165,10 +165,9 @@ g AS (SELECT grid.ors_id, grid.slot, coalesce(entries, 0) AS entries, coalesce(e
 WITH {_BASE_SQL}
 SELECT ors_id, slot, entries, exits FROM flows""", ["visits"])
 def entry_exit_counts(spark, base):
-    import datetime as _dt
-    from kerbside.functions.timefn import local_date
+    from kerbside.functions.timefn import between_local_days
     lv = _lv(spark, base)
-    b = lv.where(local_date("arrival", NZ).between(F.lit(_dt.date(2024, 1, 9)), F.lit(_dt.date(2024, 1, 11))))
+    b = lv.where(between_local_days("arrival", NZ, "20240109", "20240111"))
     return PO.flow_counts(b, "ors_id", "plate", "arrival", "departure", NZ)
 
 
