@@ -81,7 +81,7 @@ def _time_bucket(ts: Column, unit: str) -> Column:
 
 
 def interval_join(events: DataFrame, intervals: DataFrame, keys: Sequence[str], ts: str,
-                  start: str, end: str, how: str = "left", bucket: str | None = "month",
+                  start: str, end: str, how: str = "left", bucket: str | None = "year",
                   end_inclusive: bool = True) -> DataFrame:
     """Events joined to intervals of the same key that contain ``ts``.
 
@@ -89,9 +89,13 @@ def interval_join(events: DataFrame, intervals: DataFrame, keys: Sequence[str],
     ``year``) each interval is replicated once per bucket it touches --
     clipped to the time range the events actually cover, so open-ended or
     far-future ends do not explode -- and the join key becomes (keys,
-    bucket): a hot key is spread over its buckets, and each (event,
-    interval) pair is produced once, in the event's bucket.  NULL ``end`` is
-    unbounded.
+    bucket): a key hot on both sides (many events *and* many intervals) is
+    spread over its buckets and only same-bucket pairs are compared; each
+    (event, interval) pair is produced once, in the event's bucket.  NULL
+    ``end`` is unbounded.  Coarse buckets keep the replication of long
+    intervals low (measured at sf0.1: year 4.5 s, month 8.5 s, none 3.9 s);
+    ``bucket=None`` is the plain equi + range join, where AQE's skew-join
+    split still spreads a key that is hot on the event side only.
     """
     keys = list(keys)
     ev = events

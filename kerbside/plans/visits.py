@@ -106,7 +106,7 @@ def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame,
     v = v.select("visit_id", F.coalesce("in_plate", "out_plate").alias("plate"), "ors_id", "arrival", "departure")
     p = normalise_permits(permits).select("plate", "valid_from", "valid_to")
     hits = (J.interval_join(v.select("visit_id", "plate", "arrival"), p, ["plate"], "arrival", "valid_from",
-                            "valid_to", how="inner", bucket="month")
+                            "valid_to", how="inner", bucket="year")
             .select("visit_id").distinct().withColumn("is_whitelisted", F.lit(True)))
     out = v.join(hits, "visit_id", "left").withColumn("is_whitelisted", F.coalesce("is_whitelisted", F.lit(False)))
     out = out.withColumn("org", key_part("ors_id", 0)).join(sites_tz, "org", "left")

@@ -189,7 +189,7 @@ FROM permit_visits v LEFT JOIN permits p
 def interval_join(spark, base):
     v = D.permit_visits(spark, base).select("visit_order", "visit_line", "plate", "arrival")
     p = D.permits(spark, base).select("plate", "permit_id", "start_time", "end_time")
-    j = J.interval_join(v, p, ["plate"], "arrival", "start_time", "end_time", how="left", bucket="month")
+    j = J.interval_join(v, p, ["plate"], "arrival", "start_time", "end_time", how="left", bucket="year")
     return j.select("visit_order", "visit_line", "plate", "arrival", "permit_id")
 
 
