@@ -109,7 +109,7 @@ def with_timezone(df: DataFrame, org_col: str, mapping: DataFrame, patterns: lis
     ``mapping`` (columns ``org``, ``timezone``) is a lookup table: an equi
     left join that the planner broadcasts by its size.  ``patterns`` are
     ordered ``(like_pattern, zone)`` pairs tried first -- order matters when
-    one prefix contains another (``scmau%`` before ``scm%``).
+    one prefix contains another (``abc%`` before ``ab%``).
     """
     m = mapping.select(F.col("org").alias("__org"), F.col("timezone").alias("__tz"))
     out = df.join(m, df[org_col] == m["__org"], "left")

@@ -71,3 +71,31 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
+
+
+def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    * scan splits of ``target_partition_bytes`` (fewer, larger tasks than
+      the 128 MB default at 100 TB: ~400k instead of ~800k);
+    * initial shuffle partitions = input / target, at least 2 x cores and
+      capped at 200k -- AQE then coalesces small partitions to the advisory
+      size and splits skewed ones;
+    * broadcast only under 10 MB (the default), so executor memory never
+      holds a side that grows with the data.
+    """
+    parts = max(2 * cores, min(200_000, input_bytes // target_partition_bytes + 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    }
+
+
+def apply_cluster_conf(spark: SparkSession, input_bytes: int, cores: int | None = None) -> None:
+    """Set :func:`cluster_conf` on a running session (runtime SQL settings only)."""
+    cores = cores or spark.sparkContext.defaultParallelism
+    for k, v in cluster_conf(input_bytes, cores).items():
+        spark.conf.set(k, v)

@@ -59,3 +59,15 @@ def append(df: DataFrame, path: str, schema: StructType | None = None) -> str:
 def ctas(df: DataFrame, path: str, cluster_by: list[str] | None = None) -> str:
     """CREATE TABLE AS SELECT with inferred schema, clustered by ``cluster_by``."""
     return replace_table(df, path, None, cluster_by)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared checkpoint folder and read it back.
+
+    For an intermediate that several reports reuse (the visit fact, the
+    consolidated permits), so a lost executor does not force recomputing
+    the whole upstream plan.  Uses the reliable ``checkpoint`` (never the
+    executor-local variant) in ``spark.checkpoint.dir``.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

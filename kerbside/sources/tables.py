@@ -28,7 +28,7 @@ def scan_glob(spark: SparkSession, base: str, prefix: str,
     """Read every shard ``<prefix>*`` of a table family in one scan.
 
     A plain glob ``prefix*`` also matches longer family names that share the
-    prefix (``..._scm*`` catches ``..._scmau*``).  With ``exact_prefix`` the
+    prefix (``visits_ab*`` also catches ``visits_abc*``).  With ``exact_prefix`` the
     shard suffix must not start with a letter, so only ``prefix``,
     ``prefix_2024`` or ``prefix2`` style shards are kept.  The suffix test
     runs on ``_metadata.file_path`` -- a column-level filter, so the scan is
