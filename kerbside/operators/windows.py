@@ -64,16 +64,23 @@ def _split(df: DataFrame, keys, bucket: Column) -> tuple[DataFrame, list[str]]:
     Each key becomes (text value, is-NULL flag), so NULL keys form their own
     group as in a window, yet every later join is a plain equi-join on the
     very columns the rows are already partitioned by (no re-shuffle of the
-    big side).  The bucket is a date; a NULL bucket (NULL ordering value)
-    becomes the first day, which sorts first ascending and last descending --
-    the same places ``ORDER BY`` gives NULLs.
+    big side).  The bucket is a date or a number; a NULL bucket (NULL
+    ordering value) becomes the lowest value of its type, which sorts first
+    ascending and last descending -- the same places ``ORDER BY`` gives NULLs.
     """
     exprs, names = [], []
     for i, k in enumerate(keys):
         c = F.col(k) if isinstance(k, str) else k
         exprs += [F.coalesce(c.cast("string"), F.lit("")).alias(f"__kv{i}"), c.isNull().alias(f"__kn{i}")]
         names += [f"__kv{i}", f"__kn{i}"]
-    b = F.coalesce(bucket.cast("date"), F.lit(_FIRST_DAY.isoformat().rjust(10, "0")).cast("date"))
+    btype = df.select(bucket.alias("__t")).schema["__t"].dataType.simpleString()
+    if btype in ("tinyint", "smallint", "int", "bigint"):
+        low = F.lit(-(2 ** 63)).cast("bigint")
+        b = F.coalesce(bucket.cast("bigint"), low)
+    elif btype in ("float", "double"):
+        b = F.coalesce(bucket.cast("double"), F.lit(float("-inf")))
+    else:
+        b = F.coalesce(bucket.cast("date"), F.lit(_FIRST_DAY.isoformat().rjust(10, "0")).cast("date"))
     return df.select("*", *exprs, b.alias("__b")), names
 
 
@@ -169,18 +176,20 @@ def dedupe_any(df: DataFrame, keys, tiebreak=None) -> DataFrame:
 # ---------------------------------------------------------------- previous / next
 
 def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None = None,
-                  prefix: str = "prev_", bucket: Column | None = None, tiebreak=None) -> DataFrame:
+                  prefix: str = "prev_", bucket: Column | None = None, tiebreak=None,
+                  descending: bool = False) -> DataFrame:
     """``LAG(c) OVER (PARTITION BY keys ORDER BY order[, tiebreak])`` for each col.
 
-    With ``bucket`` (a date, monotone in ``order``, e.g. ``to_date(ts)``)
-    the lag is split: windows run per (keys, bucket); the first row of each
-    bucket takes the last row of the nearest earlier non-empty bucket of the
-    same key.
+    ``descending`` orders ``order`` and ``tiebreak`` descending (NULLs last).
+    With ``bucket`` (a date or number, monotone in ``order``, e.g.
+    ``to_date(ts)``) the lag is split: windows run per (keys, bucket); the
+    first row of each bucket takes the last row of the nearest preceding
+    non-empty bucket of the same key.
     """
     keys = _cols(keys)
     cols = list(cols or [order])
     tb = _cols(tiebreak)
-    spec = [F.col(order), *[F.col(t) for t in tb]]
+    spec = _order([order, *tb], not descending)
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*spec)
         return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
@@ -188,11 +197,12 @@ def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None =
     w = Window.partitionBy(*kc, "__b").orderBy(*spec)
     inner = b.select("*", F.row_number().over(w).alias("__rn"),
                      *[F.lag(c).over(w).alias("__lag_" + c) for c in cols])
-    # last row of each bucket: max of (order, tiebreak) -- NULLs sort first, as in the window
-    tail = b.groupBy(*kc, "__b").agg(
-        F.max(F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb],
-                       *[F.col(c).alias("__v_" + c) for c in cols])).alias("__t"))
-    carry = tail.select(*kc, "__b", F.lag("__t").over(Window.partitionBy(*kc).orderBy("__b")).alias("__pt"))
+    # last row of each bucket: the max of (order, tiebreak) ascending, the min descending
+    # (struct comparison puts NULLs first, matching NULLS FIRST asc / NULLS LAST desc)
+    packed = F.struct(F.col(order).alias("__o"), *[F.col(t) for t in tb], *[F.col(c).alias("__v_" + c) for c in cols])
+    tail = b.groupBy(*kc, "__b").agg((F.min(packed) if descending else F.max(packed)).alias("__t"))
+    wb = Window.partitionBy(*kc).orderBy(F.col("__b").desc() if descending else F.col("__b").asc())
+    carry = tail.select(*kc, "__b", F.lag("__t").over(wb).alias("__pt"))
     j = inner.join(carry, kc + ["__b"], "left")
     return j.select(*df.columns, *[
         F.when(F.col("__rn") == 1, F.col("__pt")["__v_" + c]).otherwise(F.col("__lag_" + c)).alias(prefix + c)
@@ -251,7 +261,7 @@ def period_lag(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str
 
 
 def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
-                  reset: bool = False, name: str = "gap") -> DataFrame:
+                  reset: bool = False, name: str = "gap", seq_bucket: int | None = 1_000_000) -> DataFrame:
     """Difference of ``seq`` from the previous row ordered by (device, seq).
 
     ``reset=False`` reproduces one global window over the whole table: the
@@ -260,10 +270,13 @@ def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
     each device's boundary value comes from a per-device aggregate (one row
     per device) lagged over devices.  ``reset=True`` gives the per-device
     gap (first row NULL).  With ``descending`` the order is
-    ``device DESC, seq DESC`` (so a normal step is -1).
+    ``device DESC, seq DESC`` (so a normal step is -1).  The per-device lag
+    is split into ``seq_bucket``-wide sequence ranges, so one busy camera
+    does not become one task.
     """
-    w = Window.partitionBy(device).orderBy(F.col(seq).desc() if descending else F.col(seq).asc())
-    lagged = df.select("*", F.lag(seq).over(w).alias("__prev"))
+    bucket = F.floor(F.col(seq) / seq_bucket) if seq_bucket else None
+    lagged = with_previous(df, device, seq, [seq], prefix="__p_", bucket=bucket, descending=descending)
+    lagged = lagged.withColumnRenamed("__p_" + seq, "__prev")
     if reset:
         return lagged.withColumn(name, F.col(seq) - F.col("__prev")).drop("__prev")
     # last value of each device in the global order, carried to the next device

@@ -164,3 +164,13 @@ def test_split_rank_lead_first_value(spark):
     plain = W.first_non_null_after(df, "k", ["t", "id"], "a", "fa")
     split = W.first_non_null_after(df, "k", ["t", "id"], "a", "fa", bucket=F.to_date("t"))
     assert rows_of(plain, ["id", "fa"]) == rows_of(split, ["id", "fa"])
+
+
+def test_split_lag_descending_with_nulls(spark):
+    rnd = random.Random(9)
+    data = [(i, "hot" if i % 2 else f"d{rnd.randrange(3)}", None if i % 13 == 0 else rnd.randrange(50_000))
+            for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, k string, s long")
+    plain = W.with_previous(df, "k", "s", ["s"], tiebreak="id", descending=True)
+    split = W.with_previous(df, "k", "s", ["s"], tiebreak="id", descending=True, bucket=F.floor(F.col("s") / 1000))
+    assert rows_of(plain, ["id", "prev_s"]) == rows_of(split, ["id", "prev_s"])
