@@ -231,15 +231,22 @@ def ledger(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def cases(spark: SparkSession, base: str) -> DataFrame:
+def cases(spark: SparkSession, base: str, with_breaches: bool = True) -> DataFrame:
     """Revisioned notices with nested breaches → fees / transactions.
 
     One row per order (three revisions per case id), breaches = its line
     items.  Built with one shuffle (line items grouped by order key: a
     bounded group, a handful of lines per order), joined to orders on the
-    same key.  Orders without lines get a NULL breach array.
+    same key.  Orders without lines get a NULL breach array.  Reports that
+    read no breach pass ``with_breaches=False`` and skip the nesting job
+    (Catalyst cannot drop a left join it does not know to be 1:1).
     """
     o = scan(spark, base, "orders")
+    if not with_breaches:
+        return _case_columns(o.withColumn("breaches", F.lit(None).cast(
+            "array<struct<ticket_id:bigint,issuing_time:timestamp_ntz,"
+            "fees:array<struct<amount:double,source:string,type:string>>,"
+            "transactions:array<struct<amount:double,description:string>>,line_status:string>>"))).drop("breaches")
     li = scan(spark, base, "lineitem")
     breach = F.struct(
         (F.expr("l_orderkey div 3") * 100 + F.col("l_linenumber")).alias("ticket_id"),
@@ -257,7 +264,10 @@ def cases(spark: SparkSession, base: str) -> DataFrame:
         F.col("l_linestatus").alias("line_status"),
     )
     lines = li.groupBy("l_orderkey").agg(F.collect_list(breach).alias("breaches"))
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+    return _case_columns(o.join(lines, o.o_orderkey == lines.l_orderkey, "left"))
+
+
+def _case_columns(j: DataFrame) -> DataFrame:
     return j.select(
         F.expr("o_orderkey div 3").alias("id"),
         F.expr("o_orderkey % 3").alias("rev"),

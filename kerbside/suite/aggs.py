@@ -94,7 +94,7 @@ SELECT strftime(case_ts, '%Y-%m') AS month,
   count(DISTINCT id) AS cases
 FROM c GROUP BY month""", ["case_lines"])
 def agg_distinct_if(spark, base):
-    c = D.cases(spark, base)
+    c = D.cases(spark, base, with_breaches=False)
     return c.groupBy(F.date_format("case_ts", "yyyy-MM").alias("month")).agg(
         F.count_distinct(F.when(F.col("state") == "Closed", F.col("id"))).alias("closed_cases"),
         F.count_distinct(F.when(F.col("substate") == "paid", F.col("id"))).alias("paid_cases"),

@@ -150,7 +150,7 @@ def project_typed_null(spark, base):
 @q("project_nested", """
 SELECT DISTINCT order_key, plate, vehicle_state, site_ref, site_name FROM case_lines""", ["case_lines"])
 def project_nested(spark, base):
-    c = D.cases(spark, base)
+    c = D.cases(spark, base, with_breaches=False)
     return c.select("order_key", F.col("vehicle.plate").alias("plate"), F.col("vehicle.state").alias("vehicle_state"),
                     F.col("groups")[0]["group_ref"].alias("site_ref"), F.col("groups")[0]["name"].alias("site_name"))
 
@@ -196,7 +196,7 @@ SELECT state,
   count(*) AS n
 FROM c GROUP BY state""", ["case_lines"])
 def filter_three_valued(spark, base):
-    c = D.cases(spark, base).select("state", "substate")
+    c = D.cases(spark, base, with_breaches=False).select("state", "substate")
     return c.groupBy("state").agg(
         F.count_if(~((F.col("state") == "Closed") & (F.col("substate") == "paid"))).alias("not_both"),
         F.count_if((F.col("state") != "Closed") & (F.col("substate") != "paid")).alias("neither"),

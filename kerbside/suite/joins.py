@@ -142,7 +142,7 @@ def semi_latest_tuple(spark, base):
 SELECT order_key, id FROM (SELECT DISTINCT order_key, id FROM case_lines)
 WHERE id NOT IN (SELECT id FROM case_lines WHERE canceled_reason IS NOT NULL)""", ["case_lines"])
 def anti_not_in(spark, base):
-    c = D.cases(spark, base)
+    c = D.cases(spark, base, with_breaches=False)
     excluded = c.where(F.col("canceled_reason").isNotNull()).select("id")
     return J.anti_null_aware(c.select("order_key", "id"), excluded, "id")
 
@@ -152,7 +152,7 @@ SELECT order_key, substate FROM (SELECT DISTINCT order_key, substate FROM case_l
 WHERE substate NOT IN (SELECT substate FROM case_lines WHERE rev = 0)""", ["case_lines"])
 def anti_not_in_with_null(spark, base):
     # the list holds a NULL sub-state, so NOT IN keeps no row at all
-    c = D.cases(spark, base)
+    c = D.cases(spark, base, with_breaches=False)
     return J.anti_null_aware(c.select("order_key", "substate"), c.where(F.col("rev") == 0), "substate")
 
 

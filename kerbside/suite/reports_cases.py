@@ -112,7 +112,7 @@ def stay_case_overview(spark, base):
     frames = lv.select(F.lit("frame").alias("kind"), F.col("visit_id").cast("string").alias("ref"),
                        F.coalesce(key_part("ors_id", 2), F.lit("N/A")).alias("site"), F.col("arrival").alias("time"),
                        F.coalesce("in_plate", "out_plate", F.lit("N/A")).alias("plate"), F.lit("N/A").alias("detail"))
-    c = D.cases(spark, base)
+    c = D.cases(spark, base, with_breaches=False)
     first = W.earliest_by_key(c.select("id", "rev", "uri", PC.site_group(field="name").alias("site"), "fact_ts",
                                        F.col("vehicle.plate").alias("plate"), "state"), "id", "rev")
     first = J.anti_null_aware(first, PC.excluded_case_ids(c, EXCL_SUB, EXCL_REASON), "id")
@@ -130,7 +130,7 @@ WITH cur AS (SELECT DISTINCT id, order_key, state FROM case_lines
 SELECT cur.id, cur.order_key, cur.state, {_RECON_COLS} FROM cur
 LEFT JOIN ledger l ON cur.order_key = l.breach_id AND l.description <> 'Late fee'""", ["case_lines", "ledger"])
 def ledger_reconcile(spark, base):
-    return PC.reconcile(D.cases(spark, base), D.ledger(spark, base))
+    return PC.reconcile(D.cases(spark, base, with_breaches=False), D.ledger(spark, base))
 
 
 @q("ledger_reconcile_latest", f"""
@@ -141,7 +141,7 @@ nl AS (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY breach_id OR
 SELECT cur.id, cur.order_key, cur.state, {_RECON_COLS} FROM cur JOIN nl ON cur.order_key = nl.breach_id""",
    ["case_lines", "ledger"])
 def ledger_reconcile_latest(spark, base):
-    return PC.reconcile(D.cases(spark, base), D.ledger(spark, base), newest_line_only=True)
+    return PC.reconcile(D.cases(spark, base, with_breaches=False), D.ledger(spark, base), newest_line_only=True)
 
 
 @q("ledger_receipts", """

@@ -148,7 +148,8 @@ FROM o GROUP BY day""", ["case_events"])
 def lag_status_change(spark, base):
     from kerbside.plans.backlog import status_transitions
     return status_transitions(_status_rows(spark, base), "case_uri", "ts", "status", "day",
-                              {"opened": "Open", "resolved": "Resolved"}, tiebreak="event_id")
+                              {"opened": "Open", "resolved": "Resolved"}, tiebreak="event_id",
+                              bucket=F.to_date("ts"))
 
 
 @q("lead_next_state", """
