@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 
 from pyspark.sql import SparkSession
@@ -14,6 +15,16 @@ MODULES = ("basic", "joins", "aggs", "windows", "functions", "reports_visits", "
 QUERIES: dict = {}
 ORACLE: dict = {}
 
+
+def _prepared(fn):
+    """Apply the session settings the query relies on before building it."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, base: str):
+        apply_core_conf(spark)
+        return fn(spark, base)
+    return run
+
+
 for _name in MODULES:
     try:
         _m = importlib.import_module(f"kerbside.suite.{_name}")
@@ -21,7 +32,7 @@ for _name in MODULES:
         if _e.name != f"kerbside.suite.{_name}":
             raise
         continue
-    QUERIES.update(_m.QUERIES)
+    QUERIES.update({k: _prepared(f) for k, f in _m.QUERIES.items()})
     ORACLE.update(_m.ORACLE)
 
 
