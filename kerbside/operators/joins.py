@@ -40,11 +40,14 @@ def anti_null_aware(left: DataFrame, right: DataFrame, col: str, right_col: str
     """
     rc = right_col or col
     lst = right.select(F.col(rc).alias("__v"))
-    n_all = lst.agg(F.count(F.lit(1))).scalar()
-    n_null = lst.agg(F.count_if(F.col("__v").isNull())).scalar()
+    # one uncorrelated scalar sub-query summarising the list: -1 = holds a NULL,
+    # 0 = empty, n > 0 = n values; attached once as a column (one evaluation)
+    code = lst.agg(F.when(F.count_if(F.col("__v").isNull()) > 0, F.lit(-1))
+                   .otherwise(F.count(F.lit(1))).alias("__code")).scalar()
     kept = left.join(lst.where(F.col("__v").isNotNull()).distinct(), left[col] == F.col("__v"), "left_anti")
-    # uncorrelated scalar sub-queries: evaluated once, no join
-    return kept.where((n_null == 0) & (F.col(col).isNotNull() | (n_all == 0)))
+    kept = kept.withColumn("__code", code)
+    keep = (F.col("__code") == 0) | ((F.col("__code") > 0) & F.col(col).isNotNull())
+    return kept.where(keep).drop("__code")
 
 
 def explode_keep(df: DataFrame, path: str, alias: str) -> DataFrame:
@@ -87,7 +90,7 @@ def interval_join(events: DataFrame, intervals: DataFrame, keys: Sequence[str],
 
     Equi keys plus a range residual.  With ``bucket`` (``day``/``month``/
     ``year``) each interval is replicated once per bucket it touches --
-    clipped to the time range the events actually cover, so open-ended or
+    clipped to the time range its key's events cover, so open-ended or
     far-future ends do not explode -- and the join key becomes (keys,
     bucket): a key hot on both sides (many events *and* many intervals) is
     spread over its buckets and only same-bucket pairs are compared; each
@@ -108,11 +111,13 @@ def interval_join(events: DataFrame, intervals: DataFrame, keys: Sequence[str],
         out = ev.join(r, cond, how)
         return out.drop(*["__k_" + k for k in keys])
 
-    # the events' time span, as scalar sub-queries (one value each)
-    lo = F.greatest(F.col(start), ev.agg(F.min(ts)).scalar())
-    hi_ev = ev.agg(F.max(ts)).scalar()
-    hi = F.least(F.coalesce(F.col(end), hi_ev), hi_ev)
-    r = iv
+    # each key's event time span (a grouped aggregate combined map-side, one
+    # row per key): intervals are clipped to it, and intervals of keys with
+    # no events drop out before they are replicated
+    span = ev.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
+    r = iv.join(span, keys, "inner")
+    lo = F.greatest(F.col(start), F.col("__lo"))
+    hi = F.least(F.coalesce(F.col(end), F.col("__hi")), F.col("__hi"))
     step = {"day": "1 day", "month": "1 month", "year": "1 year"}[bucket]
     r = (r.where(lo <= hi)
           .select(*[F.col(k).alias("__k_" + k) for k in keys], *[c for c in iv.columns if c not in keys],

@@ -46,7 +46,7 @@ def excluded_case_ids(cases: DataFrame, substates: Iterable[str], reasons: Itera
 
 
 def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reasons=(),
-                labels: Mapping[str, list[str]] = SUBSTATE_LABELS) -> DataFrame:
+                labels: Mapping[str, list[str]] = SUBSTATE_LABELS, case_heads: DataFrame | None = None) -> DataFrame:
     """Newest revision per (case, breach) in a local-date window, with normalised status.
 
     * local day of the fact time (per-row zone) in [start, end], filtered
@@ -54,10 +54,15 @@ def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reas
     * cases whose id is in the exclusion list are dropped (NOT IN, NULL-aware);
     * sub-state: the scalar one, else the first of the list; recoded by
       ``labels`` (unlisted values kept).
+
+    ``case_heads`` (the same cases without the nested breaches, if the
+    source can give them cheaply) is used for the exclusion list so it does
+    not re-run the nesting.
     """
     from kerbside.functions.timefn import between_local_days
     c = cases.where(between_local_days("fact_ts", F.col("timezone"), start, end))
-    c = J.anti_null_aware(c, excluded_case_ids(cases, exclude_substates, exclude_reasons), "id")
+    heads = cases if case_heads is None else case_heads
+    c = J.anti_null_aware(c, excluded_case_ids(heads, exclude_substates, exclude_reasons), "id")
     b = J.explode_keep(c, "breaches", "b").select(
         "id", "rev", "state", "substate", "sub_states", "timezone", "fact_ts", "groups",
         F.col("b.ticket_id").alias("ticket_id"))

@@ -60,7 +60,8 @@ SELECT id, rev, state, lower(state) AS state_lower, date_trunc('second', {_LOCAL
   ticket_id, {_label_case('coalesce(substate, sub_state_1)')} AS status
 FROM r""", ["case_lines"])
 def case_status_current(spark, base):
-    return PC.case_status(D.cases(spark, base), "19970101", "19971231", EXCL_SUB, EXCL_REASON)
+    return PC.case_status(D.cases(spark, base), "19970101", "19971231", EXCL_SUB, EXCL_REASON,
+                          case_heads=D.cases(spark, base, with_breaches=False))
 
 
 @q("case_financials", f"""
