@@ -215,7 +215,9 @@ def filter_interval_overlap(spark, base):
 
 
 @q("filter_case_predicate", """
-SELECT f.visit_key, f.site_key, f.entry_date, c.transition_date FROM fact_visit f LEFT JOIN cutover c ON f.site_key = c.site_key
+SELECT f.visit_key, f.site_key, strftime(f.entry_date, '%Y-%m-%d') AS entry_day,
+  strftime(c.transition_date, '%Y-%m-%d') AS transition_day
+FROM fact_visit f LEFT JOIN cutover c ON f.site_key = c.site_key
 WHERE CASE WHEN c.transition_date IS NULL THEN f.entry_date < DATE '1998-01-01'
            WHEN f.entry_date >= c.transition_date THEN TRUE END""", ["fact_visit", "cutover"])
 def filter_case_predicate(spark, base):
@@ -224,7 +226,8 @@ def filter_case_predicate(spark, base):
     j = f.join(c, "site_key", "left")
     pred = (F.when(F.col("transition_date").isNull(), F.col("entry_date") < F.lit(dt.date(1998, 1, 1)))
              .when(F.col("entry_date") >= F.col("transition_date"), F.lit(True)))
-    return j.where(pred).select("visit_key", "site_key", "entry_date", "transition_date")
+    return j.where(pred).select("visit_key", "site_key", day_text("entry_date").alias("entry_day"),
+                                day_text("transition_date").alias("transition_day"))
 
 
 @q("filter_null_safe_change", """

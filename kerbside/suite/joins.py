@@ -72,13 +72,14 @@ def join_star(spark, base):
 
 @q("join_full_outer", """
 WITH v AS (SELECT site_key, count(*) AS visits FROM fact_visit WHERE site_key % 3 <> 0 GROUP BY site_key)
-SELECT coalesce(v.site_key, c.site_key) AS site_key, v.visits, c.transition_date
+SELECT coalesce(v.site_key, c.site_key) AS site_key, v.visits, strftime(c.transition_date, '%Y-%m-%d') AS transition_day
 FROM v FULL JOIN cutover c ON v.site_key = c.site_key""", ["fact_visit", "cutover"])
 def join_full_outer(spark, base):
     v = (D.fact_visit(spark, base).where(F.col("site_key") % 3 != 0)
          .groupBy("site_key").agg(F.count(F.lit(1)).alias("visits")))
     c = D.cutover(spark, base)
-    return v.join(c, "site_key", "full").select("site_key", "visits", "transition_date")
+    return v.join(c, "site_key", "full").select("site_key", "visits",
+                                                day_text("transition_date").alias("transition_day"))
 
 
 @q("join_right_outer", """
@@ -212,7 +213,8 @@ SELECT rev_id, out_plate, ts_h,
   (SELECT max(h2.ts_h) FROM h h2 WHERE h2.out_plate = h.out_plate AND h2.ts_h < h.ts_h) AS prev_ts
 FROM h""", ["visits"])
 def asof_previous_correlated(spark, base):
-    h = D.visits(spark, base).select("rev_id", "out_plate", F.date_trunc("hour", "arrival").alias("ts_h"))
+    h = D.visits(spark, base).select("rev_id", "out_plate",
+                                     F.date_trunc("hour", "arrival").cast("timestamp_ntz").alias("ts_h"))
     return W.previous_strictly_earlier(h, "out_plate", "ts_h", "prev_ts").select("rev_id", "out_plate", "ts_h",
                                                                                 "prev_ts")
 

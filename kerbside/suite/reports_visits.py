@@ -185,7 +185,8 @@ def week_over_week(spark, base):
 
 
 @q("visit_calendar_extract", """
-SELECT f.visit_key, s.site_name, v.make, strftime(f.entry_date, '%Y-%m-%d') AS entry_day, c.transition_date
+SELECT f.visit_key, s.site_name, v.make, strftime(f.entry_date, '%Y-%m-%d') AS entry_day,
+  strftime(c.transition_date, '%Y-%m-%d') AS transition_day
 FROM fact_visit f LEFT JOIN dim_site s ON f.site_key = s.site_key LEFT JOIN dim_vehicle v ON f.vehicle_key = v.vehicle_key
 FULL JOIN cutover c ON f.site_key = c.site_key
 WHERE f.entry_date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'""",
@@ -197,7 +198,8 @@ def visit_calendar_extract(spark, base):
     s = J.star_join(f, [(D.dim_site(spark, base), "site_key", "site_key"),
                         (D.dim_vehicle(spark, base), "vehicle_key", "vehicle_key"),
                         (D.cutover(spark, base), "site_key", "site_key")])  # full join filtered on the fact = left
-    return s.select("visit_key", "site_name", "make", day_text("entry_date").alias("entry_day"), "transition_date")
+    return s.select("visit_key", "site_name", "make", day_text("entry_date").alias("entry_day"),
+                    day_text("transition_date").alias("transition_day"))
 
 
 @q("hourly_vehicle_counts", f"""

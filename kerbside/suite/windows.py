@@ -222,7 +222,8 @@ SELECT site, hour, entries,
 FROM h""", ["visits"])
 def running_sum_partition(spark, base):
     v = site_cols(D.visits(spark, base))
-    h = v.groupBy("site", F.date_trunc("hour", "arrival").alias("hour")).agg(F.count(F.lit(1)).alias("entries"))
+    h = v.groupBy("site", F.date_trunc("hour", "arrival").cast("timestamp_ntz").alias("hour")).agg(
+        F.count(F.lit(1)).alias("entries"))
     h = h.withColumn("day", F.to_date("hour"))
     return W.running_total(h, "hour", "entries", name="day_entries", keys=["site", "day"]).drop("day")
 
