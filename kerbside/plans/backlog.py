@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -63,3 +64,41 @@ def resolution_times(events: DataFrame, key: str, ts: str, status: str, author:
 def first_transitions(df: DataFrame, key: str, label: str, ts: str, tiebreak=None) -> DataFrame:
     """First time each item reached each label (an item can count once per label)."""
     return W.earliest_by_key(df, [key, label], ts, tiebreak=tiebreak)
+
+
+def daily_status_counts(events: DataFrame, key: str, day: str, status: str, author: str | None = None) -> DataFrame:
+    """Distinct items per (day, status), with the distinct authors of that day and status."""
+    aggs = [F.count_distinct(key).alias("items")]
+    if author:
+        aggs.append(F.collect_set(author).alias("authors"))
+    return events.groupBy(day, status).agg(*aggs)
+
+
+def distinct_backlog(events: DataFrame, key: str, day: str, status: str, opened: str, resolved: str,
+                     start, end, author: str | None = None, opening_from=None) -> DataFrame:
+    """Daily distinct items per status and the running unresolved balance.
+
+    * without ``opening_from``: the balance runs over the report days only
+      (days before ``start`` do not count -- the filter runs before the
+      running sum, as in the distinct-per-day report);
+    * with ``opening_from``: the balance at the last day before ``start``,
+      accumulated from ``opening_from`` on, is added (the opening-balance
+      report), computed as one aggregate over the history.
+    The running sum is over one row per day (small); the author lists of a
+    day's statuses are concatenated, so a name can repeat.
+    """
+    from kerbside.functions.timefn import parse_day
+    s, e = parse_day(start), parse_day(end)
+    d = daily_status_counts(events, key, day, status, author)
+    per_day = d.groupBy(day).agg(
+        F.sum(F.when(F.col(status) == opened, F.col("items")).otherwise(0)).alias("opened"),
+        F.sum(F.when(F.col(status) == resolved, F.col("items")).otherwise(0)).alias("resolved"),
+        *([F.flatten(F.collect_list("authors")).alias("authors")] if author else []))
+    in_range = per_day.where(F.col(day).between(F.lit(s), F.lit(e))).withColumn(
+        "net", F.col("opened") - F.col("resolved"))
+    opening = None
+    if opening_from is not None:
+        hist = per_day.where(F.col(day).between(F.lit(parse_day(opening_from)), F.lit(s - dt.timedelta(days=1))))
+        opening = hist.agg(F.coalesce(F.sum(F.col("opened") - F.col("resolved")), F.lit(0)).alias("opening"))
+    out = W.running_total(in_range, day, "net", name="backlog", opening=opening, bucket=F.trunc(day, "month"))
+    return out.drop("net")

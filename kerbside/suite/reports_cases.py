@@ -210,3 +210,43 @@ def correspondence_transitions(spark, base):
     f = PB.first_transitions(c, "uri", "label", "ts", tiebreak="event_id")
     return pivot_counts(f.select(day_text(F.to_date("ts")).alias("day"), "label"), ["day"], "label",
                         ["Linked", "Resolved", "Unresolved"])
+
+
+_DAILY_STATUS = """
+WITH s AS (SELECT case_uri, author, CAST(timezone('Pacific/Auckland', ts AT TIME ZONE 'UTC') AS DATE) AS d,
+                  coalesce(json_extract_string(data, '$.tags.correspondence'), json_extract_string(data, '$.value')) AS status
+           FROM case_events WHERE type IN ('StatusChanged', 'CorrespondenceAdded')),
+dc AS (SELECT d, status, count(DISTINCT case_uri) AS items, list(DISTINCT author) FILTER (WHERE author IS NOT NULL) AS authors
+       FROM s GROUP BY d, status),
+pd AS (SELECT d, sum(CASE WHEN status = 'Open' THEN items ELSE 0 END) AS opened,
+              sum(CASE WHEN status = 'Resolved' THEN items ELSE 0 END) AS resolved,
+              flatten(list(authors)) AS authors FROM dc GROUP BY d)"""
+
+
+def _status_days(spark, base):
+    e = D.case_events(spark, base).where(F.col("type").isin("StatusChanged", "CorrespondenceAdded"))
+    return e.select("case_uri", "author", local_date("ts", NZ).alias("d"),
+                    F.coalesce(json_text("data", "$.tags.correspondence"), json_text("data", "$.value")).alias("status"))
+
+
+@q("status_backlog_distinct", _DAILY_STATUS + """
+SELECT strftime(d, '%Y-%m-%d') AS day, opened, resolved,
+  sum(opened - resolved) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS backlog,
+  array_to_string(list_sort(authors), ',') AS authors
+FROM pd WHERE d BETWEEN DATE '2024-01-06' AND DATE '2024-01-25'""", ["case_events"])
+def status_backlog_distinct(spark, base):
+    b = PB.distinct_backlog(_status_days(spark, base), "case_uri", "d", "status", "Open", "Resolved",
+                            "20240106", "20240125", author="author")
+    return b.select(day_text("d").alias("day"), "opened", "resolved", "backlog",
+                    F.when(F.size("authors") > 0, F.array_join(F.sort_array("authors"), ",")).alias("authors"))
+
+
+@q("status_backlog_opening", _DAILY_STATUS + """,
+op AS (SELECT coalesce(sum(opened - resolved), 0) AS opening FROM pd WHERE d BETWEEN DATE '2024-01-02' AND DATE '2024-01-09')
+SELECT strftime(d, '%Y-%m-%d') AS day, opened, resolved,
+  sum(opened - resolved) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + (SELECT opening FROM op) AS backlog
+FROM pd WHERE d BETWEEN DATE '2024-01-10' AND DATE '2024-01-25'""", ["case_events"])
+def status_backlog_opening(spark, base):
+    b = PB.distinct_backlog(_status_days(spark, base), "case_uri", "d", "status", "Open", "Resolved",
+                            "20240110", "20240125", opening_from="20240102")
+    return b.select(day_text("d").alias("day"), "opened", "resolved", "backlog")
