@@ -147,6 +147,27 @@ def label_periods(df: DataFrame, day: str, periods: Mapping[str, tuple[dt.date,
     return (pre.select("*", F.explode(labels).alias(name)).where(F.col(name).isNotNull()))
 
 
+def period_report(fact: DataFrame, day: str, ts: str, periods: Mapping[str, tuple[dt.date, dt.date]],
+                  site: str, vehicle: str, tiebreak: str, rank_scope: str = "period") -> DataFrame:
+    """Visits, vehicles and repeat visits per (period, site) from one scan of the fact.
+
+    ``rank_scope='period'`` ranks a vehicle's visits inside each period's
+    base range (the label joins the window key); ``'history'`` ranks over
+    the whole fact first and then labels, so a visit is a repeat if the
+    vehicle came to the site before, in or out of the period.  Ranks use
+    the day-split window (skew-safe).
+    """
+    if rank_scope == "history":
+        ranked = W.rank_rows(fact, [site, vehicle], [ts, tiebreak], bucket=F.to_date(ts))
+        lab = label_periods(ranked, day, periods)
+    else:
+        lab = label_periods(fact, day, periods)
+        lab = W.rank_rows(lab, ["period", site, vehicle], [ts, tiebreak], bucket=F.to_date(ts))
+    return lab.groupBy("period", site).agg(F.count(F.lit(1)).alias("visits"),
+                                           F.count_distinct(vehicle).alias("vehicles"),
+                                           F.count_if(F.col("rn") > 1).alias("repeat_visits"))
+
+
 def month_periods(month: dt.date) -> dict[str, tuple[dt.date, dt.date]]:
     """Current month, previous month, same month last year."""
     first = month.replace(day=1)

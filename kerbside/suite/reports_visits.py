@@ -160,14 +160,26 @@ r AS (SELECT *, row_number() OVER (PARTITION BY period, site_key, vehicle_key OR
 SELECT period, site_key, count(*) AS visits, count(DISTINCT vehicle_key) AS vehicles, count_if(rn > 1) AS repeat_visits
 FROM r GROUP BY ALL""", ["fact_visit"])
 def period_compare(spark, base):
-    from kerbside.operators.windows import rank_rows
-    f = D.fact_visit(spark, base)
-    lab = PV.label_periods(f, "entry_date", _PERIODS)
-    r = rank_rows(lab, ["period", "site_key", "vehicle_key"], ["entry_time", "visit_key"],
-                  bucket=F.to_date("entry_time"))
-    return r.groupBy("period", "site_key").agg(F.count(F.lit(1)).alias("visits"),
-                                               F.count_distinct("vehicle_key").alias("vehicles"),
-                                               F.count_if(F.col("rn") > 1).alias("repeat_visits"))
+    return PV.period_report(D.fact_visit(spark, base), "entry_date", "entry_time", _PERIODS, "site_key",
+                            "vehicle_key", "visit_key", rank_scope="period")
+
+
+def _period_sql_from(src: str):
+    parts = []
+    for label, (s, e) in _PERIODS.items():
+        parts.append(f"SELECT '{label}' AS period, * FROM {src} WHERE entry_date BETWEEN DATE '{s}' AND DATE '{e}'")
+    return "\nUNION ALL\n".join(parts)
+
+
+@q("period_compare_history", f"""
+WITH h AS (SELECT *, row_number() OVER (PARTITION BY site_key, vehicle_key ORDER BY entry_time DESC, visit_key DESC) AS rn
+           FROM fact_visit),
+lab AS ({_period_sql_from('h')})
+SELECT period, site_key, count(*) AS visits, count(DISTINCT vehicle_key) AS vehicles, count_if(rn > 1) AS repeat_visits
+FROM lab GROUP BY ALL""", ["fact_visit"])
+def period_compare_history(spark, base):
+    return PV.period_report(D.fact_visit(spark, base), "entry_date", "entry_time", _PERIODS, "site_key",
+                            "vehicle_key", "visit_key", rank_scope="history")
 
 
 @q("week_over_week", f"""
