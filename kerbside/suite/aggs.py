@@ -113,30 +113,34 @@ def agg_safe_ratio(spark, base):
 
 
 @q("agg_array", """
-SELECT out_plate, array_to_string(list_sort(list(DISTINCT split_part(ors_id, '#', 3))), ',') AS sites,
-  array_to_string(list_sort(list(in_plate) FILTER (WHERE in_plate IS NOT NULL)), ',') AS in_plates,
+SELECT out_plate, strftime(CAST(arrival AS DATE), '%Y-%m-%d') AS day,
+  array_to_string(list_sort(list(DISTINCT split_part(ors_id, '#', 3))), ',') AS sites,
+  array_to_string(list_sort(list(DISTINCT in_plate) FILTER (WHERE in_plate IS NOT NULL)), ',') AS in_plates,
   array_to_string(list_sort(list(CASE WHEN action = 'deleted' THEN CAST(rev_id AS VARCHAR) END)
                             FILTER (WHERE action = 'deleted')), ',') AS deleted_revs
-FROM visits GROUP BY out_plate""", ["visits"])
+FROM visits GROUP BY ALL""", ["visits"])
 def agg_array(spark, base):
+    # arrays per plate and day: lists stay bounded by a day's visits, and the
+    # value lists are DISTINCT where the report wants the set
     v = D.visits(spark, base)
-    return v.groupBy("out_plate").agg(
+    return v.groupBy("out_plate", day_text(F.to_date("arrival")).alias("day")).agg(
         A.collect_sorted_text(key_part("ors_id", 2), distinct=True).alias("sites"),
-        A.collect_sorted_text("in_plate").alias("in_plates"),
+        A.collect_sorted_text("in_plate", distinct=True).alias("in_plates"),
         A.collect_sorted_text(F.when(F.col("action") == "deleted", F.col("rev_id").cast("string")))
         .alias("deleted_revs"))
 
 
 @q("agg_array_concat", """
 WITH s AS (SELECT CAST(timezone('Pacific/Auckland', ts AT TIME ZONE 'UTC') AS DATE) AS d,
-                  json_extract_string(data, '$.value') AS status, list(author) AS authors
+                  json_extract_string(data, '$.value') AS status,
+                  list(DISTINCT author) FILTER (WHERE author IS NOT NULL) AS authors
            FROM case_events WHERE type = 'StatusChanged' GROUP BY ALL)
 SELECT strftime(d, '%Y-%m-%d') AS day, array_to_string(list_sort(flatten(list(authors))), ',') AS authors
 FROM s GROUP BY d""", ["case_events"])
 def agg_array_concat(spark, base):
     e = D.case_events(spark, base).where(F.col("type") == "StatusChanged")
     s = e.groupBy(local_date("ts", NZ).alias("d"), json_text("data", "$.value").alias("status")).agg(
-        F.collect_list("author").alias("authors"))
+        F.collect_set("author").alias("authors"))  # one distinct list per status; names repeat across statuses
     return s.groupBy("d").agg(F.array_join(F.sort_array(F.flatten(F.collect_list("authors"))), ",").alias("authors")) \
             .select(day_text("d").alias("day"), "authors")
 
