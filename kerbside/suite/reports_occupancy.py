@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from kerbside.functions.timefn import bucket_floor, local_time, utc_time
 from kerbside.functions.values import key_part, with_timezone
-from kerbside.operators.grids import entity_grid
 from kerbside.plans import occupancy as PO
 from kerbside.plans.visits import latest_visits
 from kerbside.sources import derived as D
