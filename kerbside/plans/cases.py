@@ -63,15 +63,16 @@ def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reas
     c = cases.where(between_local_days("fact_ts", F.col("timezone"), start, end))
     heads = cases if case_heads is None else case_heads
     c = J.anti_null_aware(c, excluded_case_ids(heads, exclude_substates, exclude_reasons), "id")
-    b = J.explode_keep(c, "breaches", "b").select(
-        "id", "rev", "state", "substate", "sub_states", "timezone", "fact_ts", "groups",
-        F.col("b.ticket_id").alias("ticket_id"))
+    # narrow the row before ranking: the ranking aggregate carries only scalars
+    b = J.explode_keep(c.select("id", "rev", "state", "timezone", "fact_ts", site_group().alias("site_ref"),
+                                F.coalesce(F.col("substate"), F.col("sub_states")[0]).alias("upd"), "breaches"),
+                       "breaches", "b").select("id", "rev", "state", "timezone", "fact_ts", "site_ref", "upd",
+                                               F.col("b.ticket_id").alias("ticket_id"))
     cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak="rev")
-    upd = F.coalesce(F.col("substate"), F.col("sub_states")[0])
     return cur.select(
         "id", "rev", "state", F.lower("state").alias("state_lower"),
         F.date_trunc("second", local_time("fact_ts", F.col("timezone"))).cast("timestamp_ntz").alias("update_time"),
-        site_group().alias("site_ref"), "ticket_id", recode(upd, labels).alias("status"))
+        "site_ref", "ticket_id", recode("upd", labels).alias("status"))
 
 
 def case_financials(cases: DataFrame, start, end) -> DataFrame:
