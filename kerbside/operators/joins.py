@@ -131,20 +131,55 @@ def interval_join(events: DataFrame, intervals: DataFrame, keys: Sequence[str],
 
 
 def interval_join_either(left: DataFrame, right: DataFrame, keys: Sequence[str], a: str, d: str,
-                         start: str, end: str, how: str = "inner") -> DataFrame:
+                         start: str, end: str, how: str = "inner", bucket: str | None = "year") -> DataFrame:
     """Pairs where arrival ``a`` OR departure ``d`` lies in [start, end].
 
-    The four time columns may come from either side.  One equi-join on the
-    keys with the OR as a residual -- never a union of two joins, which
-    would count a visit inside the interval twice.
+    One join with the OR as a residual -- never a union of two joins, which
+    would count a visit inside the interval twice.  ``left`` holds the
+    intervals (``start``, ``end``) and ``right`` the events (``a``, ``d``);
+    ``how`` is ``inner`` or ``left`` (every interval kept).
+
+    With ``bucket`` the pairs are found without comparing every event of a
+    key with every interval of that key:
+
+    * the distinct (keys, start, end) intervals are clipped to their key's
+      event span and replicated onto the buckets they touch;
+    * each event is placed in the bucket of its arrival and, if different,
+      of its departure;
+    * a pair found in the departure bucket is kept only when the interval
+      does not also cover the arrival bucket (where it is found already), so
+      every pair is produced once;
+    * the interval rows are joined back to the pairs on (keys, start, end),
+      which restores duplicate intervals and, for ``left``, intervals
+      without events.
     """
     keys = list(keys)
-    r = right.select(*[F.col(k).alias("__k_" + k) for k in keys], *[c for c in right.columns if c not in keys])
     inside = (F.col(a).between(F.col(start), F.col(end))) | (F.col(d).between(F.col(start), F.col(end)))
-    cond = [left[k] == r["__k_" + k] for k in keys] + [inside]
-    return left.join(r, cond, how).drop(*["__k_" + k for k in keys])
-
+    if bucket is None:
+        r = right.select(*[F.col(k).alias("__k_" + k) for k in keys],
+                         *[c for c in right.columns if c not in keys])
+        cond = [left[k] == r["__k_" + k] for k in keys] + [inside]
+        return left.join(r, cond, how).drop(*["__k_" + k for k in keys])
 
-def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach every column of a one-row aggregate as an uncorrelated scalar sub-query."""
-    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
+    step = {"day": "1 day", "month": "1 month", "year": "1 year"}[bucket]
+    ev_cols = [c for c in right.columns if c not in keys]
+    span = right.groupBy(*keys).agg(F.min(a).alias("__lo"), F.max(F.coalesce(d, a)).alias("__hi"))
+    iv = (left.select(*keys, start, end).where(F.col(end).isNotNull()).distinct()
+              .join(span, keys, "inner")
+              .withColumn("__clo", F.greatest(F.col(start), F.col("__lo")))
+              .withColumn("__chi", F.least(F.col(end), F.col("__hi")))
+              .where(F.col("__clo") <= F.col("__chi")))
+    iv = iv.select(*keys, start, end, _time_bucket(F.col("__clo"), bucket).alias("__b0"),
+                   _time_bucket(F.col("__chi"), bucket).alias("__b1"),
+                   F.explode(F.sequence(_time_bucket(F.col("__clo"), bucket), _time_bucket(F.col("__chi"), bucket),
+                                        F.expr(f"INTERVAL {step}"))).alias("__bk"))
+    ba = _time_bucket(F.col(a), bucket)
+    ev = right.select(*keys, *ev_cols, ba.alias("__ba"),
+                      F.explode(F.array_distinct(F.array(ba, _time_bucket(F.coalesce(d, a), bucket)))).alias("__bk"))
+    pairs = ev.join(iv, keys + ["__bk"], "inner").where(inside)
+    once = (F.col("__bk") == F.col("__ba")) | ~F.col("__ba").between(F.col("__b0"), F.col("__b1"))
+    pairs = pairs.where(once).select(*[F.col(k).alias("__pk_" + k) for k in keys],
+                                     F.col(start).alias("__ps"), F.col(end).alias("__pe"), *ev_cols)
+    cond = [left[k] == pairs["__pk_" + k] for k in keys] + [left[start] == pairs["__ps"], left[end] == pairs["__pe"]]
+    out = left.join(pairs, cond, "left" if how == "left" else "inner")
+    return out.drop(*["__pk_" + k for k in keys], "__ps", "__pe")

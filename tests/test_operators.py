@@ -174,3 +174,27 @@ def test_split_lag_descending_with_nulls(spark):
     plain = W.with_previous(df, "k", "s", ["s"], tiebreak="id", descending=True)
     split = W.with_previous(df, "k", "s", ["s"], tiebreak="id", descending=True, bucket=F.floor(F.col("s") / 1000))
     assert rows_of(plain, ["id", "prev_s"]) == rows_of(split, ["id", "prev_s"])
+
+
+def test_interval_either_bucketed_equals_plain(spark):
+    rnd = random.Random(21)
+    ev = []
+    for i in range(900):
+        a = T0 + dt.timedelta(hours=rnd.randrange(24 * 900))
+        d = None if i % 11 == 0 else a + dt.timedelta(hours=rnd.randrange(24 * 40))
+        ev.append((i, "hot" if i % 3 == 0 else f"p{rnd.randrange(6)}", a, d))
+    evs = spark.createDataFrame(ev, "eid long, plate string, a timestamp_ntz, d timestamp_ntz")
+    iv = []
+    for i in range(150):
+        s = T0 + dt.timedelta(hours=rnd.randrange(24 * 900))
+        e = None if i % 13 == 0 else s + dt.timedelta(hours=rnd.randrange(24 * 120))
+        row = (i, "hot" if i % 2 == 0 else f"p{rnd.randrange(6)}", s, e)
+        iv.append(row)
+        if i % 17 == 0:
+            iv.append((1000 + i,) + row[1:])  # a duplicate interval under another id
+    ivs = spark.createDataFrame(iv, "iid long, plate string, s timestamp_ntz, e timestamp_ntz")
+    for how in ("inner", "left"):
+        plain = J.interval_join_either(ivs, evs, ["plate"], "a", "d", "s", "e", how=how, bucket=None)
+        for b in ("month", "year"):
+            split = J.interval_join_either(ivs, evs, ["plate"], "a", "d", "s", "e", how=how, bucket=b)
+            assert rows_of(plain, ["iid", "eid"]) == rows_of(split, ["iid", "eid"]), (how, b)
