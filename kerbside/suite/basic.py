@@ -60,14 +60,17 @@ def scan_org_union(spark, base):
 
 
 @q("param_query", """
-SELECT event_type, count(*) AS n, round(sum(value), 6) AS total FROM events
-WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00' AND user_id % 7 = 3
-GROUP BY event_type""")
+SELECT split_part(ors_id, '#', 3) AS site, count(*) AS n, count(departure) AS departed FROM visits
+WHERE arrival >= TIMESTAMP '2024-01-08 00:00:00' AND arrival < TIMESTAMP '2024-01-15 00:00:00'
+  AND split_part(ors_id, '#', 1) = 'org3'
+GROUP BY split_part(ors_id, '#', 3)""", ["visits"])
 def param_query(spark, base):
-    sql = ("SELECT event_type, count(*) AS n, round(sum(value), 6) AS total FROM {ev} "
-           "WHERE ts >= :start AND ts < :end AND user_id % 7 = :org GROUP BY event_type")
-    return spark.sql(sql, args={"start": dt.datetime(2024, 1, 8), "end": dt.datetime(2024, 1, 15), "org": 3},
-                     ev=scan(spark, base, "events"))
+    # a dashboard query: report window and organisation are bound parameters
+    sql = ("SELECT split_part(ors_id, '#', 3) AS site, count(*) AS n, count(departure) AS departed FROM {v} "
+           "WHERE arrival >= :start AND arrival < :end AND split_part(ors_id, '#', 1) = :org "
+           "GROUP BY split_part(ors_id, '#', 3)")
+    return spark.sql(sql, args={"start": dt.datetime(2024, 1, 8), "end": dt.datetime(2024, 1, 15), "org": "org3"},
+                     v=D.visits(spark, base))
 
 
 PERMIT_SCHEMA = T.StructType([

@@ -71,11 +71,12 @@ def join_star(spark, base):
 
 
 @q("join_full_outer", """
-WITH v AS (SELECT site_key, count(*) AS visits FROM fact_visit WHERE site_key % 3 <> 0 GROUP BY site_key)
+WITH v AS (SELECT site_key, count(*) AS visits FROM fact_visit WHERE vehicle_indicator = 'R' GROUP BY site_key)
 SELECT coalesce(v.site_key, c.site_key) AS site_key, v.visits, strftime(c.transition_date, '%Y-%m-%d') AS transition_day
 FROM v FULL JOIN cutover c ON v.site_key = c.site_key""", ["fact_visit", "cutover"])
 def join_full_outer(spark, base):
-    v = (D.fact_visit(spark, base).where(F.col("site_key") % 3 != 0)
+    # returning vehicles per site, full-joined to the cut-over dates (sites on either side only)
+    v = (D.fact_visit(spark, base).where(F.col("vehicle_indicator") == "R")
          .groupBy("site_key").agg(F.count(F.lit(1)).alias("visits")))
     c = D.cutover(spark, base)
     return v.join(c, "site_key", "full").select("site_key", "visits",
