@@ -248,22 +248,29 @@ def cases(spark: SparkSession, base: str, with_breaches: bool = True) -> DataFra
             "fees:array<struct<amount:double,source:string,type:string>>,"
             "transactions:array<struct<amount:double,description:string>>,line_status:string>>"))).drop("breaches")
     li = scan(spark, base, "lineitem")
-    breach = F.struct(
-        (F.expr("l_orderkey div 3") * 100 + F.col("l_linenumber")).alias("ticket_id"),
-        F.col("l_shipdate").alias("issuing_time"),
-        F.array(
-            F.struct((F.col("l_extendedprice") / 1000).alias("amount"),
-                     F.lit("base").alias("source"), F.lit("parking").alias("type")),
-            F.struct((F.col("l_tax") * 100).alias("amount"),
-                     F.lit("late").alias("source"), F.lit("late").alias("type")),
-        ).alias("fees"),
-        F.expr("CASE WHEN l_returnflag = 'N' THEN array() ELSE array(named_struct("
-               "'amount', l_extendedprice * (1 - l_discount) / 10, "
-               "'description', concat('pay', l_linenumber))) END")
-        .cast("array<struct<amount:double,description:string>>").alias("transactions"),
-        F.col("l_linestatus").alias("line_status"),
-    )
-    lines = li.groupBy("l_orderkey").agg(F.collect_list(breach).alias("breaches"))
+    # group flat line columns (cheap to buffer and shuffle), nest afterwards per row
+    flat = F.struct("l_linenumber", "l_shipdate", "l_extendedprice", "l_tax", "l_discount", "l_returnflag",
+                    "l_linestatus")
+    lines = li.groupBy("l_orderkey").agg(F.collect_list(flat).alias("__lines"))
+
+    def breach(x):
+        return F.struct(
+            (F.expr("l_orderkey div 3") * 100 + x["l_linenumber"]).alias("ticket_id"),
+            x["l_shipdate"].alias("issuing_time"),
+            F.array(
+                F.struct((x["l_extendedprice"] / 1000).alias("amount"),
+                         F.lit("base").alias("source"), F.lit("parking").alias("type")),
+                F.struct((x["l_tax"] * 100).alias("amount"), F.lit("late").alias("source"), F.lit("late").alias("type")),
+            ).alias("fees"),
+            F.when(x["l_returnflag"] == "N",
+                   F.array().cast("array<struct<amount:double,description:string>>"))
+            .otherwise(F.array(F.struct((x["l_extendedprice"] * (1 - x["l_discount"]) / 10).alias("amount"),
+                                        F.concat(F.lit("pay"), x["l_linenumber"].cast("string")).alias("description"))))
+            .alias("transactions"),
+            x["l_linestatus"].alias("line_status"),
+        )
+
+    lines = lines.select("l_orderkey", F.transform("__lines", breach).alias("breaches"))
     return _case_columns(o.join(lines, o.o_orderkey == lines.l_orderkey, "left"))
 
 
