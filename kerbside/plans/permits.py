@@ -99,7 +99,10 @@ def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, in
     v = visits.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep"))
     j = J.interval_join_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", how="left")
     joined = j.groupBy("plate", "site", "permit_month", "amount").agg(F.count("arr").alias("entry_count"))
-    pc = purchases.select(F.col("plate").alias("__p"), F.col("permit_month").alias("__m"), "purchase_count")
-    r = joined.join(pc, (joined.plate == pc["__p"]) & (joined.permit_month == pc["__m"]), "left")
-    return r.groupBy("plate", "permit_month", "site", "amount", "entry_count").agg(
-        F.count("purchase_count").alias("purchase_count"))
+    # the report re-joins every purchase of the plate and month to each row and counts the
+    # fan-out; that count is the number of purchase rows per (plate, month), so aggregate
+    # first and join one row per (plate, month) -- same numbers, no pairs
+    pc = purchases.groupBy("plate", "permit_month").agg(F.count(F.lit(1)).alias("purchase_count"))
+    r = joined.join(pc, ["plate", "permit_month"], "left")
+    return r.select("plate", "permit_month", "site", "amount", "entry_count",
+                    F.coalesce("purchase_count", F.lit(0)).alias("purchase_count"))
