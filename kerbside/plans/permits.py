@@ -72,14 +72,16 @@ def compliance(permits: DataFrame, payments: DataFrame, org: str, region: str, s
                                                    le.alias("end_local"), "amount", "duration")
 
 
-def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, int], tz: str, start, end) -> DataFrame:
+def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, int], tz: str, start, end,
+                 bucket: str | None = None) -> DataFrame:
     """Permit purchases by price tier, entries within each permit's validity, per month.
 
     * purchases: permits whose amount is a tier, validity end = local start
       + tier days, one per (plate, start) (lowest amount), counted per
       (site, plate, amount, month, start, end);
     * entries: visits of the same plate at the same site whose arrival OR
-      departure lies inside the validity (one join, OR residual);
+      departure lies inside the validity (one join, OR residual; ``bucket``
+      selects the bucketed form for plates hot on both sides);
     * purchase_count: purchases of the plate in the month, all sites (the
       rejoin on plate and month, as the report does).
     """
@@ -97,7 +99,8 @@ def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, in
                            "permit_start", "permit_end")
                   .agg(F.count(F.lit(1)).alias("purchase_count")))
     v = visits.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep"))
-    j = J.interval_join_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", how="left")
+    j = J.interval_join_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", how="left",
+                               bucket=bucket)
     joined = j.groupBy("plate", "site", "permit_month", "amount").agg(F.count("arr").alias("entry_count"))
     # the report re-joins every purchase of the plate and month to each row and counts the
     # fan-out; that count is the number of purchase rows per (plate, month), so aggregate

@@ -68,9 +68,14 @@ def register_tables(spark: SparkSession, base: str, names: Iterable[str] = DRIVE
         scan(spark, base, n).createOrReplaceTempView(n)
 
 
-def run_sql(spark: SparkSession, sql: str, **params) -> DataFrame:
-    """Parameterised query: ``:name`` markers bound from keyword arguments."""
-    return spark.sql(sql, args=params or None)
+def run_sql(spark: SparkSession, sql: str, frames: dict[str, DataFrame] | None = None, **params) -> DataFrame:
+    """Parameterised query: ``:name`` markers bound from keyword arguments.
+
+    ``frames`` names DataFrames referenced as ``{name}`` in the text; values
+    are bound as typed literals by Spark (no string splicing), so a report
+    date or organisation id cannot change the query's shape.
+    """
+    return spark.sql(sql, args=params or None, **(frames or {}))
 
 
 def literal_table(spark: SparkSession, rows, columns: list[str]) -> DataFrame:

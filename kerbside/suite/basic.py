@@ -13,7 +13,7 @@ from kerbside.functions.values import blank_to_null, key_part, recode, split_key
 from kerbside.operators import windows as W
 from kerbside.sources import derived as D
 from kerbside.sources import sinks
-from kerbside.sources.tables import literal_table, scan, scan_glob, union_orgs
+from kerbside.sources.tables import literal_table, run_sql, scan, scan_glob, union_orgs
 from kerbside.suite.common import day_text
 from kerbside.suite.oracle_inputs import with_inputs
 
@@ -69,8 +69,8 @@ def param_query(spark, base):
     sql = ("SELECT split_part(ors_id, '#', 3) AS site, count(*) AS n, count(departure) AS departed FROM {v} "
            "WHERE arrival >= :start AND arrival < :end AND split_part(ors_id, '#', 1) = :org "
            "GROUP BY split_part(ors_id, '#', 3)")
-    return spark.sql(sql, args={"start": dt.datetime(2024, 1, 8), "end": dt.datetime(2024, 1, 15), "org": "org3"},
-                     v=D.visits(spark, base))
+    return run_sql(spark, sql, {"v": D.visits(spark, base)},
+                   start=dt.datetime(2024, 1, 8), end=dt.datetime(2024, 1, 15), org="org3")
 
 
 PERMIT_SCHEMA = T.StructType([

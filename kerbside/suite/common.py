@@ -21,12 +21,6 @@ def site_cols(df, col: str = "ors_id"):
 
 
 def r6(col) -> Column:
+    """Six decimals for order-dependent double sums (both engines agree there)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.round(c, 6)
-
-
-DUCK_DAY = "strftime({}, '%Y-%m-%d')"
-
-
-def dday(expr: str) -> str:
-    return DUCK_DAY.format(expr)

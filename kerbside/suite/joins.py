@@ -204,7 +204,9 @@ def interval_join_either(spark, base):
     p = D.permits(spark, base).where(F.col("end_time").isNotNull()).select("permit_id", "plate", "site",
                                                                             "start_time", "end_time")
     v = D.permit_visits(spark, base).select("plate", "site", "arrival", "departure")
-    j = J.interval_join_either(p, v, ["plate", "site"], "arrival", "departure", "start_time", "end_time", how="left")
+    # the bucketed form: safe when one plate is hot on both sides
+    j = J.interval_join_either(p, v, ["plate", "site"], "arrival", "departure", "start_time", "end_time", how="left",
+                               bucket="year")
     return j.groupBy("permit_id").agg(F.count("arrival").alias("entries"))
 
 
