@@ -146,16 +146,20 @@ def rank_rows(df: DataFrame, keys, order, name: str = "rn", ascending: bool = Fa
     return out.select(*df.columns, (F.col("__in") + F.col("__off")).cast("int").alias(name))
 
 
-def latest_ties(df: DataFrame, keys, ts: str, inner: Column | None = None) -> DataFrame:
+def latest_ties(df: DataFrame, keys, ts: str, inner: Column | None = None,
+                source: DataFrame | None = None) -> DataFrame:
     """Rows whose (key, ts) equals the key's max ts in a filtered copy; ties kept.
 
     ``WHERE (k, ts) IN (SELECT k, MAX(ts) FROM t WHERE inner GROUP BY k)``:
     the outer rows are *not* filtered by ``inner``.  Computed as a grouped
     max (map-side combined) joined back on (keys, ts); the max side has one
     row per key, so AQE can broadcast it or split a hot key on the big side.
+    ``source`` is a cheaper relation with the same keys and ``ts`` to take
+    the max from (e.g. the documents without their nested arrays).
     """
     keys = _cols(keys)
-    src = df if inner is None else df.where(inner)
+    base = df if source is None else source
+    src = base if inner is None else base.where(inner)
     mx = src.groupBy(*keys).agg(F.max(ts).alias(ts)).where(F.col(ts).isNotNull())
     for k in keys:
         mx = mx.where(F.col(k).isNotNull())

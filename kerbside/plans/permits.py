@@ -24,19 +24,20 @@ def permits_and_payments(permits: DataFrame, payments: DataFrame) -> DataFrame:
       with the duration in minutes;
     * ``group_key`` = region || site (the reference's added column).
     """
-    ex = (permits.where(F.col("kind") == "exemption")
-          .select("start_time", F.coalesce("end_time", F.lit(OPEN_END).cast("timestamp_ntz")).alias("end_time"),
+    # exemptions and permits come from one scan of the permit table
+    is_ex = F.col("kind") == "exemption"
+    pm = (permits.where(F.col("kind").isin("exemption", "permit"))
+          .select("start_time",
+                  F.when(is_ex, F.coalesce("end_time", F.lit(OPEN_END).cast("timestamp_ntz")))
+                  .otherwise(F.col("end_time")).alias("end_time"),
                   "region", "site", "plate", "amount", "request_time",
-                  F.col("permit_id").cast("string").alias("permit_id"), F.lit("exemption").alias("record_type")))
-    pm = (permits.where(F.col("kind") == "permit")
-          .select("start_time", "end_time", "region", "site", "plate", "amount", "request_time",
-                  F.col("permit_id").cast("string").alias("permit_id"), F.lit("permit").alias("record_type")))
+                  F.col("permit_id").cast("string").alias("permit_id"), F.col("kind").alias("record_type")))
     pay = W.earliest_by_key(payments, ["plate", "start_time", "end_time"], "request_time",
                             tiebreak=["transaction_id", "segment"])
     pay = pay.select("start_time", "end_time", "region", "site", "plate", "amount", "request_time",
                      F.col("transaction_id").alias("transaction_id"), "source",
                      (F.col("duration_seconds") / 60).alias("duration"), F.lit("payment").alias("record_type"))
-    out = ex.unionByName(pm, allowMissingColumns=True).unionByName(pay, allowMissingColumns=True)
+    out = pm.unionByName(pay, allowMissingColumns=True)
     return out.withColumn("group_key", F.concat("region", "site"))
 
 

@@ -178,7 +178,8 @@ def semi_correlated_outer_pred(spark, base):
     rows = J.explode_keep(c, "breaches", "b").select("id", "rev", "case_ts", F.col("b.ticket_id").alias("ticket_id"))
     # the outer-row predicate inside the sub-query moves to the outer filter
     inner = F.col("case_ts") >= F.lit(dt.datetime(1996, 1, 1)).cast("timestamp_ntz")
-    latest = W.latest_ties(c.select("id", "rev", "case_ts"), "id", "rev", inner=inner).select("id", "rev").distinct()
+    heads = D.cases(spark, base, with_breaches=False).select("id", "rev", "case_ts")
+    latest = W.latest_ties(heads, "id", "rev", inner=inner).select("id", "rev").distinct()
     return (rows.where(F.col("ticket_id") >= 50000)
                 .join(latest, ["id", "rev"], "left_semi").select("id", "rev", "ticket_id"))
 

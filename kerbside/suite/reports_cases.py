@@ -83,7 +83,7 @@ m AS (SELECT strftime(case_ts, '%Y-%m') AS month, count(DISTINCT ticket_id) AS n
 SELECT *, lag(notices) OVER w AS prev_notices, lag(paid) OVER w AS prev_paid, lag(cancelled) OVER w AS prev_cancelled
 FROM m WINDOW w AS (ORDER BY month)""", ["case_lines"])
 def monthly_kpi(spark, base):
-    return PC.monthly_kpi(D.cases(spark, base))
+    return PC.monthly_kpi(D.cases(spark, base), heads=D.cases(spark, base, with_breaches=False))
 
 
 @q("foreign_notices", f"""
@@ -92,7 +92,7 @@ SELECT site_name, strftime(case_ts, '%Y-%m') AS month, count(*) AS notices,
   array_to_string(list_sort(list(DISTINCT vehicle_state)), ',') AS states
 FROM cur WHERE vehicle_state NOT IN ('DK') GROUP BY ALL""", ["case_lines"])
 def foreign_notices(spark, base):
-    return PC.foreign_notices(D.cases(spark, base), ["DK"])
+    return PC.foreign_notices(D.cases(spark, base), ["DK"], heads=D.cases(spark, base, with_breaches=False))
 
 
 @q("stay_case_overview", f"""

@@ -177,16 +177,18 @@ def sites_breach_summary(spark, base):
     c = D.cases(spark, base)
     site = F.filter("groups", lambda g: g["type"] == "site")[0]["group_ref"]
     c = c.withColumn("site_ref", site)
+    heads = D.cases(spark, base, with_breaches=False)
     rng = (F.col("case_ts") >= F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")) & \
           (F.col("case_ts") < F.lit(dt.datetime(1998, 2, 1)).cast("timestamp_ntz"))
-    # the date filter runs before the newest-revision test (as the report does)
-    cur = W.latest_ties(c.where(rng), "id", "rev")
+    # the date filter runs before the newest-revision test (as the report does); the
+    # max revision comes from the documents without their nested arrays
+    cur = W.latest_ties(c.where(rng), "id", "rev", source=heads.where(rng))
+    sites = heads.select(site.alias("site_ref")).distinct()
     b = J.explode_drop(cur, "breaches", "b").select("site_ref", F.to_date("b.issuing_time").alias("day"),
                                                     F.col("b.ticket_id").alias("ticket_id"))
     counts = b.groupBy("site_ref", "day").agg(F.count_distinct("ticket_id").alias("breaches"),
                                               collect_sorted_text(F.col("ticket_id").cast("string"), distinct=True)
                                               .alias("tickets"))
-    sites = c.select("site_ref").distinct()
     return counts.join(sites, "site_ref", "right").select(
         "site_ref", day_text("day").alias("day"), F.coalesce("breaches", F.lit(0)).alias("breaches"), "tickets")
 
