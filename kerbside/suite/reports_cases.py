@@ -190,8 +190,9 @@ def case_resolution_time(spark, base):
          .select("event_id", "case_uri", "ts", "author", json_text("data", "$.value").alias("status")))
     r = PB.resolution_times(e, "case_uri", "ts", "status", "author", tiebreak="event_id")
     c = D.cases(spark, base)
-    t = J.explode_keep(c.select("uri", "breaches"), "breaches", "b").groupBy("uri").agg(
-        F.min("b.ticket_id").alias("ticket_id"))
+    # first breach id per case: per-row array minimum, then a grouped min (no explode)
+    t = c.groupBy("uri").agg(
+        F.min(F.array_min(F.transform("breaches", lambda b: b["ticket_id"]))).alias("ticket_id"))
     j = r.join(t, r.case_uri == t.uri, "left")
     return j.select("event_id", "case_uri", "status", "next_status", "days_to_next", "hours_to_next", "first_resolver",
                     "ticket_id")
