@@ -53,7 +53,8 @@ def repeat_visitors(visits: DataFrame, keys, plate: str, ts: str, start, end,
     lo = dt.datetime.combine(s, dt.time()) - (lookback or dt.timedelta(0))
     hi = dt.datetime.combine(e + dt.timedelta(days=1), dt.time())
     v = visits.where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
-    v = W.with_previous(v, [plate] + keys, ts, [ts], prefix="prev_", tiebreak=tiebreak, bucket=F.to_date(ts))
+    # same key order and bucket as the rank below, so both windows partition alike
+    v = W.with_previous(v, keys + [plate], ts, [ts], prefix="prev_", tiebreak=tiebreak, bucket=F.to_date(ts))
     v = v.where(F.col(ts) >= F.lit(dt.datetime.combine(s, dt.time())).cast("timestamp_ntz"))
     v = W.rank_rows(v, keys + [plate], [ts] + ([tiebreak] if tiebreak else []), name="rn",
                     bucket=F.to_date(ts))
