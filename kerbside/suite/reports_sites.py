@@ -223,6 +223,14 @@ SELECT g.ors_id, strftime(g.day, '%Y-%m-%d') AS day, round(pm.match_rate, 6) AS
 FROM g LEFT JOIN pm ON g.ors_id = pm.ors_id AND g.day = pm.day LEFT JOIN rf ON g.ors_id = rf.ors_id AND g.day = rf.day
 LEFT JOIN vs ON g.ors_id = vs.ors_id AND g.day = vs.day""", ["visits", "process_metrics", "plate_events"])
 def site_metrics(spark, base):
+    """Per site and local day: match rate, footfall, raw footfall, visits and mean stay.
+
+    Pre-aggregates (one row per site and day each) are left-joined to a
+    generated site x day grid, missing measures count 0.  Notice counts,
+    revenue and debt are not included: the derived notice data uses other
+    site keys and dates than the derived visit data, so the join would be
+    empty (see the notice reports for those measures).
+    """
     from kerbside.functions.timefn import local_date, stay_minutes
     from kerbside.operators.grids import entity_grid
     sites = D.visits(spark, base).select("ors_id").distinct()

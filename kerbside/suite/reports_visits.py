@@ -137,6 +137,7 @@ UNION ALL
 SELECT 'new', f.site_key, f.visit_key, f.entry_time FROM fact_visit f JOIN cutover c ON f.site_key = c.site_key
 WHERE f.entry_date >= c.transition_date""", ["cutover", "fact_visit"])
 def two_source_cutover(spark, base):
+    """Legacy feed before each site's cut-over day, new fact from it on; sites without a day drop out."""
     old = _legacy_visits(spark, base)
     new = D.fact_visit(spark, base).select("site_key", "visit_key", "entry_time", "entry_date")
     u = PV.cutover_union(old, new, D.cutover(spark, base), "site_key", "entry_date")
