@@ -60,13 +60,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem).  Only when it is unset -- local tests -- do we pick a
-    scratch folder ourselves.
+    filesystem).  Only when it is unset in a local session -- tests -- do
+    we pick a scratch folder ourselves; a cluster session without the
+    setting is an error, since a machine-local folder would not survive the
+    loss of that machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         d = tempfile.mkdtemp(prefix="kerbside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
