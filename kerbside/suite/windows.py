@@ -121,6 +121,20 @@ def lag_global_gap(spark, base):
     return W.sequence_gaps(p, "device_id", "seq", descending=True)
 
 
+@q("lag_device_gap", """
+WITH p AS (
+  SELECT event_id, device_id,
+    CASE WHEN regexp_full_match(seq_hex, '[0-9A-Fa-f]+') THEN CAST('0x' || seq_hex AS BIGINT) END AS seq
+  FROM plate_events)
+SELECT event_id, device_id, seq,
+  seq - lag(seq) OVER (PARTITION BY device_id ORDER BY seq DESC NULLS LAST) AS gap
+FROM p""", ["plate_events"])
+def lag_device_gap(spark, base):
+    # the per-camera gap (the evident intent): the first read of each camera has none
+    p = D.plate_events(spark, base).select("event_id", "device_id", hex_to_long("seq_hex").alias("seq"))
+    return W.sequence_gaps(p, "device_id", "seq", descending=True, reset=True)
+
+
 _STATUS_SQL = """
 SELECT case_uri, event_id, ts, strftime(CAST(timezone('Pacific/Auckland', ts AT TIME ZONE 'UTC') AS DATE), '%Y-%m-%d') AS day,
   coalesce(json_extract_string(data, '$.tags.correspondence'), json_extract_string(data, '$.value')) AS status
