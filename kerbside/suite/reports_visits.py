@@ -238,6 +238,8 @@ def hourly_vehicle_counts(spark, base):
     )).alias("e")).where(F.col("e.t").isNotNull())
     ev = ev.select("ors_id", F.date_trunc("hour", local_time(F.col("e.t"), tz)).cast("timestamp_ntz").alias("hour"),
                    F.col("e.kind").alias("kind"), F.col("e.plate").alias("plate"))
-    return ev.groupBy("ors_id", "hour").agg(
-        F.count_distinct(F.when(F.col("kind") == "in", F.col("plate"))).alias("vehicles_in"),
-        F.count_distinct(F.when(F.col("kind") == "out", F.col("plate"))).alias("vehicles_out"))
+    # distinct (site, hour, direction, plate) once, then conditional counts: the same
+    # numbers as two COUNT(DISTINCT CASE ...) without expanding every row per distinct
+    ev = ev.where(F.col("plate").isNotNull()).distinct()
+    return ev.groupBy("ors_id", "hour").agg(F.count_if(F.col("kind") == "in").alias("vehicles_in"),
+                                            F.count_if(F.col("kind") == "out").alias("vehicles_out"))
