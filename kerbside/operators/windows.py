@@ -350,14 +350,21 @@ def rolling_values(df: DataFrame, keys, order, col: str, n: int, name: str = "hi
 
 
 def percentile_band(df: DataFrame, keys, col: str, lo: float = 0.05, hi: float = 0.95,
-                    names=("p_lo", "p_hi")) -> DataFrame:
+                    names=("p_lo", "p_hi"), window: bool = False) -> DataFrame:
     """Interpolated percentiles of ``col`` per partition beside each row.
 
     Exact ``percentile`` (PERCENTILE_CONT) computed as a grouped aggregate
     and joined back on the keys -- one row per key on the small side -- so
-    the rows are not sorted per key for a whole-partition window.
+    the rows are not sorted per key for a whole-partition window.  Over an
+    already aggregated input (one row per key and day), ``window=True``
+    computes it as a whole-partition window instead: the input is then read
+    once, and a partition holds at most one row per day.
     """
     keys = _cols(keys)
+    if window:
+        w = Window.partitionBy(*keys)
+        return df.select("*", F.percentile(col, lo).over(w).alias(names[0]),
+                         F.percentile(col, hi).over(w).alias(names[1]))
     band = df.groupBy(*keys).agg(F.percentile(col, lo).alias(names[0]),
                                  F.percentile(col, hi).alias(names[1]))
     return join_on(df, band, keys)

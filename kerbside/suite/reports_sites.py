@@ -106,7 +106,8 @@ FROM b"""
 def rate_anomaly(spark, base):
     d = daily_rate(spark, base).withColumn("r0", F.coalesce("rate", F.lit(0.0)))
     h = W.rolling_values(d, "site", ["d", "org", "region"], "r0", 30, name="prev")
-    b = W.percentile_band(h, "site", "rate", 0.05, 0.95, names=("lo", "hi"))
+    # daily rows per site are few: the band is a window over them (daily table read once)
+    b = W.percentile_band(h, "site", "rate", 0.05, 0.95, names=("lo", "hi"), window=True)
     txt = F.array_join(F.transform("prev", lambda x: x.cast("decimal(12,6)").cast("string")), ",")
     return b.select("org", "region", "site", day_text("d").alias("day"), r6("rate").alias("rate"), "footfall",
                     txt.alias("prev_rates"), r6("lo").alias("lower_band"), r6("hi").alias("upper_band"),
