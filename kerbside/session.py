@@ -46,14 +46,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+#: Settings that results depend on; everything else is the caller's choice.
+SEMANTIC = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+
+
 def apply_core_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (driver, cluster)."""
-    for k, v in CORE_CONF.items():
-        if k.startswith("spark.sql.") and not k.startswith("spark.sql.execution.arrow"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a running cluster session
-                pass
+    """Set what the queries' results depend on (UTC zone, ANSI); sizes, thresholds
+    and adaptive execution stay as the session has them."""
+    for k in SEMANTIC:
+        spark.conf.set(k, CORE_CONF[k])
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -82,13 +83,12 @@ def cluster_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256
 
     * scan splits of ``target_partition_bytes`` (fewer, larger tasks than
       the 128 MB default at 100 TB: ~400k instead of ~800k);
-    * initial shuffle partitions = input / target, at least 2 x cores and
-      capped at 200k -- AQE then coalesces small partitions to the advisory
-      size and splits skewed ones;
+    * initial shuffle partitions = input / target, at least 2 x cores -- AQE
+      then coalesces small partitions to the advisory size and splits skewed ones;
     * broadcast only under 10 MB (the default), so executor memory never
       holds a side that grows with the data.
     """
-    parts = max(2 * cores, min(200_000, input_bytes // target_partition_bytes + 1))
+    parts = max(2 * cores, input_bytes // target_partition_bytes + 1)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),

@@ -16,7 +16,7 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
-def _prepared(fn):
+def prepared(fn):
     """Apply the session settings the query relies on before building it."""
     @functools.wraps(fn)
     def run(spark: SparkSession, base: str):
@@ -26,13 +26,8 @@ def _prepared(fn):
 
 
 for _name in MODULES:
-    try:
-        _m = importlib.import_module(f"kerbside.suite.{_name}")
-    except ModuleNotFoundError as _e:  # a module not written yet
-        if _e.name != f"kerbside.suite.{_name}":
-            raise
-        continue
-    QUERIES.update({k: _prepared(f) for k, f in _m.QUERIES.items()})
+    _m = importlib.import_module(f"kerbside.suite.{_name}")
+    QUERIES.update({k: prepared(f) for k, f in _m.QUERIES.items()})
     ORACLE.update(_m.ORACLE)
 
 

@@ -4,11 +4,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kerbside.suite import registry
 from tools.check_oracle import TABLES, digest
 
 from .conftest import SF_SMALL
 
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.QUERIES)
 
 
 def test_entry_runs(spark):
@@ -19,7 +20,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(registry.ORACLE) == set(registry.QUERIES)
+    assert set(KEYS) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +48,7 @@ def test_no_row_caps_outside_topk():
     """Only the top-k report limits rows; every other query runs over whole tables."""
     import inspect
     import re
-    for key, fn in E.queries().items():
+    for key, fn in registry.QUERIES.items():
         src = inspect.getsource(getattr(fn, "__wrapped__", fn))
         sql = E.oracle_sql()[key]
         if key == "topk":
