@@ -4,12 +4,13 @@ The words of every training text are stored with their positions (one row
 per text, positions being places in the array): the index is partitioned by
 document, so building it moves nothing.  For the benchmark, every window of
 ten words is looked up from its rarest terms: corpus counts of the benchmark
-terms pick the two rarest words of each window, their posting lists
-(document, position) are read from the store, shifted by the word's offset
-in the window and intersected on (window, document, start).  What is left is
-compared word by word with the context its posting carries: exact phrases.
-Two lists that agree up to a few words give proximity matches.  DataFrame
-functions only.
+terms pick the two rarest words of each window; the postings of the rarest
+(document, position) are joined to the windows and shifted by the word's
+offset.  All lists of a document lie in its row, so the intersection with
+the second-rarest word, then with the rest, happens there without moving
+postings.  A window that is met in full is an exact phrase; one whose two
+rarest words stand within a few words of their places is a proximity match.
+DataFrame functions only.
 
 The benchmark is the fixed, small side: its terms and windows are broadcast
 only after counting them (``MAX_TERMS``, ``MAX_WINDOWS``); beyond that the
@@ -84,30 +85,20 @@ def matches(store: DataFrame, wins: DataFrame, slop: int = SLOP) -> DataFrame:
         .select("w", "win", F.col("p")[0]["term"].alias("t1"), F.col("p")[0]["o"].alias("o1"),
                 F.get("p", F.lit(1))["term"].alias("t2"), F.get("p", F.lit(1))["o"].alias("o2"))
     plan = written(plan, "window-plan")
-    anchors = plan.select(F.explode(F.array("t1", "t2")).alias("term")).where("term IS NOT NULL").distinct()
-    # context: the words up to WINDOW - 1 before and after the posting
-    at = F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0))
-    posts = written(
-        store.select("key", "words", F.posexplode("words").alias("pos", "term"))
-        .join(_maybe_broadcast(anchors, 2 * n_win, MAX_TERMS), "term")
-        .select("key", "term", "pos", F.slice("words", at + 1, F.lit(2 * WINDOW - 1)).alias("ctx")), "postings")
-    plan = _maybe_broadcast(plan, n_win, MAX_WINDOWS)
-    start1 = F.col("pos") - F.col("o1")
-    first = posts.join(plan, posts["term"] == F.col("t1")).where(start1 >= 0) \
-        .select("key", "w", "win", start1.alias("start"), F.col("t2").isNull().alias("alone"),
-                (F.slice("ctx", start1 - at + 1, F.size("win")) == F.col("win")).alias("same"))
-    second = posts.join(plan, posts["term"] == F.col("t2")) \
-        .select("key", "w", (F.col("pos") - F.col("o2")).alias("start"))
-    phrase = first.join(second.distinct(), ["key", "w", "start"], "left_semi").where("same") \
-        .unionByName(first.where("alone AND same")).select("key", "win", "start", F.lit("phrase").alias("kind"))
-    # neighbours: equal windows of slop + 1 words, and the next ones on both sides
-    wide = slop + 1
-    b1 = first.where("NOT alone AND NOT same").withColumn("cell", F.floor(F.col("start") / wide)) \
-        .select("key", "w", "win", "start", F.explode(F.array(F.col("cell") - 1, "cell", F.col("cell") + 1)).alias("cell"))
-    b2 = second.select("key", "w", F.col("start").alias("start2"), F.floor(F.col("start") / wide).alias("cell")).distinct()
-    near = b1.join(b2, ["key", "w", "cell"]).where(F.abs(F.col("start") - F.col("start2")) <= slop) \
-        .select("key", "win", "start", F.lit("proximity").alias("kind")).distinct()
-    return phrase.distinct().unionByName(near)
+    # Postings of the rarest words, shifted to window starts.  A document's lists are all in
+    # its own row, so they are intersected there: the second-rarest word at its place (or
+    # near it), then the whole window.
+    start = F.col("pos") - F.col("o1")
+    place2 = start + F.col("o2")
+    low = F.greatest(place2 - slop, F.lit(0))
+    phrase = (F.col("t2").isNull() | (F.get("words", place2) == F.col("t2"))) \
+        & (F.slice("words", start + 1, F.size("win")) == F.col("win"))
+    near = F.array_contains(F.slice("words", low + 1, place2 + slop - low + 1), F.col("t2"))
+    return store.select("key", "words", F.posexplode("words").alias("pos", "term")) \
+        .join(_maybe_broadcast(plan, n_win, MAX_WINDOWS), F.col("term") == F.col("t1")) \
+        .where(start >= 0) \
+        .select("key", "win", start.alias("start"), F.when(phrase, "phrase").when(near, "proximity").alias("kind")) \
+        .where("kind IS NOT NULL").distinct()
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text",
