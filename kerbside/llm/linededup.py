@@ -59,7 +59,8 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, band: float = BAND,
     lines = line_table(docs, doc_id, text, site)
     sketch = lines.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(LG_K)).alias("s"))
     est = sketch.select("h", F.hll_sketch_estimate("s").alias("est")).where(F.col("est") >= min_sites * (1 - band))
-    found = written(lines.join(est, "h"), "line-candidates")
+    # written first: the join then has plain exchanges below it, which can be split for a hot line
+    found = written(lines.join(written(est, "line-spread"), "h"), "line-candidates")
     near = F.col("est") <= min_sites * (1 + band)
     exact = found.where(near).groupBy("h").agg(F.countDistinct("site").alias("n_sites")) \
         .where(F.col("n_sites") >= min_sites)
