@@ -298,6 +298,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     d = written(d, "near-members")
     # copies are a map-side combined count, also a class that a third of the rows is in
     per = d.groupBy("class_node").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    per = written(per, "near-classes")  # a plain side: the join can then be split for a hot class
     return d.join(per, "class_node").select("doc_id", "class_id", "class_size", "node", "class_node")
 
 
