@@ -15,7 +15,7 @@ import re
 import numpy as np
 
 #: Words kept by one worker; then the cache starts anew (results don't depend on it).
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 500_000
 VOCABULARY = 49_408
 
 _ODD_SPACE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0  -⁯　﻿]")
