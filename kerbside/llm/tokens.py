@@ -14,8 +14,11 @@ import re
 
 import numpy as np
 
-#: Words kept by one worker; then the cache starts anew (results don't depend on it).
-CACHE_WORDS = 500_000
+#: Words, and word parts, kept by one worker (some 150 MB each at most); then that
+#: cache starts anew.  Results don't depend on it.
+CACHE_WORDS = 1_000_000
+#: Bits of the filter of words met once: only a word met again enters the cache.
+MET_BITS = 1 << 24
 VOCABULARY = 49_408
 
 _ODD_SPACE = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0  -⁯　﻿]")
@@ -33,41 +36,52 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.model = self.tok.model
         self.bytes = _byte_letters()
+        self.part: dict[str, bytes] = {}
         self._clear()
 
     def _clear(self) -> None:
         self.word: dict[str, int] = {}
-        self.part: dict[str, list[int]] = {}
+        self.met = np.zeros(MET_BITS, bool)
         self.flat = np.zeros(1 << 16, np.uint16)
         self.at = np.zeros(1 << 14, np.int64)
         self.len = np.zeros(1 << 14, np.int64)
         self.used = 0
 
-    def _word_ids(self, w: str) -> list[int]:
+    def _word_ids(self, w: str) -> bytes:
+        """The ids of one word as 16-bit integers."""
         if not _PLAIN.fullmatch(w) or "<|" in w:
-            return self.tok.encode(w, add_special_tokens=False).ids
-        ids: list[int] = []
+            return np.array(self.tok.encode(w, add_special_tokens=False).ids, np.uint16).tobytes()
+        ids = b""
         for p in _PARTS.findall(w.lower()):
             got = self.part.get(p)
             if got is None:
                 letters = p.encode().decode("latin-1").translate(self.bytes)
-                got = self.part[p] = [t.id for t in self.model.tokenize(letters)]
+                got = self.part[p] = np.array([t.id for t in self.model.tokenize(letters)], np.uint16).tobytes()
             ids += got
         return ids
 
-    def _learn(self, w: str) -> int:
+    def _room(self, n: int) -> None:
+        while self.used + n > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint16)])
+
+    def _find(self, w: str, once: list[bytes]) -> int:
+        """Number of a word that wasn't cached: a new cache entry, or -j for the
+        j-th of ``once`` if it is met for the first time."""
         k = self.word.get(w)
         if k is not None:
             return k
-        ids = self._word_ids(w)
-        k = len(self.word)
+        ids, bit = self._word_ids(w), hash(w) % MET_BITS
+        if not self.met[bit]:
+            self.met[bit] = True
+            once.append(ids)
+            return -len(once)
+        k, n = len(self.word), len(ids) // 2
         if k >= len(self.at):
             self.at, self.len = (np.concatenate([x, np.zeros(len(x), np.int64)]) for x in (self.at, self.len))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint16)])
-        self.flat[self.used: self.used + len(ids)] = ids
-        self.at[k], self.len[k] = self.used, len(ids)
-        self.used += len(ids)
+        self._room(n)
+        self.flat[self.used: self.used + n] = np.frombuffer(ids, np.uint16)
+        self.at[k], self.len[k] = self.used, n
+        self.used += n
         self.word[w] = k
         return k
 
@@ -76,6 +90,8 @@ class Encoder:
         tokens, and the n + 1 borders between the texts."""
         if len(self.word) > CACHE_WORDS:
             self._clear()
+        if len(self.part) > CACHE_WORDS:
+            self.part = {}
         words: list[str] = []
         n_words, odd = np.zeros(len(texts), np.int64), {}
         for i, text in enumerate(texts):
@@ -87,14 +103,20 @@ class Encoder:
             w = text.split()
             n_words[i] = len(w)
             words += w
-        got = list(map(self.word.get, words))
+        got, once = list(map(self.word.get, words)), []
         if None in got:
-            got = [self._learn(w) if k is None else k for k, w in zip(got, words)]
+            got = [self._find(w, once) if k is None else k for k, w in zip(got, words)]
         k = np.array(got, np.int64)
-        n = self.len[k]
+        n, at = self.len[k], self.at[k]
+        if once:  # their ids lie for now behind those of the cache
+            size = np.array([len(b) // 2 for b in once], np.int64)
+            self._room(int(size.sum()))
+            self.flat[self.used: self.used + int(size.sum())] = np.frombuffer(b"".join(once), np.uint16)
+            new = k < 0
+            n[new], at[new] = size[-k[new] - 1], (self.used + np.cumsum(size) - size)[-k[new] - 1]
         end = np.zeros(len(k) + 1, np.int64)
         np.cumsum(n, out=end[1:])
-        ids = self.flat[np.repeat(self.at[k] - end[:-1], n) + np.arange(end[-1])]
+        ids = self.flat[np.repeat(at - end[:-1], n) + np.arange(end[-1])]
         off = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(n_words, out=off[1:])
         off = end[off]
