@@ -33,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import SPACE, small_batches, text_slices
+from kerbside.llm.common import SPACE, small_batches, text_slices, written
 
 #: Tokens of a repeated run at least; bytes of html of one chunk of a host.
-RUN, CHUNK_BYTES = 20, 4 << 20
+RUN, CHUNK_BYTES = 20, 1 << 20
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -237,9 +237,13 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     p = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"),
                      F.col(html).cast("string").alias("html")).withColumn("host", host)
-    size = p.groupBy("host").agg(F.sum(F.octet_length("html")).alias("b")) \
-        .select("host", (F.floor(F.coalesce("b", F.lit(0)) / chunk_bytes) + 1).alias("chunks"))
-    p = p.join(size, "host").withColumn("chunk", F.pmod(F.xxhash64("page_id", "url", "html"), "chunks").cast("int"))
+    # only hosts of several chunks, at most one row per chunk_bytes of input; stored, so that
+    # the planner knows the table's size when it chooses the join
+    size = p.groupBy("host").agg(F.sum(F.octet_length("html")).alias("b")).where(F.col("b") >= chunk_bytes) \
+        .select("host", (F.floor(F.col("b") / chunk_bytes) + 1).alias("chunks"))
+    chunks = F.coalesce("chunks", F.lit(1))
+    p = p.join(written(size, "large-hosts"), "host", "left") \
+        .withColumn("chunk", F.pmod(F.xxhash64("page_id", "url", "html"), chunks).cast("int"))
     kind = pages.schema[page_id].dataType.simpleString()
     parsed = p.select("page_id", "url", "host", "chunk", "html").mapInArrow(
         _parse, f"page_id {kind}, url string, host string, chunk int, blocks array<string>, zones array<int>")

@@ -107,7 +107,7 @@ class Encoder:
         if None in got:
             got = [self._find(w, once) if k is None else k for k, w in zip(got, words)]
         k = np.array(got, np.int64)
-        n, at = self.len[k], self.at[k]
+        n, at = self.len[np.maximum(k, 0)], self.at[np.maximum(k, 0)]
         if once:  # their ids lie for now behind those of the cache
             size = np.array([len(b) // 2 for b in once], np.int64)
             self._room(int(size.sum()))
