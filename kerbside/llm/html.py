@@ -156,11 +156,11 @@ def boilerplate_tokens(tokens: np.ndarray, page: np.ndarray, main: np.ndarray, r
     if n < run:
         return np.zeros(n, bool)
     order, rank = suffix_order(tokens, run)
-    whole = np.zeros(n, bool)
-    whole[: n - run + 1] = page[: n - run + 1] == page[run - 1:]
-    outside = np.concatenate([[0], np.cumsum(~main)])
-    some_out = np.zeros(n, bool)
-    some_out[: n - run + 1] = outside[run:] > outside[: n - run + 1]
+    # a run lies in one page, and wholly inside or wholly outside its main text
+    part = np.cumsum((np.diff(page, prepend=page[0]) != 0) | (np.diff(main.astype(np.int8), prepend=main[0]) != 0))
+    whole, some_out = np.zeros(n, bool), np.zeros(n, bool)
+    whole[: n - run + 1] = part[: n - run + 1] == part[run - 1:]
+    some_out[: n - run + 1] = ~main[: n - run + 1]
     at = order[whole[order]]
     if not len(at):
         return np.zeros(n, bool)
