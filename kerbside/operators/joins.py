@@ -167,7 +167,7 @@ def interval_join_either(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     step = {"day": "1 day", "month": "1 month", "year": "1 year"}[bucket]
     ev_cols = [c for c in right.columns if c not in keys]
-    span = right.groupBy(*keys).agg(F.min(a).alias("__lo"), F.max(F.coalesce(d, a)).alias("__hi"))
+    span = right.groupBy(*keys).agg(F.min(F.least(a, d)).alias("__lo"), F.max(F.greatest(a, d)).alias("__hi"))
     iv = (left.select(*keys, start, end).where(F.col(end).isNotNull()).distinct()
               .join(span, keys, "inner")
               .withColumn("__clo", F.greatest(F.col(start), F.col("__lo")))
@@ -181,7 +181,8 @@ def interval_join_either(left: DataFrame, right: DataFrame, keys: Sequence[str],
     ev = right.select(*keys, *ev_cols, ba.alias("__ba"),
                       F.explode(F.array_distinct(F.array(ba, _time_bucket(F.coalesce(d, a), bucket)))).alias("__bk"))
     pairs = ev.join(iv, keys + ["__bk"], "inner").where(inside)
-    once = (F.col("__bk") == F.col("__ba")) | ~F.col("__ba").between(F.col("__b0"), F.col("__b1"))
+    # an event without arrival stands in its departure bucket alone
+    once = F.col("__ba").isNull() | (F.col("__bk") == F.col("__ba")) | ~F.col("__ba").between(F.col("__b0"), F.col("__b1"))
     pairs = pairs.where(once).select(*[F.col(k).alias("__pk_" + k) for k in keys],
                                      F.col(start).alias("__ps"), F.col(end).alias("__pe"), *ev_cols)
     cond = [left[k] == pairs["__pk_" + k] for k in keys] + [left[start] == pairs["__ps"], left[end] == pairs["__pe"]]

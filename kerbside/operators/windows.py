@@ -143,7 +143,7 @@ def rank_rows(df: DataFrame, keys, order, name: str = "rn", ascending: bool = Fa
           .rowsBetween(Window.unboundedPreceding, -1))
     offs = cnt.select(*kc, "__b", F.coalesce(F.sum("__n").over(wk), F.lit(0)).alias("__off"))
     out = inner.join(offs, kc + ["__b"], "left")
-    return out.select(*df.columns, (F.col("__in") + F.col("__off")).cast("int").alias(name))
+    return out.select(*df.columns, (F.col("__in") + F.col("__off")).cast("bigint").alias(name))
 
 
 def latest_ties(df: DataFrame, keys, ts: str, inner: Column | None = None,
@@ -265,7 +265,8 @@ def period_lag(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str
 
 
 def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
-                  reset: bool = False, name: str = "gap", seq_bucket: int | None = 1_000_000) -> DataFrame:
+                  reset: bool = False, name: str = "gap", seq_bucket: int | None = 1_000_000,
+                  device_descending: bool = False) -> DataFrame:
     """Difference of ``seq`` from the previous row ordered by (device, seq).
 
     ``reset=False`` reproduces one global window over the whole table: the
@@ -273,8 +274,9 @@ def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
     device.  Exact without a single-partition sort: lag per device, then
     each device's boundary value comes from a per-device aggregate (one row
     per device) lagged over devices.  ``reset=True`` gives the per-device
-    gap (first row NULL).  With ``descending`` the order is
-    ``device DESC, seq DESC`` (so a normal step is -1).  The per-device lag
+    gap (first row NULL).  The two directions are separate: by default
+    devices ascend and, with ``descending``, numbers descend inside each (so a
+    normal step is -1).  The per-device lag
     is split into ``seq_bucket``-wide sequence ranges, so one busy camera
     does not become one task.
     """
@@ -288,7 +290,7 @@ def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
     last = F.min(seq) if descending else F.max(seq)
     edge = lagged.groupBy(device).agg(F.when(F.count(seq) == F.count(F.lit(1)), last).alias("__last"))
     # one row per device: a single small window over the device list
-    wd = Window.orderBy(F.col(device).desc() if descending else F.col(device).asc())
+    wd = Window.orderBy(F.col(device).desc() if device_descending else F.col(device).asc())
     carry = edge.select(device, F.lag("__last").over(wd).alias("__carry"))
     j = join_on(lagged, carry, [device])
     prev = F.coalesce(F.col("__prev"), F.col("__carry"))

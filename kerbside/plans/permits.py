@@ -99,7 +99,8 @@ def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, in
     purchases = (p.groupBy("site", "plate", "amount", F.date_format("permit_start", "yyyy-MM").alias("permit_month"),
                            "permit_start", "permit_end")
                   .agg(F.count(F.lit(1)).alias("purchase_count")))
-    v = visits.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep"))
+    # a visit reported several times counts once
+    v = visits.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep")).distinct()
     j = J.interval_join_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", how="left",
                                bucket=bucket)
     joined = j.groupBy("plate", "site", "permit_month", "amount").agg(F.count("arr").alias("entry_count"))

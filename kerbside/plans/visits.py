@@ -68,8 +68,8 @@ def repeat_visitors(visits: DataFrame, keys, plate: str, ts: str, start, end,
              .withColumn("repeat_status", F.when(F.col("entry_count") > 1, "repeated").otherwise("not")))
 
 
-def vehicle_profile(visits: DataFrame, attrs: Mapping[str, tuple[str, str]], keys=("out_plate",)) -> DataFrame:
-    """Newest visit per vehicle; each attribute = in-value, else out-value, blanks as NULL.
+def vehicle_profile(visits: DataFrame, attrs: Mapping[str, tuple[str, str]], keys=("ors_id", "in_plate", "out_plate")) -> DataFrame:
+    """Newest visit per (site, plate in, plate out); each attribute = in-value, else out-value, blanks as NULL.
 
     Ranking happens before the blank filter: a vehicle whose newest visit
     has a blank attribute is dropped, as in the reference.

@@ -33,13 +33,10 @@ def q(name, sql=None, inputs=()):
 # ------------------------------------------------------------------ §2.1
 
 @q("scan_table", """
-SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders
-WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00' AND o_orderstatus = 'O'""")
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders""")
 def scan_table(spark, base):
     o = scan(spark, base, "orders")
-    return (o.where((F.col("o_orderdate") >= F.lit(dt.datetime(1999, 1, 1)).cast("timestamp_ntz"))
-                    & (F.col("o_orderstatus") == "O"))
-             .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    return o.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
 
 
 @q("scan_wildcard", """

@@ -36,7 +36,7 @@ def fn_string(spark, base):
     site = V.key_part("ors_id", 2)
     return v.select(
         "rev_id", site.alias("site"), F.concat("out_plate", F.lit("@"), site).alias("plate_at"),
-        F.substring("out_plate", 2, 1 << 20).alias("plate_no"), F.lower("ors_id").alias("ors_lower"),
+        F.expr("substring(out_plate, 2)").alias("plate_no"), F.lower("ors_id").alias("ors_lower"),
         F.upper("out_make").alias("make_upper"), F.trim("in_make").alias("in_make"),
         F.replace("ors_id", F.lit("#"), F.lit("/")).alias("ors_path"),
         F.regexp_replace("ors_id", "[0-9]+", "N").alias("ors_shape"),

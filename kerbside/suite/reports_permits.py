@@ -69,20 +69,23 @@ _UK = "Europe/London"
 
 
 @q("permit_entry_counts", f"""
-WITH p0 AS (SELECT site, plate, amount, timezone('{_UK}', start_time AT TIME ZONE 'UTC') AS permit_start FROM permits
-            WHERE amount IN (12.5, 40.0, 100.0) AND CAST(start_time AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'),
-p1 AS (SELECT *, permit_start + to_days(CASE amount WHEN 12.5 THEN 7 WHEN 40.0 THEN 30 WHEN 100.0 THEN 90 END) AS permit_end
-       FROM p0 QUALIFY row_number() OVER (PARTITION BY plate, permit_start ORDER BY amount, site) = 1),
-purchases AS (SELECT site, plate, amount, strftime(permit_start, '%Y-%m') AS permit_month, permit_start, permit_end,
-                     count(*) AS purchase_count FROM p1 GROUP BY ALL),
-v AS (SELECT site, plate, timezone('{_UK}', arrival AT TIME ZONE 'UTC') AS arr,
-             timezone('{_UK}', departure AT TIME ZONE 'UTC') AS dep FROM permit_visits),
-joined AS (SELECT p.plate, p.site, p.permit_month, p.amount, count(v.arr) AS entry_count
-           FROM purchases p LEFT JOIN v ON p.site = v.site AND p.plate = v.plate
-             AND (v.arr BETWEEN p.permit_start AND p.permit_end OR v.dep BETWEEN p.permit_start AND p.permit_end)
-           GROUP BY ALL)
-SELECT j.plate, j.permit_month, j.site, j.amount, j.entry_count, count(pc.purchase_count) AS purchase_count
-FROM joined j LEFT JOIN purchases pc ON j.plate = pc.plate AND j.permit_month = pc.permit_month GROUP BY ALL""",
-   ["permits", "permit_visits"])
+WITH bought AS (
+  SELECT plate, timezone('{_UK}', start_time AT TIME ZONE 'UTC') AS valid_from, min({{'a': amount, 's': site}}) AS cheapest
+  FROM permits
+  WHERE amount IN (12.5, 40.0, 100.0) AND CAST(start_time AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'
+  GROUP BY plate, valid_from),
+spans AS (
+  SELECT plate, cheapest.s AS site, cheapest.a AS amount, valid_from,
+         valid_from + to_days(CASE cheapest.a WHEN 12.5 THEN 7 WHEN 40.0 THEN 30 ELSE 90 END) AS valid_to FROM bought),
+stays AS (
+  SELECT DISTINCT site, plate, timezone('{_UK}', arrival AT TIME ZONE 'UTC') AS came,
+         timezone('{_UK}', departure AT TIME ZONE 'UTC') AS went FROM permit_visits),
+used AS (
+  SELECT s.*, (SELECT count(t.came) FROM stays t WHERE t.site = s.site AND t.plate = s.plate
+               AND (t.came BETWEEN s.valid_from AND s.valid_to OR t.went BETWEEN s.valid_from AND s.valid_to)) AS entries,
+         count(*) OVER (PARTITION BY plate, strftime(valid_from, '%Y-%m')) AS of_month FROM spans s)
+SELECT plate, strftime(valid_from, '%Y-%m') AS permit_month, site, amount, CAST(sum(entries) AS BIGINT) AS entry_count,
+       max(of_month) AS purchase_count
+FROM used GROUP BY ALL""", ["permits", "permit_visits"])
 def permit_entry_counts(spark, base):
     return PP.permit_usage(D.permits(spark, base), D.permit_visits(spark, base), TIERS, _UK, "19960101", "19971231")

@@ -134,7 +134,7 @@ def delivery_delay(spark, base):
 @q("camera_gaps", """
 WITH p AS (SELECT device_id, CASE WHEN regexp_full_match(seq_hex, '[0-9A-Fa-f]+') THEN CAST('0x' || seq_hex AS BIGINT) END AS seq
            FROM plate_events),
-g AS (SELECT device_id, seq - lag(seq) OVER (ORDER BY device_id DESC, seq DESC NULLS LAST) AS gap FROM p),
+g AS (SELECT device_id, seq - lag(seq) OVER (ORDER BY device_id ASC NULLS FIRST, seq DESC NULLS LAST) AS gap FROM p),
 c AS (SELECT device_id, count(*) AS images, sum(CASE WHEN gap < -1 THEN -gap - 1 ELSE 0 END) AS missing_images
       FROM g GROUP BY device_id),
 s AS (SELECT device_id, ors_id FROM plate_events QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY ts DESC, event_id DESC) = 1)

@@ -82,8 +82,8 @@ def repeat_visitor(spark, base):
 
 
 @q("vehicle_profile", """
-WITH l AS (SELECT * FROM visits QUALIFY row_number() OVER (PARTITION BY out_plate ORDER BY updated DESC, rev_id DESC) = 1),
-p AS (SELECT out_plate, updated, coalesce(nullif(trim(in_make), ''), nullif(trim(out_make), '')) AS make,
+WITH l AS (SELECT * FROM visits QUALIFY row_number() OVER (PARTITION BY ors_id, in_plate, out_plate ORDER BY updated DESC, rev_id DESC) = 1),
+p AS (SELECT ors_id, in_plate, out_plate, updated, coalesce(nullif(trim(in_make), ''), nullif(trim(out_make), '')) AS make,
              coalesce(nullif(trim(in_colour), ''), nullif(trim(out_colour), '')) AS colour FROM l)
 SELECT * FROM p WHERE make IS NOT NULL AND colour IS NOT NULL""", ["visits"])
 def vehicle_profile(spark, base):

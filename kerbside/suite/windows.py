@@ -114,7 +114,7 @@ WITH p AS (
     CASE WHEN regexp_full_match(seq_hex, '[0-9A-Fa-f]+') THEN CAST('0x' || seq_hex AS BIGINT) END AS seq
   FROM plate_events)
 SELECT event_id, device_id, seq,
-  seq - lag(seq) OVER (ORDER BY device_id DESC, seq DESC NULLS LAST) AS gap
+  seq - lag(seq) OVER (ORDER BY device_id ASC NULLS FIRST, seq DESC NULLS LAST) AS gap
 FROM p""", ["plate_events"])
 def lag_global_gap(spark, base):
     p = D.plate_events(spark, base).select("event_id", "device_id", hex_to_long("seq_hex").alias("seq"))

@@ -63,7 +63,7 @@ def test_global_gap_without_single_partition(spark):
     data = [(i, f"cam{rnd.randrange(6)}", None if i % 17 == 0 else rnd.randrange(10 ** 6)) for i in range(2000)]
     df = spark.createDataFrame(data, "id long, dev string, seq long")
     got = W.sequence_gaps(df, "dev", "seq", descending=True)
-    w = Window.orderBy(F.col("dev").desc(), F.col("seq").desc_nulls_last(), F.col("id"))
+    w = Window.orderBy(F.col("dev").asc(), F.col("seq").desc_nulls_last(), F.col("id"))
     want = df.withColumn("gap", F.col("seq") - F.lag("seq").over(w))
     # rows with equal (dev, seq) are interchangeable; compare per-row values on unique seq
     assert rows_of(got.where("seq IS NOT NULL"), ["id", "gap"]) == rows_of(want.where("seq IS NOT NULL"), ["id", "gap"])
@@ -198,3 +198,29 @@ def test_interval_either_bucketed_equals_plain(spark):
         for b in ("month", "year"):
             split = J.interval_join_either(ivs, evs, ["plate"], "a", "d", "s", "e", how=how, bucket=b)
             assert rows_of(plain, ["iid", "eid"]) == rows_of(split, ["iid", "eid"]), (how, b)
+
+
+def test_either_interval_join_with_null_arrival(spark):
+    """An event without arrival is found by its departure, bucketed or not."""
+    iv = spark.createDataFrame([("p", T0, T0 + dt.timedelta(days=400))], "k string, s timestamp_ntz, e timestamp_ntz")
+    day = dt.timedelta(days=1)
+    ev = spark.createDataFrame([("p", None, T0 + 30 * day), ("p", T0 - 700 * day, T0 + 3 * day), ("p", T0 - 9 * day, None)],
+                               "k string, a timestamp_ntz, d timestamp_ntz")
+    plain = J.interval_join_either(iv, ev, ["k"], "a", "d", "s", "e")
+    split = J.interval_join_either(iv, ev, ["k"], "a", "d", "s", "e", bucket="year")
+    as_set = lambda df: {(str(r["a"]), str(r["d"])) for r in df.collect()}
+    assert as_set(plain) == as_set(split) and plain.count() == split.count() == 2
+
+
+def test_split_rank_is_wide(spark):
+    df = spark.createDataFrame([(1, "a", T0)], "id long, k string, t timestamp_ntz")
+    r = W.rank_rows(df, "k", "t", tiebreak="id", bucket=F.to_date("t"))
+    assert r.schema["rn"].dataType.simpleString() == "bigint"
+
+
+def test_device_border_of_global_gap(spark):
+    """Devices ascend while numbers descend: the second device's first row is
+    compared with the first device's last."""
+    df = spark.createDataFrame([("a", 10), ("a", 9), ("b", 5), ("b", 4)], "dev string, seq long")
+    got = {(r["dev"], r["seq"]): r["gap"] for r in W.sequence_gaps(df, "dev", "seq").collect()}
+    assert got == {("a", 10): None, ("a", 9): -1, ("b", 5): -4, ("b", 4): -1}
