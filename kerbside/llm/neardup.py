@@ -1,9 +1,10 @@
 """Near-duplicate texts by consistent weighted sampling over TF-IDF shingles.
 
 Shingles are five consecutive words (lower case, white space between); a
-shingle's weight in a text is its count times ``2 - ln df / ln n`` -- an
-inverse document frequency smoothed and scaled to 1..2 -- with document
-frequencies counted over all texts.  Improved consistent weighted sampling
+shingle's weight in a text is its count times
+``1 + DAMP * (1 - ln(df + SMOOTH) / ln(n + SMOOTH))`` -- a smoothed and damped
+inverse document frequency -- with document frequencies counted over all
+texts.  Improved consistent weighted sampling
 draws ``BANDS * ROWS`` samples per text; texts that agree on a whole band
 are compared by their weighted Jaccard similarity, and pairs that reach the
 threshold are links.  Classes are the connected components.
@@ -46,6 +47,9 @@ WORDS, SIMILARITY = 5, 0.8
 #: 12 bands of 3 samples miss a pair of similarity 0.8 with probability 0.0002.
 BANDS, ROWS = 12, 3
 ROUNDS = 3
+#: Smoothing keeps a text's own shingles from outweighing those of a pair, damping
+#: those of a text from outweighing what a large group of near copies shares.
+SMOOTH, DAMP = 9.0, 0.5
 #: Bytes of text of one block, and fingerprints of one range of the hash space.
 BLOCK_BYTES, RANGE_ROWS = 8 << 20, 2 << 20
 
@@ -174,7 +178,8 @@ def _sample(bits: int, n_docs: int, similarity: float):
         code = np.concatenate([np.frombuffer(zlib.decompress(b), "<u2") for b in parts])
         _, inv = np.unique(fp, return_inverse=True)
         code = code[inv]
-        w = tf * (2 - np.minimum(code / (_LN_STEP * np.log(max(n_docs, 3))), 1))
+        df = np.exp(code / _LN_STEP)
+        w = tf * (1 + DAMP * (1 - np.minimum(np.log(df + SMOOTH) / np.log(n_docs + SMOOTH), 1)))
         n = docs.num_rows
         total, shared = np.bincount(of, w, n), np.bincount(of, w * (code > 0), n)
         may = (total > 0) & (shared >= similarity * total * (1 - 1e-9))
