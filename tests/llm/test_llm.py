@@ -73,6 +73,13 @@ def test_sharding(spark, edge):
     assert sum(r["n_rows"] for r in s) == 900 and max(r["bytes"] for r in s) <= 500
 
 
+def test_written_shards(spark, edge, tmp_path):
+    to = str(tmp_path / "shards")
+    sharding.write_shards(edge, to, ["doc_id"], F.coalesce(F.octet_length("text"), F.lit(0)), 1000)
+    back = spark.read.option("basePath", to).schema(edge.schema).parquet(to)
+    assert sorted(map(str, back.select(edge.columns).collect())) == sorted(map(str, edge.collect()))
+
+
 def shingle_set(text):
     w = text.lower().split()
     return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
