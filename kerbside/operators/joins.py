@@ -73,9 +73,9 @@ def sum_nested(arr: str, inner: str, field: str) -> Column:
     return F.when(F.size(vals) > 0, total)
 
 
-def sum_array(arr: str, field: str) -> Column:
+def sum_array(arr: str | Column, field: str) -> Column:
     """Sum of ``arr[*].field``; NULL when there are no (non-NULL) elements."""
-    vals = F.filter(F.transform(F.coalesce(F.col(arr), F.array()), lambda b: b[field]), lambda x: x.isNotNull())
+    vals = F.filter(F.transform(F.coalesce(F.col(arr) if isinstance(arr, str) else arr, F.array()), lambda b: b[field]), lambda x: x.isNotNull())
     return F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x.cast("double")))
 
 

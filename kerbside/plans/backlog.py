@@ -62,6 +62,16 @@ def resolution_times(events: DataFrame, key: str, ts: str, status: str, author:
                     boundaries("hour", ts, "next_ts").alias("hours_to_next"))
 
 
+def resolution_pairs(times: DataFrame, status: str, author: str, opened: str, resolved: str) -> DataFrame:
+    """The rows of :func:`resolution_times` that move between ``opened`` and ``resolved``.
+
+    ``final_author``: the first resolver for a row in ``opened``, else the row's own author.
+    """
+    now, nxt = F.col(status), F.col("next_" + status)
+    pair = ((now == opened) & (nxt == resolved)) | ((now == resolved) & (nxt == opened))
+    return times.where(pair).withColumn("final_author", F.when(now == opened, F.col("first_resolver")).otherwise(F.col(author)))
+
+
 def first_transitions(df: DataFrame, key: str, label: str, ts: str, tiebreak=None) -> DataFrame:
     """First time each item reached each label (an item can count once per label)."""
     return W.earliest_by_key(df, [key, label], ts, tiebreak=tiebreak)

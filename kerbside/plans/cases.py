@@ -76,20 +76,25 @@ def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reas
 
 
 def case_financials(cases: DataFrame, start, end) -> DataFrame:
-    """Newest fact per (case, breach) with the breach's fee and receipt totals and local times.
+    """Newest fact per (case, breach) with the whole case's fee and receipt totals and local times.
 
-    Ranking runs on the whole history; the local-date filter applies after,
-    so a breach whose newest fact is outside the window is dropped (not
-    replaced by an older one).
+    The totals run over every breach of the case revision, so they repeat on
+    each of its breaches.  Ranking runs on the whole history; the case time's
+    local day then selects the window.
     """
     from kerbside.functions.timefn import local_date, parse_day
-    b = J.explode_drop(cases, "breaches", "b").select(
-        "id", "rev", "fact_ts", "timezone", "arrival", "departure", F.col("b.ticket_id").alias("ticket_id"),
-        J.sum_array("b.fees", "amount").alias("fees"), J.sum_array("b.transactions", "amount").alias("receipts"))
+
+    def total(field: str) -> Column:
+        return J.sum_array(F.flatten(F.transform("breaches", lambda b: F.coalesce(b[field], F.array()))), "amount")
+
+    b = J.explode_drop(cases.withColumns({"__fees": total("fees"), "__paid": total("transactions")}), "breaches", "b").select(
+        "id", "rev", "fact_ts", "case_ts", "timezone", "arrival", "departure", F.col("b.ticket_id").alias("ticket_id"),
+        F.col("__fees").alias("fees"), F.col("__paid").alias("receipts")).where(F.col("ticket_id").isNotNull())
     cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak=["rev", "fees", "receipts"])
     tz = F.col("timezone")
-    cur = cur.where(local_date("fact_ts", tz).between(F.lit(parse_day(start)), F.lit(parse_day(end))))
+    cur = cur.where(local_date("case_ts", tz).between(F.lit(parse_day(start)), F.lit(parse_day(end))))
     return cur.select("id", "ticket_id", "fees", "receipts", local_time("fact_ts", tz).alias("fact_local"),
+                      F.date_trunc("second", local_time("case_ts", tz)).cast("timestamp_ntz").alias("case_local"),
                       local_time("arrival", tz).alias("arrival_local"),
                       local_time("departure", tz).alias("departure_local"))
 

@@ -143,19 +143,26 @@ def expand_status(status: DataFrame, view: str, last_msg: str, hours: int = 3, m
                .select(*keep, F.expr("timestampadd(HOUR, __i, __h)").alias("hour"), "online")
 
 
-def split_overnight(df: DataFrame, start: str, end: str, keep=()) -> DataFrame:
-    """A stay crossing midnight → an entry row (to midnight) and an exit row (from midnight).
+def split_overnight(df: DataFrame, start: str, end: str, tz: str, keep=()) -> DataFrame:
+    """A visit → its entry row and, when it ends on another local day, an exit row.
 
-    Same-day stays give one 'whole' row; open stays (no end) one 'open' row.
+    The entry row stands on the local arrival day and carries the exit hour
+    and slot only when the visit ends that day (NULL for open visits too);
+    the exit row stands on the local departure day, however many midnights
+    later, without entry values.  Hours are local, 15-minute slots are UTC.
     """
-    s, e = F.col(start), F.col(end)
-    midnight = F.date_add(F.to_date(s), 1).cast("timestamp_ntz")
-    crosses = e.isNotNull() & (F.to_date(e) > F.to_date(s))
-    part = F.struct
-    parts = (F.when(e.isNull(), F.array(part(F.lit("open").alias("part"), s.alias("p_start"),
-                                             F.lit(None).cast("timestamp_ntz").alias("p_end"))))
-              .when(crosses, F.array(part(F.lit("entry").alias("part"), s.alias("p_start"), midnight.alias("p_end")),
-                                     part(F.lit("exit").alias("part"), midnight.alias("p_start"), e.alias("p_end"))))
-              .otherwise(F.array(part(F.lit("whole").alias("part"), s.alias("p_start"), e.alias("p_end")))))
-    x = df.select(*keep, F.explode(parts).alias("p"))
-    return x.select(*keep, F.to_date("p.p_start").alias("day"), "p.part", "p.p_start", "p.p_end")
+    a, d = local_time(start, tz), local_time(end, tz)
+    same = F.to_date(a) == F.to_date(d)
+
+    def row(part: str, day: Column, entry: bool, out: Column) -> Column:
+        hour = lambda c: F.date_trunc("hour", c).cast("timestamp_ntz")
+        none = F.lit(None).cast("timestamp_ntz")
+        return F.struct(F.lit(part).alias("part"), day.alias("day"),
+                        (hour(a) if entry else none).alias("entry_hour"),
+                        (bucket_floor(start, 900) if entry else none).alias("entry_slot"),
+                        F.when(out, hour(d)).alias("exit_hour"), F.when(out, bucket_floor(end, 900)).alias("exit_slot"))
+
+    first = row("entry", F.to_date(a), True, same)
+    last = row("exit", F.to_date(d), False, F.lit(True))
+    return df.select(*keep, F.explode(F.when(~same, F.array(first, last)).otherwise(F.array(first))).alias("p")) \
+             .select(*keep, "p.*")

@@ -42,35 +42,45 @@ def permits_and_payments(permits: DataFrame, payments: DataFrame) -> DataFrame:
 
 
 def compliance(permits: DataFrame, payments: DataFrame, org: str, region: str, site: str, start, end,
-               tz, amount_mode: str = "max") -> DataFrame:
-    """Permits and consolidated payments of one site valid at some time in a local period.
+               tz, amount_mode: str = "max", reach_months: int = 12) -> DataFrame:
+    """Permits and consolidated payments of one site that start in a period and are valid in it locally.
 
-    Payments are stored as 7-day segments: a wide UTC pre-filter (±1 year,
-    pushed to the scan) keeps every segment of a transaction that could
-    touch the period, segments are consolidated per transaction, then
-    de-duplicated twice (latest request per transaction, longest end per
-    plate and start), and the local validity must overlap [start, end].
+    * permits: start (UTC day) within a day of the period, source not a
+      camera of the site (a NULL source is dropped, as ``NOT`` gives), one
+      per (plate, permit id);
+    * payments are stored as 7-day segments: those that start up to
+      ``reach_months`` calendar months off the period (pushed to the scan)
+      are consolidated per transaction, plate, request and source, and the
+      consolidated start (UTC day) must lie in the period;
+    * newest request per (plate, start, end, source), then among those valid
+      in the period the longest per (plate, start, source);
+    * local validity must overlap [start, end] for both kinds.
     """
     s, e = parse_day(start), parse_day(end)
     site_f = (F.col("org") == org) & (F.col("region") == region) & (F.col("site") == site)
-    near = F.to_date("start_time").between(F.lit(s - dt.timedelta(days=1)), F.lit(e + dt.timedelta(days=1)))
-    p = permits.where(site_f & near).select(
-        F.col("kind").alias("record_type"), "plate", "start_time", "end_time", "amount",
-        F.lit(None).cast("double").alias("duration"))
-    wide = F.to_date("start_time").between(F.lit(s - dt.timedelta(days=366)), F.lit(e + dt.timedelta(days=366)))
-    seg = payments.where(site_f & wide)
-    c = A.consolidate(seg, ["transaction_id", "plate"], "start_time", "end_time", "duration_seconds", "amount",
-                      amount_mode, extra={"request_time": F.min("request_time")})
-    c = W.latest_by_key(c, "transaction_id", "request_time", tiebreak="plate")
-    c = W.latest_by_key(c, ["plate", "start_time"], "end_time", tiebreak="transaction_id")
-    pay = c.select(F.lit("payment").alias("record_type"), "plate", "start_time", "end_time", "amount",
-                   (F.col("duration_seconds") / 60).alias("duration"))
-    u = p.unionByName(pay)
+    utc_day = F.to_date("start_time")
     ls, le = local_time("start_time", tz), local_time("end_time", tz)
-    lo, hi = F.lit(dt.datetime.combine(s, dt.time())).cast("timestamp_ntz"), \
-        F.lit(dt.datetime.combine(e, dt.time(23, 59, 59))).cast("timestamp_ntz")
-    return u.where((ls <= hi) & (le >= lo)).select("record_type", "plate", ls.alias("start_local"),
-                                                   le.alias("end_local"), "amount", "duration")
+    valid = (F.to_date(le) >= F.lit(s)) & (F.to_date(ls) <= F.lit(e))
+    p = permits.where(site_f & utc_day.between(F.lit(s - dt.timedelta(days=1)), F.lit(e + dt.timedelta(days=1)))
+                      & ~F.col("source").startswith(f"{org}#{region}#{site}#"))
+    p = W.earliest_by_key(p, ["plate", "permit_id"], "request_time", tiebreak=["start_time", "end_time", "amount"])
+    p = p.where(valid).select(F.col("kind").alias("record_type"), "plate", "start_time", "end_time", "request_time", "amount",
+                              F.lit(None).cast("double").alias("total_amount"), F.lit(None).cast("bigint").alias("transaction_id"),
+                              F.col("permit_id").cast("string").alias("permit_id"), "source",
+                              F.lit(None).cast("double").alias("duration"))
+    wide = utc_day.between(F.add_months(F.lit(s), -reach_months), F.add_months(F.lit(e), reach_months))
+    c = A.consolidate(payments.where(site_f & wide), ["transaction_id", "plate", "request_time", "source"], "start_time",
+                      "end_time", "duration_seconds", "amount", amount_mode, extra={"total_amount": F.max("total_amount")})
+    c = c.where(utc_day.between(F.lit(s), F.lit(e))).withColumn("source", F.split_part("source", F.lit("#"), F.lit(1)))
+    c = W.latest_by_key(c, ["plate", "start_time", "end_time", "source"], "request_time", tiebreak="transaction_id")
+    c = W.latest_by_key(c.where(valid), ["plate", "start_time", "source"], "end_time", tiebreak="transaction_id")
+    pay = c.select(F.lit("payment").alias("record_type"), "plate", "start_time", "end_time", "request_time", "amount",
+                   "total_amount", "transaction_id", F.lit(None).cast("string").alias("permit_id"), "source",
+                   (F.col("duration_seconds") / 60).alias("duration"))
+    return p.unionByName(pay).select(
+        "record_type", "plate", ls.alias("start_local"), le.alias("end_local"),
+        local_time("request_time", tz).alias("request_local"), "amount", "total_amount", "transaction_id", "permit_id",
+        "source", "duration")
 
 
 def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, int], tz: str, start, end,

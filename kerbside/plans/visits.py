@@ -8,12 +8,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.timefn import local_time, parse_day, stay_minutes
+from kerbside.functions.timefn import elapsed, local_time, parse_day, stay_minutes
 from kerbside.functions.values import blank_to_null, key_part
 from kerbside.operators import joins as J
 from kerbside.operators import windows as W
 
-FAR_FUTURE = dt.datetime(2999, 12, 31, 23, 59, 59)
+FAR_FUTURE = dt.datetime(9999, 12, 31)
 
 
 def latest_visits(visits: DataFrame, keep_deleted: bool = False, earliest: bool = False) -> DataFrame:
@@ -83,38 +83,49 @@ def vehicle_profile(visits: DataFrame, attrs: Mapping[str, tuple[str, str]], key
 
 
 def normalise_permits(permits: DataFrame) -> DataFrame:
-    """Validity start = later of start and response; open or year-2099 ends → far future; hash key."""
-    end = F.col("end_time")
+    """Validity in whole seconds and a hash key of org, region, site and plate.
+
+    Start = the response when it is later than the start (a NULL response
+    leaves the start); open ends and ends in 2099 become 9999-12-31.  The key
+    is NULL when one of its parts is, as ``CONCAT`` gives.
+    """
+    start, resp, end = (F.date_trunc("second", c).cast("timestamp_ntz") for c in ("start_time", "response_time", "end_time"))
     far = F.lit(FAR_FUTURE).cast("timestamp_ntz")
     return permits.select(
         "*",
-        F.greatest("start_time", "response_time").alias("valid_from"),
-        F.when(end.isNull() | (F.year(end) == 2099), far).otherwise(end).alias("valid_to"),
-        F.sha2(F.concat_ws("|", "plate", F.col("permit_id").cast("string")), 256).alias("permit_hash"))
+        F.when(start < resp, resp).otherwise(start).alias("valid_from"),
+        F.when(F.col("end_time").isNull() | (F.year("end_time") == 2099), far).otherwise(end).alias("valid_to"),
+        F.sha2(F.concat("org", "region", "site", "plate"), 256).alias("permit_hash"))
 
 
 def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame, since=None) -> DataFrame:
     """De-duplicated visits (earliest update), whitelist flag, local times.
 
-    ``is_whitelisted``: some normalised permit of the same plate contains the
-    entry time -- an interval join (bucketed by month, so a plate with many
-    visits is spread over buckets), reduced to one flag per visit.
+    ``since`` bounds the arrival *before* the earliest revision is picked, so
+    it reaches the scan.  ``is_whitelisted``: some normalised permit of the
+    same org#region#site and plate contains the entry time -- a left-semi
+    join, so no (visit, permit) pairs are produced.  Stay minutes are the
+    difference of the local wall-clock times, NULL for an open visit.
     ``sites_tz`` maps ``org`` → ``timezone``.
     """
-    v = latest_visits(visits, earliest=True)
     if since is not None:
-        v = v.where(F.col("arrival") >= F.lit(since).cast("timestamp_ntz"))
-    v = v.select("visit_id", F.coalesce("in_plate", "out_plate").alias("plate"), "ors_id", "arrival", "departure")
-    p = normalise_permits(permits).select("plate", "valid_from", "valid_to")
-    hits = (J.interval_join(v.select("visit_id", "plate", "arrival"), p, ["plate"], "arrival", "valid_from",
-                            "valid_to", how="inner", bucket="year")
-            .select("visit_id").distinct().withColumn("is_whitelisted", F.lit(True)))
-    out = v.join(hits, "visit_id", "left").withColumn("is_whitelisted", F.coalesce("is_whitelisted", F.lit(False)))
+        visits = visits.where(F.col("arrival") >= F.lit(since).cast("timestamp_ntz"))
+    v = latest_visits(visits, earliest=True)
+    v = v.select("visit_id", F.coalesce("in_plate", "out_plate").alias("plate"), "ors_id",
+                 F.date_trunc("second", "arrival").cast("timestamp_ntz").alias("arrival"),
+                 F.date_trunc("second", "departure").cast("timestamp_ntz").alias("departure"))
+    p = normalise_permits(permits).select(F.concat("org", F.lit("#"), "region", F.lit("#"), "site").alias("ors_id"), "plate",
+                                          "valid_from", "valid_to")
+    inside = ((v.ors_id == p.ors_id) & (v.plate == p.plate) & v.arrival.between(p.valid_from, p.valid_to))
+    hits = v.join(p, inside, "left_semi").select(F.col("visit_id").alias("__hit"), F.lit(True).alias("is_whitelisted"))
+    out = v.join(hits, F.col("visit_id").eqNullSafe(F.col("__hit")), "left").drop("__hit")
+    out = out.withColumn("is_whitelisted", F.coalesce("is_whitelisted", F.lit(False)))
     out = out.withColumn("org", key_part("ors_id", 0)).join(sites_tz, "org", "left")
     tz = F.col("timezone")
-    return out.select("visit_id", "plate", "org", key_part("ors_id", 2).alias("site"), "timezone",
-                      local_time("arrival", tz).alias("entry_time"), local_time("departure", tz).alias("exit_time"),
-                      stay_minutes("arrival", "departure").alias("stay_minutes"), "is_whitelisted")
+    out = out.select("visit_id", "plate", "org", key_part("ors_id", 2).alias("site"), "timezone",
+                     local_time("arrival", tz).alias("entry_time"), local_time("departure", tz).alias("exit_time"),
+                     "is_whitelisted")
+    return out.withColumn("stay_minutes", F.round(elapsed("second", "entry_time", "exit_time") / 60, 1))
 
 
 def cutover_union(old: DataFrame, new: DataFrame, dates: DataFrame, key: str, day: str,

@@ -177,6 +177,23 @@ def permits(spark: SparkSession, base: str) -> DataFrame:
         F.expr("CASE o_orderpriority WHEN '1-URGENT' THEN 12.5D WHEN '2-HIGH' THEN 40.0D "
                "WHEN '3-MEDIUM' THEN 100.0D WHEN '4-NOT SPECIFIED' THEN 0.0D ELSE 5.0D END").alias("amount"),
         F.expr("CASE WHEN o_orderstatus = 'P' THEN 'exemption' ELSE 'permit' END").alias("kind"),
+        F.expr("CASE o_orderkey % 5 WHEN 0 THEN concat('org', o_custkey % 7, '#r', o_custkey % 5, '#S', o_custkey % 20, '#cam') "
+               "WHEN 1 THEN 'console' WHEN 2 THEN 'app' WHEN 3 THEN 'import' END").alias("source"),
+    )
+
+
+def exemptions(spark: SparkSession, base: str) -> DataFrame:
+    """Exempted vehicles from events: site and plate keys of the visits, open and 2099 ends."""
+    return _events(spark, base).where("event_id % 29 = 0").select(
+        F.col("event_id").alias("permit_id"),
+        F.expr("concat('org', user_id % 7)").alias("org"),
+        F.expr("concat('r', k % 5)").alias("region"),
+        F.col("event_type").alias("site"),
+        F.expr("concat('P', user_id)").alias("plate"),
+        F.expr("timestampadd(HOUR, -24, ts)").alias("start_time"),
+        F.expr("CASE k % 3 WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP_NTZ '2099-06-30 00:00:00' "
+               "ELSE timestampadd(HOUR, 120, ts) END").alias("end_time"),
+        F.expr("CASE WHEN event_id % 2 = 0 THEN timestampadd(SECOND, k - 86500, ts) END").alias("response_time"),
     )
 
 

@@ -85,8 +85,16 @@ SELECT o_orderkey AS permit_id, concat('org', o_custkey % 7) AS org, concat('r',
   o_orderdate + to_seconds(o_orderkey % 7200) AS response_time,
   CASE o_orderpriority WHEN '1-URGENT' THEN 12.5::DOUBLE WHEN '2-HIGH' THEN 40.0::DOUBLE
     WHEN '3-MEDIUM' THEN 100.0::DOUBLE WHEN '4-NOT SPECIFIED' THEN 0.0::DOUBLE ELSE 5.0::DOUBLE END AS amount,
-  CASE WHEN o_orderstatus = 'P' THEN 'exemption' ELSE 'permit' END AS kind
+  CASE WHEN o_orderstatus = 'P' THEN 'exemption' ELSE 'permit' END AS kind,
+  CASE o_orderkey % 5 WHEN 0 THEN concat('org', o_custkey % 7, '#r', o_custkey % 5, '#S', o_custkey % 20, '#cam')
+    WHEN 1 THEN 'console' WHEN 2 THEN 'app' WHEN 3 THEN 'import' END AS source
 FROM orders""",
+    "exemptions": f"""
+SELECT event_id AS permit_id, concat('org', user_id % 7) AS org, concat('r', k % 5) AS region, event_type AS site,
+  concat('P', user_id) AS plate, ts - INTERVAL 24 HOUR AS start_time,
+  CASE k % 3 WHEN 0 THEN NULL WHEN 1 THEN TIMESTAMP '2099-06-30 00:00:00' ELSE ts + INTERVAL 120 HOUR END AS end_time,
+  CASE WHEN event_id % 2 = 0 THEN ts + to_seconds(k - 86500) END AS response_time
+FROM {_EV} WHERE event_id % 29 = 0""",
     "permit_visits": """
 SELECT l_orderkey AS visit_order, l_linenumber AS visit_line, concat('P', o_custkey) AS plate,
   concat('S', o_custkey % 20) AS site,

@@ -63,16 +63,17 @@ def case_status_current(spark, base):
 
 
 @q("case_financials", f"""
-WITH r AS (SELECT * FROM case_lines WHERE ticket_id IS NOT NULL
-           QUALIFY row_number() OVER (PARTITION BY id, ticket_id ORDER BY fact_ts DESC, rev DESC,
-                                      base_fee + late_fee DESC, paid_amount DESC) = 1)
-SELECT id, ticket_id, round(base_fee + late_fee, 6) AS fees, round(paid_amount, 6) AS receipts, {_LOCAL_FACT} AS fact_local,
+WITH case_total AS (SELECT order_key, sum(base_fee + late_fee) AS fees, sum(paid_amount) AS receipts FROM case_lines GROUP BY order_key),
+newest AS (SELECT id, ticket_id, max({{'t': fact_ts, 'r': rev}}) AS m FROM case_lines WHERE ticket_id IS NOT NULL GROUP BY ALL)
+SELECT DISTINCT l.id, l.ticket_id, round(t.fees, 6) AS fees, round(t.receipts, 6) AS receipts, {_LOCAL_FACT} AS fact_local,
+  date_trunc('second', timezone(timezone, case_ts AT TIME ZONE 'UTC')) AS case_local,
   timezone(timezone, arrival AT TIME ZONE 'UTC') AS arrival_local, timezone(timezone, departure AT TIME ZONE 'UTC') AS departure_local
-FROM r WHERE CAST({_LOCAL_FACT} AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""", ["case_lines"])
+FROM case_lines l JOIN newest n ON n.id = l.id AND n.ticket_id = l.ticket_id AND n.m.r = l.rev AND n.m.t = l.fact_ts
+JOIN case_total t ON t.order_key = l.order_key
+WHERE CAST(timezone(timezone, case_ts AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""", ["case_lines"])
 def case_financials(spark, base):
     f = PC.case_financials(D.cases(spark, base), "19980101", "19981231")
-    return f.select("id", "ticket_id", r6("fees").alias("fees"), r6("receipts").alias("receipts"), "fact_local",
-                    "arrival_local", "departure_local")
+    return f.withColumns({"fees": r6("fees"), "receipts": r6("receipts")})
 
 
 @q("monthly_kpi", f"""
@@ -179,22 +180,26 @@ WITH s AS (SELECT event_id, case_uri, ts, author, json_extract_string(data, '$.v
            FROM case_events WHERE type = 'StatusChanged'),
 n AS (SELECT *, lead(status) OVER w AS next_status, lead(author) OVER w AS next_author, lead(ts) OVER w AS next_ts
       FROM s WINDOW w AS (PARTITION BY case_uri ORDER BY ts, event_id)),
-f AS (SELECT *, first_value(next_author IGNORE NULLS) OVER (PARTITION BY case_uri ORDER BY ts, event_id
-        ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS first_resolver FROM n),
-t AS (SELECT uri, min(ticket_id) AS ticket_id FROM case_lines GROUP BY uri)
-SELECT f.event_id, f.case_uri, f.status, f.next_status, date_diff('day', f.ts, f.next_ts) AS days_to_next,
-  date_diff('hour', f.ts, f.next_ts) AS hours_to_next, f.first_resolver, t.ticket_id
-FROM f LEFT JOIN t ON f.case_uri = t.uri""", ["case_events", "case_lines"])
+pairs AS (SELECT *, (SELECT arg_min(m.next_author, {'t': m.ts, 'e': m.event_id}) FROM n m WHERE m.case_uri = n.case_uri
+                     AND m.next_author IS NOT NULL AND (m.ts, m.event_id) >= (n.ts, n.event_id)) AS resolver
+          FROM n WHERE (status, next_status) IN (('Open', 'Resolved'), ('Resolved', 'Open')))
+SELECT p.event_id, p.case_uri, p.status, p.ts AS updated, p.next_status, p.next_ts AS next_updated,
+  date_diff('day', p.ts, p.next_ts) AS days_to_next, date_diff('hour', p.ts, p.next_ts) AS hours_to_next,
+  CASE p.status WHEN 'Open' THEN p.resolver ELSE p.author END AS final_author, t.id AS case_id, t.ticket_id
+FROM pairs p LEFT JOIN (SELECT DISTINCT uri, id, ticket_id FROM case_lines WHERE ticket_id IS NOT NULL) t ON p.case_uri = t.uri""",
+   ["case_events", "case_lines"])
 def case_resolution_time(spark, base):
+    """Moves between open and resolved with their final author, one row per breach of the case."""
     e = (D.case_events(spark, base).where(F.col("type") == "StatusChanged")
          .select("event_id", "case_uri", "ts", "author", json_text("data", "$.value").alias("status")))
-    r = PB.resolution_times(e, "case_uri", "ts", "status", "author", tiebreak="event_id")
+    r = PB.resolution_pairs(PB.resolution_times(e, "case_uri", "ts", "status", "author", tiebreak="event_id"),
+                            "status", "author", "Open", "Resolved")
     c = D.cases(spark, base)
-    # first breach id per case: per-row array minimum, then a grouped min (no explode)
-    t = c.groupBy("uri").agg(
-        F.min(F.array_min(F.transform("breaches", lambda b: b["ticket_id"]))).alias("ticket_id"))
+    t = c.select("uri", F.col("id").alias("case_id"), F.explode("breaches.ticket_id").alias("ticket_id")) \
+         .where(F.col("ticket_id").isNotNull()).distinct()
     j = r.join(t, r.case_uri == t.uri, "left")
-    return j.select("event_id", "case_uri", "status", "next_status", "days_to_next", "hours_to_next", "first_resolver",
+    return j.select("event_id", "case_uri", "status", F.col("ts").alias("updated"), "next_status",
+                    F.col("next_ts").alias("next_updated"), "days_to_next", "hours_to_next", "final_author", "case_id",
                     "ticket_id")
 
 

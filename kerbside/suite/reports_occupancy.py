@@ -197,18 +197,14 @@ def occupancy_daily_reset(spark, base):
 
 @q("overnight_split", f"""
 WITH {_LATEST},
-l AS (SELECT visit_id, {_loc('arrival')} AS a, {_loc('departure')} AS d FROM lv)
-SELECT visit_id, strftime(CAST(a AS DATE), '%Y-%m-%d') AS day, 'open' AS part, a AS p_start, CAST(NULL AS TIMESTAMP) AS p_end
-FROM l WHERE d IS NULL
+l AS (SELECT visit_id, {_loc('arrival')} AS a, {_loc('departure')} AS d, time_bucket(INTERVAL 15 MINUTE, arrival) AS a15,
+             time_bucket(INTERVAL 15 MINUTE, departure) AS d15 FROM lv)
+SELECT visit_id, 'entry' AS part, strftime(a, '%Y-%m-%d') AS day, date_trunc('hour', a) AS entry_hour, a15 AS entry_slot,
+  CASE WHEN CAST(a AS DATE) = CAST(d AS DATE) THEN date_trunc('hour', d) END AS exit_hour,
+  CASE WHEN CAST(a AS DATE) = CAST(d AS DATE) THEN d15 END AS exit_slot FROM l
 UNION ALL
-SELECT visit_id, strftime(CAST(a AS DATE), '%Y-%m-%d'), 'whole', a, d FROM l WHERE d IS NOT NULL AND CAST(d AS DATE) <= CAST(a AS DATE)
-UNION ALL
-SELECT visit_id, strftime(CAST(a AS DATE), '%Y-%m-%d'), 'entry', a, CAST(CAST(a AS DATE) + 1 AS TIMESTAMP) FROM l
-WHERE CAST(d AS DATE) > CAST(a AS DATE)
-UNION ALL
-SELECT visit_id, strftime(CAST(a AS DATE) + 1, '%Y-%m-%d'), 'exit', CAST(CAST(a AS DATE) + 1 AS TIMESTAMP), d FROM l
-WHERE CAST(d AS DATE) > CAST(a AS DATE)""", ["visits"])
+SELECT visit_id, 'exit', strftime(d, '%Y-%m-%d'), NULL, NULL, date_trunc('hour', d), d15 FROM l
+WHERE CAST(a AS DATE) <> CAST(d AS DATE)""", ["visits"])
 def overnight_split(spark, base):
-    lv = _lv(spark, base).select("visit_id", local_time("arrival", NZ).alias("a"), local_time("departure", NZ).alias("d"))
-    s = PO.split_overnight(lv, "a", "d", keep=["visit_id"])
-    return s.select("visit_id", day_text("day").alias("day"), "part", "p_start", "p_end")
+    s = PO.split_overnight(_lv(spark, base), "arrival", "departure", NZ, keep=["visit_id"])
+    return s.withColumn("day", day_text("day"))

@@ -44,24 +44,34 @@ _TZ = "Pacific/Auckland"
 
 
 @q("compliance_report", f"""
-WITH p AS (SELECT kind AS record_type, plate, start_time, end_time, amount, CAST(NULL AS DOUBLE) AS duration FROM permits
-           WHERE org = 'org3' AND region = 'r3' AND site = 'S13'
-             AND CAST(start_time AS DATE) BETWEEN DATE '{_S - dt.timedelta(days=1)}' AND DATE '{_E + dt.timedelta(days=1)}'),
-seg AS (SELECT * FROM payments WHERE org = 'org3' AND region = 'r3' AND site = 'S13'
-          AND CAST(start_time AS DATE) BETWEEN DATE '{_S - dt.timedelta(days=366)}' AND DATE '{_E + dt.timedelta(days=366)}'),
-c AS (SELECT transaction_id, plate, min(start_time) AS start_time, max(end_time) AS end_time,
-             sum(duration_seconds) AS duration_seconds, max(amount) AS amount, min(request_time) AS request_time
-      FROM seg GROUP BY ALL),
-c1 AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY request_time DESC, plate DESC) = 1),
-c2 AS (SELECT * FROM c1 QUALIFY row_number() OVER (PARTITION BY plate, start_time ORDER BY end_time DESC, transaction_id DESC) = 1),
-u AS (SELECT * FROM p UNION ALL SELECT 'payment', plate, start_time, end_time, amount, duration_seconds / 60 FROM c2),
-l AS (SELECT record_type, plate, timezone('{_TZ}', start_time AT TIME ZONE 'UTC') AS start_local,
-             timezone('{_TZ}', end_time AT TIME ZONE 'UTC') AS end_local, round(amount, 6) AS amount, duration FROM u)
-SELECT * FROM l WHERE start_local <= TIMESTAMP '{_E} 23:59:59' AND end_local >= TIMESTAMP '{_S} 00:00:00'""",
+WITH loc AS (SELECT 'org3' AS org, 'r3' AS region, 'S13' AS site),
+p AS (SELECT kind AS record_type, plate, start_time, end_time, request_time, amount, NULL::DOUBLE AS total_amount,
+             NULL::BIGINT AS transaction_id, CAST(permit_id AS VARCHAR) AS permit_id, source, NULL::DOUBLE AS duration
+      FROM permits SEMI JOIN loc USING (org, region, site)
+      WHERE CAST(start_time AS DATE) BETWEEN DATE '{_S}' - 1 AND DATE '{_E}' + 1 AND source NOT LIKE 'org3#r3#S13#%'),
+whole AS (SELECT plate, transaction_id, request_time, source AS full_source, split_part(source, '#', 1) AS source,
+                 min(start_time) AS start_time, max(end_time) AS end_time, max(amount) AS amount,
+                 max(total_amount) AS total_amount, sum(duration_seconds) / 60 AS duration
+          FROM payments SEMI JOIN loc USING (org, region, site)
+          WHERE CAST(start_time AS DATE) BETWEEN DATE '{_S}' - INTERVAL 1 YEAR AND DATE '{_E}' + INTERVAL 1 YEAR
+          GROUP BY ALL HAVING CAST(min(start_time) AS DATE) BETWEEN DATE '{_S}' AND DATE '{_E}'),
+paid AS (SELECT 'payment' AS record_type, plate, start_time, end_time, request_time, amount, total_amount, transaction_id,
+                NULL::VARCHAR AS permit_id, source, duration FROM whole w
+         WHERE NOT EXISTS (SELECT 1 FROM whole n WHERE (n.plate, n.start_time, n.end_time, n.source) = (w.plate, w.start_time, w.end_time, w.source)
+                           AND (n.request_time, n.transaction_id) > (w.request_time, w.transaction_id))),
+u AS (SELECT * FROM p UNION ALL SELECT * FROM paid),
+l AS (SELECT *, timezone('{_TZ}', start_time AT TIME ZONE 'UTC') AS start_local, timezone('{_TZ}', end_time AT TIME ZONE 'UTC') AS end_local,
+             timezone('{_TZ}', request_time AT TIME ZONE 'UTC') AS request_local FROM u),
+ok AS (SELECT * FROM l WHERE CAST(end_local AS DATE) >= DATE '{_S}' AND CAST(start_local AS DATE) <= DATE '{_E}')
+SELECT record_type, plate, start_local, end_local, request_local, round(amount, 6) AS amount, round(total_amount, 6) AS total_amount,
+       transaction_id, permit_id, source, duration
+FROM ok WHERE record_type <> 'payment' OR NOT EXISTS (
+  SELECT 1 FROM ok n WHERE n.record_type = 'payment' AND (n.plate, n.start_time, n.source) = (ok.plate, ok.start_time, ok.source)
+  AND (n.end_time, n.transaction_id) > (ok.end_time, ok.transaction_id))""",
    ["permits", "payments"])
 def compliance_report(spark, base):
     c = PP.compliance(D.permits(spark, base), D.payments(spark, base), "org3", "r3", "S13", _S, _E, _TZ)
-    return c.select("record_type", "plate", "start_local", "end_local", r6("amount").alias("amount"), "duration")
+    return c.withColumns({"amount": r6("amount"), "total_amount": r6("total_amount")})
 
 
 TIERS = {12.5: 7, 40.0: 30, 100.0: 90}

@@ -36,27 +36,27 @@ _STAY = "coalesce(round(date_diff('second', {a}, {d}) / 60, 1), 0)"
 @q("stay_duration", f"""
 WITH lv AS (SELECT * FROM visits QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1)
 SELECT visit_id, arrival, departure, {_STAY.format(a='arrival', d='departure')} AS stay_minutes FROM lv
-WHERE {_STAY.format(a='arrival', d='departure')} <= 300""", ["visits"])
+WHERE {_STAY.format(a='arrival', d='departure')} <= 10000""", ["visits"])
 def stay_duration(spark, base):
     lv = PV.latest_visits(D.visits(spark, base), keep_deleted=True)
-    return PV.with_stay(lv, cap=300).select("visit_id", "arrival", "departure", "stay_minutes")
+    return PV.with_stay(lv, cap=10000).select("visit_id", "arrival", "departure", "stay_minutes")
 
 
 @q("recent_visits_clean", f"""
-WITH {_LATEST}
-SELECT visit_id, out_plate AS plate, timezone('Europe/London', arrival AT TIME ZONE 'UTC') AS local_arrival,
-  timezone('Europe/London', departure AT TIME ZONE 'UTC') AS local_departure,
-  {_STAY.format(a='arrival', d='departure')} AS stay_minutes
-FROM lv WHERE split_part(ors_id, '#', 3) = 'click' AND split_part(ors_id, '#', 1) = 'org3'
-  AND arrival >= TIMESTAMP '2024-01-10 00:00:00' AND arrival < TIMESTAMP '2024-01-21 00:00:00'""", ["visits"])
+WITH near AS (SELECT * FROM visits WHERE action <> 'deleted' AND split_part(ors_id, '#', 3) = 'click'
+              AND CAST(arrival AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'),
+newest AS (SELECT visit_id, max({{'u': updated, 'r': rev_id}}) AS m FROM near GROUP BY visit_id)
+SELECT n.visit_id, n.out_plate AS plate, timezone('Europe/London', n.arrival AT TIME ZONE 'UTC') AS local_arrival,
+  timezone('Europe/London', n.departure AT TIME ZONE 'UTC') AS local_departure,
+  {_STAY.format(a='n.arrival', d='n.departure')} AS stay_minutes
+FROM near n JOIN newest w ON n.visit_id = w.visit_id AND n.rev_id = w.m.r AND n.updated = w.m.u
+WHERE {_STAY.format(a='n.arrival', d='n.departure')} <= 10000""", ["visits"])
 def recent_visits_clean(spark, base):
-    v = D.visits(spark, base)
-    lv = PV.latest_visits(v)
-    lv = lv.where((key_part("ors_id", 2) == "click") & (key_part("ors_id", 0) == "org3")
-                  & day_range("arrival", "20240110", "20240120"))
-    return PV.with_stay(lv).select("visit_id", F.col("out_plate").alias("plate"),
-                                   local_time("arrival", "Europe/London").alias("local_arrival"),
-                                   local_time("departure", "Europe/London").alias("local_departure"), "stay_minutes")
+    """Filters first, then the newest revision of what is left (an older revision in range counts)."""
+    v = D.visits(spark, base).where((key_part("ors_id", 2) == "click") & day_range("arrival", "20240110", "20240120"))
+    return PV.with_stay(PV.latest_visits(v), cap=10000).select(
+        "visit_id", F.col("out_plate").alias("plate"), local_time("arrival", "Europe/London").alias("local_arrival"),
+        local_time("departure", "Europe/London").alias("local_departure"), "stay_minutes")
 
 
 REPEAT_SQL = f"""
@@ -91,29 +91,29 @@ def vehicle_profile(spark, base):
                                                        "colour": ("in_colour", "out_colour")})
 
 
-@q("visit_fact_build", f"""
-WITH v AS (SELECT * FROM visits WHERE action <> 'deleted'
+@q("visit_fact_build", """
+WITH v AS (SELECT * FROM visits WHERE action <> 'deleted' AND arrival >= TIMESTAMP '2024-01-03 00:00:00'
            QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated, rev_id) = 1),
-p AS (SELECT plate, greatest(start_time, response_time) AS valid_from,
-             CASE WHEN end_time IS NULL OR year(end_time) = 2099 THEN TIMESTAMP '2999-12-31 23:59:59' ELSE end_time END AS valid_to
-      FROM permits),
-w AS (SELECT DISTINCT v.visit_id FROM v JOIN p ON p.plate = coalesce(v.in_plate, v.out_plate)
-      AND v.arrival BETWEEN p.valid_from AND p.valid_to)
-SELECT v.visit_id, coalesce(v.in_plate, v.out_plate) AS plate, split_part(v.ors_id, '#', 1) AS org,
-  nullif(split_part(v.ors_id, '#', 3), '') AS site, z.timezone,
-  timezone(z.timezone, v.arrival AT TIME ZONE 'UTC') AS entry_time,
-  timezone(z.timezone, v.departure AT TIME ZONE 'UTC') AS exit_time,
-  {_STAY.format(a='v.arrival', d='v.departure')} AS stay_minutes, w.visit_id IS NOT NULL AS is_whitelisted
-FROM v LEFT JOIN w ON v.visit_id = w.visit_id LEFT JOIN org_timezone z ON z.org = split_part(v.ors_id, '#', 1)""",
-   ["visits", "permits", "org_timezone"])
+s AS (SELECT visit_id, coalesce(in_plate, out_plate) AS plate, ors_id, date_trunc('second', arrival) AS came,
+             date_trunc('second', departure) AS went FROM v),
+l AS (SELECT s.*, z.timezone, timezone(z.timezone, came AT TIME ZONE 'UTC') AS entry_time,
+             timezone(z.timezone, went AT TIME ZONE 'UTC') AS exit_time
+      FROM s LEFT JOIN org_timezone z ON z.org = split_part(ors_id, '#', 1))
+SELECT visit_id, plate, split_part(ors_id, '#', 1) AS org, nullif(split_part(ors_id, '#', 3), '') AS site, timezone,
+  entry_time, exit_time, round(date_diff('second', entry_time, exit_time) / 60, 1) AS stay_minutes,
+  EXISTS (SELECT 1 FROM exemptions e WHERE e.org || '#' || e.region || '#' || e.site = l.ors_id AND e.plate = l.plate
+          AND l.came >= date_trunc('second', CASE WHEN e.start_time < e.response_time THEN e.response_time ELSE e.start_time END)
+          AND (e.end_time IS NULL OR year(e.end_time) = 2099 OR l.came <= date_trunc('second', e.end_time))) AS is_whitelisted
+FROM l""", ["visits", "exemptions", "org_timezone"])
 def visit_fact_build(spark, base):
-    return PV.build_visit_fact(D.visits(spark, base), D.permits(spark, base), D.org_timezone(spark))
+    return PV.build_visit_fact(D.visits(spark, base), D.exemptions(spark, base), D.org_timezone(spark),
+                               since=dt.datetime(2024, 1, 3))
 
 
 @q("permit_normalise", """
-SELECT permit_id, plate, greatest(start_time, response_time) AS valid_from,
-  CASE WHEN end_time IS NULL OR year(end_time) = 2099 THEN TIMESTAMP '2999-12-31 23:59:59' ELSE end_time END AS valid_to,
-  sha256(concat_ws('|', plate, CAST(permit_id AS VARCHAR))) AS permit_hash
+SELECT permit_id, plate, date_trunc('second', CASE WHEN start_time < response_time THEN response_time ELSE start_time END) AS valid_from,
+  CASE WHEN end_time IS NULL OR year(end_time) = 2099 THEN TIMESTAMP '9999-12-31 00:00:00' ELSE date_trunc('second', end_time) END AS valid_to,
+  sha256(org || region || site || plate) AS permit_hash
 FROM permits""", ["permits"])
 def permit_normalise(spark, base):
     return PV.normalise_permits(D.permits(spark, base)).select("permit_id", "plate", "valid_from", "valid_to",
@@ -217,29 +217,26 @@ def visit_calendar_extract(spark, base):
 
 @q("hourly_vehicle_counts", f"""
 WITH {_LATEST},
-z AS (SELECT lv.*, t.timezone FROM lv LEFT JOIN org_timezone t ON t.org = split_part(lv.ors_id, '#', 1)),
-ev AS (SELECT ors_id, date_trunc('hour', timezone(timezone, arrival AT TIME ZONE 'UTC')) AS hour, 'in' AS kind,
-              coalesce(in_plate, out_plate) AS plate FROM z
-       UNION ALL
-       SELECT ors_id, date_trunc('hour', timezone(timezone, departure AT TIME ZONE 'UTC')), 'out', out_plate FROM z
-       WHERE departure IS NOT NULL)
-SELECT ors_id, hour, count(DISTINCT CASE WHEN kind = 'in' THEN plate END) AS vehicles_in,
-  count(DISTINCT CASE WHEN kind = 'out' THEN plate END) AS vehicles_out
-FROM ev GROUP BY ALL""", ["visits", "org_timezone"])
+z AS (SELECT lv.ors_id, lv.in_plate, lv.out_plate, timezone(t.timezone, arrival AT TIME ZONE 'UTC') AS came,
+             timezone(t.timezone, departure AT TIME ZONE 'UTC') AS went
+      FROM lv LEFT JOIN org_timezone t ON t.org = split_part(lv.ors_id, '#', 1))
+SELECT ors_id, date_trunc('hour', came) AS hour, count(DISTINCT in_plate) AS vehicles_in,
+  count(DISTINCT CASE WHEN date_trunc('hour', went) = date_trunc('hour', came) THEN out_plate END) AS vehicles_out
+FROM z WHERE came IS NOT NULL GROUP BY ALL""", ["visits", "org_timezone"])
 def hourly_vehicle_counts(spark, base):
+    """Distinct plates per site and local entry hour; a plate counts as out only
+    when it leaves in its entry hour, as the script compares both with that hour."""
     from kerbside.functions.values import with_timezone
     lv = PV.latest_visits(D.visits(spark, base)).withColumn("org", key_part("ors_id", 0))
     z = with_timezone(lv, "org", D.org_timezone(spark))
-    tz = F.col("timezone")
-    ev = z.select("ors_id", "timezone", F.explode(F.array(
-        F.struct(F.lit("in").alias("kind"), F.col("arrival").alias("t"),
-                 F.coalesce("in_plate", "out_plate").alias("plate")),
-        F.struct(F.lit("out").alias("kind"), F.col("departure").alias("t"), F.col("out_plate").alias("plate")),
-    )).alias("e")).where(F.col("e.t").isNotNull())
-    ev = ev.select("ors_id", F.date_trunc("hour", local_time(F.col("e.t"), tz)).cast("timestamp_ntz").alias("hour"),
-                   F.col("e.kind").alias("kind"), F.col("e.plate").alias("plate"))
+    hour = lambda c: F.date_trunc("hour", local_time(c, F.col("timezone"))).cast("timestamp_ntz")
+    z = z.select("ors_id", "in_plate", "out_plate", hour("arrival").alias("hour"), hour("departure").alias("__exit")) \
+         .where(F.col("hour").isNotNull())
     # distinct (site, hour, direction, plate) once, then conditional counts: the same
     # numbers as two COUNT(DISTINCT CASE ...) without expanding every row per distinct
-    ev = ev.where(F.col("plate").isNotNull()).distinct()
-    return ev.groupBy("ors_id", "hour").agg(F.count_if(F.col("kind") == "in").alias("vehicles_in"),
-                                            F.count_if(F.col("kind") == "out").alias("vehicles_out"))
+    ev = z.select("ors_id", "hour", F.explode(F.array(
+        F.struct(F.lit("in").alias("kind"), F.col("in_plate").alias("plate")),
+        F.struct(F.lit("out").alias("kind"), F.when(F.col("__exit") == F.col("hour"), F.col("out_plate")).alias("plate")),
+    )).alias("e")).select("ors_id", "hour", "e.kind", "e.plate").distinct()
+    seen = lambda k: F.count_if((F.col("kind") == k) & F.col("plate").isNotNull())
+    return ev.groupBy("ors_id", "hour").agg(seen("in").alias("vehicles_in"), seen("out").alias("vehicles_out"))

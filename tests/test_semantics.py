@@ -88,3 +88,76 @@ def test_stay_minutes_rounding(spark):
 def test_bucket_floor(spark):
     df = spark.createDataFrame([(ts("2024-01-01 10:29:59"),)], "t timestamp_ntz")
     assert df.select(T.bucket_floor("t", 900).alias("b")).first().b == ts("2024-01-01 10:15:00")
+
+
+def test_permit_normalise_key_end_and_seconds(spark):
+    from kerbside.plans.visits import normalise_permits
+    s, resp = ts("2024-01-01 10:00:00.700"), ts("2024-01-01 10:00:05.900")
+    df = spark.createDataFrame(
+        [("o", "r", "s", "P1", s, resp, None), ("o", "r", "s", "P1", s, None, ts("2099-02-01 00:00:00")),
+         ("o", None, "s", "P2", s, resp, ts("2024-02-01 00:00:00.500"))],
+        "org string, region string, site string, plate string, start_time timestamp_ntz, response_time timestamp_ntz, end_time timestamp_ntz")
+    a, b, c = normalise_permits(df).select("valid_from", "valid_to", "permit_hash").collect()
+    far = dt.datetime(9999, 12, 31)
+    assert (a.valid_from, a.valid_to) == (ts("2024-01-01 10:00:05"), far)
+    assert (b.valid_from, b.valid_to) == (ts("2024-01-01 10:00:00"), far)
+    assert (c.valid_to, c.permit_hash) == (ts("2024-02-01 00:00:00"), None)
+    assert a.permit_hash == b.permit_hash is not None
+
+
+def test_whitelist_needs_the_same_site(spark):
+    from kerbside.plans.visits import build_visit_fact
+    at = ts("2024-01-05 10:00:00")
+    visits = spark.createDataFrame(
+        [(1, 1, "o#r#s1", "P", "P", at, None, at, "upsert"), (2, 2, "o#r#s2", "P", "P", at, at + dt.timedelta(minutes=3), at, "upsert"),
+         (2, 3, "o#r#s2", "P", "P", at, at, at + dt.timedelta(hours=1), "upsert")],
+        "visit_id int, rev_id int, ors_id string, in_plate string, out_plate string, arrival timestamp_ntz, "
+        "departure timestamp_ntz, updated timestamp_ntz, action string")
+    permits = spark.createDataFrame([("o", "r", "s2", "P", ts("2024-01-01 00:00:00"), None, None)] * 2,
+                                    "org string, region string, site string, plate string, start_time timestamp_ntz, "
+                                    "response_time timestamp_ntz, end_time timestamp_ntz")
+    tz = spark.createDataFrame([("o", "Europe/London")], "org string, timezone string")
+    got = {r.visit_id: (r.is_whitelisted, r.stay_minutes) for r in build_visit_fact(visits, permits, tz).collect()}
+    assert got == {1: (False, None), 2: (True, 3.0)}
+
+
+def test_compliance_start_inside_period_keeps_every_plate(spark):
+    from kerbside.plans.permits import compliance
+    day = lambda m, d: dt.datetime(2024, m, d)
+    pay = spark.createDataFrame(
+        [(1, "o", "r", "s", p, day(3, 1), day(3, 8), 600, 5.0, 9.0, day(3, 1), "app#x") for p in ("A", "B")]
+        + [(1, "o", "r", "s", "A", day(3, 8), day(3, 15), 600, 5.0, 9.0, day(3, 1), "app#x"),
+           (2, "o", "r", "s", "C", day(1, 1), day(12, 1), 600, 5.0, 9.0, day(1, 1), "app#x")],
+        "transaction_id bigint, org string, region string, site string, plate string, start_time timestamp_ntz, end_time timestamp_ntz, "
+        "duration_seconds bigint, amount double, total_amount double, request_time timestamp_ntz, source string")
+    permits = spark.createDataFrame(
+        [(i, "o", "r", "s", "K", day(3, 2), day(3, 9), 1.0, day(3, 2), "permit", src) for i, src in
+         ((1, "web"), (1, "web"), (2, "o#r#s#cam"), (3, None))],
+        "permit_id bigint, org string, region string, site string, plate string, start_time timestamp_ntz, end_time timestamp_ntz, "
+        "amount double, request_time timestamp_ntz, kind string, source string")
+    got = compliance(permits, pay, "o", "r", "s", "20240301", "20240331", "UTC").collect()
+    assert sorted((r.record_type, r.plate, r.end_local, r.total_amount, r.duration, r.source) for r in got if r.total_amount) == [
+        ("payment", "A", day(3, 15), 9.0, 20.0, "app"), ("payment", "B", day(3, 8), 9.0, 10.0, "app")]
+    assert [(r.plate, r.permit_id) for r in got if r.record_type == "permit"] == [("K", "1")]
+
+
+def test_case_totals_repeat_on_each_breach(spark):
+    from kerbside.plans.cases import case_financials
+    b = "array<struct<ticket_id:int,fees:array<struct<amount:double>>,transactions:array<struct<amount:double>>>>"
+    t = ts("2024-01-05 10:00:00")
+    df = spark.createDataFrame([(1, 1, t, t, "UTC", t, t, [(1, [(10.0,)], None), (2, [(20.0,)], [(4.0,)]), (None, None, None)])],
+                               "id int, rev int, fact_ts timestamp_ntz, case_ts timestamp_ntz, timezone string, "
+                               f"arrival timestamp_ntz, departure timestamp_ntz, breaches {b}")
+    got = [(r.ticket_id, r.fees, r.receipts) for r in case_financials(df, "20240101", "20240131").collect()]
+    assert sorted(got) == [(1, 30.0, 4.0), (2, 30.0, 4.0)]
+
+
+def test_overnight_exit_stands_on_the_departure_day(spark):
+    from kerbside.plans.occupancy import split_overnight
+    df = spark.createDataFrame([(1, ts("2024-01-01 22:10:00"), ts("2024-01-04 06:50:00")), (2, ts("2024-01-01 22:10:00"), None),
+                                (3, ts("2024-01-01 08:10:00"), ts("2024-01-01 09:20:00"))],
+                               "id int, a timestamp_ntz, d timestamp_ntz")
+    got = {(r.id, r.part): (str(r.day), r.entry_hour and r.entry_hour.hour, r.exit_hour and r.exit_hour.hour)
+           for r in split_overnight(df, "a", "d", "UTC", ["id"]).collect()}
+    assert got == {(1, "entry"): ("2024-01-01", 22, None), (1, "exit"): ("2024-01-04", None, 6),
+                   (2, "entry"): ("2024-01-01", 22, None), (3, "entry"): ("2024-01-01", 8, 9)}
