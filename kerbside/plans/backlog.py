@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.functions.timefn import local_date
+from kerbside.functions.values import json_raw, json_text
 from kerbside.operators import windows as W
 
 
@@ -77,6 +79,24 @@ def first_transitions(df: DataFrame, key: str, label: str, ts: str, tiebreak=Non
     return W.earliest_by_key(df, [key, label], ts, tiebreak=tiebreak)
 
 
+def mail_transitions(actions: DataFrame, key: str, ts: str, data: str, user: str, tz: str, tiebreak=None) -> DataFrame:
+    """First move of each item into Unresolved and into Resolved, with day and user.
+
+    Only actions that carry mail labels count.  Unresolved set is
+    'Unresolved' (whatever Resolved says); Resolved set with Unresolved
+    cleared is 'Resolved'; other label sets are left out.  Days are local in ``tz``.
+    """
+    yes, no = (json_text(data, f"$.mailUpdate.labels.{n}") for n in ("Resolved", "Unresolved"))
+    kind = F.when(no == "true", "Unresolved").when((yes == "true") & (no == "false"), "Resolved")
+    c = actions.where(json_raw(data, "$.mailUpdate.labels").isNotNull()).select(
+        key, ts, *([tiebreak] if tiebreak else []), local_date(ts, tz).alias("day"),
+        json_text(user, "$.name").alias("user_name"), kind.alias("transition_type")).where("transition_type IS NOT NULL")
+    f = first_transitions(c, key, "transition_type", ts, tiebreak=tiebreak)
+    hit = lambda v: F.when(F.col("transition_type") == v, 1).otherwise(0)
+    return f.select("day", key, "user_name", "transition_type", hit("Unresolved").alias("unresolved_count"),
+                    hit("Resolved").alias("resolved_count"))
+
+
 def daily_status_counts(events: DataFrame, key: str, day: str, status: str, author: str | None = None) -> DataFrame:
     """Distinct items per (day, status), with the distinct authors of that day and status."""
     aggs = [F.count_distinct(key).alias("items")]

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.timefn import between_local_days, bucket_floor, local_time, parse_day
+from kerbside.functions.timefn import between_local_days, bucket_floor, local_time, parse_day, utc_time
 from kerbside.functions.values import greatest_strict, least_strict
 from kerbside.operators.grids import entity_grid
 
@@ -26,12 +26,18 @@ def _ts(x) -> Column:
     return F.lit(x).cast("timestamp_ntz")
 
 
-def slot_grid(entities: DataFrame, start, end, minutes: int = 15, name: str = "slot") -> DataFrame:
-    """Every entity x every ``minutes`` wall-clock slot from start 00:00 to end 23:59."""
+def slot_grid(entities: DataFrame, start, end, minutes: int = 15, name: str = "slot", tz=None) -> DataFrame:
+    """Every entity x every ``minutes`` wall-clock slot from start 00:00 to end 23:59.
+
+    With ``tz`` (a zone name or a column) only wall times that the zone has on
+    those days are kept, as stepping instants and naming them locally gives:
+    a 23-hour day has 92 quarter-hours; entities without a zone have none.
+    """
     s, e = parse_day(start), parse_day(end)
     lo = dt.datetime.combine(s, dt.time())
     hi = dt.datetime.combine(e, dt.time(23, 59, 59))
-    return entity_grid(entities, _ts(lo), _ts(hi), f"{minutes} minutes", name)
+    g = entity_grid(entities, _ts(lo), _ts(hi), f"{minutes} minutes", name)
+    return g if tz is None else g.where(local_time(utc_time(name, tz), tz) == F.col(name))
 
 
 def flow_counts(visits: DataFrame, site: str, plate: str, arrival: str, departure: str, tz: str,
@@ -82,7 +88,7 @@ def running_occupancy(visits: DataFrame, sites: DataFrame, site: str, plate: str
     s, e = parse_day(start), parse_day(end)
     base = visits.where(between_local_days(arrival, tz, s - dt.timedelta(days=1), e))
     flows = flow_counts(base, site, plate, arrival, departure, tz, minutes)
-    grid = slot_grid(sites, s, e, minutes)
+    grid = slot_grid(sites, s, e, minutes, tz=tz)
     g = zero_fill(grid, flows, [site, "slot"], ["entries", "exits"])
     g = g.withColumn("net", F.col("entries") - F.col("exits"))
     keys = [site] + ([F.to_date("slot")] if reset_daily else [])

@@ -145,14 +145,17 @@ def case_events(spark: SparkSession, base: str) -> DataFrame:
 
 
 def correspondence(spark: SparkSession, base: str) -> DataFrame:
-    """Correspondence actions with a JSON label."""
+    """Correspondence actions with a JSON label and the mail's label flags (some without flags)."""
     e = _events(spark, base)
     return e.select(
         F.col("event_id"),
         F.expr("concat('corr/', user_id % 60)").alias("uri"),
         F.col("ts"),
         F.expr("concat('{\"label\": \"', CASE WHEN k % 5 = 0 THEN 'Linked' WHEN k % 2 = 0 THEN 'Resolved' "
-               "ELSE 'Unresolved' END, '\"}')").alias("data"),
+               "ELSE 'Unresolved' END, '\"', CASE WHEN k % 7 = 0 THEN '' WHEN k % 5 = 0 THEN ', \"mailUpdate\": {\"labels\": {\"Linked\": \"true\"}}' "
+               "WHEN k % 2 = 0 THEN ', \"mailUpdate\": {\"labels\": {\"Resolved\": \"true\", \"Unresolved\": \"false\"}}' "
+               "WHEN k % 3 = 0 THEN ', \"mailUpdate\": {\"labels\": {\"Unresolved\": \"true\"}}' "
+               "ELSE ', \"mailUpdate\": {\"labels\": {\"Resolved\": \"false\", \"Unresolved\": \"true\"}}' END, '}')").alias("data"),
         F.expr("concat('{\"name\": \"user', k % 8, '\"}')").alias("user_json"),
     )
 

@@ -72,7 +72,11 @@ SELECT event_id, concat('case/', user_id) AS case_uri, ts,
 FROM {_EV}""",
     "correspondence": f"""
 SELECT event_id, concat('corr/', user_id % 60) AS uri, ts,
-  concat('{{"label": "', CASE WHEN k % 5 = 0 THEN 'Linked' WHEN k % 2 = 0 THEN 'Resolved' ELSE 'Unresolved' END, '"}}') AS data,
+  concat('{{"label": "', CASE WHEN k % 5 = 0 THEN 'Linked' WHEN k % 2 = 0 THEN 'Resolved' ELSE 'Unresolved' END, '"',
+    CASE WHEN k % 7 = 0 THEN '' WHEN k % 5 = 0 THEN ', "mailUpdate": {{"labels": {{"Linked": "true"}}}}'
+         WHEN k % 2 = 0 THEN ', "mailUpdate": {{"labels": {{"Resolved": "true", "Unresolved": "false"}}}}'
+         WHEN k % 3 = 0 THEN ', "mailUpdate": {{"labels": {{"Unresolved": "true"}}}}'
+         ELSE ', "mailUpdate": {{"labels": {{"Resolved": "false", "Unresolved": "true"}}}}' END, '}}') AS data,
   concat('{{"name": "user', k % 8, '"}}') AS user_json
 FROM {_EV}""",
     "permits": """

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.functions.timefn import local_date
+from kerbside.functions.timefn import between_local_days, local_date
 from kerbside.functions.values import json_text, key_part
 from kerbside.operators import joins as J
 from kerbside.operators import windows as W
-from kerbside.operators.aggregates import pivot_counts
 from kerbside.plans import backlog as PB
 from kerbside.plans import cases as PC
 from kerbside.plans.visits import latest_visits
@@ -203,17 +202,23 @@ def case_resolution_time(spark, base):
                     "ticket_id")
 
 
-@q("correspondence_transitions", """
-WITH c AS (SELECT event_id, uri, ts, json_extract_string(data, '$.label') AS label FROM correspondence),
-f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY uri, label ORDER BY ts, event_id) = 1)
-SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, count_if(label = 'Linked') AS "Linked",
-  count_if(label = 'Resolved') AS "Resolved", count_if(label = 'Unresolved') AS "Unresolved"
-FROM f GROUP BY day""", ["correspondence"])
+@q("correspondence_transitions", f"""
+WITH c AS (SELECT uri, ts, event_id, CAST(timezone('{NZ}', ts AT TIME ZONE 'UTC') AS DATE) AS d,
+                  json_extract_string(user_json, '$.name') AS user_name,
+                  json_extract_string(data, '$.mailUpdate.labels.Resolved') AS yes,
+                  json_extract_string(data, '$.mailUpdate.labels.Unresolved') AS no
+           FROM correspondence WHERE json_extract(data, '$.mailUpdate.labels') IS NOT NULL),
+k AS (SELECT *, CASE WHEN no = 'true' AND yes IS DISTINCT FROM 'true' THEN 'Unresolved'
+                     WHEN yes = 'true' AND no = 'false' THEN 'Resolved' WHEN no = 'true' THEN 'Unresolved' END AS kind
+      FROM c WHERE d BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'),
+f AS (SELECT uri, kind, min(struct_pack(d := d, t := ts, e := event_id, u := user_name)) AS m FROM k WHERE kind IS NOT NULL GROUP BY ALL)
+SELECT strftime(m.d, '%Y-%m-%d') AS day, uri, m.u AS user_name, kind AS transition_type,
+  CASE WHEN kind = 'Unresolved' THEN 1 ELSE 0 END AS unresolved_count, CASE WHEN kind = 'Resolved' THEN 1 ELSE 0 END AS resolved_count
+FROM f""", ["correspondence"])
 def correspondence_transitions(spark, base):
-    c = D.correspondence(spark, base).select("event_id", "uri", "ts", json_text("data", "$.label").alias("label"))
-    f = PB.first_transitions(c, "uri", "label", "ts", tiebreak="event_id")
-    return pivot_counts(f.select(day_text(F.to_date("ts")).alias("day"), "label"), ["day"], "label",
-                        ["Linked", "Resolved", "Unresolved"])
+    c = D.correspondence(spark, base).where(between_local_days("ts", NZ, "20240105", "20240125"))
+    t = PB.mail_transitions(c, "uri", "ts", "data", "user_json", NZ, tiebreak="event_id")
+    return t.withColumn("day", day_text("day"))
 
 
 _DAILY_STATUS = """

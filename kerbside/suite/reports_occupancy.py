@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kerbside.functions.timefn import bucket_floor, local_time, utc_time
+from kerbside.functions.timefn import between_local_days, bucket_floor, local_time, utc_time
 from kerbside.functions.values import key_part, with_timezone
 from kerbside.plans import occupancy as PO
 from kerbside.plans.visits import latest_visits
@@ -38,21 +38,34 @@ _LATEST = """lv AS (SELECT * FROM visits WHERE action <> 'deleted'
   QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1)"""
 
 
-def _lv(spark, base):
-    return latest_visits(D.visits(spark, base)).withColumn("plate", F.coalesce("in_plate", "out_plate"))
+def _newest(start: str, end: str) -> str:
+    """Newest revision among those that arrive on local days in [start, end]."""
+    return f"""lv AS (SELECT * FROM visits WHERE action <> 'deleted' AND CAST({_loc('arrival')} AS DATE) BETWEEN DATE '{start}' AND DATE '{end}'
+  QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1)"""
+
+
+def _lv(spark, base, start=None, end=None):
+    """Newest revision of each visit; the local-day bounds apply before the ranking and reach the scan."""
+    v = D.visits(spark, base)
+    if start is not None:
+        v = v.where(between_local_days("arrival", NZ, start, end))
+    return latest_visits(v).withColumn("plate", F.coalesce("in_plate", "out_plate"))
 
 
 @q("time_grid", """
-WITH s AS (SELECT DISTINCT v.ors_id, z.timezone FROM visits v LEFT JOIN org_timezone z ON z.org = split_part(v.ors_id, '#', 1)),
-g AS (SELECT ors_id, timezone, unnest(generate_series(TIMESTAMP '2024-01-15 00:00:00', TIMESTAMP '2024-01-15 23:59:59',
-                                                       INTERVAL 15 MINUTE)) AS slot FROM s)
-SELECT ors_id, slot AS slot_local, timezone('UTC', slot AT TIME ZONE timezone) AS slot_utc, strftime(slot, '%H:%M') AS slot_label
-FROM g""", ["visits", "org_timezone"])
+WITH s AS (SELECT DISTINCT v.ors_id, z.timezone FROM visits v JOIN org_timezone z ON z.org = split_part(v.ors_id, '#', 1)),
+u AS (SELECT ors_id, timezone, unnest(generate_series(timezone('UTC', timezone(timezone, TIMESTAMP '2024-03-31 00:00:00')),
+                                                       timezone('UTC', timezone(timezone, TIMESTAMP '2024-03-31 23:59:59')),
+                                                       INTERVAL 15 MINUTE)) AS slot_utc FROM s),
+g AS (SELECT ors_id, slot_utc, timezone(timezone, slot_utc AT TIME ZONE 'UTC') AS slot_local FROM u)
+SELECT ors_id, slot_local, slot_utc, strftime(slot_local, '%H:%M') AS slot_label FROM g""", ["visits", "org_timezone"])
 def time_grid(spark, base):
+    """The day on which Europe's clocks go forward: 92 slots there, 96 elsewhere."""
     v = D.visits(spark, base).select("ors_id").distinct().withColumn("org", key_part("ors_id", 0))
     s = with_timezone(v, "org", D.org_timezone(spark)).drop("org")
-    g = PO.slot_grid(s, "20240115", "20240115", 15, "slot_local")
-    return g.select("ors_id", "slot_local", utc_time("slot_local", F.col("timezone")).alias("slot_utc"),
+    tz = F.col("timezone")
+    g = PO.slot_grid(s, "20240331", "20240331", 15, "slot_local", tz=tz)
+    return g.select("ors_id", "slot_local", utc_time("slot_local", tz).alias("slot_utc"),
                     F.date_format("slot_local", "HH:mm").alias("slot_label"))
 
 
@@ -129,7 +142,7 @@ def expand_status(spark, base):
 
 
 @q("dense_zero_fill", f"""
-WITH {_LATEST},
+WITH {_newest('2024-01-10', '2024-01-10')},
 g AS (SELECT ors_id, unnest(generate_series(TIMESTAMP '2024-01-10 00:00:00', TIMESTAMP '2024-01-10 23:59:59',
                                             INTERVAL 1 HOUR)) AS hour FROM (SELECT DISTINCT ors_id FROM visits)),
 f AS (SELECT ors_id, date_trunc('hour', {_loc('arrival')}) AS hour, count(*) AS entries FROM lv GROUP BY ALL)
@@ -138,16 +151,15 @@ SELECT g.ors_id, g.hour, coalesce(f.entries, 0) AS entries FROM g LEFT JOIN f ON
 def dense_zero_fill(spark, base):
     sites = D.visits(spark, base).select("ors_id").distinct()
     grid = PO.slot_grid(sites, "20240110", "20240110", 60, "hour")
-    f = (_lv(spark, base).groupBy("ors_id", F.date_trunc("hour", local_time("arrival", NZ))
+    f = (_lv(spark, base, "20240110", "20240110").groupBy("ors_id", F.date_trunc("hour", local_time("arrival", NZ))
                                   .cast("timestamp_ntz").alias("hour"))
          .agg(F.count(F.lit(1)).alias("entries")))
     return PO.zero_fill(grid, f, ["ors_id", "hour"], ["entries"])
 
 
 _BASE_SQL = f"""
-{_LATEST},
-base AS (SELECT ors_id, coalesce(in_plate, out_plate) AS plate, arrival, departure FROM lv
-         WHERE CAST({_loc('arrival')} AS DATE) BETWEEN DATE '2024-01-09' AND DATE '2024-01-11'),
+{_newest('2024-01-09', '2024-01-11')},
+base AS (SELECT ors_id, coalesce(in_plate, out_plate) AS plate, arrival, departure FROM lv),
 ev AS (SELECT DISTINCT ors_id, plate, 'entry' AS dir, {_b(_loc('arrival'))} AS slot FROM base
        UNION
        SELECT DISTINCT ors_id, plate, 'exit' AS dir, {_b(_loc('departure'))} AS slot FROM base WHERE departure IS NOT NULL),
@@ -162,10 +174,7 @@ g AS (SELECT grid.ors_id, grid.slot, coalesce(entries, 0) AS entries, coalesce(e
 WITH {_BASE_SQL}
 SELECT ors_id, slot, entries, exits FROM flows""", ["visits"])
 def entry_exit_counts(spark, base):
-    from kerbside.functions.timefn import between_local_days
-    lv = _lv(spark, base)
-    b = lv.where(between_local_days("arrival", NZ, "20240109", "20240111"))
-    return PO.flow_counts(b, "ors_id", "plate", "arrival", "departure", NZ)
+    return PO.flow_counts(_lv(spark, base, "20240109", "20240111"), "ors_id", "plate", "arrival", "departure", NZ)
 
 
 @q("occupancy_running", f"""
@@ -179,7 +188,7 @@ SELECT g.ors_id, g.slot, g.entries, g.exits,
 FROM g LEFT JOIN op ON g.ors_id = op.ors_id""", ["visits"])
 def occupancy_running(spark, base):
     sites = D.visits(spark, base).select("ors_id").distinct()
-    return PO.running_occupancy(_lv(spark, base), sites, "ors_id", "plate", "arrival", "departure", NZ,
+    return PO.running_occupancy(_lv(spark, base, "20240109", "20240111"), sites, "ors_id", "plate", "arrival", "departure", NZ,
                                 "20240110", "20240111")
 
 
@@ -191,7 +200,7 @@ SELECT ors_id, slot, entries, exits,
 FROM g""", ["visits"])
 def occupancy_daily_reset(spark, base):
     sites = D.visits(spark, base).select("ors_id").distinct()
-    return PO.running_occupancy(_lv(spark, base), sites, "ors_id", "plate", "arrival", "departure", NZ,
+    return PO.running_occupancy(_lv(spark, base, "20240109", "20240111"), sites, "ors_id", "plate", "arrival", "departure", NZ,
                                 "20240110", "20240111", reset_daily=True)
 
 

@@ -208,12 +208,13 @@ def sites_without_breach(spark, base):
 
 @q("site_metrics", f"""
 WITH lv AS (SELECT * FROM visits WHERE action <> 'deleted'
+              AND CAST(timezone('{UK}', arrival AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'
             QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1),
 g AS (SELECT ors_id, unnest(generate_series(DATE '2024-01-10', DATE '2024-01-16', INTERVAL 1 DAY))::DATE AS day
       FROM (SELECT DISTINCT ors_id FROM visits)),
 pm AS (SELECT concat(org, '#', region, '#', site) AS ors_id, CAST(timezone('{UK}', start_time AT TIME ZONE 'UTC') AS DATE) AS day,
               sum(accepted) / nullif(sum(total), 0) AS match_rate, sum(total) AS footfall FROM process_metrics GROUP BY ALL),
-rf AS (SELECT ors_id, CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) AS day, count_if(entry) AS raw_footfall
+rf AS (SELECT ors_id, CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) AS day, count(entry) / 2 AS raw_footfall
        FROM plate_events GROUP BY ALL),
 vs AS (SELECT ors_id, CAST(timezone('{UK}', arrival AT TIME ZONE 'UTC') AS DATE) AS day, count(*) AS visits,
               round(avg(coalesce(round(date_diff('second', arrival, departure) / 60, 1), 0)), 6) AS avg_stay
@@ -224,7 +225,8 @@ SELECT g.ors_id, strftime(g.day, '%Y-%m-%d') AS day, round(pm.match_rate, 6) AS
 FROM g LEFT JOIN pm ON g.ors_id = pm.ors_id AND g.day = pm.day LEFT JOIN rf ON g.ors_id = rf.ors_id AND g.day = rf.day
 LEFT JOIN vs ON g.ors_id = vs.ors_id AND g.day = vs.day""", ["visits", "process_metrics", "plate_events"])
 def site_metrics(spark, base):
-    """Per site and local day: match rate, footfall, raw footfall, visits and mean stay.
+    """Per site and local day: match rate, footfall, raw footfall (half of
+    the entry and exit reads), visits and mean stay.
 
     Pre-aggregates (one row per site and day each) are left-joined to a
     generated site x day grid, missing measures count 0.  Notice counts,
@@ -232,21 +234,22 @@ def site_metrics(spark, base):
     site keys and dates than the derived visit data, so the join would be
     empty (see the notice reports for those measures).
     """
-    from kerbside.functions.timefn import local_date, stay_minutes
+    from kerbside.functions.timefn import between_local_days, local_date, stay_minutes
     from kerbside.operators.grids import entity_grid
+    first, last = "20240110", "20240116"  # pushed below every aggregate
     sites = D.visits(spark, base).select("ors_id").distinct()
     grid = entity_grid(sites, F.lit(dt.date(2024, 1, 10)), F.lit(dt.date(2024, 1, 16)), "1 day", "day")
-    pm = (D.process_metrics(spark, base)
+    pm = (D.process_metrics(spark, base).where(between_local_days("start_time", UK, first, last))
           .groupBy(F.concat_ws("#", "org", "region", "site").alias("ors_id"), local_date("start_time", UK).alias("day"))
           .agg(F.try_divide(F.sum("accepted"), F.sum("total")).alias("match_rate"), F.sum("total").alias("footfall")))
-    rf = (D.plate_events(spark, base).groupBy("ors_id", local_date("ts", UK).alias("day"))
-          .agg(F.count_if("entry").alias("raw_footfall")))
-    vs = (latest_visits(D.visits(spark, base)).groupBy("ors_id", local_date("arrival", UK).alias("day"))
+    rf = (D.plate_events(spark, base).where(between_local_days("ts", UK, first, last))
+          .groupBy("ors_id", local_date("ts", UK).alias("day")).agg((F.count("entry") / 2).alias("raw_footfall")))
+    vs = (latest_visits(D.visits(spark, base).where(between_local_days("arrival", UK, first, last))).groupBy("ors_id", local_date("arrival", UK).alias("day"))
           .agg(F.count(F.lit(1)).alias("visits"), F.round(F.avg(stay_minutes("arrival", "departure")), 6).alias("avg_stay")))
     j = grid.join(pm, ["ors_id", "day"], "left").join(rf, ["ors_id", "day"], "left").join(vs, ["ors_id", "day"], "left")
     return j.select("ors_id", day_text("day").alias("day"), r6("match_rate").alias("match_rate"),
                     F.coalesce("footfall", F.lit(0)).alias("footfall"),
-                    F.coalesce("raw_footfall", F.lit(0)).alias("raw_footfall"),
+                    F.coalesce("raw_footfall", F.lit(0.0)).alias("raw_footfall"),
                     F.coalesce("visits", F.lit(0)).alias("visits"), "avg_stay")
 
 

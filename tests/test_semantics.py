@@ -161,3 +161,35 @@ def test_overnight_exit_stands_on_the_departure_day(spark):
            for r in split_overnight(df, "a", "d", "UTC", ["id"]).collect()}
     assert got == {(1, "entry"): ("2024-01-01", 22, None), (1, "exit"): ("2024-01-04", None, 6),
                    (2, "entry"): ("2024-01-01", 22, None), (3, "entry"): ("2024-01-01", 8, 9)}
+
+
+def test_slots_of_short_and_long_days(spark):
+    from kerbside.plans.occupancy import slot_grid
+    ent = spark.createDataFrame([("a", "Europe/London"), ("b", "Asia/Tokyo"), ("c", None)], "site string, tz string")
+    count = lambda day: {r.site: r["count"] for r in
+                         slot_grid(ent, day, day, 15, tz=F.col("tz")).groupBy("site").count().collect()}
+    assert count("20240331") == {"a": 92, "b": 96}
+    assert count("20241027") == {"a": 96, "b": 96}
+
+
+def test_mail_label_rule_and_local_day(spark):
+    from kerbside.plans.backlog import mail_transitions
+    rows = [(1, "u", "2024-01-05 20:00:00", '{"mailUpdate": {"labels": {"Unresolved": "true"}}}'),
+            (2, "u", "2024-01-06 01:00:00", '{"mailUpdate": {"labels": {"Resolved": "true", "Unresolved": "false"}}}'),
+            (3, "u", "2024-01-07 01:00:00", '{"mailUpdate": {"labels": {"Resolved": "false", "Unresolved": "true"}}}'),
+            (4, "v", "2024-01-06 01:00:00", '{"mailUpdate": {"labels": {"Linked": "true"}}}'),
+            (5, "w", "2024-01-06 01:00:00", '{"label": "Resolved"}')]
+    df = spark.createDataFrame([(i, u, ts(t), d, '{"name": "n%d"}' % i) for i, u, t, d in rows],
+                               "event_id int, uri string, ts timestamp_ntz, data string, user_json string")
+    got = mail_transitions(df, "uri", "ts", "data", "user_json", "Pacific/Auckland", tiebreak="event_id").collect()
+    assert sorted((str(r.day), r.uri, r.user_name, r.unresolved_count, r.resolved_count) for r in got) == [
+        ("2024-01-06", "u", "n1", 1, 0), ("2024-01-06", "u", "n2", 0, 1)]
+
+
+def test_resolution_keeps_pairs_and_final_author(spark):
+    from kerbside.plans.backlog import resolution_pairs, resolution_times
+    df = spark.createDataFrame([(i, "c", ts(f"2024-01-0{i} 10:00:00"), s, a) for i, s, a in
+                                ((1, "Open", "x"), (2, "Pending", "p"), (3, "Open", "y"), (4, "Resolved", "z"), (5, "Open", "q"))],
+                               "e int, c string, t timestamp_ntz, s string, a string")
+    r = resolution_pairs(resolution_times(df, "c", "t", "s", "a", tiebreak="e"), "s", "a", "Open", "Resolved").collect()
+    assert sorted((x.e, x.final_author, x.days_to_next) for x in r) == [(3, "z", 1), (4, "z", 1)]
