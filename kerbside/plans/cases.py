@@ -33,7 +33,7 @@ SUBSTATE_LABELS = {
 
 def site_group(groups: str = "groups", field: str = "group_ref") -> Column:
     """The 'site' entry of a groups array (first one), without exploding groups."""
-    return F.filter(groups, lambda g: F.lower(g["type"]) == "site")[0][field]
+    return F.get(F.filter(groups, lambda g: F.lower(g["type"]) == "site"), F.lit(0))[field]
 
 
 def excluded_case_ids(cases: DataFrame, substates: Iterable[str], reasons: Iterable[str]) -> DataFrame:
@@ -65,7 +65,7 @@ def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reas
     c = J.anti_null_aware(c, excluded_case_ids(heads, exclude_substates, exclude_reasons), "id")
     # narrow the row before ranking: the ranking aggregate carries only scalars
     b = J.explode_keep(c.select("id", "rev", "state", "timezone", "fact_ts", site_group().alias("site_ref"),
-                                F.coalesce(F.col("substate"), F.col("sub_states")[0]).alias("upd"), "breaches"),
+                                F.coalesce(F.col("substate"), F.get("sub_states", F.lit(0))).alias("upd"), "breaches"),
                        "breaches", "b").select("id", "rev", "state", "timezone", "fact_ts", "site_ref", "upd",
                                                F.col("b.ticket_id").alias("ticket_id"))
     cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak="rev")
@@ -75,6 +75,11 @@ def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reas
         "site_ref", "ticket_id", recode("upd", labels).alias("status"))
 
 
+def case_total(field: str) -> Column:
+    """Sum of ``amount`` over a nested array of every breach of the case; NULL without any."""
+    return J.sum_array(F.flatten(F.transform("breaches", lambda b: F.coalesce(b[field], F.array()))), "amount")
+
+
 def case_financials(cases: DataFrame, start, end) -> DataFrame:
     """Newest fact per (case, breach) with the whole case's fee and receipt totals and local times.
 
@@ -84,10 +89,7 @@ def case_financials(cases: DataFrame, start, end) -> DataFrame:
     """
     from kerbside.functions.timefn import local_date, parse_day
 
-    def total(field: str) -> Column:
-        return J.sum_array(F.flatten(F.transform("breaches", lambda b: F.coalesce(b[field], F.array()))), "amount")
-
-    b = J.explode_drop(cases.withColumns({"__fees": total("fees"), "__paid": total("transactions")}), "breaches", "b").select(
+    b = J.explode_drop(cases.withColumns({"__fees": case_total("fees"), "__paid": case_total("transactions")}), "breaches", "b").select(
         "id", "rev", "fact_ts", "case_ts", "timezone", "arrival", "departure", F.col("b.ticket_id").alias("ticket_id"),
         F.col("__fees").alias("fees"), F.col("__paid").alias("receipts")).where(F.col("ticket_id").isNotNull())
     cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak=["rev", "fees", "receipts"])
@@ -108,43 +110,77 @@ def newest_revision(cases: DataFrame, inner: Column | None = None, heads: DataFr
     return W.latest_ties(cases, "id", "rev", inner=inner, source=heads)
 
 
-def monthly_kpi(cases: DataFrame, heads: DataFrame | None = None) -> DataFrame:
-    """Monthly notices, paid and cancelled, with the previous existing month's values.
+# Sub-states of the monthly report.
+PAID_SUBSTATES = ("breach-paid-direct", "bankpayment", "paid-online", "paid_online", "paidonline")
+CANCELLED_SUBSTATES = ("nip", "svc-cancel", "breachError", "lprError", "noownershipdetails", "updatedownershipdetails")
 
-    notices / paid are distinct counts; cancelled counts exploded rows (as
-    the reference does).  The month lag runs over the monthly aggregate
-    (one row per month), so its single window partition is tiny.
+
+def monthly_kpi(cases: DataFrame, start, end, tz: str, paid: Iterable[str] = PAID_SUBSTATES,
+                cancelled: Iterable[str] = CANCELLED_SUBSTATES) -> DataFrame:
+    """Notices, paid and cancelled per site and local month, with the site's previous existing month.
+
+    Every revision counts, as in the script; the period is on the UTC day.
+    Notices and paid are distinct breaches (paid: sub-state in the list, any
+    letter case, and state 'Closed'); cancelled counts exploded rows whose
+    sub-state is in its list as written.  The lag is a window per site over
+    its months.  Sites with one name under two parents are kept apart.
     """
-    cur = newest_revision(cases, heads=heads)
-    b = J.explode_keep(cur, "breaches", "b")
-    m = b.groupBy(F.date_format("case_ts", "yyyy-MM").alias("month")).agg(
-        F.count_distinct("b.ticket_id").alias("notices"),
-        F.count_distinct(F.when(F.col("substate") == "paid", F.col("id"))).alias("paid"),
-        F.count_if(F.col("substate") == "cancelled").alias("cancelled"))
-    # months are few: a global window over the aggregate
-    return W.with_previous(m.withColumn("__all", F.lit(1)), "__all", "month", ["notices", "paid", "cancelled"]) \
-            .drop("__all")
-
-
-def foreign_notices(cases: DataFrame, home: Iterable[str], heads: DataFrame | None = None) -> DataFrame:
-    """Notices at the newest revision whose vehicle is registered outside ``home``.
-
-    ``state NOT IN home`` drops NULL states too (three-valued logic).  The
-    measure is the number of exploded rows per site and month.
+    from kerbside.functions.timefn import day_range
+    b = J.explode_keep(cases.where(day_range("case_ts", start, end)).select(
+        "state", "substate", "case_ts", site_group().alias("site_ref"), site_group(field="name").alias("site_name"), "breaches"),
+        "breaches", "b").where(F.col("site_ref").isNotNull())
+    ticket = F.col("b.ticket_id")
+    done = F.lower("substate").isin(list(paid)) & (F.col("state") == "Closed")
+    m = b.groupBy("site_ref", "site_name", F.date_format(local_time("case_ts", tz), "yyyy-MM").alias("month")).agg(
+        F.count_distinct(ticket).alias("notices"), F.count_distinct(F.when(done, ticket)).alias("paid"),
+        F.count_if(ticket.isNotNull() & F.col("substate").isin(list(cancelled))).alias("cancelled"))
+    return W.with_previous(m, ["site_ref", "site_name"], "month", ["notices", "paid", "cancelled"])
+
+
+def foreign_notices(cases: DataFrame, home: Iterable[str], start, end, tz: str, heads: DataFrame | None = None) -> DataFrame:
+    """Open notices whose vehicle is registered outside ``home``, with whole-case value and receipts.
+
+    Newest revision of each case among those whose case day (local in
+    ``tz``) lies in the period.  State 'closed', sub-states breachError and
+    nip, and NULLs in any of the three tests drop the row (three-valued
+    logic).  Equal rows are one; ``foreign_rows`` is how many it stands for.
     """
-    cur = newest_revision(cases, heads=heads)
-    cur = cur.where(~F.col("vehicle.state").isin(list(home)))
-    b = J.explode_keep(cur, "breaches", "b")
-    return b.groupBy(site_group(field="name").alias("site_name"), F.date_format("case_ts", "yyyy-MM").alias("month")) \
-            .agg(F.count(F.lit(1)).alias("notices"),
-                 F.array_join(F.sort_array(F.collect_set("vehicle.state")), ",").alias("states"))
-
-
-def receipts(ledger: DataFrame, cap: float = 875.0) -> DataFrame:
-    """First ledger line per breach, debit clipped to the base fee (>= cap → cap, else 0); zeros dropped."""
-    first = W.earliest_by_key(ledger, "breach_id", "time", tiebreak=["line_no", "debit"])
-    base = F.when(F.col("debit") >= cap, F.lit(cap)).otherwise(F.lit(0.0))
-    return first.select("breach_id", "time", base.alias("base_fee")).where(F.col("base_fee") != 0)
+    from kerbside.functions.timefn import between_local_days
+    cur = newest_revision(cases, inner=between_local_days("case_ts", tz, start, end), heads=heads)
+    cur = cur.where((F.col("state") != "closed") & (F.col("substate") != "breachError") & (F.col("substate") != "nip")
+                    & ~F.col("vehicle.state").isin(list(home)))
+    local = lambda c: F.date_trunc("second", local_time(c, F.col("timezone"))).cast("timestamp_ntz")
+    b = J.explode_keep(cur.withColumns({"value": case_total("fees"), "receipts": case_total("transactions")}), "breaches", "b")
+    return b.groupBy("id", "rev", "state", "substate", local("case_ts").alias("case_local"),
+                     local("b.issuing_time").alias("issuing_local"), F.col("vehicle.state").alias("vehicle_state"),
+                     "organization", "value", "receipts").agg(F.count(F.lit(1)).alias("foreign_rows"))
+
+
+def _clip(amount: str, cap: float) -> Column:
+    return F.when(F.col(amount) >= cap, F.lit(cap)).otherwise(F.lit(0.0))
+
+
+def debit_receipts(ledger: DataFrame, site: str, start, end, tz: str, since, cap: float = 875.0) -> DataFrame:
+    """Every ledger line of a site on local days in the period, debit clipped to the base fee
+    (>= cap → cap, else 0); zeros dropped.  ``since`` bounds the UTC day."""
+    from kerbside.functions.timefn import between_local_days, parse_day
+    lines = ledger.where((F.col("site") == site) & (F.to_date("time") >= F.lit(parse_day(since)))
+                         & between_local_days("time", tz, start, end))
+    return lines.select("breach_id", "line_no", "site", "time", "transaction_type", "description",
+                        _clip("debit", cap).alias("base_fee")).where(F.col("base_fee") != 0)
+
+
+def credit_receipts(ledger: DataFrame, site: str, start, end, tz: str, since, cap: float = 875.0) -> DataFrame:
+    """First ledger line per (site, breach) from ``since`` (UTC day) on, if it has a credit and lies between
+    the local midnights of ``start`` and ``end``; credit clipped to the base fee."""
+    from kerbside.functions.timefn import parse_day
+    first = W.earliest_by_key(ledger.where((F.col("site") == site) & (F.to_date("time") >= F.lit(parse_day(since)))),
+                              ["site", "breach_id"], "time", tiebreak=["line_no", "credit", "debit"])
+    at = local_time("time", tz)
+    lo, hi = (F.lit(parse_day(d)).cast("timestamp_ntz") for d in (start, end))
+    return first.where(at.between(lo, hi) & (F.col("credit") != 0)).select(
+        "breach_id", "line_no", "site", at.alias("updated"), "transaction_type", "description", "credit",
+        _clip("credit", cap).alias("amount"))
 
 
 def reconcile(cases: DataFrame, ledger: DataFrame, newest_line_only: bool = False) -> DataFrame:

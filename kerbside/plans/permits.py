@@ -62,11 +62,11 @@ def compliance(permits: DataFrame, payments: DataFrame, org: str, region: str, s
     ls, le = local_time("start_time", tz), local_time("end_time", tz)
     valid = (F.to_date(le) >= F.lit(s)) & (F.to_date(ls) <= F.lit(e))
     p = permits.where(site_f & utc_day.between(F.lit(s - dt.timedelta(days=1)), F.lit(e + dt.timedelta(days=1)))
-                      & ~F.col("source").startswith(f"{org}#{region}#{site}#"))
+                      & ~F.col("permit_source").startswith(f"{org}#{region}#{site}#"))
     p = W.earliest_by_key(p, ["plate", "permit_id"], "request_time", tiebreak=["start_time", "end_time", "amount"])
     p = p.where(valid).select(F.col("kind").alias("record_type"), "plate", "start_time", "end_time", "request_time", "amount",
                               F.lit(None).cast("double").alias("total_amount"), F.lit(None).cast("bigint").alias("transaction_id"),
-                              F.col("permit_id").cast("string").alias("permit_id"), "source",
+                              F.col("permit_id").cast("string").alias("permit_id"), F.col("permit_source").alias("source"),
                               F.lit(None).cast("double").alias("duration"))
     wide = utc_day.between(F.add_months(F.lit(s), -reach_months), F.add_months(F.lit(e), reach_months))
     c = A.consolidate(payments.where(site_f & wide), ["transaction_id", "plate", "request_time", "source"], "start_time",

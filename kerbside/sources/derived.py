@@ -181,7 +181,7 @@ def permits(spark: SparkSession, base: str) -> DataFrame:
                "WHEN '3-MEDIUM' THEN 100.0D WHEN '4-NOT SPECIFIED' THEN 0.0D ELSE 5.0D END").alias("amount"),
         F.expr("CASE WHEN o_orderstatus = 'P' THEN 'exemption' ELSE 'permit' END").alias("kind"),
         F.expr("CASE o_orderkey % 5 WHEN 0 THEN concat('org', o_custkey % 7, '#r', o_custkey % 5, '#S', o_custkey % 20, '#cam') "
-               "WHEN 1 THEN 'console' WHEN 2 THEN 'app' WHEN 3 THEN 'import' END").alias("source"),
+               "WHEN 1 THEN 'console' WHEN 2 THEN 'app' WHEN 3 THEN 'import' END").alias("permit_source"),
     )
 
 

@@ -91,7 +91,7 @@ SELECT o_orderkey AS permit_id, concat('org', o_custkey % 7) AS org, concat('r',
     WHEN '3-MEDIUM' THEN 100.0::DOUBLE WHEN '4-NOT SPECIFIED' THEN 0.0::DOUBLE ELSE 5.0::DOUBLE END AS amount,
   CASE WHEN o_orderstatus = 'P' THEN 'exemption' ELSE 'permit' END AS kind,
   CASE o_orderkey % 5 WHEN 0 THEN concat('org', o_custkey % 7, '#r', o_custkey % 5, '#S', o_custkey % 20, '#cam')
-    WHEN 1 THEN 'console' WHEN 2 THEN 'app' WHEN 3 THEN 'import' END AS source
+    WHEN 1 THEN 'console' WHEN 2 THEN 'app' WHEN 3 THEN 'import' END AS permit_source
 FROM orders""",
     "exemptions": f"""
 SELECT event_id AS permit_id, concat('org', user_id % 7) AS org, concat('r', k % 5) AS region, event_type AS site,

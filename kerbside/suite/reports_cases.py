@@ -75,24 +75,37 @@ def case_financials(spark, base):
     return f.withColumns({"fees": r6("fees"), "receipts": r6("receipts")})
 
 
+_DK = "Europe/Copenhagen"
+
+
 @q("monthly_kpi", f"""
-WITH {_NEWEST},
-m AS (SELECT strftime(case_ts, '%Y-%m') AS month, count(DISTINCT ticket_id) AS notices,
-             count(DISTINCT CASE WHEN substate = 'paid' THEN id END) AS paid, count_if(substate = 'cancelled') AS cancelled
-      FROM cur GROUP BY month)
+WITH b AS (SELECT *, timezone('{_DK}', case_ts AT TIME ZONE 'UTC') AS seen FROM case_lines
+           WHERE CAST(case_ts AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'),
+m AS (SELECT site_ref, site_name, strftime(seen, '%Y-%m') AS month, count(DISTINCT ticket_id) AS notices,
+             count(DISTINCT ticket_id) FILTER (WHERE lower(substate) = 'paid' AND state = 'Closed') AS paid,
+             count(ticket_id) FILTER (WHERE substate = 'cancelled') AS cancelled
+      FROM b GROUP BY ALL)
 SELECT *, lag(notices) OVER w AS prev_notices, lag(paid) OVER w AS prev_paid, lag(cancelled) OVER w AS prev_cancelled
-FROM m WINDOW w AS (ORDER BY month)""", ["case_lines"])
+FROM m WINDOW w AS (PARTITION BY site_ref, site_name ORDER BY month)""", ["case_lines"])
 def monthly_kpi(spark, base):
-    return PC.monthly_kpi(D.cases(spark, base), heads=D.cases(spark, base, with_breaches=False))
-
-
-@q("foreign_notices", f"""
-WITH {_NEWEST}
-SELECT site_name, strftime(case_ts, '%Y-%m') AS month, count(*) AS notices,
-  array_to_string(list_sort(list(DISTINCT vehicle_state)), ',') AS states
-FROM cur WHERE vehicle_state NOT IN ('DK') GROUP BY ALL""", ["case_lines"])
+    return PC.monthly_kpi(D.cases(spark, base), "19960101", "19971231", _DK, paid=["paid"], cancelled=["cancelled"])
+
+
+@q("foreign_notices", """
+WITH near AS (SELECT id, max(rev) AS rev FROM case_lines
+              WHERE CAST(timezone('Europe/Berlin', case_ts AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'
+              GROUP BY id),
+t AS (SELECT order_key, sum(base_fee + late_fee) AS value, sum(paid_amount) AS receipts FROM case_lines GROUP BY order_key)
+SELECT c.id, c.rev, c.state, c.substate, date_trunc('second', timezone(c.timezone, c.case_ts AT TIME ZONE 'UTC')) AS case_local,
+  date_trunc('second', timezone(c.timezone, c.issuing_time AT TIME ZONE 'UTC')) AS issuing_local, c.vehicle_state, c.organization,
+  round(t.value, 6) AS value, round(t.receipts, 6) AS receipts, count(*) AS foreign_rows
+FROM case_lines c JOIN near n ON c.id = n.id AND c.rev = n.rev JOIN t ON t.order_key = c.order_key
+WHERE c.state <> 'closed' AND c.substate NOT IN ('breachError', 'nip') AND c.vehicle_state <> 'DK'
+GROUP BY ALL""", ["case_lines"])
 def foreign_notices(spark, base):
-    return PC.foreign_notices(D.cases(spark, base), ["DK"], heads=D.cases(spark, base, with_breaches=False))
+    f = PC.foreign_notices(D.cases(spark, base), ["DK"], "19960101", "19971231", "Europe/Berlin",
+                           heads=D.cases(spark, base, with_breaches=False))
+    return f.withColumns({"value": r6("value"), "receipts": r6("receipts")})
 
 
 @q("stay_case_overview", f"""
@@ -143,12 +156,24 @@ def ledger_reconcile_latest(spark, base):
     return PC.reconcile(D.cases(spark, base, with_breaches=False), D.ledger(spark, base), newest_line_only=True)
 
 
-@q("ledger_receipts", """
-WITH f AS (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY breach_id ORDER BY "time", line_no, debit) = 1)
-SELECT breach_id, "time", CASE WHEN debit >= 875 THEN 875.0 ELSE 0.0 END AS base_fee FROM f
-WHERE CASE WHEN debit >= 875 THEN 875.0 ELSE 0.0 END <> 0""", ["ledger"])
+@q("ledger_receipts", f"""
+SELECT breach_id, line_no, site, "time", transaction_type, description, 875.0::DOUBLE AS base_fee FROM ledger
+WHERE debit >= 875 AND site = 'S7' AND CAST("time" AS DATE) >= DATE '1995-01-01'
+  AND CAST(timezone('{_DK}', "time" AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'""", ["ledger"])
 def ledger_receipts(spark, base):
-    return PC.receipts(D.ledger(spark, base), cap=875.0)
+    return PC.debit_receipts(D.ledger(spark, base), "S7", "19960101", "19971231", _DK, since="19950101")
+
+
+@q("ledger_receipts_credit", f"""
+WITH f AS (SELECT site, breach_id, min(struct_pack(t := "time", n := line_no, c := credit, d := debit, k := transaction_type, x := description)) AS m
+           FROM ledger WHERE CAST("time" AS DATE) >= DATE '1995-01-01' GROUP BY ALL),
+l AS (SELECT *, timezone('{_DK}', m.t AT TIME ZONE 'UTC') AS updated FROM f WHERE site = 'S7')
+SELECT breach_id, m.n AS line_no, site, updated, m.k AS transaction_type, m.x AS description, round(m.c, 6) AS credit,
+  CASE WHEN m.c < 875 THEN 0.0::DOUBLE ELSE 875.0::DOUBLE END AS amount
+FROM l WHERE updated >= TIMESTAMP '1996-01-01 00:00:00' AND updated <= TIMESTAMP '1997-12-31 00:00:00' AND m.c <> 0""", ["ledger"])
+def ledger_receipts_credit(spark, base):
+    r = PC.credit_receipts(D.ledger(spark, base), "S7", "19960101", "19971231", _DK, since="19950101")
+    return r.withColumn("credit", r6("credit"))
 
 
 _STATUS_ALL = """

@@ -46,9 +46,9 @@ _TZ = "Pacific/Auckland"
 @q("compliance_report", f"""
 WITH loc AS (SELECT 'org3' AS org, 'r3' AS region, 'S13' AS site),
 p AS (SELECT kind AS record_type, plate, start_time, end_time, request_time, amount, NULL::DOUBLE AS total_amount,
-             NULL::BIGINT AS transaction_id, CAST(permit_id AS VARCHAR) AS permit_id, source, NULL::DOUBLE AS duration
+             NULL::BIGINT AS transaction_id, CAST(permit_id AS VARCHAR) AS permit_id, permit_source AS source, NULL::DOUBLE AS duration
       FROM permits SEMI JOIN loc USING (org, region, site)
-      WHERE CAST(start_time AS DATE) BETWEEN DATE '{_S}' - 1 AND DATE '{_E}' + 1 AND source NOT LIKE 'org3#r3#S13#%'),
+      WHERE CAST(start_time AS DATE) BETWEEN DATE '{_S}' - 1 AND DATE '{_E}' + 1 AND permit_source NOT LIKE 'org3#r3#S13#%'),
 whole AS (SELECT plate, transaction_id, request_time, source AS full_source, split_part(source, '#', 1) AS source,
                  min(start_time) AS start_time, max(end_time) AS end_time, max(amount) AS amount,
                  max(total_amount) AS total_amount, sum(duration_seconds) / 60 AS duration

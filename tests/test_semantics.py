@@ -134,7 +134,7 @@ def test_compliance_start_inside_period_keeps_every_plate(spark):
         [(i, "o", "r", "s", "K", day(3, 2), day(3, 9), 1.0, day(3, 2), "permit", src) for i, src in
          ((1, "web"), (1, "web"), (2, "o#r#s#cam"), (3, None))],
         "permit_id bigint, org string, region string, site string, plate string, start_time timestamp_ntz, end_time timestamp_ntz, "
-        "amount double, request_time timestamp_ntz, kind string, source string")
+        "amount double, request_time timestamp_ntz, kind string, permit_source string")
     got = compliance(permits, pay, "o", "r", "s", "20240301", "20240331", "UTC").collect()
     assert sorted((r.record_type, r.plate, r.end_local, r.total_amount, r.duration, r.source) for r in got if r.total_amount) == [
         ("payment", "A", day(3, 15), 9.0, 20.0, "app"), ("payment", "B", day(3, 8), 9.0, 10.0, "app")]
@@ -193,3 +193,31 @@ def test_resolution_keeps_pairs_and_final_author(spark):
                                "e int, c string, t timestamp_ntz, s string, a string")
     r = resolution_pairs(resolution_times(df, "c", "t", "s", "a", tiebreak="e"), "s", "a", "Open", "Resolved").collect()
     assert sorted((x.e, x.final_author, x.days_to_next) for x in r) == [(3, "z", 1), (4, "z", 1)]
+
+
+def test_receipts_debit_lines_and_first_credit(spark):
+    from kerbside.plans.cases import credit_receipts, debit_receipts
+    rows = [(1, 1, "S", "2024-01-05 10:00:00", 900.0, 0.0), (1, 2, "S", "2024-01-06 10:00:00", 880.0, 900.0),
+            (2, 1, "S", "2024-01-05 10:00:00", 10.0, 900.0), (2, 2, "S", "2024-01-07 10:00:00", None, 5.0),
+            (3, 1, "S", "2024-01-31 10:00:00", 1000.0, 1000.0), (4, 1, "T", "2024-01-05 10:00:00", 900.0, 900.0)]
+    df = spark.createDataFrame([(b, n, s, ts(t), "k", "d", x, y) for b, n, s, t, x, y in rows],
+                               "breach_id int, line_no int, site string, time timestamp_ntz, transaction_type string, "
+                               "description string, debit double, credit double")
+    args = (df, "S", "20240101", "20240131", "UTC")
+    got = [(r.breach_id, r.line_no, r.base_fee) for r in debit_receipts(*args, since="20240101").collect()]
+    assert sorted(got) == [(1, 1, 875.0), (1, 2, 875.0), (3, 1, 875.0)]
+    got = [(r.breach_id, r.line_no, r.amount) for r in credit_receipts(*args, since="20240101").collect()]
+    assert got == [(2, 1, 875.0)]  # the end is the midnight that begins the last day
+
+
+def test_monthly_kpi_per_site(spark):
+    from kerbside.plans.cases import monthly_kpi
+    g = [("site", "r#s1", "One")]
+    t = dt.datetime
+    rows = [("Closed", "Paid_Online", t(2024, 1, 5), g, [(1,), (2,)]), ("closed", "paid_online", t(2024, 1, 6), g, [(3,)]),
+            ("Open", "nip", t(2024, 1, 31, 23, 30), g, [(4,), (None,)]), ("Open", "nip", t(2024, 1, 5), [("zone", "x", "X")], [(9,)])]
+    df = spark.createDataFrame(rows, "state string, substate string, case_ts timestamp_ntz, groups array<struct<type:string,"
+                               "group_ref:string,name:string>>, breaches array<struct<ticket_id:int>>")
+    got = [(r.month, r.notices, r.paid, r.cancelled, r.prev_notices)
+           for r in monthly_kpi(df, "20240101", "20240131", "Europe/Copenhagen").orderBy("month").collect()]
+    assert got == [("2024-01", 3, 2, 0, None), ("2024-02", 1, 0, 1, 3)]
