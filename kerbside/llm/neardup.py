@@ -21,9 +21,12 @@ How it runs:
   that), so other texts -- most of a corpus -- are not sampled.  This bound
   loses nothing.
 * Equal texts are one node.  Each bucket compares its members with one
-  leader; members of buckets with a failed comparison are dealt anew by
-  pairs of bands and compared with further leaders, for ``ROUNDS`` rounds.
-  No pairs within a bucket are listed; a bucket is a map-side combined minimum.
+  leader; members outside the leader's component are leaders in later rounds,
+  until each was one.  So every link between texts that share a bucket counts,
+  while members that are in one component by then are not compared: a group of
+  thousands of near copies costs about one comparison a member.  The rounds
+  compare a block of leaders with a slice of members at a time, and give only
+  the links found; no list of a bucket's pairs is made.
 
 Defined results: a NULL text equals an empty one; texts without words equal
 only each other; a text of fewer than five words is one shingle; repeated
@@ -46,12 +49,15 @@ from kerbside.llm.common import SPACE, Texts, mix64, small_batches, text_slices,
 WORDS, SIMILARITY = 5, 0.8
 #: 12 bands of 3 samples miss a pair of similarity 0.8 with probability 0.0002.
 BANDS, ROWS = 12, 3
-ROUNDS = 3
+#: Leaders of a bucket (about) in the first round after its own, and their growth by round.
+FIRST_LEADERS, LEADER_GROWTH = 64, 16
 #: Smoothing keeps a text's own shingles from outweighing those of a pair, damping
 #: those of a text from outweighing what a large group of near copies shares.
 SMOOTH, DAMP = 9.0, 0.5
 #: Bytes of text of one block, and fingerprints of one range of the hash space.
 BLOCK_BYTES, RANGE_ROWS = 8 << 20, 2 << 20
+#: Bytes of the weight vectors of one group of comparisons.
+GROUP_BYTES = 8 << 20
 
 _LN_STEP = 64.0
 
@@ -244,35 +250,108 @@ def similarities(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         .mapInArrow(_similar, "a binary, b binary, similarity double")
 
 
-def _stars(keys: DataFrame, salt: int) -> DataFrame:
-    """(a, b) with a < b: each member of a bucket and the bucket's leader."""
-    lead = keys.groupBy("k").agg(F.min(F.struct(F.xxhash64("node", F.lit(salt)).alias("x"), "node")).alias("m"),
-                                 F.count("*").alias("c")).where("c > 1").select("k", F.col("m.node").alias("leader"))
-    p = keys.join(lead, "k").where(F.col("node") != F.col("leader"))
-    return p.select("k", F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
-
-
-def links(nodes: DataFrame, similarity: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
-    """(a, b, similarity): verified links between nodes; their components are
-    the classes."""
-    one = nodes.select("node", F.posexplode("bands").alias("i", "h")).select("node", F.xxhash64("i", "h").alias("k"))
-    stars = written(_stars(one, 0), "stars-0")
-    done = written(similarities(stars.select("a", "b").distinct(), nodes), "similarities-0")
-    found = done.where(F.col("similarity") >= similarity)
-    failed = done.where(F.col("similarity") < similarity).select("a", "b")
-    # members of the buckets in which some member isn't like its leader
-    mixed = stars.join(failed, ["a", "b"], "left_semi").select("k").distinct()
-    again = one.join(mixed, "k", "left_semi").select("node").distinct()
-    sub = nodes.select("node", "bands").join(again, "node", "left_semi") \
-        .select("node", F.posexplode("bands").alias("i", "x"), "bands") \
-        .select("node", "i", "x", F.posexplode("bands").alias("j", "y")).where("i < j") \
-        .select("node", F.xxhash64("i", "x", "j", "y").alias("k"))
-    for r in range(1, rounds):
-        more = _stars(sub, r).select("a", "b").distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
-        new = written(similarities(more, nodes), f"similarities-{r}")
-        found = found.unionByName(new.where(F.col("similarity") >= similarity))
-        done = done.unionByName(new)
-    return found
+def buckets(nodes: DataFrame) -> DataFrame:
+    """(k, node, lead, c, bytes): members of each bucket of two nodes or more (nodes
+    that agree on a band), with the bucket's leader and number of members."""
+    one = nodes.select("node", (F.octet_length("fps") + F.octet_length("weights")).alias("bytes"),
+                       F.posexplode("bands").alias("i", "h")).select(F.xxhash64("i", "h").alias("k"), "node", "bytes")
+    lead = one.groupBy("k").agg(F.min(F.struct(F.xxhash64("node").alias("x"), "node")).alias("m"),
+                                F.count("*").alias("c")).where("c > 1").select("k", F.col("m.node").alias("lead"), "c")
+    return written(one.join(lead, "k").select("k", "node", "lead", "c", "bytes"), "near-buckets")
+
+
+def _against(similarity: float):
+    """Links between the leaders and the members of buckets, as pairs of roots."""
+    def run(leaders: pa.Table, members: pa.Table) -> pa.Table:
+        leaders, members = leaders.sort_by("k"), members.sort_by("k")
+        lk, mk = leaders.column("k").to_numpy(), members.column("k").to_numpy()
+        l_fps, l_w, l_root = (leaders.column(c).to_pylist() for c in ("fps", "weights", "root"))
+        m_fps, m_w, m_root = (members.column(c).to_pylist() for c in ("fps", "weights", "root"))
+        out = set()
+        for k in np.unique(lk):
+            at, to = int(np.searchsorted(mk, k, "left")), int(np.searchsorted(mk, k, "right"))
+            if at == to:
+                continue
+            n = np.array([len(x) // 8 for x in m_fps[at:to]])
+            fp, w = np.frombuffer(b"".join(m_fps[at:to]), "<u8"), np.frombuffer(b"".join(m_w[at:to]), "<f4").astype(np.float64)
+            own = np.repeat(np.arange(to - at), n)
+            total = np.bincount(own, w, to - at)
+            o = np.argsort(fp, kind="stable")
+            fp, w, own = fp[o], w[o], own[o]
+            for j in np.flatnonzero(lk == k):
+                lf, lw = np.frombuffer(l_fps[j], "<u8"), np.frombuffer(l_w[j], "<f4").astype(np.float64)
+                lo, hi = np.searchsorted(fp, lf, "left"), np.searchsorted(fp, lf, "right")
+                hits = hi - lo
+                idx = np.arange(hits.sum()) + np.repeat(lo - (np.cumsum(hits) - hits), hits)
+                low = np.bincount(own[idx], np.minimum(w[idx], np.repeat(lw, hits)), to - at)
+                for i in np.flatnonzero(low >= similarity * (lw.sum() + total - low)):
+                    if m_root[at + i] != l_root[j]:
+                        out.add((min(l_root[j], m_root[at + i]), max(l_root[j], m_root[at + i])))
+        cols = list(zip(*sorted(out))) or [[], []]
+        return pa.table([pa.array(c, pa.binary()) for c in cols], names=["a", "b"])
+    return run
+
+
+def _round(open_: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): roots linked by a comparison of this round's leaders with the
+    members of their buckets.  A large bucket is dealt into slices of members
+    and blocks of leaders of some MB each; small ones share a group."""
+    per = open_.groupBy("k").agg(
+        F.sum("bytes").alias("m"), F.sum(F.when(F.col("now"), F.col("bytes")).otherwise(0)).alias("l")).where("l > 0")
+    groups = (per.agg(F.sum("m")).first()[0] or 0) // GROUP_BYTES + 1
+    ml, ll = F.floor(F.col("m") / GROUP_BYTES) + 1, F.floor(F.col("l") / GROUP_BYTES) + 1
+    per = written(per.select("k", ml.cast("int").alias("slices"), ll.cast("int").alias("blocks")), "near-groups")
+    alone = F.col("slices") * F.col("blocks") > 1
+    g = F.when(alone, F.col("k")).otherwise(F.pmod("k", F.lit(groups))).alias("g")
+    x = open_.join(per, "k").select(g, "k", "node", "root", "lead", "now", "slices", "blocks",
+                                    F.xxhash64("node").alias("x"))
+    vec = nodes.select("node", "fps", "weights")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    def side(rows: DataFrame, s: Column, t: Column) -> DataFrame:
+        same = [F.col(c).alias(c) for c in ("g", "k", "root", "fps", "weights")]  # aliased: both sides come from one frame
+        return rows.join(vec, "node").select(*same, s.alias("s"), t.alias("t"))
+
+    lead = side(x.where("now"), every("slices"), F.pmod("x", "blocks").cast("int"))
+    rest = side(x.where("node != lead"), F.pmod("x", "slices").cast("int"), every("blocks"))
+    return lead.groupBy("g", "s", "t").cogroup(rest.groupBy("g", "s", "t")) \
+        .applyInArrow(_against(similarity), "a binary, b binary").distinct()
+
+
+def labels(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, root) of the nodes with links: the components of all pairs of
+    nodes that share a bucket and are similar.
+
+    The members of each bucket are first compared with its leader.  Then
+    members outside the leader's component become leaders, too, in rounds of
+    growing size, until each of them was one: a pair of different components
+    always holds such a member, so no link between components is left out,
+    and pairs inside a component are not compared."""
+    b = buckets(nodes)
+    stars = b.where("node != lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    lab = components(written(similarities(stars, nodes).where(F.col("similarity") >= similarity), "links-0"))
+    was, share = 0, FIRST_LEADERS
+    while True:
+        u = F.shiftrightunsigned(F.xxhash64("k", "node"), 11) / F.lit(2.0 ** 53) * F.col("c")
+        main = lab.select(F.col("node").alias("lead"), F.col("root").alias("main"))
+        m = b.join(lab, "node", "left").join(main, "lead", "left") \
+            .withColumns({"root": F.coalesce("root", "node"), "main": F.coalesce("main", "lead")})
+        left = (F.col("root") != F.col("main")) & (u >= was)
+        m = written(m.select("k", "node", "lead", "c", "bytes", "root", left.alias("left"),
+                             (left & (u < share)).alias("now")), "near-open")
+        b = m.join(m.where("left").select("k").distinct(), "k", "left_semi")
+        if m.where("left").isEmpty():
+            return lab
+        new = written(_round(b, nodes, similarity), "links")
+        if not new.isEmpty():
+            up = components(new).select(F.col("node").alias("old"), F.col("root").alias("up"))
+            moved = lab.join(up, F.col("root") == F.col("old"), "left").select("node", F.coalesce("up", "root").alias("root"))
+            alone = up.join(lab, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("up").alias("root"))
+            lab = written(moved.unionByName(alone), "labels")
+        b = b.select("k", "node", "lead", "c", "bytes")
+        was, share = share, share * LEADER_GROWTH
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -297,7 +376,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar
     """One row per row of ``docs``: doc_id, class_id (the least id of its
     class), class_size, node, class_node."""
     nodes = candidates(docs, doc_id, text, similarity)
-    comp = components(links(nodes, similarity))
+    comp = labels(nodes, similarity)
     d = docs.select(F.col(doc_id).alias("doc_id"), node(text).alias("node"))
     d = d.join(comp, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("class_node"))
     d = written(d, "near-members")

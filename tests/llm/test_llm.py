@@ -100,6 +100,46 @@ def test_near_duplicates(spark, edge):
     assert kept.columns == edge.columns and kept.count() == len({r["class_node"].hex() for r in e.values()})
 
 
+@pytest.mark.parametrize("first, growth, size", [(1, 2, 4000), (64, 16, 8 << 20)])
+def test_near_duplicate_links_against_all_pairs(spark, monkeypatch, first, growth, size):
+    """Chains and loose copies that meet in one bucket: the classes are the components of all
+    similar pairs of a bucket, whatever the leaders and slices."""
+    monkeypatch.setattr(neardup, "FIRST_LEADERS", first)
+    monkeypatch.setattr(neardup, "LEADER_GROWTH", growth)
+    monkeypatch.setattr(neardup, "GROUP_BYTES", size)
+    r, texts = random.Random(8), []
+    for family in range(4):
+        w = words(120, 500 + family)
+        for step in range(40):  # each step moves away from the first text; some jump further
+            w = list(w)
+            for _ in range(r.choice([1, 1, 2, 6])):
+                w[r.randrange(len(w))] = f"n{r.randrange(10 ** 6)}"
+            texts.append(" ".join(w))
+            if step % 8 == 0:
+                w = words(120, 500 + family)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    nodes = neardup.candidates(docs)
+    rows = [(bytes(x["node"]), dict(zip(np.frombuffer(x["fps"], "<u8").tolist(), np.frombuffer(x["weights"], "<f4").tolist())),
+             set(enumerate(x["bands"]))) for x in nodes.collect()]
+    up = {n: n for n, _, _ in rows}
+
+    def root(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+
+    pairs = 0
+    for i, (a, va, ba) in enumerate(rows):
+        for b, vb, bb in rows[:i]:
+            low = sum(min(x, vb[k]) for k, x in va.items() if k in vb)
+            if ba & bb and low >= 0.8 * (sum(va.values()) + sum(vb.values()) - low):
+                pairs += 1
+                up[max(root(a), root(b))] = min(root(a), root(b))
+    got = {bytes(x["node"]): bytes(x["root"]) for x in neardup.labels(nodes).collect()}
+    assert pairs > 50 and len({root(n) for n in up}) > 4
+    assert {n: got.get(n, n) for n in up} == {n: root(n) for n in up}
+
+
 def test_icws_estimates_weighted_jaccard():
     rng = np.random.default_rng(3)
     fp = rng.integers(0, 1 << 60, 400).astype(np.uint64)
