@@ -22,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -61,9 +63,14 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 def candidates(text: str, base: list) -> list[tuple[int, int, str]]:
     """(start, end, run): runs of 16 credential characters or more, with a
     digit, that touch no base span."""
-    taken = [(b[0], b[2]) for b in base]
-    return [(m.start(), m.end(), m[0]) for m in _RUN.finditer(text)
-            if not any(a < m.end() and m.start() < e for a, e in taken)]
+    starts = [b[0] for b in base]
+    reach = list(accumulate((b[2] for b in base), max))  # furthest end of the spans up to each
+    out = []
+    for m in _RUN.finditer(text):
+        k = bisect_left(starts, m.end())
+        if not k or reach[k - 1] <= m.start():
+            out.append((m.start(), m.end(), m[0]))
+    return out
 
 
 # ---------------------------------------------------------------- grammar inference
