@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.timefn import local_date, parse_day
+from kerbside.functions.timefn import between_local_days, local_date, parse_day
 from kerbside.functions.values import hex_to_long, json_text, recode, safe_ratio
 from kerbside.operators import windows as W
 from kerbside.operators.grids import entity_grid
@@ -88,24 +88,34 @@ def camera_gaps(reads: DataFrame, device: str, seq_hex: str) -> DataFrame:
         F.sum(F.when(F.col("gap") < -1, -F.col("gap") - 1).otherwise(0)).alias("missing_images"))
 
 
-def weekday_compare(breaches: DataFrame, site: str, ts: str, breach_id: str, end,
-                    week_offset: int = 7) -> DataFrame:
-    """Breaches per site x {weekday, 'Last ' + weekday}: this week and the week before, zero-filled.
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
-    Only sites with a breach in either week are in the grid.  The grid is
-    generated per site (14 days), not joined.
+
+def weekday_compare(breaches: DataFrame, site: str, ts: str, breach_id: str, start, end, tz: str,
+                    this_week: tuple[int, int] = (-13, -7), last_week: tuple[int, int] = (-21, -13),
+                    reach: int = 13) -> DataFrame:
+    """Distinct breaches per site x {weekday, 'Last ' + weekday}, zero-filled.
+
+    Weeks are local days at offsets from ``end`` (a day in both is of this
+    week); days more than ``reach`` before ``start`` are not read.  The last
+    week's offsets span more than seven days, so a breach id that falls on
+    the same weekday twice counts once.  Only sites with a breach in either
+    week are in the grid, which is generated per site (14 labels).
     """
-    e = parse_day(end)
-    lo = e - dt.timedelta(days=2 * week_offset - 1)
-    d = F.to_date(ts)
-    b = breaches.where(d.between(F.lit(lo), F.lit(e))).select(site, d.alias("day"), breach_id)
-    counts = b.groupBy(site, "day").agg(F.count_distinct(breach_id).alias("breaches"))
-    sites = b.select(site).distinct()
-    grid = entity_grid(sites, F.lit(lo), F.lit(e), "1 day", "day")
-    g = grid.join(counts, [site, "day"], "left")
-    last = F.col("day") <= F.lit(e - dt.timedelta(days=week_offset))
-    label = F.when(last, F.concat(F.lit("Last "), F.date_format("day", "EEEE"))).otherwise(F.date_format("day", "EEEE"))
-    return g.select(site, label.alias("label"), F.coalesce("breaches", F.lit(0)).alias("breaches"))
+    s, e = parse_day(start), parse_day(end)
+
+    def within(w: tuple[int, int]) -> Column:
+        lo, hi = (F.lit(e + dt.timedelta(days=x)) for x in w)
+        return F.col("day").between(lo, hi)
+
+    weekday = F.date_format("day", "EEEE")
+    label = F.when(within(this_week), weekday).when(within(last_week), F.concat(F.lit("Last "), weekday))
+    b = breaches.where(between_local_days(ts, tz, s - dt.timedelta(days=reach), e)) \
+        .select(site, local_date(ts, tz).alias("day"), breach_id).withColumn("label", label).where("label IS NOT NULL")
+    counts = b.groupBy(site, "label").agg(F.count_distinct(breach_id).alias("breaches"))
+    labels = F.array(*[F.lit(p + d) for d in WEEKDAYS for p in ("", "Last ")])
+    grid = counts.select(F.col(site).alias(site)).distinct().select(site, F.explode(labels).alias("label"))
+    return grid.join(counts, [site, "label"], "left").select(site, "label", F.coalesce("breaches", F.lit(0)).alias("breaches"))
 
 
 def sites_without(breaches: DataFrame, sites: DataFrame, site: str, day: str, start, end) -> DataFrame:

@@ -149,16 +149,19 @@ def camera_gaps(spark, base):
 
 
 @q("weekday_grid", """
-WITH b AS (SELECT site, CAST("time" AS DATE) AS day, breach_id FROM ledger
-           WHERE CAST("time" AS DATE) BETWEEN DATE '1998-06-17' AND DATE '1998-06-30'),
-c AS (SELECT site, day, count(DISTINCT breach_id) AS breaches FROM b GROUP BY ALL),
-g AS (SELECT s.site, unnest(generate_series(DATE '1998-06-17', DATE '1998-06-30', INTERVAL 1 DAY))::DATE AS day
-      FROM (SELECT DISTINCT site FROM b) s)
-SELECT g.site, CASE WHEN g.day <= DATE '1998-06-23' THEN 'Last ' || strftime(g.day, '%A') ELSE strftime(g.day, '%A') END AS label,
-  coalesce(c.breaches, 0) AS breaches
-FROM g LEFT JOIN c ON g.site = c.site AND g.day = c.day""", ["ledger"])
+WITH b AS (SELECT site, CAST(timezone('Europe/London', "time" AT TIME ZONE 'UTC') AS DATE) AS day, breach_id FROM ledger),
+l AS (SELECT site, breach_id,
+        CASE WHEN day BETWEEN DATE '1998-06-17' AND DATE '1998-06-23' THEN strftime(day, '%A')
+             WHEN day BETWEEN DATE '1998-06-09' AND DATE '1998-06-17' THEN 'Last ' || strftime(day, '%A') END AS label
+      FROM b WHERE day BETWEEN DATE '1998-06-11' AND DATE '1998-06-30'),
+c AS (SELECT site, label, count(DISTINCT breach_id) AS breaches FROM l WHERE label IS NOT NULL GROUP BY ALL),
+d AS (SELECT unnest(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday']) AS w),
+g AS (SELECT s.site, p.p || d.w AS label
+      FROM (SELECT DISTINCT site FROM c) s CROSS JOIN d CROSS JOIN (SELECT unnest(['', 'Last ']) AS p) p)
+SELECT g.site, g.label, coalesce(c.breaches, 0) AS breaches
+FROM g LEFT JOIN c ON g.site = c.site AND g.label = c.label""", ["ledger"])
 def weekday_grid(spark, base):
-    return PS.weekday_compare(D.ledger(spark, base), "site", "time", "breach_id", "19980630")
+    return PS.weekday_compare(D.ledger(spark, base), "site", "time", "breach_id", "19980624", "19980630", UK)
 
 
 _CASE_SITE = "list_filter(groups, lambda g: g.type = 'site')[1].group_ref"

@@ -221,3 +221,15 @@ def test_monthly_kpi_per_site(spark):
     got = [(r.month, r.notices, r.paid, r.cancelled, r.prev_notices)
            for r in monthly_kpi(df, "20240101", "20240131", "Europe/Copenhagen").orderBy("month").collect()]
     assert got == [("2024-01", 3, 2, 0, None), ("2024-02", 1, 0, 1, 3)]
+
+
+def test_weekday_compare_offsets_and_local_day(spark):
+    from kerbside.plans.sites import weekday_compare
+    rows = [("a", "1998-06-17 10:00:00", 1), ("a", "1998-06-22 23:30:00", 2),  # the local day of 2 is the 23rd
+            ("a", "1998-06-09 10:00:00", 3), ("a", "1998-06-16 10:00:00", 3), ("a", "1998-06-16 10:00:00", 4),
+            ("b", "1998-06-24 10:00:00", 5), ("c", "1998-06-08 10:00:00", 6)]
+    df = spark.createDataFrame(rows, "site string, t string, id int").selectExpr("site", "cast(t as timestamp_ntz) t", "id")
+    got = {(r["site"], r["label"]): r["breaches"]
+           for r in weekday_compare(df, "site", "t", "id", "19980617", "19980630", "Europe/London").collect()}
+    assert len(got) == 14 and {k: v for k, v in got.items() if v} == {
+        ("a", "Wednesday"): 1, ("a", "Tuesday"): 1, ("a", "Last Tuesday"): 2}
