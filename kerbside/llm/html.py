@@ -1,19 +1,23 @@
-"""Main text of web pages, with a suffix array per host.
+"""Main text of web pages, with the runs that repeat on a host removed.
 
 Each page is cut into blocks of text, in the tasks that read it: mark-up,
 scripts, forms, menus, headers, footers, sidebars, notices, adverts and
 reader comments are known by their elements, roles and class names; what
-stands in ``article`` or ``main`` is marked as main text.  The pages of a
-host are then concatenated as token streams and their suffixes sorted by
-their first ``RUN`` tokens (prefix doubling): equal neighbours are long
-substrings that repeat.  A run that repeats across distinct pages and stands
-outside the main text of one of them is boilerplate; the tokens it covers
-are removed wherever they stand, and the unique runs are the page's text.
-A passage that repeats only inside the main text of pages is content.
-
-A host of any size is dealt into chunks of some MB by a hash of the page, so
-a host with a third of all pages is many groups; boilerplate stands on many
-pages, so each chunk sees it.
+stands in ``article`` or ``main`` is marked as main text.  A page is a stream
+of tokens; a run of ``RUN`` tokens that repeats across distinct pages of its
+host, however many, and stands outside the main text of one of them is
+boilerplate; the tokens it covers are removed wherever they stand, and the
+unique runs are the page's text.  A passage that repeats only inside the main
+text of pages is content.
+
+Runs are counted over whole hosts without gathering them.  Equal windows of
+``RUN`` tokens have equal anchors (the least hash of their runs of ``ANCHOR``
+tokens), about one in eight tokens is one: those on several pages are found
+first and kept as a bit map, then only windows with such an anchor are
+counted, by their hash and host.  The map may hold too much, never too
+little, so it does not change the result.  The texts are dealt into chunks of
+some MB of a host, and each chunk gets the boilerplate windows that it has:
+how a host is dealt does not change the result either.
 
 Defined results: a NULL or empty html has an empty text; a page without main
 text gives its other blocks less the boilerplate; pages with equal streams
@@ -24,6 +28,7 @@ are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -33,10 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import SPACE, small_batches, text_slices, written
+from kerbside.llm.common import _ODD, SPACE, mix64, small_batches, text_slices, written
 
 #: Tokens of a repeated run at least; bytes of html of one chunk of a host.
 RUN, CHUNK_BYTES = 20, 1 << 20
+#: Tokens of an anchor; bits of the map of anchors at most, and of one page of it.
+ANCHOR, MAX_BITS, PAGE_BITS = 6, 1 << 29, 1 << 18
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -132,119 +139,230 @@ def blocks(html: str) -> list[tuple[str, int]]:
 
 # ---------------------------------------------------------------- repeated runs
 
-def suffix_order(tokens: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, rank): suffixes sorted by their first ``run`` tokens, and for
-    each position a number that is equal for equal such windows.  ``tokens``
-    are ranks; positions past the end sort first."""
-    n = len(tokens)
-    rank, width = tokens.astype(np.int64) + 1, 1
-    while width < run:
-        step = min(width, run - width)  # a window of width + step from two of width
-        nxt = np.zeros(n, np.int64)
-        nxt[: max(0, n - step)] = rank[step:]
-        key = rank * (int(rank.max(initial=0)) + 1) + nxt
-        rank = np.unique(key, return_inverse=True)[1] + 1
-        width += step
-    return np.argsort(rank, kind="stable"), rank
-
-
-def boilerplate_tokens(tokens: np.ndarray, page: np.ndarray, main: np.ndarray, run: int = RUN) -> np.ndarray:
-    """Which tokens are covered by a run of at least ``run`` tokens that repeats
-    across pages and stands outside main text somewhere.  ``page`` numbers the
-    (distinct) page of each token and ascends; ``main`` marks main text."""
-    n = len(tokens)
-    if n < run:
-        return np.zeros(n, bool)
-    order, rank = suffix_order(tokens, run)
-    # a run lies in one page, and wholly inside or wholly outside its main text
-    part = np.cumsum((np.diff(page, prepend=page[0]) != 0) | (np.diff(main.astype(np.int8), prepend=main[0]) != 0))
-    whole, some_out = np.zeros(n, bool), np.zeros(n, bool)
-    whole[: n - run + 1] = part[: n - run + 1] == part[run - 1:]
-    some_out[: n - run + 1] = ~main[: n - run + 1]
-    at = order[whole[order]]
-    if not len(at):
-        return np.zeros(n, bool)
-    r = rank[at]
-    group = np.cumsum(np.diff(r, prepend=r[0]) != 0)
-    first = np.flatnonzero(np.diff(group, prepend=-1))
-    several = np.maximum.reduceat(page[at], first) > np.minimum.reduceat(page[at], first)
-    bad = several & np.maximum.reduceat(some_out[at], first)
-    starts = at[bad[group]]
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + run, -1)
-    return np.cumsum(edge[:-1]) > 0
-
-
-def _host_texts(run: int):
-    def texts(t: pa.Table) -> pa.Table:
-        pages, zones = t.column("blocks").to_pylist(), t.column("zones").to_pylist()
+def _joined(parts: dict[int, np.ndarray], width: int) -> np.ndarray:
+    """Hash of the ``width`` tokens from each position on (the last positions have none)."""
+    size = 1
+    while size * 2 <= width:
+        if size * 2 not in parts:
+            h = parts[size]
+            parts[size * 2] = mix64(h[:-size] * _ODD + h[size:]) if len(h) > size else h[:0]
+        size *= 2
+    h = parts[size]
+    if size == width:
+        return h
+    rest = _joined(parts, width - size)
+    n = max(0, len(parts[1]) - width + 1)
+    return mix64(h[:n] * _ODD + rest[size: size + n] + np.uint64(width))
+
+
+def _least(x: np.ndarray, width: int) -> np.ndarray:
+    """Least of the ``width`` values from each position on."""
+    n, size = max(0, len(x) - width + 1), 1
+    while size * 2 <= width:
+        x = np.minimum(x[:-size], x[size:]) if len(x) > size else x[:0]
+        size *= 2
+    return np.minimum(x[:n], x[width - size: width - size + n])
+
+
+class Runs:
+    """Windows of ``run`` tokens of some pages, each wholly inside or wholly
+    outside the main text of one page.  ``block``, ``page`` and ``main`` have one
+    value a window; ``key`` is its hash with the host."""
+
+    def __init__(self, pages: list[list[str]], zones: list[list[int]], hosts: np.ndarray, run: int):
         flat = [b for p in pages for b in p]
         of_page = np.repeat(np.arange(len(pages)), [len(p) for p in pages])
-        zone = np.array([z for p in zones for z in p], np.int64)
-        keep: list[list[str]] = [[] for _ in pages]
-        if flat:
-            # equal streams are one page
-            same: dict[tuple, int] = {}
-            number = np.array([same.setdefault(tuple(p), i) for i, p in enumerate(pages)])
-            single = np.array([number[i] == i for i in range(len(pages))])
-            has_main = np.bincount(of_page, zone == 2, len(pages)) > 0
-            doc, hashes = [], []
-            for i, _, x in text_slices(pa.array(flat, pa.string())):
-                d, s, e = x.runs(~SPACE[x.buf])
-                doc.append(d + i)
-                hashes.append(x.hashes(s, e))
-            doc, hashes = np.concatenate(doc), np.concatenate(hashes)
-            use = single[of_page[doc]]
-            tokens = np.unique(hashes[use], return_inverse=True)[1]
-            bad = boilerplate_tokens(tokens, of_page[doc][use], zone[doc][use] == 2, run)
-            gone = {int(b) for b in np.unique(doc[use][bad])}
-            lost = np.zeros(len(doc), bool)
-            lost[np.flatnonzero(use)[bad]] = True
-            first = np.searchsorted(doc, np.arange(len(flat) + 1))
-            done: list[str | None] = []
-            for k, b in enumerate(flat):
-                if k in gone:
-                    words = b.split()
-                    rest = lost[first[k]: first[k + 1]]
-                    b = " ".join(w for w, x in zip(words, rest) if not x) if len(words) == len(rest) else b
-                done.append(b)
-            start = np.searchsorted(of_page, np.arange(len(pages) + 1))
-            for p in range(len(pages)):
-                q = int(number[p])
-                want = 2 if has_main[p] else 1
-                keep[p] = [done[start[q] + j] for j, z in enumerate(zones[q]) if z == want and done[start[q] + j]]
-        out = ["\n\n".join(k) for k in keep]
+        main = np.array([z == 2 for p in zones for z in p], bool)
+        doc, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for i, _, x in text_slices(pa.array(flat, pa.string())):
+            d, s, e = x.runs(~SPACE[x.buf])
+            doc.append(d + i)
+            hashes.append(x.hashes(s, e))
+        self.flat, self.of_page, self.block = flat, of_page, np.concatenate(doc)
+        self.parts = {1: np.concatenate(hashes)}
+        n = max(0, len(self.block) - run + 1)
+        stretch = np.zeros(len(flat), np.int64)
+        if len(flat):
+            stretch[1:] = np.cumsum((np.diff(of_page) != 0) | (main[1:] != main[:-1]))
+        of = stretch[self.block]
+        self.at = np.flatnonzero(of[:n] == of[run - 1:]) if n else np.zeros(0, np.int64)
+        first = self.block[self.at]
+        self.page, self.main = of_page[first], main[first]
+        self.host, self.run = hosts[self.page], run
+
+    def keys(self) -> np.ndarray:
+        return mix64(_joined(self.parts, self.run)[self.at] ^ self.host)
+
+    def anchors(self) -> np.ndarray:
+        """Of each window the least hash of its short runs: equal windows have equal anchors."""
+        short = min(ANCHOR, self.run)
+        return mix64(_least(_joined(self.parts, short), self.run - short + 1)[self.at] + self.host)
+
+
+def _digests(pages: list[list[str]]) -> np.ndarray:
+    """Number of each page's stream: pages with equal streams are one page."""
+    return np.array([int.from_bytes(hashlib.blake2b("\n".join(p).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little",
+                                    signed=True) for p in pages], np.int64)
+
+
+def _read(b: pa.RecordBatch) -> tuple[list[list[str]], list[list[int]], np.ndarray]:
+    got = [blocks(h) if h else [] for h in b.column(b.schema.get_field_index("html")).to_pylist()]
+    hosts = b.column(b.schema.get_field_index("host_key")).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    return [[x for x, _ in g] for g in got], [[z for _, z in g] for g in got], hosts
+
+
+def _anchors(run: int):
+    """Anchors of each page: (anchor, digest, outside), once a batch."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pages, zones, hosts = _read(b)
+            r, digest = Runs(pages, zones, hosts, run), _digests(pages)
+            a, d, out = r.anchors(), digest[r.page], ~r.main
+            change = np.ones(len(a), bool)  # neighbours mostly share their anchor
+            change[1:] = (a[1:] != a[:-1]) | (d[1:] != d[:-1]) | (out[1:] != out[:-1])
+            a, d, out = a[change], d[change], out[change]
+            o = np.lexsort((out, d, a))
+            a, d, out = a[o], d[o], out[o]
+            last = np.ones(len(a), bool)
+            last[:-1] = (a[1:] != a[:-1]) | (d[1:] != d[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(a[last].view(np.int64)), pa.array(d[last]), pa.array(out[last])],
+                                             names=["anchor", "digest", "outside"])
+    return emit
+
+
+def _repeats(run: int, bits, shift: int):
+    """Windows whose anchor may be repeated: (key, part, least and greatest digest, the same
+    of the pages with it inside main text, pages with it outside and inside), once a batch."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.frombuffer(bits.value, np.uint8)
+        for b in batches:
+            pages, zones, hosts = _read(b)
+            part = b.column(b.schema.get_field_index("part")).to_numpy(zero_copy_only=False).astype(np.int64)
+            r, digest = Runs(pages, zones, hosts, run), _digests(pages)
+            place = r.anchors() >> np.uint64(shift)
+            hit = (seen[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            key, page, main = r.keys()[hit], r.page[hit], r.main[hit]
+            o = np.lexsort((main, page, part[page], key))
+            key, page, main = key[o], page[o], main[o]
+            new = np.ones(len(key), bool)  # once a page and side
+            new[1:] = (key[1:] != key[:-1]) | (page[1:] != page[:-1]) | (main[1:] != main[:-1])
+            key, page, main = key[new], page[new], main[new]
+            p, d = part[page], digest[page]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (p[1:] != p[:-1])
+            at = np.flatnonzero(new)
+            big = np.iinfo(np.int64)
+            least = lambda x: np.minimum.reduceat(x, at) if len(at) else x
+            most = lambda x: np.maximum.reduceat(x, at) if len(at) else x
+            total = lambda x: np.add.reduceat(x.astype(np.int64), at) if len(at) else x.astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (key[at].view(np.int64), p[at], least(d), most(d), least(np.where(main, d, big.max)),
+                                       most(np.where(main, d, big.min)), total(~main), total(main))], names=_REPEAT)
+    return emit
+
+
+#: Boilerplate is removed from main text, too.
+INSIDE = "true"
+_REPEAT = ["key", "part", "lo", "hi", "main_lo", "main_hi", "n_out", "n_main"]
+
+
+def _bits(pages: pa.Table) -> pa.Table:
+    """One page of the bit map of anchors."""
+    place = pages.column("place").to_numpy()
+    out = np.zeros(PAGE_BITS, np.uint8)
+    out[place % PAGE_BITS] = 1
+    return pa.table([pa.array([int(place[0]) // PAGE_BITS], pa.int64()),
+                     pa.array([np.packbits(out, bitorder="little").tobytes()], pa.binary())], names=["page", "bits"])
+
+
+def _texts(run: int):
+    def texts(t: pa.Table, bad: pa.Table) -> pa.Table:
+        pages, zones = t.column("blocks").to_pylist(), t.column("zones").to_pylist()
+        lost: dict[int, list[int]] = {}
+        if bad.num_rows and pages:
+            r = Runs(pages, zones, t.column("host_key").to_numpy().astype(np.int64).view(np.uint64), run)
+            key = bad.column("key").to_numpy().astype(np.int64).view(np.uint64)
+            inside = key[bad.column("inside").to_numpy(zero_copy_only=False).astype(bool)]
+            mine = r.keys()
+            starts = r.at[np.where(r.main, np.isin(mine, inside), np.isin(mine, key))]
+            edge = np.zeros(len(r.block) + 1, np.int64)
+            np.add.at(edge, starts, 1)
+            np.add.at(edge, starts + run, -1)
+            for w in np.flatnonzero(np.cumsum(edge[:-1]) > 0).tolist():
+                lost.setdefault(int(r.block[w]), []).append(w)
+            first = np.searchsorted(r.block, np.arange(len(r.flat) + 1))
+        out, k = [], 0
+        for p, zone in zip(pages, zones):
+            want, keep = 2 if 2 in zone else 1, []
+            for b, z in zip(p, zone):
+                if k in lost:
+                    gone = set(lost[k])
+                    b = " ".join(w for j, w in enumerate(b.split(), int(first[k])) if j not in gone)
+                if z == want and b:
+                    keep.append(b)
+                k += 1
+            out.append("\n\n".join(keep))
         return pa.table([t.column("page_id"), t.column("url"), pa.array(out, pa.string()),
                          pa.array([len(x) for x in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
     return texts
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks that a page's text can come from: of a page with main text only that, and
+    an empty block where other text stood between."""
     for b in batches:
-        got = [blocks(h) if h else [] for h in b.column(b.schema.get_field_index("html")).to_pylist()]
-        cols = [b.column(b.schema.get_field_index(c)) for c in ("page_id", "url", "host", "chunk")]
+        pages, zones, _ = _read(b)
+        for i, (p, zone) in enumerate(zip(pages, zones)):
+            if 2 in zone:
+                use = [j for j, z in enumerate(zone) if z == 2 or j and zone[j - 1] == 2]
+                pages[i], zones[i] = [p[j] if zone[j] == 2 else "" for j in use], [zone[j] for j in use]
+        cols = [b.column(b.schema.get_field_index(c)) for c in ("page_id", "url", "host_key", "part")]
         yield pa.RecordBatch.from_arrays(
-            [*cols, pa.array([[x for x, _ in g] for g in got], pa.list_(pa.string())),
-             pa.array([[z for _, z in g] for g in got], pa.list_(pa.int32()))],
-            names=["page_id", "url", "host", "chunk", "blocks", "zones"])
+            [*cols, pa.array(pages, pa.list_(pa.string())), pa.array(zones, pa.list_(pa.int32()))],
+            names=["page_id", "url", "host_key", "part", "blocks", "zones"])
+
+
+def repeated_runs(p: DataFrame, run: int = RUN) -> DataFrame:
+    """(part, key, inside): of every part the windows that are boilerplate on their
+    host; ``inside``: also where they stand in main text."""
+    # Anchors on several pages, one of them outside main text: a superset of the anchors of
+    # boilerplate.  The bit map only spares windows; what is decided comes from their counts.
+    anchors = written(p.select("host_key", "html").mapInArrow(_anchors(run), "anchor long, digest long, outside boolean")
+                      .groupBy("anchor").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi"), F.max("outside").alias("out"))
+                      .where("lo < hi AND out").select("anchor"), "repeated-anchors")
+    size = min(max(16 * anchors.count(), PAGE_BITS), MAX_BITS)
+    log = (size - 1).bit_length()
+    place = F.shiftrightunsigned("anchor", 64 - log).alias("place")
+    bits = bytearray((1 << log) // 8)
+    for r in anchors.select(place, (F.shiftrightunsigned("anchor", 64 - log) / F.lit(PAGE_BITS)).cast("long").alias("page")) \
+            .groupBy("page").applyInArrow(_bits, "page long, bits binary").collect():
+        bits[r["page"] * PAGE_BITS // 8: (r["page"] + 1) * PAGE_BITS // 8] = r["bits"]
+    shared = p.sparkSession.sparkContext.broadcast(bytes(bits))
+    sums = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("main_lo").alias("main_lo"), F.max("main_hi").alias("main_hi"),
+            F.sum("n_out").alias("n_out"), F.sum("n_main").alias("n_main")]
+    found = written(p.select("host_key", "part", "html")
+                    .mapInArrow(_repeats(run, shared, 64 - log), ", ".join(f"{c} long" for c in _REPEAT))
+                    .groupBy("key", "part").agg(*sums), "repeats")
+    bad = written(found.groupBy("key").agg(*sums).where("lo < hi AND n_out > 0").select("key", F.expr(INSIDE).alias("inside")), "boilerplate")
+    return found.select("key", "part").join(bad, "key").select("part", "key", "inside")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", run: int = RUN,
             chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
     small_batches(pages.sparkSession)
-    host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
+    host = F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     p = pages.select(F.col(page_id).alias("page_id"), F.col(url).cast("string").alias("url"),
-                     F.col(html).cast("string").alias("html")).withColumn("host", host)
+                     F.col(html).cast("string").alias("html"), F.xxhash64(host).alias("host_key"))
     # only hosts of several chunks, at most one row per chunk_bytes of input; stored, so that
     # the planner knows the table's size when it chooses the join
-    size = p.groupBy("host").agg(F.sum(F.octet_length("html")).alias("b")).where(F.col("b") >= chunk_bytes) \
-        .select("host", (F.floor(F.col("b") / chunk_bytes) + 1).alias("chunks"))
-    chunks = F.coalesce("chunks", F.lit(1))
-    p = p.join(written(size, "large-hosts"), "host", "left") \
-        .withColumn("chunk", F.pmod(F.xxhash64("page_id", "url", "html"), chunks).cast("int"))
+    size = p.groupBy("host_key").agg(F.sum(F.octet_length("html")).alias("b")).where(F.col("b") >= chunk_bytes) \
+        .select("host_key", (F.floor(F.col("b") / chunk_bytes) + 1).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("page_id", "url", "html"), F.coalesce("chunks", F.lit(1)))
+    p = p.join(written(size, "large-hosts"), "host_key", "left") \
+        .withColumn("part", F.xxhash64("host_key", chunk)).drop("chunks")
     kind = pages.schema[page_id].dataType.simpleString()
-    parsed = p.select("page_id", "url", "host", "chunk", "html").mapInArrow(
-        _parse, f"page_id {kind}, url string, host string, chunk int, blocks array<string>, zones array<int>")
-    return parsed.groupBy("host", "chunk").applyInArrow(_host_texts(run), f"page_id {kind}, url string, text string, n_chars long")
+    parsed = p.select("page_id", "url", "host_key", "part", "html").mapInArrow(
+        _parse, f"page_id {kind}, url string, host_key long, part long, blocks array<string>, zones array<int>")
+    return parsed.groupBy("part").cogroup(repeated_runs(p, run).groupBy("part")) \
+        .applyInArrow(_texts(run), f"page_id {kind}, url string, text string, n_chars long")

@@ -299,6 +299,57 @@ def test_html(spark):
     assert got[20] == [""] and got[21] == ["unclosed & text"] * 2 and got[22] == [""]
 
 
+def brute_html(rows, run):
+    """Host-wide: every window of every page against those of all other pages of the host."""
+    where, parsed = collections.defaultdict(lambda: ([], [])), []
+    for _, url, text in rows:
+        stream, bl = [], html.blocks(text or "")
+        for k, (b, z) in enumerate(bl):
+            stream += [(w, z == 2, k) for w in b.split()]
+        parsed.append((url.split("/")[2], bl, stream))
+    spans = lambda s: [(i, tuple(w for w, _, _ in s[i:i + run])) for i in range(len(s) - run + 1)
+                       if len({m for _, m, _ in s[i:i + run]}) == 1]
+    for host, bl, s in parsed:
+        for side, w in {(s[i][1], w) for i, w in spans(s)}:
+            where[host, w][side].append(tuple(b for b, _ in bl))
+    out = []
+    for host, bl, s in parsed:
+        gone, kept = set(), collections.defaultdict(list)
+        for i, w in spans(s):
+            outside, inside = where[host, w]
+            if outside and len({*outside, *inside}) > 1 and (not s[i][1] or html_inside(outside, inside)):
+                gone |= set(range(i, i + run))
+        for i, (w, _, k) in enumerate(s):
+            if i not in gone:
+                kept[k].append(w)
+        want = 2 if any(z == 2 for _, z in bl) else 1
+        out.append("\n\n".join(" ".join(kept[k]) for k, (_, z) in enumerate(bl) if z == want and kept[k]))
+    return out
+
+
+def html_inside(outside, inside):
+    return True
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 200])
+def test_html_runs_are_host_wide(spark, chunk):
+    """One chunk and many chunks of a host give the rows of a plain search over the whole host."""
+    r, rows = random.Random(9), []
+    shared = [" ".join(words(30, 40 + k)) for k in range(12)]
+    for i in range(120):
+        body = " ".join(words(50, 1000 + i, 400))
+        pick = shared[r.randrange(12)]
+        form = [f"<div>{body}</div><div>{pick}</div>", f"<article><p>{body}</p><p>{pick}</p></article><p>{shared[i % 12]}</p>",
+                f"<div>{pick}</div><main>{body}</main>"][i % 3]
+        rows.append((i, f"http://h{i % 2}.example/{i}", form))
+    rows += [(500, "http://h0.example/a", f"<p>{' '.join(words(60, 77))}</p>")] * 2  # equal pages are one
+    rows += [(600 + k, "http://h1.example/b", f"<p>own text {k}</p><p>{' '.join(words(25, 78))}</p>") for k in range(2)]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = sorted((x["page_id"], x["text"]) for x in html.extract(docs, chunk_bytes=chunk).collect())
+    assert got == sorted((row[0], t) for row, t in zip(rows, brute_html(rows, html.RUN)))
+    assert dict(got)[600] == "own text 0" and dict(got)[500]
+
+
 def test_pipeline_stages(spark):
     """Each stage against its own input: what goes and what stays."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("line", F.lit(1))
