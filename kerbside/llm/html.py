@@ -3,7 +3,8 @@
 Each page is cut into blocks of text, in the tasks that read it: mark-up,
 scripts, forms, menus, headers, footers, sidebars, notices, adverts and
 reader comments are known by their elements, roles and class names; what
-stands in ``article`` or ``main`` is marked as main text.  A page is a stream
+stands in ``article`` or ``main`` is marked as main text.  A wrapper whose
+name sounds like boilerplate but that holds the page's content is none.  A page is a stream
 of tokens; a run of ``RUN`` tokens that repeats across distinct pages of its
 host, however many, and stands outside the main text of one of them is
 boilerplate; the tokens it covers are removed wherever they stand, and the
@@ -46,8 +47,8 @@ RUN, CHUNK_BYTES = 20, 1 << 20
 ANCHOR, MAX_BITS, PAGE_BITS = 6, 1 << 29, 1 << 18
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # fixed values: elements and class words of what is not main text
 _RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas"}
@@ -57,6 +58,10 @@ _WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "spo
           "subscribe", "signup", "login", "share", "sharing", "social", "comment", "comments", "reply", "replies", "nav",
           "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "related",
           "recommended", "pagination", "pager", "widget", "toolbar", "search", "complementary", "contentinfo", "disclaimer"}
+_COMMENT = {"comment", "comments", "reply", "replies"}
+#: Words that make a class or id the state or the frame of a wrapper.
+_STATE = {"has", "no", "not", "with", "without", "elementor"}
+_HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _VOID = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 _BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "tr", "thead", "tbody",
           "tfoot", "caption", "blockquote", "pre", "section", "article", "main", "figure", "figcaption", "address", "details",
@@ -65,28 +70,96 @@ _SPACED = {"br", "td", "th"}
 _MAIN = {"article", "main"}
 
 
-def _names_boilerplate(attrs: str) -> bool:
-    for m in _NAMED.finditer(attrs):
-        if any(w in _WORDS for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower())):
-            return True
-    return bool(_HIDDEN.search(attrs))
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attributes by small name; of repeated ones the first counts."""
+    out: dict[str, str] = {}
+    for m in _ATTR.finditer(attrs):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _hidden(attrs: dict[str, str]) -> bool:
+    return attrs.get("hidden", "until-found").strip().lower() != "until-found" \
+        or attrs.get("aria-hidden", "").strip().lower() == "true" or bool(_NO_DISPLAY.search(attrs.get("style", "")))
+
+
+def _named(element: str, attrs: dict[str, str]) -> str:
+    """"C" if a class, id or role names reader comments, "N" if other boilerplate, else "".
+    A name that tells a state of a wrapper (has-sidebar) and the id of a heading name nothing."""
+    kind = ""
+    for a in ("class", "id", "role"):
+        if a == "id" and element in _HEADING:
+            continue
+        for name in attrs.get(a, "").lower().split():
+            words = set(re.split(r"[^a-z0-9]+", name))
+            if words & _WORDS and not words & _STATE:
+                if words & _COMMENT:
+                    return "C"
+                kind = "N"
+    return kind
+
+
+def _spared(marks: list[tuple[str, tuple[int, ...]]], sizes: list[tuple[int, tuple[int, ...]]]) -> set[int]:
+    """The named elements that hold the page's content, so that their name doesn't count:
+    those with a ``main`` element, with the page's only article, or with more text than
+    stands outside boilerplate around them, and its largest article if there are articles.
+    ``marks`` has (kind, open marks around) of each marked element, ``sizes`` (characters,
+    open marks) of each block."""
+    if not any(k in "NC" for k, _ in marks):
+        return set()
+    size = [0] * len(marks)
+    for n, open_ in sizes:
+        if not any(marks[x][0] == "H" for x in open_):
+            for x in open_:
+                size[x] += n
+    hard = [any(marks[x][0] == "H" for x in around) for _, around in marks]
+    out = set()
+    for w, (kind, around) in enumerate(marks):
+        if kind not in "NC" or hard[w]:
+            continue
+        scope = [x for x in around if marks[x][0] in "AM"][-1:]
+        articles = [x for x, (k, _) in enumerate(marks) if k in "AM" and x not in around and size[x] and not hard[x]]
+        mine = [x for x in articles if w in marks[x][1]]
+        if articles and not mine:
+            continue
+        rest = sum(n for n, open_ in sizes if w not in open_ and all(x in open_ for x in scope)
+                   and not any(marks[x][0] in "HNC" and x not in around for x in open_))
+        large = size[w] > rest and (not articles or max(size[x] for x in mine) == max(size[x] for x in articles))
+        if any(marks[x][0] == "M" for x in mine) or large and (articles or kind == "N") \
+                or kind == "N" and not scope and len(articles) == 1:
+            out.add(w)
+    return out
 
 
 def blocks(html: str) -> list[tuple[str, int]]:
     """(text, zone) of each block in page order: zone 2 main text, 1 other
     text, 0 boilerplate by its element, role or name."""
-    out: list[tuple[str, int]] = []
+    out: list[tuple[str, tuple[int, ...]]] = []
     open_: list[str] = []
-    skip = main = 0  # depths of the outermost boilerplate and main elements, 0 if none
+    # elements that decide zones: H boilerplate by element or hidden, N and C by name, A article, M main
+    marks: list[tuple[str, tuple[int, ...]]] = []
+    stack: list[tuple[int, int]] = []  # (depth, mark) of the open ones
     text: list[str] = []
 
     def end_block() -> None:
         if text:
             s = " ".join("".join(text).split())
             if s:
-                out.append((s, 0 if skip else 2 if main else 1))
+                out.append((s, tuple(x for _, x in stack)))
             text.clear()
 
+    def mark(kind: str) -> None:
+        end_block()
+        marks.append((kind, tuple(x for _, x in stack)))
+        stack.append((len(open_), len(marks) - 1))
+
+    def close(depth: int) -> None:
+        if stack and stack[-1][0] >= depth:
+            end_block()
+            while stack and stack[-1][0] >= depth:
+                stack.pop()
+        del open_[depth - 1:]
+
     pos = 0
     while True:
         m = _TAG.search(html, pos)
@@ -103,17 +176,13 @@ def blocks(html: str) -> list[tuple[str, int]]:
             if name in open_:
                 if name in _BLOCK:
                     end_block()
-                elif skip or name in _SPACED:
-                    (end_block if skip > len(open_) - 1 else lambda: text.append(" "))()
-                depth = len(open_) - open_[::-1].index(name)
-                if skip >= depth or main >= depth:
-                    end_block()
-                skip, main = (0 if skip >= depth else skip), (0 if main >= depth else main)
-                del open_[depth - 1:]
+                elif name in _SPACED:
+                    text.append(" ")
+                close(len(open_) - open_[::-1].index(name))
             continue
         if name in _RAW:
-            close = re.compile(rf"</{name}\s*>", re.I).search(html, pos)
-            pos = close.end() if close else len(html)
+            end = re.compile(rf"</{name}\s*>", re.I).search(html, pos)
+            pos = end.end() if end else len(html)
             continue
         if name in _SPACED:
             text.append(" ")
@@ -122,19 +191,23 @@ def blocks(html: str) -> list[tuple[str, int]]:
         if name == "p" and "p" in open_ or name == "li" and open_ and open_[-1] == "li":
             depth = len(open_) - open_[::-1].index(name)
             if not any(x in _BLOCK for x in open_[depth:]):
-                skip = 0 if skip >= depth else skip
-                del open_[depth - 1:]
+                close(depth)
         if name in _VOID or m[3].rstrip().endswith("/") and name not in _BLOCK:
             continue
         open_.append(name)
-        if name in _MAIN and not main and not skip:
-            end_block()
-            main = len(open_)
-        if not skip and (name in _OUT or name not in ("body", "html", *_MAIN) and m[3] and _names_boilerplate(m[3])):
-            end_block()
-            skip = len(open_)
+        if name in _MAIN:
+            mark("M" if name == "main" else "A")
+        elif name in _OUT:
+            mark("H")
+        elif name not in ("body", "html") and m[3]:
+            attrs = _attributes(m[3])
+            kind = "H" if _hidden(attrs) else _named(name, attrs)
+            if kind:
+                mark(kind)
     end_block()
-    return out
+    spared = _spared(marks, [(len(b), x) for b, x in out])
+    drop = [k == "H" or k in "NC" and i not in spared for i, (k, _) in enumerate(marks)]
+    return [(b, 0 if any(drop[x] for x in at) else 2 if any(marks[x][0] in "AM" for x in at) else 1) for b, at in out]
 
 
 # ---------------------------------------------------------------- repeated runs

@@ -350,6 +350,31 @@ def test_html_runs_are_host_wide(spark, chunk):
     assert dict(got)[600] == "own text 0" and dict(got)[500]
 
 
+@pytest.mark.parametrize("attrs", [
+    'class="has-sidebar"', 'class="elementor-widget-container"', 'class="sidebar-layout"', 'class="comments-enabled"', 'class="overflow-hidden"',
+    'style="overflow:hidden"', 'title="a hidden place"', 'data-id="share"', 'id=page data-role="widget"', 'hidden="until-found"'])
+def test_html_wrappers_keep_the_article(attrs):
+    out = html.blocks(f"<body><div {attrs}><article><p>The whole text of it.</p></article></div><p>some rest</p></body>")
+    assert ("The whole text of it.", 2) in out
+    plain = html.blocks(f"<body><div {attrs.replace('comments', 'sidebar')}><p>The whole text of it.</p></div><p>rest</p></body>")
+    assert ("The whole text of it.", 1) in plain
+
+
+def test_html_names_of_boilerplate():
+    zones = lambda x: dict(html.blocks(f"<body>{x}</body>"))
+    assert zones('<a href="/hidden-gems">gems</a>') == {"gems": 1}
+    assert zones('<article><h2 id="related-work">Related work</h2><p>text</p></article>') == {"Related work": 2, "text": 2}
+    post = "<article>a post that says a lot of things</article>"
+    for e in ('class="comments"', 'id=sidebar', 'role="complementary"', 'class="widget x"', "hidden", 'hidden=""', 'style="color:red; display : none"',
+              'aria-hidden="true"', 'class="post-comments-list"', 'class="ad"'):
+        assert zones(f"{post}<div {e}><p>not it</p></div>")["not it"] == 0, e
+    cards = "<div class='related'><article>one card</article><article>two cards</article></div>"
+    assert zones(post + cards)["one card"] == 0
+    assert zones(f"<main>{post}{cards}</main>") == {"a post that says a lot of things": 2, "one card": 0, "two cards": 0}
+    said = "<div class='comments'><article>a reader's long answer to what stands above it</article></div>"
+    assert zones(f"<div>a text of the page that is longer than what a reader says to it</div>{said}")["a reader's long answer to what stands above it"] == 0
+
+
 def test_pipeline_stages(spark):
     """Each stage against its own input: what goes and what stays."""
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("line", F.lit(1))
