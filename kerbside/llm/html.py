@@ -7,9 +7,11 @@ stands in ``article`` or ``main`` is marked as main text.  A wrapper whose
 name sounds like boilerplate but that holds the page's content is none.  A page is a stream
 of tokens; a run of ``RUN`` tokens that repeats across distinct pages of its
 host, however many, and stands outside the main text of one of them is
-boilerplate; the tokens it covers are removed wherever they stand, and the
-unique runs are the page's text.  A passage that repeats only inside the main
-text of pages is content.
+boilerplate there; the tokens it covers are removed outside main text, and the
+unique runs are the page's text.  They are removed from main text only if the
+run stands in the main text of distinct pages and still more pages have it
+outside: an article that other pages quote keeps the passage.  A passage that
+repeats only inside the main text of pages is content.
 
 Runs are counted over whole hosts without gathering them.  Equal windows of
 ``RUN`` tokens have equal anchors (the least hash of their runs of ``ANCHOR``
@@ -334,8 +336,8 @@ def _repeats(run: int, bits, shift: int):
     return emit
 
 
-#: Boilerplate is removed from main text, too.
-INSIDE = "true"
+#: Boilerplate goes from main text, too, if it repeats there and most pages have it outside.
+INSIDE = "main_lo < main_hi AND n_out > n_main"
 _REPEAT = ["key", "part", "lo", "hi", "main_lo", "main_hi", "n_out", "n_main"]
 
 
