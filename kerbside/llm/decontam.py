@@ -13,8 +13,11 @@ rarest words stand within a few words of their places is a proximity match.
 DataFrame functions only.
 
 The benchmark is the fixed, small side: its terms and windows are broadcast
-only after counting them (``MAX_TERMS``, ``MAX_WINDOWS``); beyond that the
-same joins are shuffled and adaptive execution splits hot terms.
+only after counting them (``MAX_TERMS``, ``MAX_WINDOWS``).  Beyond that only
+postings are shuffled, never with the words of their text: those of the
+rarest words carry a 64-bit mask of the words around them, are joined to the
+windows by term (adaptive execution splits hot terms), and what passes the
+mask is looked up in its document, whose words move once.
 
 Defined results: words are maximal runs of ``WORD`` after A-Z become a-z; a
 NULL or empty text has no words and is clean; an item without words has no
@@ -64,10 +67,6 @@ def windows(bench: DataFrame, item_id: str = "item_id", text: str = "text") -> D
         .select("item", F.slice("w", F.col("s") + 1, F.lit(WINDOW)).alias("win")).distinct()
 
 
-def _maybe_broadcast(df: DataFrame, rows: int, bound: int) -> DataFrame:
-    return F.broadcast(df) if rows <= bound else df
-
-
 def matches(store: DataFrame, wins: DataFrame, slop: int = SLOP) -> DataFrame:
     """(key, win, start, kind): ``phrase`` for every occurrence of a window,
     ``proximity`` where its two rarest words stand within ``slop`` words of
@@ -75,9 +74,12 @@ def matches(store: DataFrame, wins: DataFrame, slop: int = SLOP) -> DataFrame:
     win = written(wins.select("win").distinct().withColumn("w", F.xxhash64("win")), "windows")
     n_win = win.count()
     terms = win.select(F.explode("win").alias("term")).distinct()
-    counts = written(store.select(F.explode("words").alias("term"))
-                     .join(_maybe_broadcast(terms, n_win * WINDOW, MAX_TERMS), "term")
-                     .groupBy("term").agg(F.count("*").alias("n")), "term-counts")
+    each = store.select(F.explode("words").alias("term"))
+    if n_win * WINDOW <= MAX_TERMS:
+        counts = each.join(F.broadcast(terms), "term").groupBy("term").agg(F.count("*").alias("n"))
+    else:  # counted first: one row a term is joined
+        counts = each.groupBy("term").agg(F.count("*").alias("n")).join(terms, "term")
+    counts = written(counts, "term-counts")
     places = win.select("w", F.posexplode("win").alias("o", "term")).join(counts, "term", "left") \
         .groupBy("w").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term", "o")))
                           .alias("p"))  # at most ten
@@ -85,22 +87,65 @@ def matches(store: DataFrame, wins: DataFrame, slop: int = SLOP) -> DataFrame:
         .select("w", "win", F.col("p")[0]["term"].alias("t1"), F.col("p")[0]["o"].alias("o1"),
                 F.get("p", F.lit(1))["term"].alias("t2"), F.get("p", F.lit(1))["o"].alias("o2"))
     plan = written(plan, "window-plan")
+    if n_win > MAX_WINDOWS:
+        return _shuffled_matches(store, plan, slop)
     # Postings of the rarest words, shifted to window starts.  A document's lists are all in
     # its own row, so they are intersected there: the second-rarest word at its place (or
     # near it), then the whole window.
     start = F.col("pos") - F.col("o1")
-    place2 = start + F.col("o2")
-    low = F.greatest(place2 - slop, F.lit(0))
-    phrase = (F.col("t2").isNull() | (F.get("words", place2) == F.col("t2"))) \
-        & (F.slice("words", start + 1, F.size("win")) == F.col("win"))
-    near = F.array_contains(F.slice("words", low + 1, place2 + slop - low + 1), F.col("t2"))
+    phrase = F.slice("words", start + 1, F.size("win")) == F.col("win")
     return store.select("key", "words", F.posexplode("words").alias("pos", "term")) \
-        .join(_maybe_broadcast(plan, n_win, MAX_WINDOWS), F.col("term") == F.col("t1")) \
+        .join(F.broadcast(plan), F.col("term") == F.col("t1")) \
         .where(start >= 0) \
-        .select("key", "win", start.alias("start"), F.when(phrase, "phrase").when(near, "proximity").alias("kind")) \
+        .select("key", "win", start.alias("start"), _kind(start, phrase, slop).alias("kind")) \
         .where("kind IS NOT NULL").distinct()
 
 
+def _kind(start: Column, whole: Column, slop: int) -> Column:
+    place2 = start + F.col("o2")
+    low = F.greatest(place2 - slop, F.lit(0))
+    phrase = (F.col("t2").isNull() | (F.get("words", place2) == F.col("t2"))) & whole
+    near = F.array_contains(F.slice("words", low + 1, place2 + slop - low + 1), F.col("t2"))
+    return F.when(phrase, "phrase").when(near, "proximity")
+
+
+def _bit(word: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(word), F.lit(64)).cast("int"))
+
+
+def postings(store: DataFrame, plan: DataFrame, slop: int = SLOP) -> DataFrame:
+    """(key, pos, term, mask): postings of the rarest words of the windows; the mask has a bit
+    of each word that stands where another word of a window can be."""
+    terms = written(plan.select(F.col("t1").alias("term")).distinct(), "rarest-terms")
+    reach = WINDOW - 1 + slop
+    # masks of a document by doubling, one step a projection; no row of a posting has the words
+    d = store.select("key", "words", F.concat(F.array_repeat(F.lit(0).cast("long"), reach), F.transform("words", _bit)).alias("m"))
+    size = 1
+    while size < 2 * reach + 1:
+        step = min(size, 2 * reach + 1 - size)
+        d = d.select("key", "words", F.zip_with("m", F.slice("m", F.lit(step + 1), F.greatest(F.size("m") - step, F.lit(0))),
+                                                lambda x, y: x.bitwiseOR(F.coalesce(y, F.lit(0).cast("long")))).alias("m"))
+        size += step
+    d = d.select("key", F.posexplode(F.arrays_zip("words", F.slice("m", F.lit(1), F.size("words")).alias("m"))).alias("pos", "x")) \
+        .select("key", "pos", F.col("x.words").alias("term"), F.col("x.m").alias("mask"))
+    return d.join(F.broadcast(terms), "term", "left_semi").select("key", "pos", "term", "mask") if terms.count() <= MAX_TERMS else d
+
+
+def _shuffled_matches(store: DataFrame, plan: DataFrame, slop: int) -> DataFrame:
+    """:func:`matches` for more windows than are broadcast."""
+    slim = plan.select("w", F.size("win").alias("n"), "t1", "o1", "t2", "o2", F.when(F.col("t2").isNull(), F.lit(0)).otherwise(_bit(F.col("t2"))).cast("long").alias("bit"))
+    found = postings(store, plan, slop).join(slim, F.col("term") == F.col("t1")) \
+        .where("pos >= o1 AND (mask & bit) = bit") \
+        .select("key", "w", (F.col("pos") - F.col("o1")).alias("start"), "n", "t2", "o2").distinct()
+    found = written(found, "window-candidates")
+    # repeated rows share a key and their words
+    texts = store.join(found.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
+    whole = F.xxhash64(F.slice("words", F.col("start") + 1, F.col("n"))) == F.col("w")
+    kinds = found.join(texts, "key").select("key", "w", "start", _kind(F.col("start"), whole, slop).alias("kind")) \
+        .where("kind IS NOT NULL")
+    return kinds.join(plan.select("w", "win"), "w").select("key", "win", "start", "kind")
+
+
 def decontaminate(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   item_id: str = "item_id", item_text: str = "text", slop: int = SLOP) -> DataFrame:
     """Per document: doc_id, n_words, n_hit (words inside an occurrence of a

@@ -169,6 +169,26 @@ def test_decontamination_proximity(spark):
     assert got[3]["n_near"] <= 1 and not got[2]["contaminated"]
 
 
+def test_decontamination_of_a_large_benchmark(spark, edge, monkeypatch):
+    """Beyond the windows that are broadcast: the same rows, and no text is shuffled with its postings."""
+    long_ = " ".join(words(4000, 31, 300))
+    docs = edge.select("doc_id", "text").union(spark.createDataFrame([(50, long_), (50, long_), (51, "one of w1 w2 w3")], "doc_id long, text string"))
+    docs = docs.union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    items = [(i, " ".join(long_.split()[40 * i: 40 * i + 25])) for i in range(20)] + [(30, "w1"), (31, "a b"), (32, "w1 w1 w1"), (33, None)]
+    items += [(40 + i, " ".join([*words(5, i, 300), *words(6, 90 + i, 300)])) for i in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench = bench.union(spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text"))
+    rows = lambda: sorted(map(str, decontam.decontaminate(docs, bench).collect()))
+    want = rows()
+    assert sum("contaminated=True" in x for x in want) > 5 and any("n_near=0" not in x for x in want)
+    monkeypatch.setattr(decontam, "MAX_WINDOWS", 0)
+    assert rows() == want
+    monkeypatch.setattr(decontam, "MAX_TERMS", 0)
+    assert rows() == want
+    plan = spark.createDataFrame([("w1",)], "t1 string")
+    assert decontam.postings(decontam.index(docs), plan).columns == ["key", "pos", "term", "mask"]
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
