@@ -4,10 +4,12 @@ Three patterns give the base spans (assignments, access keys, long hex
 runs).  Their values are labelled credentials: per kind, a probabilistic
 automaton is inferred from the prefix tree of (a bounded sample of) them by
 merging states whose symbol frequencies don't differ by the Hoeffding bound,
-and so is one for the background, from other long runs.  Every remaining
-candidate run of the corpus is scored: it is added as ``grammar`` when some
-kind's automaton gives it a likelihood as good as that kind's own values
-have and clearly better than the background's.
+and so is one for the background, from other runs.  Every remaining
+candidate of the corpus is scored, whole runs and their parts
+(:func:`candidates`): it is added as ``grammar`` when some kind's automaton
+gives it a likelihood, its end included, as good as that kind's own values
+have and clearly better than the background's.  One labelled value makes a
+kind; any length can be accepted.
 
 The texts are read once; spans and candidates are stored, the sample comes
 from the store, and the scoring reads only the candidates.
@@ -22,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -44,7 +46,8 @@ ALPHA, GAIN, TAIL = 0.05, 6.0, 0.02
 _ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_RUN = re.compile(r"(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+_PART, _FINE = re.compile(r"[^=/]{8,}"), re.compile(r"[^=/.]{8,}")
 
 
 # ---------------------------------------------------------------- spans of one text
@@ -61,15 +64,35 @@ def base_spans(text: str) -> list[tuple[int, int, str, str]]:
 
 
 def candidates(text: str, base: list) -> list[tuple[int, int, str]]:
-    """(start, end, run): runs of 16 credential characters or more, with a
-    digit, that touch no base span."""
-    starts = [b[0] for b in base]
+    """(start, end, value) in order, a whole before its parts: what runs of credential
+    characters have outside base spans, what stands there after the first ``=``, and their
+    parts between ``=`` and ``/``, and between these and ``.``; each of 8 characters or more."""
     reach = list(accumulate((b[2] for b in base), max))  # furthest end of the spans up to each
+    starts = [b[0] for b in base]
     out = []
     for m in _RUN.finditer(text):
-        k = bisect_left(starts, m.end())
-        if not k or reach[k - 1] <= m.start():
-            out.append((m.start(), m.end(), m[0]))
+        at, end = m.span()
+        pieces = [(at, end)]
+        k = bisect_left(starts, end)
+        if k and reach[k - 1] > at:
+            pieces, j = [], bisect_right(reach, at)  # the first span that ends in the run
+            for b in base[j:k]:
+                pieces.append((at, b[0]))
+                at = max(at, b[2])
+            pieces.append((at, end))
+        for s, e in pieces:
+            if e - s < 8:
+                continue
+            run = text[s:e]
+            if "=" not in run and "/" not in run and "." not in run:
+                out.append((s, e, run))
+                continue
+            found = {(s, e), (s + run.find("=") + 1, e)}
+            for part in _PART.finditer(run):
+                x = part[0]
+                found.add((s + part.start() + len(x) - len(x.lstrip(".")), s + part.start() + len(x.rstrip("."))))
+            found.update((s + part.start(), s + part.end()) for part in _FINE.finditer(run))
+            out += [(a, b, text[a:b]) for a, b in sorted(found, key=lambda x: (x[0], -x[1])) if b - a >= 8]
     return out
 
 
@@ -170,19 +193,16 @@ class Grammar:
         self.kinds = []
         for kind in sorted(values):
             words = [symbols(v) for v in values[kind]]
-            if len(words) >= 10:
+            if words:
                 a = infer(words)
                 each = sorted(a.log_likelihood(w) / (len(w) + 1) for w in words)
-                lens = sorted(map(len, words))
-                self.kinds.append((a, each[int(TAIL * len(each))], lens[0], lens[-1]))
+                self.kinds.append((a, each[int(TAIL * len(each))]))
         self.background = infer([symbols(v) for v in background])
 
     def accepts(self, value: str) -> bool:
         w = symbols(value)
         base = None
-        for a, least, short, long_ in self.kinds:
-            if not short <= len(w) <= long_:
-                continue
+        for a, least in self.kinds:
             p = a.log_likelihood(w)
             if p / (len(w) + 1) >= least:
                 base = self.background.log_likelihood(w) if base is None else base
@@ -224,7 +244,7 @@ def _sampled(spans: DataFrame, column: str, kind: int, most: int) -> list[str]:
 
 def learn(spans: DataFrame, sample: int = SAMPLE) -> Grammar | None:
     """The grammar of the stored spans, from at most ``sample`` values of each
-    kind and as many background runs; None if the corpus has too few."""
+    kind and as many background runs; None if the corpus has no labelled value."""
     values = {KINDS[k]: _sampled(spans, "base", k, sample) for k in range(3)}
     g = Grammar(values, _sampled(spans, "rest", 3, sample))
     return g if g.kinds else None
@@ -237,13 +257,18 @@ def _score(grammar: Grammar | None):
             cols: list[list] = [[] for _ in range(6)]
             for base, rest in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 spans = [(x["start"], x["kind"], x["end"]) for x in base]
+                done = 0  # parts of an accepted candidate are not listed again
                 for x in rest if grammar else ():
+                    if x["end"] <= done:
+                        continue
                     if len(known) > 100_000:
                         known.clear()
-                    if x["value"] not in known:
-                        known[x["value"]] = grammar.accepts(x["value"])
-                    if known[x["value"]]:
+                    w = symbols(x["value"])
+                    if w not in known:
+                        known[w] = grammar.accepts(x["value"])
+                    if known[w]:
                         spans.append((x["start"], 3, x["end"]))
+                        done = x["end"]
                 text = [f"{KINDS[k]}:{s}:{e}" for s, k, e in spans]
                 n = np.bincount([k for _, k, _ in spans] or [0], minlength=4) if spans else np.zeros(4, int)
                 for c, v in zip(cols, (*n.tolist(), hashlib.sha256(",".join(text[:len(base)]).encode()).hexdigest(),

@@ -217,6 +217,26 @@ def test_grammar_prefers_its_format():
     assert g.accepts("gh_" + "0A1B2C3D4E5F6A7B8C9D") and not g.accepts("123456789012345678")
 
 
+def test_secret_candidates_and_lengths(spark):
+    base = lambda t: [x[2] for x in secrets.candidates(t, secrets.base_spans(t))]
+    assert "ghp_16C7e42F292c6912E7" in base("AUTH=ghp_16C7e42F292c6912E7.") and "ghp_16C7" in base("see ghp_16C7 or x")
+    assert base("see abcdefgh or abcdefg") == ["abcdefgh"]
+    text = "first-part/" + "0123456789abcdef" * 2 + "Z_the.rest"
+    assert base(text)[0] == "first-part/" and "Z_the.rest" in base(text)
+    assert "seg/ment" in base("x=seg/ment") and "QWxhZGRpbjpv/cGVu==" in base("A=QWxhZGRpbjpv/cGVu==")
+    many = " ".join(f"{'ab' * 4}=1 password=12345678/{i:08d}" for i in range(2000))
+    assert len(base(many)) == 4000
+    r = random.Random(12)
+    key = lambda n: "ghp_" + "".join(r.choice("0123456789ABCDEF") for _ in range(n))
+    rows = [(i, f"some ordinary words, token = {key(20)} {' '.join(words(20, i, 10**8))} somewhat {i} different everywhere") for i in range(60)]
+    rows += [(100, f"set AUTH={key(20)} here"), (101, f"dir/{key(20)}/x"), (102, f"{key(20)}."), (103, f"is {key(24)} longer"), (104, "ordinary different")]
+    out = {x["doc_id"]: x for x in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[100]["spans"] == "grammar:9:33" and out[101]["n_grammar"] == out[102]["n_grammar"] == out[103]["n_grammar"] == 1
+    assert out[104]["spans"] == "" and out[5]["n_grammar"] == 0
+    few = secrets.Grammar({"assign": [key(20) for _ in range(9)]}, ["ordinary", "different", "everywhere"] * 20)
+    assert few.kinds
+
+
 def test_packing(spark, edge):
     docs = spark.createDataFrame([(i, " ".join(words(random.Random(i).randrange(0, 900), i))) for i in range(300)], "doc_id long, text string")
     enc = encoder(default_path())
