@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import (chat, decontam, html, huffman, linededup, neardup, packing, quality, secrets, sharding)
+from kerbside.llm import (chat, decontam, html, huffman, linededup, neardup, packing, phrases, quality, secrets,
+                          sharding)
 from kerbside.llm.common import table
 
 QUERIES: dict = {}
@@ -146,3 +147,34 @@ def op9(spark: SparkSession, base: str) -> DataFrame:
 @query("op10_html_text")
 def op10(spark: SparkSession, base: str) -> DataFrame:
     return html.extract(table(spark, base, "pages"))
+
+
+@query("op13_phrases", r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+grams AS (SELECT lang, w[s:s + k - 1] AS g
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM w, (SELECT unnest([1, 2, 3, 4]) AS k))),
+f AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT lang, g, f AS a FROM f WHERE len(g) >= 2),
+subs AS (SELECT lang, a, g[i:i + m - 1] AS s
+         FROM (SELECT lang, g, a, m, unnest(range(1, len(g) - m + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m) WHERE len(g) > m)),
+cover AS (SELECT lang, s, max(a) AS cover FROM subs GROUP BY lang, s),
+kept AS (SELECT c.* FROM c LEFT JOIN cover ON c.lang = cover.lang AND c.g = cover.s
+         WHERE cover IS NULL OR 100 * cover < 80 * a),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM kept),
+x AS (SELECT cuts.*, fl.f AS l, fr.f AS r,
+             CAST(2000000::HUGEINT * a // (fl.f + fr.f) AS BIGINT) AS score
+      FROM cuts JOIN f fl ON cuts.lang = fl.lang AND cuts.g[1:k] = fl.g
+                JOIN f fr ON cuts.lang = fr.lang AND cuts.g[k + 1:] = fr.g),
+best AS (SELECT *, array_to_string(g, ' ') AS phrase FROM x
+         QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+""")
+def op13(spark: SparkSession, base: str) -> DataFrame:
+    return phrases.mine(table(spark, base, "documents"))
