@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import (chat, decontam, html, huffman, linededup, neardup, packing, phrases, quality, secrets,
-                          sharding, whitening)
+                          sharding, toxicity, whitening)
 from kerbside.llm.common import table
 
 QUERIES: dict = {}
@@ -149,6 +149,11 @@ def op10(spark: SparkSession, base: str) -> DataFrame:
     return html.extract(table(spark, base, "pages"))
 
 
+@query("op11_toxicity")
+def op11(spark: SparkSession, base: str) -> DataFrame:
+    return toxicity.score(table(spark, base, "documents"), table(spark, base, "labels"))
+
+
 @query("op12_whitening")
 def op12(spark: SparkSession, base: str) -> DataFrame:
     return whitening.whiten(table(spark, base, "embeddings"))
