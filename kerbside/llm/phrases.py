@@ -7,14 +7,16 @@ suffix tree of all streams, cut off at four words, is never built as a whole:
 1. Words are counted; those below ``min_count`` can't be in a candidate, so
    a suffix ends before them.  The rest get dense ids in (lang, word) order.
 2. *Vertical partitions*: the words, in that order and weighed by their
-   occurrences, are cut into groups of ``BUDGET`` occurrences.  A word with
-   more than that takes several groups, among which its longer prefixes (all
-   four words) are dealt by hash.  So each group's subtrees fit in memory.
+   occurrences, are cut into groups of ``BUDGET`` occurrences.  A prefix whose
+   words so far all have more than that is extended by a word, up to four;
+   these longer prefixes are dealt by hash over the groups of their first
+   word.  A prefix occurs no more often than its rarest word, so each prefix
+   fits the budget without a scan of its own, and so do a group's subtrees.
 3. Blocks send each position's truncated suffix to its group, equal ones
    combined to one row with a count.
 4. A group sorts its suffixes, which is its subtrees' depth-first order, and
-   reads each node's count as the total of the leaves below it.  The nodes of
-   a word that is dealt over groups are added up.
+   reads each node's count as the total of the leaves below it.  Nodes above
+   an extended prefix are split over groups; only their totals are added up.
 
 Scores, cuts and containment are joins over the nodes that are frequent.
 Nothing is sampled or capped; ids are exact, as no word is hashed.
@@ -43,9 +45,9 @@ TOP = 2000
 #: Bytes of text of one block.
 BLOCK_BYTES = 8 << 20
 #: Occurrences of one group of word prefixes (rows of its suffixes at most, but for equal ones of many tasks).
-BUDGET = 1 << 20
+BUDGET = 1 << 19
 #: Suffixes that a task combines before it sends them.
-BUFFER_ROWS = 2 << 20
+BUFFER_ROWS = 1 << 20
 _OUT_ROWS = 1 << 16
 
 # A-Z to a-z, tab to space, every separator of pieces to a line feed
@@ -112,19 +114,21 @@ def _combine(k1: np.ndarray, k2: np.ndarray, cnt: np.ndarray) -> tuple[np.ndarra
 def _suffixes(budget: int, buffer_rows: int):
     """Blocks with the frequent words' (place, id, start, f) to truncated suffixes by group.
 
-    A suffix w1..w4 is two numbers, w1 << 32 | w2 and w3 << 32 | w4, with 0 for none."""
+    A suffix w1..w4 is two numbers, w1 << 32 | w2 and w3 << 32 | w4, with 0 for none.
+    ``g`` is four times the group plus the length of the prefix less one."""
 
     def send(held: list) -> Iterator[pa.RecordBatch]:
-        k1, k2, start, f = (np.concatenate(x) for x in zip(*held))
+        k1, k2, start, f, size = (np.concatenate(x) for x in zip(*held))
         o = np.lexsort((k2, k1))
-        k1, k2, start, f = k1[o], k2[o], start[o], f[o]
+        k1, k2, start, f, size = k1[o], k2[o], start[o], f[o], size[o]
         new = _starts(k1, k2)
         cnt = np.diff(np.append(new, len(k1)))
-        k1, k2, start, f = k1[new], k2[new], start[new], f[new]
-        x = (k1 & _LOW).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ k2.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        k1, k2, start, f, size = k1[new], k2[new], start[new], f[new], size[new]
+        third = np.where(size > 3, k2, np.where(size > 2, k2 >> 32, 0)).astype(np.uint64)
+        x = (k1 & _LOW).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ third * np.uint64(0xC2B2AE3D27D4EB4F)
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         within = ((x >> np.uint64(32)) % f.astype(np.uint64)).astype(np.int64)
-        g = (start + np.where(f > budget, within, 0)) // budget
+        g = (start + np.where(size > 1, within, 0)) // budget * 4 + size - 1
         for i in range(0, len(g), _OUT_ROWS):
             j = slice(i, i + _OUT_ROWS)
             yield pa.RecordBatch.from_arrays([pa.array(a[j].astype(np.int64)) for a in (g, k1, k2, cnt)],
@@ -141,13 +145,16 @@ def _suffixes(budget: int, buffer_rows: int):
                 table, starts, freqs = (np.zeros(n, np.int64) for _ in range(3))
                 table[place], starts[place], freqs[place] = wid, first, freq
                 # the mark -1 reads the last, empty entry
-                w = np.concatenate([table[stream], np.zeros(3, np.int64)])
+                stream = np.concatenate([stream, np.full(3, -1, np.int32)])
+                w, f = table[stream], freqs[stream]
                 at = np.flatnonzero((w[:-3] > 0) & (w[1:-2] > 0))
                 if not len(at):
                     continue
                 w3 = w[at + 2]
                 w4 = np.where(w3 > 0, w[at + 3], 0)
-                held.append((w[at] << 32 | w[at + 1], w3 << 32 | w4, starts[stream[at]], freqs[stream[at]]))
+                # words up to the first that is within the budget
+                size = np.select([f[at] <= budget, f[at + 1] <= budget, f[at + 2] <= budget], [1, 2, 3], 4)
+                held.append((w[at] << 32 | w[at + 1], w3 << 32 | w4, starts[stream[at]], f[at], size))
                 rows += len(at)
                 if rows >= buffer_rows:
                     yield from send(held)
@@ -158,17 +165,25 @@ def _suffixes(budget: int, buffer_rows: int):
     return run
 
 
-def _subtrees(t: pa.Table) -> pa.Table:
-    """All nodes of two to four words of one group's subtrees with their leaf totals."""
-    k1, k2, cnt = _combine(*(t.column(c).to_numpy() for c in ("k1", "k2", "cnt")))
-    out = []
-    for node, deep in ((k2 * 0, k2 >= 0), (k2 & ~_LOW, k2 > 0), (k2, (k2 & _LOW) > 0)):  # two, three, four words
-        a, b, c = k1[deep], node[deep], cnt[deep]
-        if len(a):
-            new = _starts(a, b)
-            out.append((a[new], b[new], np.add.reduceat(c, new)))
-    k1, k2, cnt = (np.concatenate(x) for x in zip(*out))
-    return pa.table({"k1": k1, "k2": k2, "cnt": cnt})
+def _subtrees(least: int):
+    """The nodes of two to four words of one group's subtrees with their leaf totals: those of
+    ``least`` occurrences, and all that are split over groups."""
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        k1, k2, cnt = _combine(*(t.column(c).to_numpy() for c in ("k1", "k2", "cnt")))
+        prefix = (key[0].as_py() & 3) + 1
+        out = []
+        for words, node, deep in ((2, k2 * 0, k2 >= 0), (3, k2 & ~_LOW, k2 > 0), (4, k2, (k2 & _LOW) > 0)):
+            a, b, c = k1[deep], node[deep], cnt[deep]
+            if len(a):
+                new = _starts(a, b)
+                a, b, c = a[new], b[new], np.add.reduceat(c, new)
+                keep = (c >= least) | (words < prefix)
+                out.append((a[keep], b[keep], c[keep]))
+        k1, k2, cnt = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"k1": k1, "k2": k2, "cnt": cnt})
+
+    return run
 
 
 def vocabulary(blocks: DataFrame, least: int) -> DataFrame:
@@ -195,7 +210,7 @@ def nodes(blocks: DataFrame, vocab: DataFrame, least: int, budget: int = BUDGET,
     found = place.join(vocab, ["lang", "word"]).groupBy("block") \
         .agg(F.collect_list(F.struct("loc", "id", "start", "f")).alias("found"))
     suffixes = blocks.select("block", "stream").join(found, "block").drop("block").mapInArrow(_suffixes(budget, buffer_rows), _SUFFIXES)
-    counted = suffixes.groupBy("g").applyInArrow(_subtrees, "k1 long, k2 long, cnt long")
+    counted = suffixes.groupBy("g").applyInArrow(_subtrees(least), "k1 long, k2 long, cnt long")
     return written(counted.groupBy("k1", "k2").agg(F.sum("cnt").alias("f")).where(F.col("f") >= least), "phrase-nodes")
 
 
