@@ -7,15 +7,13 @@ single task.  The operators here therefore prefer:
 * aggregate forms (``max(struct(...))`` / ``max`` + join back) for
   newest/oldest row per key -- these combine map-side, so a hot key costs
   one row per input partition in the shuffle;
-* *split* windows for rank / lag / lead / first-value / running totals:
-  rows are windowed inside ``(key, bucket)`` where ``bucket`` is a coarse,
-  order-preserving slice of the ordering column (a day, a month); the
-  per-bucket summary (count, tail, head, total, first value) is a grouped
-  aggregate combined map-side (a column-pruned second read of the input,
-  one row per (key, bucket) per partition in the shuffle), windowed per key
-  over buckets (small), and joined back on the (key, bucket) columns the
-  rows are already partitioned by.  Exact, and no task holds more than one
-  bucket of one key.
+* *bounded* windows for rank / lag / lead / first value (``ranges.py``): the
+  plain window for keys of up to ``limit`` rows, and for heavier keys ranges
+  of (key, order) with one summary row each, scanned over the key's ranges.
+  Exact, and no task holds more than about ``limit`` rows of a key;
+* ``bucket`` forms, a fixed calendar or number slice in place of ranges, for
+  running totals over daily tables and for callers that know that a slice of
+  one key is small.
 """
 
 from __future__ import annotations
@@ -26,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbside.operators import ranges as R
+
 _FIRST_DAY = _dt.date(1, 1, 1)
 
 
@@ -123,11 +123,13 @@ def earliest_by_key(df: DataFrame, keys, order, tiebreak=None, where_before=None
 
 
 def rank_rows(df: DataFrame, keys, order, name: str = "rn", ascending: bool = False,
-              tiebreak=None, bucket: Column | None = None) -> DataFrame:
+              tiebreak=None, bucket: Column | None = None, limit: int | None = R.LIMIT) -> DataFrame:
     """``ROW_NUMBER()`` beside each row (the rank itself is wanted).
 
     ``order`` columns sort ascending or descending; ``tiebreak`` columns
-    always ascending.  With ``bucket`` (a date, monotone in the first
+    always ascending.  Keys of more than ``limit`` rows are ranked by ranges:
+    the number inside the range plus the rows of the key's ranges before it
+    (``limit=None``: one window per key).  With ``bucket`` (a date, monotone in the first
     ordering column) the rank is split: row_number inside (keys, bucket)
     plus the number of the key's rows in buckets that sort before it -- a
     per-bucket count, prefix-summed per key over buckets.
@@ -135,7 +137,18 @@ def rank_rows(df: DataFrame, keys, order, name: str = "rn", ascending: bool = Fa
     keys = _cols(keys)
     spec = [*_order(order, ascending), *_order(tiebreak, True)]
     if bucket is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*spec)))
+        def plain(d: DataFrame) -> DataFrame:
+            return d.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*spec)).cast("bigint"))
+
+        def split(d: DataFrame, names: list[str]) -> DataFrame:
+            r = R.Ranges(d, names, spec)
+            inner = d.withColumn("__in", F.row_number().over(r.inside))
+            before = r.over.rowsBetween(Window.unboundedPreceding, -1)
+            offs = r.summary(F.count(F.lit(1)).alias("__n")) \
+                .select("__p", *names, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+            return r.joined(inner, offs).select(*df.columns, (F.col("__in") + F.col("__off")).alias(name))
+
+        return R.bounded(df, keys, spec, plain, split, limit)
     b, kc = _split(df, keys, bucket)
     inner = b.withColumn("__in", F.row_number().over(Window.partitionBy(*kc, "__b").orderBy(*spec)))
     cnt = b.groupBy(*kc, "__b").agg(F.count(F.lit(1)).alias("__n"))
@@ -181,10 +194,12 @@ def dedupe_any(df: DataFrame, keys, tiebreak=None) -> DataFrame:
 
 def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None = None,
                   prefix: str = "prev_", bucket: Column | None = None, tiebreak=None,
-                  descending: bool = False) -> DataFrame:
+                  descending: bool = False, limit: int | None = R.LIMIT) -> DataFrame:
     """``LAG(c) OVER (PARTITION BY keys ORDER BY order[, tiebreak])`` for each col.
 
     ``descending`` orders ``order`` and ``tiebreak`` descending (NULLs last).
+    In a key of more than ``limit`` rows, the first row of each range takes
+    the last row of the key's range before it (``limit=None``: one window per key).
     With ``bucket`` (a date or number, monotone in ``order``, e.g.
     ``to_date(ts)``) the lag is split: windows run per (keys, bucket); the
     first row of each bucket takes the last row of the nearest preceding
@@ -195,8 +210,21 @@ def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None =
     tb = _cols(tiebreak)
     spec = _order([order, *tb], not descending)
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*spec)
-        return df.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
+        def plain(d: DataFrame) -> DataFrame:
+            w = Window.partitionBy(*keys).orderBy(*spec)
+            return d.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
+
+        def split(d: DataFrame, names: list[str]) -> DataFrame:
+            r = R.Ranges(d, names, spec)
+            inner = d.select("*", F.row_number().over(r.inside).alias("__rn"),
+                             *[F.lag(c).over(r.inside).alias(f"__l{i}") for i, c in enumerate(cols)])
+            last = r.last([order, *tb], cols, descending)
+            carry = last.select("__p", *names, F.lag("__e").over(r.over).alias("__pt"))
+            return r.joined(inner, carry).select(*df.columns, *[
+                F.when(F.col("__rn") == 1, F.col("__pt")[f"__v{i}"]).otherwise(F.col(f"__l{i}")).alias(prefix + c)
+                for i, c in enumerate(cols)])
+
+        return R.bounded(df, keys, spec, plain, split, limit)
     b, kc = _split(df, keys, bucket)
     w = Window.partitionBy(*kc, "__b").orderBy(*spec)
     inner = b.select("*", F.row_number().over(w).alias("__rn"),
@@ -214,9 +242,11 @@ def with_previous(df: DataFrame, keys, order: str, cols: Sequence[str] | None =
 
 
 def with_next(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str = "next_",
-              tiebreak=None, bucket: Column | None = None) -> DataFrame:
+              tiebreak=None, bucket: Column | None = None, limit: int | None = R.LIMIT) -> DataFrame:
     """``LEAD(c)`` for each col over one window spec (one exchange, one sort).
 
+    In a key of more than ``limit`` rows, the last row of each range takes the
+    first row of the key's next range (``limit=None``: one window per key).
     ``bucket`` splits the window as in :func:`with_previous`: the last row of
     a bucket takes the first row of the key's next non-empty bucket.
     """
@@ -224,8 +254,20 @@ def with_next(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str
     tb = _cols(tiebreak)
     spec = [F.col(order), *[F.col(t) for t in tb]]
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*spec)
-        return df.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
+        def plain(d: DataFrame) -> DataFrame:
+            w = Window.partitionBy(*keys).orderBy(*spec)
+            return d.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
+
+        def split(d: DataFrame, names: list[str]) -> DataFrame:
+            r = R.Ranges(d, names, spec)
+            inner = d.select("*", F.lead(F.lit(1)).over(r.inside).alias("__more"),
+                             *[F.lead(c).over(r.inside).alias(f"__l{i}") for i, c in enumerate(cols)])
+            carry = r.first([order, *tb], cols).select("__p", *names, F.lead("__e").over(r.over).alias("__nh"))
+            return r.joined(inner, carry).select(*df.columns, *[
+                F.when(F.col("__more").isNull(), F.col("__nh")[f"__v{i}"]).otherwise(F.col(f"__l{i}")).alias(prefix + c)
+                for i, c in enumerate(cols)])
+
+        return R.bounded(df, keys, spec, plain, split, limit)
     b, kc = _split(df, keys, bucket)
     w = Window.partitionBy(*kc, "__b").orderBy(*spec)
     inner = b.select("*", F.lead(F.lit(1)).over(w).alias("__more"),
@@ -240,17 +282,19 @@ def with_next(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str
         for c in cols])
 
 
-def previous_strictly_earlier(df: DataFrame, keys, ts: str, name: str = "prev_ts") -> DataFrame:
+def previous_strictly_earlier(df: DataFrame, keys, ts: str, name: str = "prev_ts",
+                              limit: int | None = R.LIMIT) -> DataFrame:
     """Max earlier time for the same key, skipping rows with an equal time.
 
     The correlated ``(SELECT MAX(ts) FROM t t2 WHERE t2.k = t.k AND
     t2.ts < t.ts)`` sub-query.  ``LAG`` equals it only when times are unique
     per key; here ties are handled exactly: take the distinct times per key
-    (an aggregate), lag over those (split by day), join back on (key, ts).
+    (an aggregate), lag over those (by ranges for a heavy key), join back on
+    (key, ts).
     """
     keys = _cols(keys)
     distinct_ts = df.select(*keys, ts).where(F.col(ts).isNotNull()).distinct()
-    prev = with_previous(distinct_ts, keys, ts, [ts], prefix="__p_", bucket=F.to_date(ts))
+    prev = with_previous(distinct_ts, keys, ts, [ts], prefix="__p_", limit=limit)
     prev = prev.withColumnRenamed("__p_" + ts, name)
     return join_on(df, prev, keys + [ts])
 
@@ -265,8 +309,8 @@ def period_lag(df: DataFrame, keys, order: str, cols: Sequence[str], prefix: str
 
 
 def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
-                  reset: bool = False, name: str = "gap", seq_bucket: int | None = 1_000_000,
-                  device_descending: bool = False) -> DataFrame:
+                  reset: bool = False, name: str = "gap", seq_bucket: int | None = None,
+                  device_descending: bool = False, limit: int | None = R.LIMIT) -> DataFrame:
     """Difference of ``seq`` from the previous row ordered by (device, seq).
 
     ``reset=False`` reproduces one global window over the whole table: the
@@ -276,12 +320,12 @@ def sequence_gaps(df: DataFrame, device: str, seq: str, descending: bool = True,
     per device) lagged over devices.  ``reset=True`` gives the per-device
     gap (first row NULL).  The two directions are separate: by default
     devices ascend and, with ``descending``, numbers descend inside each (so a
-    normal step is -1).  The per-device lag
-    is split into ``seq_bucket``-wide sequence ranges, so one busy camera
-    does not become one task.
+    normal step is -1).  A device of more than ``limit`` rows is lagged by
+    ranges (or by ``seq_bucket``-wide slices of the sequence), so one busy
+    camera does not become one task.
     """
     bucket = F.floor(F.col(seq) / seq_bucket) if seq_bucket else None
-    lagged = with_previous(df, device, seq, [seq], prefix="__p_", bucket=bucket, descending=descending)
+    lagged = with_previous(df, device, seq, [seq], prefix="__p_", bucket=bucket, descending=descending, limit=limit)
     lagged = lagged.withColumnRenamed("__p_" + seq, "__prev")
     if reset:
         return lagged.withColumn(name, F.col(seq) - F.col("__prev")).drop("__prev")
@@ -373,9 +417,12 @@ def percentile_band(df: DataFrame, keys, col: str, lo: float = 0.05, hi: float =
 
 
 def first_non_null_after(df: DataFrame, keys, order, col: str, name: str,
-                         bucket: Column | None = None) -> DataFrame:
+                         bucket: Column | None = None, limit: int | None = R.LIMIT) -> DataFrame:
     """First non-NULL ``col`` from the current row to the end of the partition.
 
+    In a key of more than ``limit`` rows: first non-NULL to the end of the
+    row's range, else that of the key's later ranges (``limit=None``: one
+    window per key).
     With ``bucket`` (a date, monotone in the first ordering column): first
     non-NULL to the end of the row's bucket, else the first non-NULL of the
     key's later buckets (per-bucket first values, windowed per key).
@@ -384,8 +431,20 @@ def first_non_null_after(df: DataFrame, keys, order, col: str, name: str,
     order = _cols(order)
     spec = [F.col(o) for o in order]
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*spec).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        return df.withColumn(name, F.first(col, ignorenulls=True).over(w))
+        def plain(d: DataFrame) -> DataFrame:
+            w = Window.partitionBy(*keys).orderBy(*spec).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+            return d.withColumn(name, F.first(col, ignorenulls=True).over(w))
+
+        def split(d: DataFrame, names: list[str]) -> DataFrame:
+            r = R.Ranges(d, names, spec)
+            inner = d.withColumn("__in", F.first(col, ignorenulls=True).over(
+                r.inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+            after = r.over.rowsBetween(1, Window.unboundedFollowing)
+            later = r.first(order, [col], present=col).select(
+                "__p", *names, F.first(F.col("__e")["__v0"], ignorenulls=True).over(after).alias("__later"))
+            return r.joined(inner, later).select(*df.columns, F.coalesce("__in", "__later").alias(name))
+
+        return R.bounded(df, keys, spec, plain, split, limit)
     b, kc = _split(df, keys, bucket)
     w = Window.partitionBy(*kc, "__b").orderBy(*spec).rowsBetween(Window.currentRow, Window.unboundedFollowing)
     inner = b.withColumn("__in", F.first(col, ignorenulls=True).over(w))

@@ -13,14 +13,14 @@ from kerbside.operators import windows as W
 
 
 def status_transitions(df: DataFrame, key: str, ts: str, status: str, day: str,
-                       counted: Mapping[str, str], tiebreak=None, bucket=None) -> DataFrame:
+                       counted: Mapping[str, str], tiebreak=None) -> DataFrame:
     """Per day, how many items moved *into* each counted status.
 
     A row counts when its status is the target and the previous status of
     the same item (by time) is different, NULL-safe -- so an item's first
     event counts.  ``counted`` maps output column → status value.
     """
-    lagged = W.with_previous(df, key, ts, [status], prefix="prev_", tiebreak=tiebreak, bucket=bucket)
+    lagged = W.with_previous(df, key, ts, [status], prefix="prev_", tiebreak=tiebreak)
     prev = F.col("prev_" + status)
     aggs = [F.sum(F.when((F.col(status) == v) & ~prev.eqNullSafe(F.lit(v)), 1).otherwise(0)).alias(name)
             for name, v in counted.items()]
@@ -39,7 +39,7 @@ def backlog(events: DataFrame, key: str, ts: str, status: str, day: str, opened:
     """
     from kerbside.functions.timefn import parse_day
     t = status_transitions(events, key, ts, status, day, {"opened": opened, "resolved": resolved},
-                           tiebreak=tiebreak, bucket=F.to_date(ts))
+                           tiebreak=tiebreak)
     t = t.withColumn("net", F.col("opened") - F.col("resolved"))
     r = W.running_total(t, day, "net", name="backlog")
     if start is not None:
@@ -54,12 +54,9 @@ def resolution_times(events: DataFrame, key: str, ts: str, status: str, author:
     author from the current row on is the first resolver.
     """
     from kerbside.functions.timefn import boundaries
-    day = F.to_date(ts)
-    n = W.with_next(events.withColumn("__t", F.col(ts)), key, ts, [status, author, "__t"], tiebreak=tiebreak,
-                    bucket=day)
+    n = W.with_next(events.withColumn("__t", F.col(ts)), key, ts, [status, author, "__t"], tiebreak=tiebreak)
     n = n.withColumnRenamed("next___t", "next_ts").drop("__t")
-    n = W.first_non_null_after(n, key, [ts] + ([tiebreak] if tiebreak else []), "next_" + author, "first_resolver",
-                               bucket=day)
+    n = W.first_non_null_after(n, key, [ts] + ([tiebreak] if tiebreak else []), "next_" + author, "first_resolver")
     return n.select("*", boundaries("day", ts, "next_ts").alias("days_to_next"),
                     boundaries("hour", ts, "next_ts").alias("hours_to_next"))
 

@@ -53,11 +53,10 @@ def repeat_visitors(visits: DataFrame, keys, plate: str, ts: str, start, end,
     lo = dt.datetime.combine(s, dt.time()) - (lookback or dt.timedelta(0))
     hi = dt.datetime.combine(e + dt.timedelta(days=1), dt.time())
     v = visits.where((F.col(ts) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(ts) < F.lit(hi).cast("timestamp_ntz")))
-    # same key order and bucket as the rank below, so both windows partition alike
-    v = W.with_previous(v, keys + [plate], ts, [ts], prefix="prev_", tiebreak=tiebreak, bucket=F.to_date(ts))
+    # same key order as the rank below, so both windows partition alike
+    v = W.with_previous(v, keys + [plate], ts, [ts], prefix="prev_", tiebreak=tiebreak)
     v = v.where(F.col(ts) >= F.lit(dt.datetime.combine(s, dt.time())).cast("timestamp_ntz"))
-    v = W.rank_rows(v, keys + [plate], [ts] + ([tiebreak] if tiebreak else []), name="rn",
-                    bucket=F.to_date(ts))
+    v = W.rank_rows(v, keys + [plate], [ts] + ([tiebreak] if tiebreak else []), name="rn")
     prev = F.col("prev_" + ts)
     if by_day:
         recent = F.to_date(prev) >= F.date_sub(F.to_date(ts), within.days)
@@ -166,15 +165,15 @@ def period_report(fact: DataFrame, day: str, ts: str, periods: Mapping[str, tupl
     ``rank_scope='period'`` ranks a vehicle's visits inside each period's
     base range (the label joins the window key); ``'history'`` ranks over
     the whole fact first and then labels, so a visit is a repeat if the
-    vehicle came to the site before, in or out of the period.  Ranks use
-    the day-split window (skew-safe).
+    vehicle came to the site before, in or out of the period.  Ranks are
+    bounded windows (skew-safe).
     """
     if rank_scope == "history":
-        ranked = W.rank_rows(fact, [site, vehicle], [ts, tiebreak], bucket=F.to_date(ts))
+        ranked = W.rank_rows(fact, [site, vehicle], [ts, tiebreak])
         lab = label_periods(ranked, day, periods)
     else:
         lab = label_periods(fact, day, periods)
-        lab = W.rank_rows(lab, ["period", site, vehicle], [ts, tiebreak], bucket=F.to_date(ts))
+        lab = W.rank_rows(lab, ["period", site, vehicle], [ts, tiebreak])
     return lab.groupBy("period", site).agg(F.count(F.lit(1)).alias("visits"),
                                            F.count_distinct(vehicle).alias("vehicles"),
                                            F.count_if(F.col("rn") > 1).alias("repeat_visits"))

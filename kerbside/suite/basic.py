@@ -237,7 +237,7 @@ SELECT event_id, status, prev_status FROM l WHERE status IS DISTINCT FROM prev_s
 def filter_null_safe_change(spark, base):
     from kerbside.functions.values import json_text
     e = D.case_events(spark, base).select("event_id", "case_uri", "ts", json_text("data", "$.value").alias("status"))
-    lagged = W.with_previous(e, "case_uri", "ts", ["status"], tiebreak="event_id", bucket=F.to_date("ts"))
+    lagged = W.with_previous(e, "case_uri", "ts", ["status"], tiebreak="event_id")
     return (lagged.where(~F.col("status").eqNullSafe(F.col("prev_status")))
                   .select("event_id", "status", "prev_status"))
 

@@ -70,8 +70,7 @@ SELECT event_id, device_id, row_number() OVER (PARTITION BY device_id ORDER BY t
 FROM plate_events""", ["plate_events"])
 def rank_first_in_group(spark, base):
     p = D.plate_events(spark, base).select("event_id", "device_id", "ts")
-    return W.rank_rows(p, "device_id", "ts", ascending=True, tiebreak="event_id",
-                        bucket=F.to_date("ts")).drop("ts")
+    return W.rank_rows(p, "device_id", "ts", ascending=True, tiebreak="event_id").drop("ts")
 
 
 @q("recency_rank", """
@@ -79,7 +78,7 @@ SELECT rev_id, out_plate, row_number() OVER (PARTITION BY out_plate ORDER BY arr
 FROM visits""", ["visits"])
 def recency_rank(spark, base):
     v = D.visits(spark, base).select("rev_id", "out_plate", "arrival")
-    w = W.rank_rows(v, "out_plate", ["arrival", "rev_id"], bucket=F.to_date("arrival"))
+    w = W.rank_rows(v, "out_plate", ["arrival", "rev_id"])
     return w.drop("arrival")
 
 
@@ -89,7 +88,7 @@ SELECT rev_id, out_plate, ors_id, arrival,
 FROM visits""", ["visits"])
 def lag_previous_visit(spark, base):
     v = D.visits(spark, base).select("rev_id", "out_plate", "ors_id", "arrival")
-    return W.with_previous(v, ["out_plate", "ors_id"], "arrival", ["arrival"], bucket=F.to_date("arrival"),
+    return W.with_previous(v, ["out_plate", "ors_id"], "arrival", ["arrival"],
                            tiebreak="rev_id")
 
 
@@ -162,8 +161,7 @@ FROM o GROUP BY day""", ["case_events"])
 def lag_status_change(spark, base):
     from kerbside.plans.backlog import status_transitions
     return status_transitions(_status_rows(spark, base), "case_uri", "ts", "status", "day",
-                              {"opened": "Open", "resolved": "Resolved"}, tiebreak="event_id",
-                              bucket=F.to_date("ts"))
+                              {"opened": "Open", "resolved": "Resolved"}, tiebreak="event_id")
 
 
 @q("lead_next_state", """
@@ -179,7 +177,7 @@ FROM n""", ["case_events"])
 def lead_next_state(spark, base):
     e = (D.case_events(spark, base).where(F.col("type") == "StatusChanged")
          .select("event_id", "case_uri", "ts", "author", json_text("data", "$.value").alias("status")))
-    n = W.with_next(e.withColumn("next_ts0", F.col("ts")), "case_uri", "ts", ["status", "author", "next_ts0"], bucket=F.to_date("ts"),
+    n = W.with_next(e.withColumn("next_ts0", F.col("ts")), "case_uri", "ts", ["status", "author", "next_ts0"],
                     tiebreak="event_id")
     n = n.withColumnRenamed("next_next_ts0", "next_ts")
     return n.select("event_id", "status", "next_status", "next_author", "next_ts",
@@ -194,8 +192,7 @@ SELECT event_id, case_uri,
 FROM case_events""", ["case_events"])
 def first_value_ignore_nulls(spark, base):
     e = D.case_events(spark, base).select("event_id", "case_uri", "ts", "author")
-    out = W.first_non_null_after(e, "case_uri", ["ts", "event_id"], "author", "first_author",
-                                 bucket=F.to_date("ts"))
+    out = W.first_non_null_after(e, "case_uri", ["ts", "event_id"], "author", "first_author")
     return out.select("event_id", "case_uri", "first_author")
 
 
