@@ -36,11 +36,13 @@ LIMIT = 4_000_000
 def keyed(df: DataFrame, keys) -> tuple[DataFrame, list[str]]:
     """Add NULL-free columns for the keys: (text value, is NULL) each, so that NULL keys are
     a group as in a window and every later join is a plain equi-join."""
-    exprs, names = [], []
+    exprs, names, at = [], [], ""
+    while f"__kv0{at}" in df.columns:
+        at += "_"
     for i, k in enumerate(keys):
         c = F.col(k) if isinstance(k, str) else k
-        exprs += [F.coalesce(c.cast("string"), F.lit("")).alias(f"__kv{i}"), c.isNull().alias(f"__kn{i}")]
-        names += [f"__kv{i}", f"__kn{i}"]
+        exprs += [F.coalesce(c.cast("string"), F.lit("")).alias(f"__kv{i}{at}"), c.isNull().alias(f"__kn{i}{at}")]
+        names += [f"__kv{i}{at}", f"__kn{i}{at}"]
     return df.select("*", *exprs), names
 
 

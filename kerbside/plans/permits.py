@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.timefn import local_time, parse_day
 from kerbside.operators import aggregates as A
-from kerbside.operators import joins as J
+from kerbside.operators import sweep as S
 from kerbside.operators import windows as W
 
 OPEN_END = dt.datetime(2099, 1, 1)
@@ -83,16 +83,15 @@ def compliance(permits: DataFrame, payments: DataFrame, org: str, region: str, s
         "source", "duration")
 
 
-def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, int], tz: str, start, end,
-                 bucket: str | None = None) -> DataFrame:
+def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, int], tz: str, start, end) -> DataFrame:
     """Permit purchases by price tier, entries within each permit's validity, per month.
 
     * purchases: permits whose amount is a tier, validity end = local start
       + tier days, one per (plate, start) (lowest amount), counted per
       (site, plate, amount, month, start, end);
     * entries: visits of the same plate at the same site whose arrival OR
-      departure lies inside the validity (one join, OR residual; ``bucket``
-      selects the bucketed form for plates hot on both sides);
+      departure lies inside the validity (running counts without pairs for
+      plates hot on both sides);
     * purchase_count: purchases of the plate in the month, all sites (the
       rejoin on plate and month, as the report does).
     """
@@ -111,9 +110,8 @@ def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, in
                   .agg(F.count(F.lit(1)).alias("purchase_count")))
     # a visit reported several times counts once
     v = visits.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep")).distinct()
-    j = J.interval_join_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", how="left",
-                               bucket=bucket)
-    joined = j.groupBy("plate", "site", "permit_month", "amount").agg(F.count("arr").alias("entry_count"))
+    used = S.count_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", "entries")
+    joined = used.groupBy("plate", "site", "permit_month", "amount").agg(F.sum("entries").alias("entry_count"))
     # the report re-joins every purchase of the plate and month to each row and counts the
     # fan-out; that count is the number of purchase rows per (plate, month), so aggregate
     # first and join one row per (plate, month) -- same numbers, no pairs

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.values import key_part
 from kerbside.operators import joins as J
+from kerbside.operators import sweep as S
 from kerbside.operators import windows as W
 from kerbside.sources import derived as D
 from kerbside.sources.tables import scan
@@ -191,7 +192,7 @@ FROM permit_visits v LEFT JOIN permits p
 def interval_join(spark, base):
     v = D.permit_visits(spark, base).select("visit_order", "visit_line", "plate", "arrival")
     p = D.permits(spark, base).select("plate", "permit_id", "start_time", "end_time")
-    j = J.interval_join(v, p, ["plate"], "arrival", "start_time", "end_time", how="left", bucket="year")
+    j = S.interval_pairs(v, p, ["plate"], "arrival", "start_time", "end_time", how="left")
     return j.select("visit_order", "visit_line", "plate", "arrival", "permit_id")
 
 
@@ -199,15 +200,12 @@ def interval_join(spark, base):
 SELECT p.permit_id, count(v.arrival) AS entries
 FROM permits p LEFT JOIN permit_visits v ON p.plate = v.plate AND p.site = v.site
   AND (v.arrival BETWEEN p.start_time AND p.end_time OR v.departure BETWEEN p.start_time AND p.end_time)
-WHERE p.end_time IS NOT NULL GROUP BY p.permit_id""", ["permits", "permit_visits"])
+GROUP BY p.permit_id""", ["permits", "permit_visits"])
 def interval_join_either(spark, base):
-    p = D.permits(spark, base).where(F.col("end_time").isNotNull()).select("permit_id", "plate", "site",
-                                                                            "start_time", "end_time")
+    p = D.permits(spark, base).select("permit_id", "plate", "site", "start_time", "end_time")
     v = D.permit_visits(spark, base).select("plate", "site", "arrival", "departure")
-    # the bucketed form: safe when one plate is hot on both sides
-    j = J.interval_join_either(p, v, ["plate", "site"], "arrival", "departure", "start_time", "end_time", how="left",
-                               bucket="year")
-    return j.groupBy("permit_id").agg(F.count("arrival").alias("entries"))
+    c = S.count_either(p, v, ["plate", "site"], "arrival", "departure", "start_time", "end_time", "entries")
+    return c.groupBy("permit_id").agg(F.sum("entries").alias("entries"))
 
 
 @q("asof_previous_correlated", """
