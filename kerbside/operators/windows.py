@@ -395,25 +395,68 @@ def rolling_values(df: DataFrame, keys, order, col: str, n: int, name: str = "hi
     return df.withColumn(name, F.when(F.size(arr) > 0, arr))
 
 
+def exact_percentiles(df: DataFrame, keys, col: str, shares: Sequence[float], names: Sequence[str],
+                      limit: int | None = R.LIMIT) -> DataFrame:
+    """One row per key with interpolated percentiles (PERCENTILE_CONT) of the non-NULL ``col``.
+
+    Keys of up to ``limit`` rows use ``percentile``, which holds a key's distinct values in one buffer.  For
+    heavier keys the values are ranked by ranges (see ``ranges.py``): of a key with n values, the share p
+    lies at rank 1 + p (n - 1); only the one or two values next to each wanted rank leave their range.
+    """
+    keys = _cols(keys)
+
+    def plain(d: DataFrame) -> DataFrame:
+        return d.groupBy(*keys).agg(*[F.percentile(col, p).alias(n) for p, n in zip(shares, names)])
+
+    if limit is None:
+        return plain(df)
+    k, kc = R.keyed(df.select(*keys, F.col(col).cast("double").alias(col)), keys)
+    heavy, rows = R.heavy_keys(k, kc, limit)
+    if heavy is None:
+        return plain(df)
+    light = plain(k.join(heavy, kc, "left_anti").select(*keys, col))
+    cut = R.range_rows(k.join(heavy, kc, "left_semi"), kc, [F.col(col)], rows, limit)
+    r = R.Ranges(cut, kc, [F.col(col)])
+    # NULLs sort first: they take no rank
+    counts = r.summary(F.count(col).alias("__n"))
+    before = counts.select("__p", *kc, F.coalesce(F.sum("__n").over(r.over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
+                           F.sum("__n").over(Window.partitionBy(*kc)).alias("__all"))
+    inner = cut.where(F.col(col).isNotNull()).withColumn("__in", F.row_number().over(r.inside))
+    ranked = r.joined(inner, before).withColumn("__rank", F.col("__in") + F.col("__off"))
+    at = [F.lit(float(p)) * (F.col("__all") - 1) + 1 for p in shares]
+    near = None
+    for a in at:
+        hit = (F.col("__rank") >= F.floor(a)) & (F.col("__rank") <= F.floor(a) + 1)
+        near = hit if near is None else near | hit
+    vals = []
+    for a, n in zip(at, names):
+        low = F.max(F.when(F.col("__rank") == F.floor(a), F.col(col)))
+        high = F.max(F.when(F.col("__rank") == F.least(F.floor(a) + 1, F.col("__all")), F.col(col)))
+        part = F.max(a - F.floor(a))
+        vals.append((low + F.when(part > 0, part * (high - low)).otherwise(0.0)).alias(n))
+    some = ranked.where(near).groupBy(*kc).agg(*vals)
+    # a heavy key of NULLs alone keeps its row
+    ids = cut.groupBy(*kc).agg(*[F.first(c).alias(c) for c in keys])
+    return light.unionByName(ids.join(some, kc, "left").select(*keys, *names))
+
+
 def percentile_band(df: DataFrame, keys, col: str, lo: float = 0.05, hi: float = 0.95,
-                    names=("p_lo", "p_hi"), window: bool = False) -> DataFrame:
+                    names=("p_lo", "p_hi"), window: bool = False, limit: int | None = R.LIMIT) -> DataFrame:
     """Interpolated percentiles of ``col`` per partition beside each row.
 
-    Exact ``percentile`` (PERCENTILE_CONT) computed as a grouped aggregate
-    and joined back on the keys -- one row per key on the small side -- so
-    the rows are not sorted per key for a whole-partition window.  Over an
-    already aggregated input (one row per key and day), ``window=True``
-    computes it as a whole-partition window instead: the input is then read
-    once, and a partition holds at most one row per day.
+    Exact percentiles per key (:func:`exact_percentiles`), joined back on the
+    keys -- one row per key on the small side -- so the rows are not sorted
+    per key for a whole-partition window.  Over an already aggregated input
+    (one row per key and day), ``window=True`` computes it as a
+    whole-partition window instead: the input is then read once, and a
+    partition holds at most one row per day.
     """
     keys = _cols(keys)
     if window:
         w = Window.partitionBy(*keys)
         return df.select("*", F.percentile(col, lo).over(w).alias(names[0]),
                          F.percentile(col, hi).over(w).alias(names[1]))
-    band = df.groupBy(*keys).agg(F.percentile(col, lo).alias(names[0]),
-                                 F.percentile(col, hi).alias(names[1]))
-    return join_on(df, band, keys)
+    return join_on(df, exact_percentiles(df, keys, col, (lo, hi), names, limit), keys)
 
 
 def first_non_null_after(df: DataFrame, keys, order, col: str, name: str,

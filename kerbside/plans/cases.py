@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.timefn import local_time
-from kerbside.functions.values import recode
+from kerbside.functions.values import key_part, recode
 from kerbside.operators import joins as J
 from kerbside.operators import windows as W
 
@@ -46,14 +46,19 @@ def excluded_case_ids(cases: DataFrame, substates: Iterable[str], reasons: Itera
 
 
 def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reasons=(),
-                labels: Mapping[str, list[str]] = SUBSTATE_LABELS, case_heads: DataFrame | None = None) -> DataFrame:
+                labels: Mapping[str, list[str]] = SUBSTATE_LABELS, case_heads: DataFrame | None = None,
+                names: DataFrame | None = None) -> DataFrame:
     """Newest revision per (case, breach) in a local-date window, with normalised status.
 
     * local day of the fact time (per-row zone) in [start, end], filtered
       before ranking;
     * cases whose id is in the exclusion list are dropped (NOT IN, NULL-aware);
-    * sub-state: the scalar one, else the first of the list; recoded by
-      ``labels`` (unlisted values kept).
+    * sub-state: the scalar one, else the first of the list (the ranking keeps
+      one row of the fan-out over fees and sub-states; here the first of
+      each); rows without one are dropped after ranking, the rest recoded by
+      ``labels`` (unlisted values kept);
+    * offence type and amount of the breach's first fee;
+    * ``names`` (group_id, site_name): only sites with a name stay.
 
     ``case_heads`` (the same cases without the nested breaches, if the
     source can give them cheaply) is used for the exclusion list so it does
@@ -67,12 +72,17 @@ def case_status(cases: DataFrame, start, end, exclude_substates=(), exclude_reas
     b = J.explode_keep(c.select("id", "rev", "state", "timezone", "fact_ts", site_group().alias("site_ref"),
                                 F.coalesce(F.col("substate"), F.get("sub_states", F.lit(0))).alias("upd"), "breaches"),
                        "breaches", "b").select("id", "rev", "state", "timezone", "fact_ts", "site_ref", "upd",
-                                               F.col("b.ticket_id").alias("ticket_id"))
-    cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak="rev")
+                                               F.col("b.ticket_id").alias("ticket_id"), F.get("b.fees", F.lit(0))["type"].alias("offense_type"),
+                                               F.get("b.fees", F.lit(0))["amount"].alias("fee"))
+    cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak=["rev", "fee"]).where(F.col("upd").isNotNull())
+    extra = []
+    if names is not None:
+        cur = cur.withColumn("group_id", key_part("site_ref", 2)).join(names, "group_id")
+        extra = ["offense_type", "fee", "site_name"]
     return cur.select(
         "id", "rev", "state", F.lower("state").alias("state_lower"),
         F.date_trunc("second", local_time("fact_ts", F.col("timezone"))).cast("timestamp_ntz").alias("update_time"),
-        "site_ref", "ticket_id", recode("upd", labels).alias("status"))
+        "site_ref", "ticket_id", recode("upd", labels).alias("status"), *extra)
 
 
 def case_total(field: str) -> Column:
@@ -183,16 +193,60 @@ def credit_receipts(ledger: DataFrame, site: str, start, end, tz: str, since, ca
         _clip("credit", cap).alias("amount"))
 
 
-def reconcile(cases: DataFrame, ledger: DataFrame, newest_line_only: bool = False) -> DataFrame:
-    """Closed notices (newest revision) with their ledger lines.
+def reconcile(cases: DataFrame, ledger: DataFrame, sites: DataFrame, tz: str, since, newest_line_only: bool = False,
+              late_types: Iterable[str] = ("late",), fee_source: str = "base") -> DataFrame:
+    """Closed notices matched with the ledger, both sides by their newest version.
 
-    Default: every non-late-fee line (left join, notices without lines kept).
-    ``newest_line_only``: only the newest line per notice, and -- as the
-    reference's inner ON filter makes it -- only notices that have one.
+    * notices: fee rows of closed cases whose offence type is not in ``late_types`` and whose source is
+      ``fee_source`` (filters before ranking); of these the newest fact per (group, ticket) -- per (organization,
+      group name, ticket) for the form with every line -- the highest fee of equal facts;
+    * ledger lines (``ticket_id``) from the UTC day ``since`` on: every line (left join), or, with
+      ``newest_line_only``, the newest per (site, ticket) -- a ticket with lines on two sites keeps both, one
+      without lines goes;
+    * only groups that are current sites, with the site's name.
     """
-    cur = newest_revision(cases).where(F.lower("state") == "closed").select("id", "order_key", "state")
+    from kerbside.functions.timefn import parse_day
+    from kerbside.plans.dimension import key_parts, with_site
+    b = J.explode_drop(cases.where(F.col("state") == "Closed").select("rev", "state", "substate", "organization", "fact_ts", "groups", "breaches"),
+                       "breaches", "b")
+    f = b.select("*", F.explode("b.fees").alias("f")).where(~F.col("f.type").isin(list(late_types)) & (F.col("f.source") == fee_source))
+    f = f.select("rev", "state", "substate", "organization", "fact_ts", F.col("b.ticket_id").alias("ticket_id"), F.col("f.type").alias("offense_type"),
+                 F.col("f.amount").alias("fee_amount"), F.col("f.source").alias("fee_source"), F.explode("groups").alias("g")) \
+        .select("*", F.col("g.group_ref").alias("group_ref"), F.col("g.name").alias("group_name")).drop("g")
+    keys = ["group_ref", "ticket_id"] if newest_line_only else ["organization", "group_name", "ticket_id"]
+    pcn = W.latest_by_key(f, keys, "fact_ts", tiebreak=["rev", "fee_amount", "group_ref"][:2 if newest_line_only else 3])
+    lines = ledger.where(F.to_date("time") >= F.lit(parse_day(since)))
     if newest_line_only:
-        lines = W.latest_by_key(ledger, "breach_id", "time", tiebreak=["line_no", "debit", "credit"])
-        return cur.join(lines, cur.order_key == lines.breach_id, "inner").drop("breach_id")
-    lines = ledger.where(F.col("description") != "Late fee")
-    return cur.join(lines, cur.order_key == lines.breach_id, "left").drop("breach_id")
+        lines = W.latest_by_key(lines.select("site", "ticket_id", "time", "breach_id", "debit"), ["site", "ticket_id"], "time",
+                                tiebreak=["breach_id", "debit"])
+    lines = lines.select(F.col("ticket_id").alias("__t"), F.col("time").alias("line_time"), F.coalesce("debit", F.lit(0.0)).alias("debit"))
+    pcn = with_site(pcn, sites, key_parts("group_ref"), how="inner")
+    j = pcn.join(lines, pcn["ticket_id"] == lines["__t"], "inner" if newest_line_only else "left")
+    out = j.select("ticket_id", "offense_type", "fee_amount", "fee_source", local_time("fact_ts", tz).alias("updated"), "state", "substate",
+                   "organization", "group_ref", "site_name", "line_time", F.coalesce("debit", F.lit(0.0)).alias("debit"))
+    return out.drop("debit").distinct() if newest_line_only else out
+
+
+def monthly_offence_kpi(cases: DataFrame, sites: DataFrame, start, end, tz: str, paid: Iterable[str] = PAID_SUBSTATES,
+                        cancelled: Iterable[str] = CANCELLED_SUBSTATES) -> DataFrame:
+    """Notices, paid and cancelled per (parent, site name) and local month of the offence.
+
+    Rows are (breach, site group, offence): the period is on the offence's UTC day, the month on its local
+    day; only groups that are current sites count.  Notices and paid are distinct breaches; cancelled counts
+    rows, so a breach with two offences counts twice.  The previous month is that of the site *name* (equal
+    names under two parents follow each other by parent).
+    """
+    from kerbside.functions.timefn import day_range
+    from kerbside.plans.dimension import key_parts, with_site
+    site = F.filter("groups", lambda g: g["type"] == "site")
+    b = J.explode_keep(cases.select("state", "substate", "breaches", "offenses", site.alias("sites")), "breaches", "b")
+    o = b.select("state", "substate", "sites", F.col("b.ticket_id").alias("ticket"), F.explode("offenses").alias("o")) \
+        .select("*", F.col("o.offense_time").alias("off")).where(day_range("off", start, end))
+    r = o.select("state", "substate", "ticket", "off", F.explode("sites.group_ref").alias("group_ref"))
+    r = with_site(r, sites, key_parts("group_ref"), how="inner") \
+        .withColumn("parent", key_part("group_ref", 1))
+    done = F.lower("substate").isin(list(paid)) & (F.col("state") == "Closed")
+    m = r.groupBy("parent", "site_name", F.date_format(local_time("off", tz), "yyyy-MM").alias("month")).agg(
+        F.count_distinct("ticket").alias("notices"), F.count_distinct(F.when(done, F.col("ticket"))).alias("paid"),
+        F.count_if(F.col("ticket").isNotNull() & F.col("substate").isin(list(cancelled))).alias("cancelled"))
+    return W.with_previous(m, "site_name", "month", ["notices", "paid", "cancelled"], tiebreak="parent", limit=None)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from kerbside.functions.timefn import between_local_days, local_date, parse_day
 from kerbside.functions.values import hex_to_long, json_text, recode, safe_ratio
 from kerbside.operators import windows as W
-from kerbside.operators.grids import entity_grid
 
 
 def current_sites(log: DataFrame, key: str = "key", ts: str = "timestamp", drop_deleted: bool = True) -> DataFrame:
@@ -119,8 +118,36 @@ def weekday_compare(breaches: DataFrame, site: str, ts: str, breach_id: str, sta
 
 
 def sites_without(breaches: DataFrame, sites: DataFrame, site: str, day: str, start, end) -> DataFrame:
-    """(site, day) combinations in [start, end] with no breach (grid anti-join)."""
+    """(site, day) of every site in ``sites`` and day in [start, end] without a breach.
+
+    By gaps: each site's existing days, led by the day before ``start``, are compared with the next one (or
+    the day after ``end``), and only the days between are generated.  A site that never had a breach has the
+    whole range; no grid and no anti join.
+    """
     s, e = parse_day(start), parse_day(end)
-    grid = entity_grid(sites.select(site).distinct(), F.lit(s), F.lit(e), "1 day", day)
-    hit = breaches.select(site, day).where(F.col(day).between(F.lit(s), F.lit(e)))
-    return grid.join(hit, [site, day], "left_anti")
+    known = sites.select(site).distinct()
+    hit = breaches.where(F.col(day).between(F.lit(s), F.lit(e))).select(site, F.col(day).alias("d")).distinct().join(known, site, "left_semi")
+    marks = hit.unionByName(known.select(site, F.lit(s - dt.timedelta(days=1)).alias("d")))
+    gaps = W.with_next(marks, site, "d", ["d"], limit=None)
+    until = F.coalesce("next_d", F.lit(e + dt.timedelta(days=1)))
+    return gaps.where(F.date_add("d", 1) < until) \
+        .select(site, F.explode(F.sequence(F.date_add("d", 1), F.date_sub(until, 1))).alias(day))
+
+
+def rate_anomalies(metrics: DataFrame, tz: str, start=None, end=None, org: str | None = None, back: int = 30,
+                   lo: float = 0.05, hi: float = 0.95) -> DataFrame:
+    """Daily match rate per site with the ``back`` rates before it, the site's band and whether the rate is outside.
+
+    ``start``, ``end`` (local days) and ``org`` bound what is read; the band and the rates before are of the
+    days read.  The band is the exact interpolated percentile of the site's days.
+    """
+    m = metrics
+    if org is not None:
+        m = m.where(F.col("org") == org)
+    if start is not None:
+        m = m.where(between_local_days("start_time", tz, start, end))
+    d = m.groupBy("org", "region", "site", local_date("start_time", tz).alias("d")).agg(
+        F.try_divide(F.sum("accepted"), F.sum("total")).alias("rate"), F.sum("total").alias("footfall"))
+    h = W.rolling_values(d.withColumn("__r", F.coalesce("rate", F.lit(0.0))), "site", ["d", "org", "region"], "__r", back, name="prev")
+    b = W.percentile_band(h, "site", "rate", lo, hi, names=("lower_band", "upper_band"))
+    return b.drop("__r").withColumn("is_anomaly", (F.col("rate") < F.col("lower_band")) | (F.col("rate") > F.col("upper_band")))

@@ -67,18 +67,27 @@ def repeat_visitors(visits: DataFrame, keys, plate: str, ts: str, start, end,
              .withColumn("repeat_status", F.when(F.col("entry_count") > 1, "repeated").otherwise("not")))
 
 
-def vehicle_profile(visits: DataFrame, attrs: Mapping[str, tuple[str, str]], keys=("ors_id", "in_plate", "out_plate")) -> DataFrame:
-    """Newest visit per (site, plate in, plate out); each attribute = in-value, else out-value, blanks as NULL.
-
-    Ranking happens before the blank filter: a vehicle whose newest visit
-    has a blank attribute is dropped, as in the reference.
+def vehicle_profile(visits: DataFrame, attrs: Mapping[str, tuple[str, str]], required, sites: DataFrame, start, end, tz: str,
+                    keys=("ors_id", "in_plate", "out_plate")) -> DataFrame:
+    """Newest visit per (site, plate in, plate out) that arrived on a UTC day in [start, end], with plate, local
+    update time, vehicle attributes, stay and site name.
+
+    Each attribute is the in-value, else the out-value, blanks as NULL (numbers as they are).  Only the
+    ``required`` ones must be there: a vehicle without a colour stays, one without a model, make or fuel goes.
+    The period stands before the ranking and the test after it, so a vehicle whose newest visit lacks a required
+    attribute is dropped.  Equal rows are one.
     """
-    latest = W.latest_by_key(visits, list(keys), "updated", tiebreak="rev_id")
-    cols = [F.coalesce(blank_to_null(i), blank_to_null(o)).alias(n) for n, (i, o) in attrs.items()]
-    out = latest.select(*keys, "updated", *cols)
-    for n in attrs:
+    from kerbside.functions.timefn import day_range, stay_minutes
+    from kerbside.plans.dimension import key_parts, with_site
+    types = dict(visits.dtypes)
+    value = lambda c: blank_to_null(c) if types[c] == "string" else F.col(c)
+    latest = W.latest_by_key(visits.where(day_range("arrival", start, end)), list(keys), "updated", tiebreak="rev_id")
+    cols = [F.coalesce(value(i), value(o)).alias(n) for n, (i, o) in attrs.items()]
+    out = latest.select("ors_id", F.coalesce(blank_to_null("in_plate"), blank_to_null("out_plate")).alias("plate_no"),
+                        local_time("updated", tz).alias("update_time"), *cols, stay_minutes("arrival", "departure").alias("stay_minutes")).distinct()
+    for n in required:
         out = out.where(F.col(n).isNotNull())
-    return out
+    return with_site(out, sites, key_parts("ors_id"))
 
 
 def normalise_permits(permits: DataFrame) -> DataFrame:

@@ -38,8 +38,27 @@ def _events(spark: SparkSession, base: str) -> DataFrame:
 
 def visits(spark: SparkSession, base: str) -> DataFrame:
     """Matched visits: two revisions per visit id, NULL plates/exits, deletes."""
-    e = _events(spark, base)
-    return e.select(
+    return _events(spark, base).select(*_visit_columns())
+
+
+def vehicle_visits(spark: SparkSession, base: str) -> DataFrame:
+    """The visits with what the cameras tell of the vehicle: model, year, fuel, weight, CO2."""
+    return _events(spark, base).select(
+        *_visit_columns(),
+        F.expr("CASE WHEN event_id % 6 = 0 THEN '' ELSE concat('mod', user_id % 11) END").alias("in_model"),
+        F.expr("CASE WHEN k % 5 = 0 THEN NULL ELSE concat('mod', user_id % 8) END").alias("out_model"),
+        F.expr("CASE WHEN k % 3 = 0 THEN 2000 + k % 24 END").alias("in_year"),
+        F.expr("CASE WHEN k % 2 = 0 THEN 2001 + k % 20 END").alias("out_year"),
+        F.expr("CASE WHEN k % 7 = 0 THEN '  ' ELSE concat('fuel', k % 4) END").alias("in_fuel"),
+        F.expr("CASE WHEN k % 2 = 0 THEN NULL ELSE concat('fuel', k % 3) END").alias("out_fuel"),
+        F.expr("CASE WHEN k % 6 = 0 THEN NULL ELSE 90 + k % 60 END").alias("in_co2"),
+        F.expr("CASE WHEN k % 4 = 1 THEN NULL ELSE 900 + k END").alias("in_weight"),
+        F.expr("1000 + k").alias("out_weight"),
+    )
+
+
+def _visit_columns() -> list:
+    return [
         F.expr("event_id div 2").alias("visit_id"),
         F.col("event_id").alias("rev_id"),
         F.expr("concat('org', user_id % 7, '#r', k % 5, '#', event_type)").alias("ors_id"),
@@ -54,7 +73,48 @@ def visits(spark: SparkSession, base: str) -> DataFrame:
         F.expr("concat('make', user_id % 6)").alias("out_make"),
         F.expr("CASE WHEN k % 4 = 0 THEN NULL ELSE concat('c', k % 6) END").alias("in_colour"),
         F.expr("CASE WHEN k % 3 = 0 THEN ' ' ELSE concat('c', k % 5) END").alias("out_colour"),
-    )
+    ]
+
+
+def group_log(spark: SparkSession, base: str) -> DataFrame:
+    """Action log of the sites that visits and notices stand at (key parts organization, parent, group_id)."""
+    e = _events(spark, base).select(
+        F.expr("concat('org', user_id % 7)").alias("organization"), F.expr("concat('r', user_id % 5)").alias("parent"),
+        F.col("event_type").alias("group_id"), F.col("ts").alias("timestamp"),
+        F.expr("CASE WHEN k % 10 = 0 THEN 'zone' ELSE 'site' END").alias("type"),
+        F.expr("CASE WHEN event_id % 7 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END").alias("action_type"),
+        F.expr("concat('Park ', event_type, ' ', user_id % 5, ' v', event_id % 3)").alias("name"))
+    o = scan(spark, base, "orders").select(
+        F.expr("concat('org', o_custkey % 7)").alias("organization"), F.expr("concat('r', o_custkey % 5)").alias("parent"),
+        F.expr("concat('S', o_custkey % 20)").alias("group_id"),
+        F.expr("timestampadd(SECOND, o_orderkey % 86400, o_orderdate)").alias("timestamp"),
+        F.expr("CASE WHEN o_orderkey % 10 = 0 THEN 'zone' ELSE 'site' END").alias("type"),
+        F.expr("CASE WHEN o_orderkey % 9 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END").alias("action_type"),
+        F.expr("concat('Site ', o_custkey % 20, ' v', o_orderkey % 3)").alias("name"))
+    return e.unionByName(o).withColumn("key", F.concat_ws("#", "organization", "parent", "group_id"))
+
+
+def park_status(spark: SparkSession, base: str) -> DataFrame:
+    """Status changes of the sites that visits stand at; some NULL."""
+    return _events(spark, base).select(
+        F.col("event_id"), F.expr("concat('org', user_id % 7)").alias("org"), F.expr("concat('r', user_id % 5)").alias("region"),
+        F.col("event_type").alias("site"),
+        F.expr("CASE k % 5 WHEN 0 THEN 'Active' WHEN 1 THEN 'Created' WHEN 2 THEN 'Stopped' WHEN 3 THEN 'Inactive' END").alias("status"),
+        F.col("ts").alias("created"))
+
+
+def notice_facts(spark: SparkSession, base: str) -> DataFrame:
+    """Facts of notices at the visits' sites: two per breach, some without a breach."""
+    return _events(spark, base).select(
+        F.col("event_id"), F.expr("event_id div 4").alias("case_id"),
+        F.expr("CASE WHEN event_id % 41 <> 0 THEN event_id div 2 END").alias("breach_id"),
+        F.expr("concat('org', user_id % 7)").alias("org"), F.expr("concat('r', user_id % 5)").alias("region"),
+        F.col("event_type").alias("site"), F.expr("timestampadd(SECOND, k, ts)").alias("fact_ts"), F.col("ts").alias("offense_time"),
+        F.expr("CASE WHEN k % 5 = 0 THEN 'Open' ELSE 'Closed' END").alias("state"),
+        F.expr("CASE k % 9 WHEN 0 THEN 'nip' WHEN 1 THEN 'defaulted' WHEN 2 THEN 'Paid-Online' WHEN 3 THEN 'Appeal-pending' "
+               "WHEN 4 THEN 'lprError' WHEN 5 THEN 'bankpayment' WHEN 6 THEN 'breachError' WHEN 7 THEN 'issued' END").alias("substate"),
+        F.expr("CAST(20 + k AS DOUBLE)").alias("value"),
+        F.expr("CASE WHEN k % 4 <> 0 THEN CAST(k AS DOUBLE) / 2 END").alias("receipts"))
 
 
 def org_timezone(spark: SparkSession) -> DataFrame:
@@ -321,6 +381,10 @@ def _case_columns(j: DataFrame) -> DataFrame:
         ).alias("vehicle"),
         F.col("o_orderdate").alias("arrival"),
         F.expr("timestampadd(MINUTE, o_orderkey % 300, o_orderdate)").alias("departure"),
+        F.expr("CASE WHEN o_orderkey % 11 <> 0 THEN filter(array("
+               "named_struct('offense_time', timestampadd(HOUR, o_orderkey % 2000, o_orderdate)), "
+               "CASE WHEN o_orderkey % 4 = 0 THEN named_struct('offense_time', timestampadd(DAY, 35, o_orderdate)) END), "
+               "x -> x IS NOT NULL) END").alias("offenses"),
         F.col("breaches"),
     )
 

@@ -144,7 +144,10 @@ SELECT o_orderkey // 3 AS id, o_orderkey % 3 AS rev, o_orderkey AS order_key,
   (l_orderkey // 3) * 100 + l_linenumber AS ticket_id, l_shipdate AS issuing_time,
   l_extendedprice / 1000 AS base_fee, l_tax * 100 AS late_fee,
   CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_extendedprice * (1 - l_discount) / 10 END AS paid_amount,
-  l_returnflag, l_linestatus AS line_status, l_linenumber
+  l_returnflag, l_linestatus AS line_status, l_linenumber,
+  CASE WHEN o_orderkey % 11 = 0 THEN [] WHEN o_orderkey % 4 = 0
+    THEN [o_orderdate + to_hours(o_orderkey % 2000), o_orderdate + INTERVAL 35 DAY]
+    ELSE [o_orderdate + to_hours(o_orderkey % 2000)] END AS offences
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
     "fact_visit": """
 SELECT l_orderkey * 10 + l_linenumber AS visit_key, l_suppkey AS site_key, l_partkey AS vehicle_key,
@@ -168,6 +171,45 @@ SELECT s_suppkey AS site_key, DATE '1997-01-01' + CAST(s_suppkey * 37 % 1500 AS
 FROM supplier WHERE s_suppkey % 4 <> 0""",
 }
 
+INPUTS["vehicle_visits"] = INPUTS["visits"].replace("\nFROM ", """,
+  CASE WHEN event_id % 6 = 0 THEN '' ELSE concat('mod', user_id % 11) END AS in_model,
+  CASE WHEN k % 5 = 0 THEN NULL ELSE concat('mod', user_id % 8) END AS out_model,
+  CASE WHEN k % 3 = 0 THEN 2000 + k % 24 END AS in_year, CASE WHEN k % 2 = 0 THEN 2001 + k % 20 END AS out_year,
+  CASE WHEN k % 7 = 0 THEN '  ' ELSE concat('fuel', k % 4) END AS in_fuel,
+  CASE WHEN k % 2 = 0 THEN NULL ELSE concat('fuel', k % 3) END AS out_fuel,
+  CASE WHEN k % 6 = 0 THEN NULL ELSE 90 + k % 60 END AS in_co2,
+  CASE WHEN k % 4 = 1 THEN NULL ELSE 900 + k END AS in_weight, 1000 + k AS out_weight
+FROM """, 1)
+INPUTS["group_log"] = f"""
+SELECT *, concat_ws('#', organization, parent, group_id) AS key FROM (
+  SELECT concat('org', user_id % 7) AS organization, concat('r', user_id % 5) AS parent, event_type AS group_id, ts AS "timestamp",
+    CASE WHEN k % 10 = 0 THEN 'zone' ELSE 'site' END AS type,
+    CASE WHEN event_id % 7 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END AS action_type,
+    concat('Park ', event_type, ' ', user_id % 5, ' v', event_id % 3) AS name
+  FROM {_EV}
+  UNION ALL
+  SELECT concat('org', o_custkey % 7), concat('r', o_custkey % 5), concat('S', o_custkey % 20),
+    o_orderdate + to_seconds(o_orderkey % 86400), CASE WHEN o_orderkey % 10 = 0 THEN 'zone' ELSE 'site' END,
+    CASE WHEN o_orderkey % 9 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END, concat('Site ', o_custkey % 20, ' v', o_orderkey % 3)
+  FROM orders)"""
+# the site dimension: current sites by key parts (needs group_log before it)
+INPUTS["sites"] = """
+SELECT DISTINCT organization, parent, group_id, name FROM group_log
+WHERE (key, "timestamp") IN (SELECT key, max("timestamp") FROM group_log WHERE type = 'site' GROUP BY key)
+  AND action_type <> 'GroupDeleted'"""
+INPUTS["park_status"] = f"""
+SELECT event_id, concat('org', user_id % 7) AS org, concat('r', user_id % 5) AS region, event_type AS site,
+  CASE k % 5 WHEN 0 THEN 'Active' WHEN 1 THEN 'Created' WHEN 2 THEN 'Stopped' WHEN 3 THEN 'Inactive' END AS status, ts AS created
+FROM {_EV}"""
+INPUTS["notice_facts"] = f"""
+SELECT event_id, event_id // 4 AS case_id, CASE WHEN event_id % 41 <> 0 THEN event_id // 2 END AS breach_id,
+  concat('org', user_id % 7) AS org, concat('r', user_id % 5) AS region, event_type AS site, ts + to_seconds(k) AS fact_ts,
+  ts AS offense_time, CASE WHEN k % 5 = 0 THEN 'Open' ELSE 'Closed' END AS state,
+  CASE k % 9 WHEN 0 THEN 'nip' WHEN 1 THEN 'defaulted' WHEN 2 THEN 'Paid-Online' WHEN 3 THEN 'Appeal-pending'
+    WHEN 4 THEN 'lprError' WHEN 5 THEN 'bankpayment' WHEN 6 THEN 'breachError' WHEN 7 THEN 'issued' END AS substate,
+  CAST(20 + k AS DOUBLE) AS value, CASE WHEN k % 4 <> 0 THEN CAST(k AS DOUBLE) / 2 END AS receipts
+FROM {_EV}"""
+
 
 def with_inputs(sql: str, *names: str) -> str:
     """Prefix ``sql`` with the named derived inputs as CTEs."""

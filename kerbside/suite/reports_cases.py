@@ -52,13 +52,17 @@ _NEWEST = """cur AS (SELECT * FROM case_lines WHERE (id, rev) IN (SELECT id, max
 WITH {_EXCLUDED},
 c AS (SELECT * FROM case_lines WHERE CAST({_LOCAL_FACT} AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
       AND id NOT IN (SELECT id FROM ex)),
-r AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY id, ticket_id ORDER BY fact_ts DESC, rev DESC) = 1)
+r AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY id, ticket_id ORDER BY fact_ts DESC, rev DESC, base_fee DESC) = 1),
+n AS (SELECT group_id, name FROM group_log QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY "timestamp" DESC, name DESC) = 1)
 SELECT id, rev, state, lower(state) AS state_lower, date_trunc('second', {_LOCAL_FACT}) AS update_time, site_ref,
-  ticket_id, {_label_case('coalesce(substate, sub_state_1)')} AS status
-FROM r""", ["case_lines"])
+  ticket_id, {_label_case('coalesce(substate, sub_state_1)')} AS status,
+  CASE WHEN ticket_id IS NOT NULL THEN 'parking' END AS offense_type, round(base_fee, 6) AS fee, n.name AS site_name
+FROM r JOIN n ON n.group_id = split_part(site_ref, '#', 3) WHERE coalesce(substate, sub_state_1) IS NOT NULL""", ["case_lines", "group_log"])
 def case_status_current(spark, base):
-    return PC.case_status(D.cases(spark, base), "19970101", "19971231", EXCL_SUB, EXCL_REASON,
-                          case_heads=D.cases(spark, base, with_breaches=False))
+    from kerbside.plans.dimension import newest_names
+    c = PC.case_status(D.cases(spark, base), "19970101", "19971231", EXCL_SUB, EXCL_REASON,
+                       case_heads=D.cases(spark, base, with_breaches=False), names=newest_names(D.group_log(spark, base)))
+    return c.withColumn("fee", r6("fee"))
 
 
 @q("case_financials", f"""
@@ -79,6 +83,23 @@ _DK = "Europe/Copenhagen"
 
 
 @q("monthly_kpi", f"""
+WITH o AS (SELECT * EXCLUDE (offences), unnest(offences) AS off FROM case_lines),
+r AS (SELECT o.*, s.parent, s.name AS site, strftime(timezone('{_DK}', off AT TIME ZONE 'UTC'), '%Y-%m') AS month
+      FROM o JOIN sites s ON o.site_ref = concat_ws('#', s.organization, s.parent, s.group_id)
+      WHERE CAST(off AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'),
+m AS (SELECT parent, site AS site_name, month, count(DISTINCT ticket_id) AS notices,
+             count(DISTINCT ticket_id) FILTER (WHERE lower(substate) = 'paid' AND state = 'Closed') AS paid,
+             count(ticket_id) FILTER (WHERE substate = 'cancelled') AS cancelled
+      FROM r GROUP BY ALL)
+SELECT *, lag(notices) OVER w AS prev_notices, lag(paid) OVER w AS prev_paid, lag(cancelled) OVER w AS prev_cancelled
+FROM m WINDOW w AS (PARTITION BY site_name ORDER BY month, parent)""", ["case_lines", "group_log", "sites"])
+def monthly_kpi(spark, base):
+    from kerbside.plans.dimension import site_dimension
+    return PC.monthly_offence_kpi(D.cases(spark, base), site_dimension(D.group_log(spark, base)), "19960101", "19971231", _DK,
+                                  paid=["paid"], cancelled=["cancelled"])
+
+
+@q("monthly_kpi_case_time", f"""
 WITH b AS (SELECT *, timezone('{_DK}', case_ts AT TIME ZONE 'UTC') AS seen FROM case_lines
            WHERE CAST(case_ts AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-12-31'),
 m AS (SELECT site_ref, site_name, strftime(seen, '%Y-%m') AS month, count(DISTINCT ticket_id) AS notices,
@@ -87,7 +108,8 @@ m AS (SELECT site_ref, site_name, strftime(seen, '%Y-%m') AS month, count(DISTIN
       FROM b GROUP BY ALL)
 SELECT *, lag(notices) OVER w AS prev_notices, lag(paid) OVER w AS prev_paid, lag(cancelled) OVER w AS prev_cancelled
 FROM m WINDOW w AS (PARTITION BY site_ref, site_name ORDER BY month)""", ["case_lines"])
-def monthly_kpi(spark, base):
+def monthly_kpi_case_time(spark, base):
+    """The same by case time and per (site reference, name)."""
     return PC.monthly_kpi(D.cases(spark, base), "19960101", "19971231", _DK, paid=["paid"], cancelled=["cancelled"])
 
 
@@ -133,27 +155,37 @@ def stay_case_overview(spark, base):
     return frames.unionByName(cases)
 
 
-_RECON_COLS = "line_no, site, \"time\", transaction_type, description, debit, credit"
+_PCN = f"""SELECT ticket_id, 'parking' AS offense_type, base_fee AS fee_amount, 'base' AS fee_source,
+             timezone('{_DK}', fact_ts AT TIME ZONE 'UTC') AS updated, state, substate, organization, site_ref AS group_ref
+      FROM case_lines WHERE state = 'Closed' AND ticket_id IS NOT NULL"""
+_LINES = """SELECT site, (breach_id // 3) * 100 + line_no AS ticket_id, "time" AS line_time, debit, breach_id FROM ledger
+            WHERE CAST("time" AS DATE) >= DATE '1995-01-01'"""
+_ON_SITE = "JOIN sites s ON p.group_ref = concat_ws('#', s.organization, s.parent, s.group_id)"
 
 
 @q("ledger_reconcile", f"""
-WITH cur AS (SELECT DISTINCT id, order_key, state FROM case_lines
-             WHERE (id, rev) IN (SELECT id, max(rev) FROM case_lines GROUP BY id) AND lower(state) = 'closed')
-SELECT cur.id, cur.order_key, cur.state, {_RECON_COLS} FROM cur
-LEFT JOIN ledger l ON cur.order_key = l.breach_id AND l.description <> 'Late fee'""", ["case_lines", "ledger"])
+WITH p AS ({_PCN} QUALIFY row_number() OVER (PARTITION BY organization, site_name, ticket_id
+                                            ORDER BY fact_ts DESC, rev DESC, base_fee DESC, site_ref DESC) = 1),
+l AS ({_LINES})
+SELECT p.* EXCLUDE (fee_amount), round(p.fee_amount, 6) AS fee_amount, s.name AS site_name, l.line_time, round(coalesce(l.debit, 0), 6) AS debit
+FROM p LEFT JOIN l ON p.ticket_id = l.ticket_id {_ON_SITE}""", ["case_lines", "ledger", "group_log", "sites"])
 def ledger_reconcile(spark, base):
-    return PC.reconcile(D.cases(spark, base, with_breaches=False), D.ledger(spark, base))
+    return _reconciled(spark, base, False).withColumns({"fee_amount": r6("fee_amount"), "debit": r6("debit")})
 
 
 @q("ledger_reconcile_latest", f"""
-WITH cur AS (SELECT DISTINCT id, order_key, state FROM case_lines
-             WHERE (id, rev) IN (SELECT id, max(rev) FROM case_lines GROUP BY id) AND lower(state) = 'closed'),
-nl AS (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY breach_id ORDER BY "time" DESC, line_no DESC,
-                                                      debit DESC, credit DESC) = 1)
-SELECT cur.id, cur.order_key, cur.state, {_RECON_COLS} FROM cur JOIN nl ON cur.order_key = nl.breach_id""",
-   ["case_lines", "ledger"])
+WITH p AS ({_PCN} QUALIFY row_number() OVER (PARTITION BY site_ref, ticket_id ORDER BY fact_ts DESC, rev DESC, base_fee DESC) = 1),
+l AS ({_LINES} QUALIFY row_number() OVER (PARTITION BY site, ticket_id ORDER BY "time" DESC, breach_id DESC, debit DESC) = 1)
+SELECT DISTINCT p.* EXCLUDE (fee_amount), round(p.fee_amount, 6) AS fee_amount, s.name AS site_name, l.line_time
+FROM p JOIN l ON p.ticket_id = l.ticket_id {_ON_SITE}""", ["case_lines", "ledger", "group_log", "sites"])
 def ledger_reconcile_latest(spark, base):
-    return PC.reconcile(D.cases(spark, base, with_breaches=False), D.ledger(spark, base), newest_line_only=True)
+    return _reconciled(spark, base, True).withColumn("fee_amount", r6("fee_amount"))
+
+
+def _reconciled(spark, base, newest_line_only):
+    from kerbside.plans.dimension import site_dimension
+    lines = D.ledger(spark, base).withColumn("ticket_id", F.expr("(breach_id div 3) * 100 + line_no"))
+    return PC.reconcile(D.cases(spark, base), lines, site_dimension(D.group_log(spark, base)), _DK, "19950101", newest_line_only)
 
 
 @q("ledger_receipts", f"""

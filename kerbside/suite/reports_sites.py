@@ -15,7 +15,6 @@ from kerbside.plans.visits import latest_visits
 from kerbside.sources import derived as D
 from kerbside.suite.common import day_text, r6
 from kerbside.suite.oracle_inputs import with_inputs
-from kerbside.suite.windows import daily_rate
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -104,14 +103,21 @@ FROM b"""
 
 @q("rate_anomaly", _RATE_SQL, ["process_metrics"])
 def rate_anomaly(spark, base):
-    d = daily_rate(spark, base).withColumn("r0", F.coalesce("rate", F.lit(0.0)))
-    h = W.rolling_values(d, "site", ["d", "org", "region"], "r0", 30, name="prev")
-    # daily rows per site are few: the band is a window over them (daily table read once)
-    b = W.percentile_band(h, "site", "rate", 0.05, 0.95, names=("lo", "hi"), window=True)
+    return _anomaly(PS.rate_anomalies(D.process_metrics(spark, base), "Pacific/Auckland"))
+
+
+@q("rate_anomaly_period", _RATE_SQL.replace("FROM process_metrics GROUP BY", """FROM process_metrics
+           WHERE org = 'org3' AND CAST(timezone('Pacific/Auckland', start_time AT TIME ZONE 'UTC') AS DATE)
+             BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY"""), ["process_metrics"])
+def rate_anomaly_period(spark, base):
+    """One organisation and period, as the report's parameters select."""
+    return _anomaly(PS.rate_anomalies(D.process_metrics(spark, base), "Pacific/Auckland", "20240105", "20240125", "org3"))
+
+
+def _anomaly(a):
     txt = F.array_join(F.transform("prev", lambda x: x.cast("decimal(12,6)").cast("string")), ",")
-    return b.select("org", "region", "site", day_text("d").alias("day"), r6("rate").alias("rate"), "footfall",
-                    txt.alias("prev_rates"), r6("lo").alias("lower_band"), r6("hi").alias("upper_band"),
-                    ((F.col("rate") < F.col("lo")) | (F.col("rate") > F.col("hi"))).alias("is_anomaly"))
+    return a.select("org", "region", "site", day_text("d").alias("day"), r6("rate").alias("rate"), "footfall", txt.alias("prev_rates"),
+                    r6("lower_band").alias("lower_band"), r6("upper_band").alias("upper_band"), "is_anomaly")
 
 
 @q("delivery_delay", f"""
@@ -198,62 +204,81 @@ def sites_breach_summary(spark, base):
 
 
 @q("sites_without_breach", """
-WITH s AS (SELECT DISTINCT site FROM ledger),
-g AS (SELECT site, unnest(generate_series(DATE '1998-01-01', DATE '1998-03-31', INTERVAL 1 DAY))::DATE AS day FROM s),
-b AS (SELECT DISTINCT site, CAST("time" AS DATE) AS day FROM ledger)
+WITH b AS (SELECT DISTINCT s.name AS site, CAST(timezone(c.timezone, off AT TIME ZONE 'UTC') AS DATE) AS day
+           FROM (SELECT site_ref, timezone, unnest(offences) AS off FROM case_lines WHERE ticket_id IS NOT NULL) c
+           JOIN sites s ON c.site_ref = concat_ws('#', s.organization, s.parent, s.group_id)),
+g AS (SELECT name AS site, unnest(generate_series(DATE '1998-01-01', DATE '1998-03-31', INTERVAL 1 DAY))::DATE AS day
+      FROM (SELECT DISTINCT name FROM sites))
 SELECT g.site, strftime(g.day, '%Y-%m-%d') AS day FROM g LEFT JOIN b ON g.site = b.site AND g.day = b.day WHERE b.site IS NULL""",
-   ["ledger"])
+   ["case_lines", "group_log", "sites"])
 def sites_without_breach(spark, base):
-    lg = D.ledger(spark, base).withColumn("day", F.to_date("time"))
-    out = PS.sites_without(lg, lg.select("site"), "site", "day", "19980101", "19980331")
+    """Sites are those of the registry, by name, so one that never had a breach appears with every day."""
+    from kerbside.functions.timefn import local_date
+    from kerbside.plans.dimension import key_parts, site_dimension, with_site
+    sites = site_dimension(D.group_log(spark, base))
+    # a day to each side of the range for the zones
+    near = F.col("off").between(F.lit(dt.datetime(1997, 12, 30)).cast("timestamp_ntz"), F.lit(dt.datetime(1998, 4, 2)).cast("timestamp_ntz"))
+    c = D.cases(spark, base).where(F.exists(F.coalesce("breaches", F.array()), lambda b: b["ticket_id"].isNotNull()))
+    off = c.select("timezone", F.filter("groups", lambda g: g["type"] == "site")[0]["group_ref"].alias("group_ref"), F.explode("offenses").alias("o")) \
+        .select("group_ref", "timezone", F.col("o.offense_time").alias("off")).where(near)
+    hit = with_site(off, sites, key_parts("group_ref"), how="inner") \
+        .select(F.col("site_name").alias("site"), local_date("off", F.col("timezone")).alias("day"))
+    out = PS.sites_without(hit, sites.select(F.col("name").alias("site")), "site", "day", "19980101", "19980331")
     return out.select("site", day_text("day").alias("day"))
 
 
 @q("site_metrics", f"""
-WITH lv AS (SELECT * FROM visits WHERE action <> 'deleted'
-              AND CAST(timezone('{UK}', arrival AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'
-            QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1),
-g AS (SELECT ors_id, unnest(generate_series(DATE '2024-01-10', DATE '2024-01-16', INTERVAL 1 DAY))::DATE AS day
-      FROM (SELECT DISTINCT ors_id FROM visits)),
-pm AS (SELECT concat(org, '#', region, '#', site) AS ors_id, CAST(timezone('{UK}', start_time AT TIME ZONE 'UTC') AS DATE) AS day,
-              sum(accepted) / nullif(sum(total), 0) AS match_rate, sum(total) AS footfall FROM process_metrics GROUP BY ALL),
-rf AS (SELECT ors_id, CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) AS day, count(entry) / 2 AS raw_footfall
+WITH pm AS (SELECT org, region, site, CAST(timezone('{UK}', start_time AT TIME ZONE 'UTC') AS DATE) AS day,
+                   sum(accepted) / nullif(sum(total), 0) AS match_rate, sum(total) AS footfall
+            FROM process_metrics WHERE CAST(timezone('{UK}', start_time AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'
+            GROUP BY ALL),
+rf AS (SELECT ors_id, CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) AS day, round(count(entry) / 2, 2) AS raw_footfall
        FROM plate_events GROUP BY ALL),
+lv AS (SELECT * FROM visits WHERE action <> 'deleted' AND CAST(timezone('{UK}', arrival AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'
+       QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1),
 vs AS (SELECT ors_id, CAST(timezone('{UK}', arrival AT TIME ZONE 'UTC') AS DATE) AS day, count(*) AS visits,
               round(avg(coalesce(round(date_diff('second', arrival, departure) / 60, 1), 0)), 6) AS avg_stay
-       FROM lv GROUP BY ALL)
-SELECT g.ors_id, strftime(g.day, '%Y-%m-%d') AS day, round(pm.match_rate, 6) AS match_rate,
-  coalesce(pm.footfall, 0) AS footfall, coalesce(rf.raw_footfall, 0) AS raw_footfall, coalesce(vs.visits, 0) AS visits,
-  vs.avg_stay
-FROM g LEFT JOIN pm ON g.ors_id = pm.ors_id AND g.day = pm.day LEFT JOIN rf ON g.ors_id = rf.ors_id AND g.day = rf.day
-LEFT JOIN vs ON g.ors_id = vs.ors_id AND g.day = vs.day""", ["visits", "process_metrics", "plate_events"])
+       FROM lv GROUP BY ALL),
+f AS (SELECT * FROM notice_facts WHERE breach_id IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY case_id, breach_id ORDER BY fact_ts DESC, event_id DESC) = 1),
+n AS (SELECT org, region, site, CAST(timezone('{UK}', offense_time AT TIME ZONE 'UTC') AS DATE) AS day, count(*) AS pcn_count,
+  sum(CASE WHEN lower(substate) IN ('nip', 'svc-cancel', 'breachError') THEN 0 ELSE value END) AS potential_revenue,
+  sum(CASE WHEN lower(substate) = 'defaulted' AND state = 'Closed' THEN 0 ELSE receipts END) AS realised_revenue,
+  count(*) FILTER (WHERE lower(substate) IN ('breach-paid-direct', 'bankpayment', 'paid-online', 'paid_online', 'paidonline') AND state = 'Closed') AS paid_count,
+  count(*) FILTER (WHERE substate IN ('nip', 'svc-cancel', 'breachError', 'lprError', 'noownershipdetails', 'updatedownershipdetails')) AS cancelled_count,
+  count(*) FILTER (WHERE contains(lower(substate), 'appeal') AND state = 'Closed') AS appeals_count,
+  count(*) FILTER (WHERE lower(substate) = 'defaulted' AND state = 'Closed') AS debt_count,
+  sum(CASE WHEN lower(substate) = 'defaulted' AND state = 'Closed' THEN receipts ELSE 0 END) AS debt_receipts
+  FROM f GROUP BY ALL),
+st AS (SELECT * FROM park_status QUALIFY row_number() OVER (PARTITION BY org, region, site ORDER BY created DESC, event_id DESC) = 1)
+SELECT s.organization AS org, s.parent AS region, s.group_id AS site, s.name, strftime(pm.day, '%Y-%m-%d') AS day,
+  round(pm.match_rate, 6) AS match_rate, CAST(pm.footfall AS BIGINT) AS footfall, rf.raw_footfall, coalesce(vs.visits, 0) AS visits, vs.avg_stay,
+  CASE WHEN st.status IS NULL THEN 'Active' WHEN st.status = 'Created' THEN 'Pending' ELSE st.status END AS site_status,
+  strftime(CAST(timezone('{UK}', st.created AT TIME ZONE 'UTC') AS DATE), '%Y-%m-%d') AS status_day,
+  coalesce(n.pcn_count, 0) AS pcn_count, coalesce(n.potential_revenue, 0) AS potential_revenue, coalesce(n.realised_revenue, 0) AS realised_revenue,
+  coalesce(n.paid_count, 0) AS paid_count, coalesce(n.cancelled_count, 0) AS cancelled_count, coalesce(n.appeals_count, 0) AS appeals_count,
+  coalesce(n.debt_count, 0) AS debt_count, coalesce(n.debt_receipts, 0) AS debt_receipts
+FROM sites s LEFT JOIN st ON st.org = s.organization AND st.region = s.parent AND st.site = s.group_id
+LEFT JOIN pm ON pm.org = s.organization AND pm.region = s.parent AND pm.site = s.group_id
+LEFT JOIN rf ON rf.ors_id = concat_ws('#', pm.org, pm.region, pm.site) AND rf.day = pm.day
+LEFT JOIN vs ON vs.ors_id = concat_ws('#', pm.org, pm.region, pm.site) AND vs.day = pm.day
+LEFT JOIN n ON n.org = pm.org AND n.region = pm.region AND n.site = pm.site AND n.day = pm.day""",
+   ["visits", "process_metrics", "plate_events", "notice_facts", "park_status", "group_log", "sites"])
 def site_metrics(spark, base):
-    """Per site and local day: match rate, footfall, raw footfall (half of
-    the entry and exit reads), visits and mean stay.
-
-    Pre-aggregates (one row per site and day each) are left-joined to a
-    generated site x day grid, missing measures count 0.  Notice counts,
-    revenue and debt are not included: the derived notice data uses other
-    site keys and dates than the derived visit data, so the join would be
-    empty (see the notice reports for those measures).
-    """
-    from kerbside.functions.timefn import between_local_days, local_date, stay_minutes
-    from kerbside.operators.grids import entity_grid
-    first, last = "20240110", "20240116"  # pushed below every aggregate
-    sites = D.visits(spark, base).select("ors_id").distinct()
-    grid = entity_grid(sites, F.lit(dt.date(2024, 1, 10)), F.lit(dt.date(2024, 1, 16)), "1 day", "day")
-    pm = (D.process_metrics(spark, base).where(between_local_days("start_time", UK, first, last))
-          .groupBy(F.concat_ws("#", "org", "region", "site").alias("ors_id"), local_date("start_time", UK).alias("day"))
-          .agg(F.try_divide(F.sum("accepted"), F.sum("total")).alias("match_rate"), F.sum("total").alias("footfall")))
-    rf = (D.plate_events(spark, base).where(between_local_days("ts", UK, first, last))
-          .groupBy("ors_id", local_date("ts", UK).alias("day")).agg((F.count("entry") / 2).alias("raw_footfall")))
-    vs = (latest_visits(D.visits(spark, base).where(between_local_days("arrival", UK, first, last))).groupBy("ors_id", local_date("arrival", UK).alias("day"))
-          .agg(F.count(F.lit(1)).alias("visits"), F.round(F.avg(stay_minutes("arrival", "departure")), 6).alias("avg_stay")))
-    j = grid.join(pm, ["ors_id", "day"], "left").join(rf, ["ors_id", "day"], "left").join(vs, ["ors_id", "day"], "left")
-    return j.select("ors_id", day_text("day").alias("day"), r6("match_rate").alias("match_rate"),
-                    F.coalesce("footfall", F.lit(0)).alias("footfall"),
-                    F.coalesce("raw_footfall", F.lit(0.0)).alias("raw_footfall"),
-                    F.coalesce("visits", F.lit(0)).alias("visits"), "avg_stay")
+    """Per registered site and processing day: twelve measures and two of the visits, from one tagged union."""
+    from kerbside.functions.timefn import stay_minutes
+    from kerbside.plans.dimension import site_dimension
+    from kerbside.plans.metrics import KEYS, site_metrics as metrics
+
+    def keyed(df):
+        return df.select("*", *[key_part("ors_id", i).alias(k) for i, k in enumerate(KEYS)])
+
+    # the period stands below the ranking of visit revisions
+    v = latest_visits(D.visits(spark, base).where(between_local_days("arrival", UK, "20240110", "20240116")))
+    m = metrics(site_dimension(D.group_log(spark, base)), D.park_status(spark, base), D.process_metrics(spark, base),
+                keyed(D.plate_events(spark, base)), keyed(v).withColumn("stay_minutes", stay_minutes("arrival", "departure")),
+                D.notice_facts(spark, base), "20240110", "20240116", UK)
+    return m.withColumns({"day": day_text("day"), "status_day": day_text("status_day"), "match_rate": r6("match_rate"), "avg_stay": r6("avg_stay")})
 
 
 _HITS = """hits AS (SELECT p.c_custkey, e.n_nationkey FROM points p JOIN poly_edges e ON (e.y1 > p.lat) <> (e.y2 > p.lat)

@@ -81,14 +81,27 @@ def repeat_visitor(spark, base):
     return r.select("ors_id", "out_plate", "arrival", "prev_arrival", "entry_count", "repeat_status")
 
 
+VEHICLE = {"colour": ("in_colour", "out_colour"), "make": ("in_make", "out_make"), "model": ("in_model", "out_model"),
+           "year": ("in_year", "out_year"), "fuel": ("in_fuel", "out_fuel"), "co2": ("in_co2", "in_co2"), "weight": ("in_weight", "out_weight")}
+
+
 @q("vehicle_profile", """
-WITH l AS (SELECT * FROM visits QUALIFY row_number() OVER (PARTITION BY ors_id, in_plate, out_plate ORDER BY updated DESC, rev_id DESC) = 1),
-p AS (SELECT ors_id, in_plate, out_plate, updated, coalesce(nullif(trim(in_make), ''), nullif(trim(out_make), '')) AS make,
-             coalesce(nullif(trim(in_colour), ''), nullif(trim(out_colour), '')) AS colour FROM l)
-SELECT * FROM p WHERE make IS NOT NULL AND colour IS NOT NULL""", ["visits"])
+WITH l AS (SELECT * FROM vehicle_visits WHERE CAST(arrival AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
+           QUALIFY row_number() OVER (PARTITION BY ors_id, in_plate, out_plate ORDER BY updated DESC, rev_id DESC) = 1),
+p AS (SELECT DISTINCT ors_id, coalesce(nullif(trim(in_plate), ''), nullif(trim(out_plate), '')) AS plate_no,
+             timezone('Europe/Copenhagen', updated AT TIME ZONE 'UTC') AS update_time,
+             coalesce(nullif(trim(in_colour), ''), nullif(trim(out_colour), '')) AS colour,
+             coalesce(nullif(trim(in_make), ''), nullif(trim(out_make), '')) AS make,
+             coalesce(nullif(trim(in_model), ''), nullif(trim(out_model), '')) AS model, coalesce(in_year, out_year) AS year,
+             coalesce(nullif(trim(in_fuel), ''), nullif(trim(out_fuel), '')) AS fuel, in_co2 AS co2, coalesce(in_weight, out_weight) AS weight,
+             coalesce(round(date_diff('second', arrival, departure) / 60, 1), 0) AS stay_minutes FROM l)
+SELECT p.*, s.name AS site_name FROM p LEFT JOIN sites s
+  ON p.ors_id = concat_ws('#', s.organization, s.parent, s.group_id)
+WHERE model IS NOT NULL AND make IS NOT NULL AND fuel IS NOT NULL""", ["vehicle_visits", "group_log", "sites"])
 def vehicle_profile(spark, base):
-    return PV.vehicle_profile(D.visits(spark, base), {"make": ("in_make", "out_make"),
-                                                       "colour": ("in_colour", "out_colour")})
+    from kerbside.plans.dimension import site_dimension
+    return PV.vehicle_profile(D.vehicle_visits(spark, base), VEHICLE, ("model", "make", "fuel"), site_dimension(D.group_log(spark, base)),
+                              "20240105", "20240125", "Europe/Copenhagen")
 
 
 @q("visit_fact_build", """
