@@ -13,15 +13,15 @@ from kerbside.plans.sites import current_sites
 PARTS = ("organization", "parent", "group_id")
 
 
-def site_dimension(log: DataFrame, at=None, zones: DataFrame | None = None) -> DataFrame:
+def site_dimension(log: DataFrame, at=None, zones: DataFrame | None = None, extra=()) -> DataFrame:
     """Current sites: organization, parent, group_id, name (and the organisation's ``timezone`` from ``zones``).
 
     The rows at each key's newest 'site' time, ties kept, deleted ones gone, equal ones once.  With ``at``
-    (a timestamp) the sites as they stood then: later log rows do not count.
+    (a timestamp) the sites as they stood then: later log rows do not count.  ``extra`` names more columns.
     """
     if at is not None:
         log = log.where(F.col("timestamp") <= F.lit(at).cast("timestamp_ntz"))
-    out = current_sites(log).select(*PARTS, "name").distinct()
+    out = current_sites(log).select(*PARTS, "name", *extra).distinct()
     if zones is None:
         return out
     return out.join(zones.select(F.col("org").alias("organization"), "timezone"), "organization", "left")

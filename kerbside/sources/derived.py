@@ -83,17 +83,34 @@ def group_log(spark: SparkSession, base: str) -> DataFrame:
         F.col("event_type").alias("group_id"), F.col("ts").alias("timestamp"),
         F.expr("CASE WHEN k % 10 = 0 THEN 'zone' ELSE 'site' END").alias("type"),
         F.expr("CASE WHEN event_id % 7 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END").alias("action_type"),
-        F.expr("concat('Park ', event_type, ' ', user_id % 5, ' v', event_id % 3)").alias("name"))
+        F.expr("concat('Park ', event_type, ' ', user_id % 5, ' v', event_id % 3)").alias("name"),
+        *_place("user_id % 7", "user_id % 5", "length(event_type)"))
     o = scan(spark, base, "orders").select(
         F.expr("concat('org', o_custkey % 7)").alias("organization"), F.expr("concat('r', o_custkey % 5)").alias("parent"),
         F.expr("concat('S', o_custkey % 20)").alias("group_id"),
         F.expr("timestampadd(SECOND, o_orderkey % 86400, o_orderdate)").alias("timestamp"),
         F.expr("CASE WHEN o_orderkey % 10 = 0 THEN 'zone' ELSE 'site' END").alias("type"),
         F.expr("CASE WHEN o_orderkey % 9 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END").alias("action_type"),
-        F.expr("concat('Site ', o_custkey % 20, ' v', o_orderkey % 3)").alias("name"))
+        F.expr("concat('Site ', o_custkey % 20, ' v', o_orderkey % 3)").alias("name"),
+        *_place("o_custkey % 7", "o_custkey % 5", "o_custkey % 20"))
     return e.unionByName(o).withColumn("key", F.concat_ws("#", "organization", "parent", "group_id"))
 
 
+def _place(org: str, region: str, group: str) -> list:
+    """Longitude and latitude of a site, to both sides of the date line."""
+    return [F.expr(f"CAST(({org} * 13 + {region} * 29 + {group} * 7) % 100 AS DOUBLE) / 10 + 175.03D").alias("lon"),
+            F.expr(f"CAST(({org} * 31 + {region} * 17 + {group} * 11) % 100 AS DOUBLE) / 10 - 4.99D").alias("lat")]
+
+
+def area_texts(spark: SparkSession, base: str) -> DataFrame:
+    """The polygons as text, moved across the date line."""
+    lon = lambda p: F.pmod(p["lon"] + 355, F.lit(360.0)) - 180
+    point = lambda p: F.concat_ws(" ", lon(p).cast("string"), (p["lat"] - 5).cast("string"))
+    ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(F.concat(r, F.slice(r, 1, 1)), point), ", "), F.lit(")"))
+    return polygons(spark, base).select("n_nationkey", "n_name", F.concat(F.lit("POLYGON("), F.array_join(F.transform("rings", ring), ", "),
+                                                                          F.lit(")")).alias("geometry"))
+
+
 def park_status(spark: SparkSession, base: str) -> DataFrame:
     """Status changes of the sites that visits stand at; some NULL."""
     return _events(spark, base).select(

@@ -185,12 +185,16 @@ SELECT *, concat_ws('#', organization, parent, group_id) AS key FROM (
   SELECT concat('org', user_id % 7) AS organization, concat('r', user_id % 5) AS parent, event_type AS group_id, ts AS "timestamp",
     CASE WHEN k % 10 = 0 THEN 'zone' ELSE 'site' END AS type,
     CASE WHEN event_id % 7 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END AS action_type,
-    concat('Park ', event_type, ' ', user_id % 5, ' v', event_id % 3) AS name
+    concat('Park ', event_type, ' ', user_id % 5, ' v', event_id % 3) AS name,
+    CAST(((user_id % 7) * 13 + (user_id % 5) * 29 + length(event_type) * 7) % 100 AS DOUBLE) / 10 + 175.03 AS lon,
+    CAST(((user_id % 7) * 31 + (user_id % 5) * 17 + length(event_type) * 11) % 100 AS DOUBLE) / 10 - 4.99 AS lat
   FROM {_EV}
   UNION ALL
   SELECT concat('org', o_custkey % 7), concat('r', o_custkey % 5), concat('S', o_custkey % 20),
     o_orderdate + to_seconds(o_orderkey % 86400), CASE WHEN o_orderkey % 10 = 0 THEN 'zone' ELSE 'site' END,
-    CASE WHEN o_orderkey % 9 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END, concat('Site ', o_custkey % 20, ' v', o_orderkey % 3)
+    CASE WHEN o_orderkey % 9 = 0 THEN 'GroupDeleted' ELSE 'GroupUpdated' END, concat('Site ', o_custkey % 20, ' v', o_orderkey % 3),
+    CAST(((o_custkey % 7) * 13 + (o_custkey % 5) * 29 + (o_custkey % 20) * 7) % 100 AS DOUBLE) / 10 + 175.03,
+    CAST(((o_custkey % 7) * 31 + (o_custkey % 5) * 17 + (o_custkey % 20) * 11) % 100 AS DOUBLE) / 10 - 4.99
   FROM orders)"""
 # the site dimension: current sites by key parts (needs group_log before it)
 INPUTS["sites"] = """

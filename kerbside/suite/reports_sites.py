@@ -291,11 +291,50 @@ WITH {_HITS}
 SELECT p.c_custkey, h.n_nationkey FROM points p LEFT JOIN hits h ON p.c_custkey = h.c_custkey""",
    ["polygons", "points", "poly_edges"])
 def spatial_join(spark, base):
-    from kerbside.operators.spatial import points_in_polygons
-    return points_in_polygons(D.points(spark, base), D.polygons(spark, base), "c_custkey", "n_nationkey")
+    from kerbside.operators.geo import points_in_areas
+    return points_in_areas(D.points(spark, base), D.polygons(spark, base), "c_custkey", "n_nationkey")
+
+
+_SPHERE = """e AS (SELECT n_nationkey, x1 + 175 AS x1, y1 - 5 AS y1, x2 + 175 AS x2, y2 - 5 AS y2 FROM poly_edges),
+v AS (SELECT *, cos(radians(y1)) * cos(radians(x1)) AS a0, cos(radians(y1)) * sin(radians(x1)) AS a1, sin(radians(y1)) AS a2,
+             cos(radians(y2)) * cos(radians(x2)) AS b0, cos(radians(y2)) * sin(radians(x2)) AS b1, sin(radians(y2)) AS b2 FROM e),
+m AS (SELECT *, a1 * b2 - a2 * b1 AS n0, a2 * b0 - a0 * b2 AS n1, a0 * b1 - a1 * b0 AS n2, a0 * b0 + a1 * b1 + a2 * b2 AS d FROM v),
+w AS (SELECT *, atan2(sqrt(n0 * n0 + n1 * n1 + n2 * n2), d) / sqrt(n0 * n0 + n1 * n1 + n2 * n2) AS w FROM m),
+c AS (SELECT n_nationkey, sum(n0 * w) AS c0, sum(n1 * w) AS c1, sum(n2 * w) AS c2 FROM w GROUP BY n_nationkey),
+inside AS (SELECT s.organization, s.parent, s.group_id, e.n_nationkey FROM places s JOIN e ON (e.x1 <= s.lon) <> (e.x2 <= s.lon)
+  WHERE degrees(atan((tan(radians(e.y1)) * sin(radians(e.x2 - s.lon)) + tan(radians(e.y2)) * sin(radians(s.lon - e.x1))) / sin(radians(e.x2 - e.x1)))) > s.lat
+  GROUP BY ALL HAVING count(*) % 2 = 1)"""
 
 
 @q("site_map", f"""
+WITH places AS (SELECT DISTINCT organization, parent, group_id, name, lon, lat FROM group_log
+  WHERE (key, "timestamp") IN (SELECT key, max("timestamp") FROM group_log WHERE type = 'site' GROUP BY key) AND action_type <> 'GroupDeleted'),
+{_SPHERE},
+st AS (SELECT * FROM park_status QUALIFY row_number() OVER (PARTITION BY org, region, site ORDER BY created DESC, event_id DESC) = 1)
+SELECT p.n_name AS area, round(degrees(atan2(c1, c0)), 6) AS centroid_lon, round(degrees(atan2(c2, sqrt(c0 * c0 + c1 * c1))), 6) AS centroid_lat,
+  s.organization, s.parent, s.group_id, s.name AS site_name, round(s.lon, 6) AS lon, round(s.lat, 6) AS lat,
+  CASE WHEN st.status IN ('Created', 'Stopped') THEN st.status ELSE 'Active' END AS site_status
+FROM polygons p JOIN c ON p.n_nationkey = c.n_nationkey LEFT JOIN inside i ON i.n_nationkey = p.n_nationkey
+LEFT JOIN places s ON s.organization = i.organization AND s.parent = i.parent AND s.group_id = i.group_id
+LEFT JOIN st ON st.org = s.organization AND st.region = s.parent AND st.site = s.group_id""",
+   ["group_log", "park_status", "polygons", "poly_edges"])
+def site_map(spark, base):
+    """One row per area and site inside it (areas without one stay): spherical centroid, name, place, status."""
+    from kerbside.operators.geo import points_on_sphere, sphere_centroids, wkt_rings
+    from kerbside.plans.dimension import PARTS, site_dimension
+    areas = D.area_texts(spark, base).select("n_nationkey", F.col("n_name").alias("area"), wkt_rings("geometry").alias("rings"))
+    sites = site_dimension(D.group_log(spark, base), extra=("lon", "lat")).withColumn("place", F.struct(*PARTS, "name"))
+    hits = points_on_sphere(sites, areas, "place", "n_nationkey", how="inner").join(sites, "place")
+    st = W.latest_by_key(D.park_status(spark, base), ["org", "region", "site"], "created", tiebreak="event_id") \
+        .select(*[F.col(c).alias(p) for c, p in zip(("org", "region", "site"), PARTS)], "status")
+    m = areas.select("n_nationkey", "area").join(sphere_centroids(areas, "n_nationkey"), "n_nationkey") \
+        .join(hits.join(st, list(PARTS), "left"), "n_nationkey", "left")
+    known = F.when(F.col("status").isin("Created", "Stopped"), F.col("status")).otherwise("Active")
+    return m.select("area", r6("centroid_lon").alias("centroid_lon"), r6("centroid_lat").alias("centroid_lat"), *PARTS, F.col("name").alias("site_name"),
+                    r6("lon").alias("lon"), r6("lat").alias("lat"), known.alias("site_status"))
+
+
+@q("site_map_counts", f"""
 WITH {_HITS},
 cen AS (SELECT n_nationkey, sum((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS cx,
                sum((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * sum(x1 * y2 - x2 * y1)) AS cy FROM poly_edges GROUP BY n_nationkey)
@@ -304,7 +343,8 @@ SELECT pg.n_name AS name, round(cen.cx, 6) AS centroid_lon, round(cen.cy, 6) AS
 FROM polygons pg JOIN cen ON pg.n_nationkey = cen.n_nationkey LEFT JOIN hits h ON h.n_nationkey = pg.n_nationkey
 LEFT JOIN points p ON p.c_custkey = h.c_custkey
 GROUP BY pg.n_name, cen.cx, cen.cy""", ["polygons", "points", "poly_edges"])
-def site_map(spark, base):
+def site_map_counts(spark, base):
+    """Sites and segments counted per polygon, in the plane."""
     from kerbside.operators.aggregates import collect_sorted_text
     from kerbside.operators.spatial import points_in_polygons, polygon_centroids
     polys = D.polygons(spark, base)
