@@ -106,7 +106,7 @@ def normalise_permits(permits: DataFrame) -> DataFrame:
         F.sha2(F.concat("org", "region", "site", "plate"), 256).alias("permit_hash"))
 
 
-def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame, since=None) -> DataFrame:
+def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame, since=None, day: str | None = None) -> DataFrame:
     """De-duplicated visits (earliest update), whitelist flag, local times.
 
     ``since`` bounds the arrival *before* the earliest revision is picked, so
@@ -114,7 +114,8 @@ def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame,
     same org#region#site and plate contains the entry time -- a left-semi
     join, so no (visit, permit) pairs are produced.  Stay minutes are the
     difference of the local wall-clock times, NULL for an open visit.
-    ``sites_tz`` maps ``org`` → ``timezone``.
+    ``sites_tz`` maps ``org`` → ``timezone``.  ``day`` names one more column,
+    the UTC day of the arrival.
     """
     if since is not None:
         visits = visits.where(F.col("arrival") >= F.lit(since).cast("timestamp_ntz"))
@@ -132,10 +133,27 @@ def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame,
     tz = F.col("timezone")
     out = out.select("visit_id", "plate", "org", key_part("ors_id", 2).alias("site"), "timezone",
                      local_time("arrival", tz).alias("entry_time"), local_time("departure", tz).alias("exit_time"),
-                     "is_whitelisted")
+                     "is_whitelisted", *([F.to_date("arrival").alias(day)] if day else []))
     return out.withColumn("stay_minutes", F.round(elapsed("second", "entry_time", "exit_time") / 60, 1))
 
 
+def refresh_visit_fact(path: str, visits: DataFrame, added: DataFrame, permits: DataFrame, sites_tz: DataFrame, since=None) -> list[str]:
+    """Bring the visit fact kept by day at ``path`` up to date after the revisions ``added`` (part of ``visits``):
+    only days that they touch are rebuilt, from all revisions of the visits that have one on such a day.
+    Returns the days rebuilt."""
+    from kerbside.sources import versions as V
+    spark = visits.sparkSession
+    day = F.to_date("arrival")
+    if since is not None:
+        added = added.where(F.col("arrival") >= F.lit(since).cast("timestamp_ntz"))
+    days = V.touched_days(visits, added, V.read_current(spark, path), "visit_id", day, "day")
+    if not days:
+        return []
+    near = visits.where(day.isin(days)).select("visit_id").distinct()
+    fact = build_visit_fact(visits.join(near, "visit_id", "left_semi"), permits, sites_tz, since=since, day="day")
+    return V.publish_days(fact, path, "day", days)
+
+
 def cutover_union(old: DataFrame, new: DataFrame, dates: DataFrame, key: str, day: str,
                   date_col: str = "transition_date") -> DataFrame:
     """Old source before each site's cut-over date, new source from it on.

@@ -104,9 +104,9 @@ def agg_distinct_if(spark, base):
 @q("agg_safe_ratio", """
 SELECT org, site, sum(accepted) AS accepted, sum(total) AS total,
   round(sum(accepted) / nullif(sum(total), 0), 6) AS match_rate
-FROM process_metrics WHERE total = 0 OR org <> 'org2' GROUP BY org, site""", ["process_metrics"])
+FROM process_metrics GROUP BY org, site""", ["process_metrics"])
 def agg_safe_ratio(spark, base):
-    p = D.process_metrics(spark, base).where((F.col("total") == 0) | (F.col("org") != "org2"))
+    p = D.process_metrics(spark, base)
     return p.groupBy("org", "site").agg(
         F.sum("accepted").alias("accepted"), F.sum("total").alias("total"),
         F.round(safe_ratio(F.sum("accepted"), F.sum("total")), 6).alias("match_rate"))

@@ -12,7 +12,7 @@ from kerbside.functions.timefn import between_local_days, local_time
 from kerbside.functions.values import blank_to_null, key_part, recode, split_key
 from kerbside.operators import windows as W
 from kerbside.sources import derived as D
-from kerbside.sources import sinks
+from kerbside.sources import sinks, versions
 from kerbside.sources.tables import literal_table, run_sql, scan, scan_glob, union_orgs
 from kerbside.suite.common import day_text
 from kerbside.suite.oracle_inputs import with_inputs
@@ -52,8 +52,11 @@ def scan_wildcard(spark, base):
 SELECT o_orderstatus AS org, o_orderkey, o_custkey, o_orderdate FROM orders""")
 def scan_org_union(spark, base):
     o = scan(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
-    shards = {s: o.where(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in ("F", "O", "P")}
-    return union_orgs(shards.values(), shards.keys(), org_col="org")
+    named = ("F", "O", "P")
+    shards = {s: o.where(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in named}
+    # rows of any other organisation, or of none, keep their own
+    rest = o.where(F.col("o_orderstatus").isNull() | ~F.col("o_orderstatus").isin(*named)).withColumnRenamed("o_orderstatus", "org")
+    return union_orgs(shards.values(), shards.keys(), org_col="org").unionByName(rest)
 
 
 @q("param_query", """
@@ -86,8 +89,9 @@ SELECT org, region, site, plate, start_time, end_time, CAST(permit_id AS VARCHAR
 @q("replace_table", _PERMIT_ROWS_SQL, ["permits"])
 def replace_table(spark, base):
     path = sinks.scratch_table_path(spark, "permits")
-    sinks.replace_table(D.permits(spark, base), path, PERMIT_SCHEMA, cluster_by=["region", "site"])
-    return spark.read.parquet(path)
+    versions.publish(D.permits(spark, base), path, PERMIT_SCHEMA, cluster_by=["region", "site", "start_time"], comment="permits",
+                     columns={"plate": "vehicle registration", "amount": "price paid"})
+    return versions.read_current(spark, path)
 
 
 @q("insert_select", _PERMIT_ROWS_SQL + """
@@ -96,14 +100,14 @@ SELECT org, region, site, plate, start_time, end_time, CAST(transaction_id AS VA
   CAST(duration_seconds / 60 AS DOUBLE) AS duration, source FROM payments""", ["permits", "payments"])
 def insert_select(spark, base):
     path = sinks.scratch_table_path(spark, "permits_payments")
-    sinks.replace_table(D.permits(spark, base), path, PERMIT_SCHEMA, cluster_by=["region", "site"])
+    versions.publish(D.permits(spark, base), path, PERMIT_SCHEMA, cluster_by=["region", "site"])
     pay = D.payments(spark, base)
     # columns in a different order and names mapped: appended by name
     pay = pay.select("source", (F.col("duration_seconds") / 60).alias("duration"), "amount",
                      F.col("transaction_id").alias("permit_id"), "end_time", "start_time", "plate", "site",
                      "region", "org")
-    sinks.append(pay, path, PERMIT_SCHEMA)
-    return spark.read.parquet(path)
+    versions.add_rows(pay, path)
+    return versions.read_current(spark, path)
 
 
 @q("ctas_clustered", """
@@ -112,8 +116,8 @@ def ctas_clustered(spark, base):
     path = sinks.scratch_table_path(spark, "permit_summary")
     agg = D.permits(spark, base).groupBy("region", "site").agg(
         F.count(F.lit(1)).alias("permits"), F.max("start_time").alias("last_start"))
-    sinks.ctas(agg, path, cluster_by=["region"])
-    return spark.read.parquet(path)
+    versions.publish(agg, path, cluster_by=["region", "site"])
+    return versions.read_current(spark, path)
 
 
 # ------------------------------------------------------------------ §2.2

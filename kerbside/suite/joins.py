@@ -71,25 +71,23 @@ def join_star(spark, base):
 
 
 @q("join_full_outer", """
-WITH v AS (SELECT site_key, count(*) AS visits FROM fact_visit WHERE vehicle_indicator = 'R' GROUP BY site_key)
+WITH v AS (SELECT site_key, count(*) AS visits FROM fact_visit GROUP BY site_key)
 SELECT coalesce(v.site_key, c.site_key) AS site_key, v.visits, strftime(c.transition_date, '%Y-%m-%d') AS transition_day
 FROM v FULL JOIN cutover c ON v.site_key = c.site_key""", ["fact_visit", "cutover"])
 def join_full_outer(spark, base):
-    # returning vehicles per site, full-joined to the cut-over dates (sites on either side only)
-    v = (D.fact_visit(spark, base).where(F.col("vehicle_indicator") == "R")
-         .groupBy("site_key").agg(F.count(F.lit(1)).alias("visits")))
+    # visits per site, full-joined to the cut-over dates (sites on either side only)
+    v = D.fact_visit(spark, base).groupBy("site_key").agg(F.count(F.lit(1)).alias("visits"))
     c = D.cutover(spark, base)
     return v.join(c, "site_key", "full").select("site_key", "visits",
                                                 day_text("transition_date").alias("transition_day"))
 
 
 @q("join_right_outer", """
-WITH b AS (SELECT site_key, count(*) AS breaches FROM fact_visit WHERE vehicle_indicator = 'R' GROUP BY site_key)
+WITH b AS (SELECT site_key, count(*) AS breaches FROM fact_visit GROUP BY site_key)
 SELECT s.site_key, s.site_name, coalesce(b.breaches, 0) AS breaches
 FROM b RIGHT JOIN dim_site s ON b.site_key = s.site_key""", ["fact_visit", "dim_site"])
 def join_right_outer(spark, base):
-    b = (D.fact_visit(spark, base).where(F.col("vehicle_indicator") == "R")
-         .groupBy("site_key").agg(F.count(F.lit(1)).alias("breaches")))
+    b = D.fact_visit(spark, base).groupBy("site_key").agg(F.count(F.lit(1)).alias("breaches"))
     s = D.dim_site(spark, base)
     return (b.join(s, "site_key", "right")
              .select("site_key", "site_name", F.coalesce("breaches", F.lit(0)).alias("breaches")))
