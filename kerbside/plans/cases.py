@@ -250,3 +250,61 @@ def monthly_offence_kpi(cases: DataFrame, sites: DataFrame, start, end, tz: str,
         F.count_distinct("ticket").alias("notices"), F.count_distinct(F.when(done, F.col("ticket"))).alias("paid"),
         F.count_if(F.col("ticket").isNotNull() & F.col("substate").isin(list(cancelled))).alias("cancelled"))
     return W.with_previous(m, "site_name", "month", ["notices", "paid", "cancelled"], tiebreak="parent", limit=None)
+
+
+# Sub-states and cancel reasons that keep a case out of the overview.
+TEST_SUBSTATES = ("sysops", "unprocessed", "tech-cancel")
+TEST_REASONS = ("system admin task", "removed for system testing or maintenance", "cancelled for reload", "case needs to be reloaded")
+
+
+def stay_frames(visits: DataFrame, zones: DataFrame, start, end, longest: float = 10_000) -> DataFrame:
+    """Newest frame per visit with stay, counts, local day, hour and weekday.
+
+    A visit with any deleted revision is out (NOT IN, NULL-aware).  The day is that of the arrival, else of the
+    departure, in the organisation's zone; the stay is 0 unless both ends are there, and at most ``longest``
+    minutes.
+    """
+    from kerbside.functions.timefn import elapsed, parse_day
+    v = J.anti_null_aware(visits.where(F.col("updated").isNotNull()), visits.where(F.lower("action") == "deleted").select("visit_id"), "visit_id")
+    v = W.latest_by_key(v.select("visit_id", "rev_id", "updated", "ors_id", "arrival", "departure"), "visit_id", "updated", tiebreak="rev_id")
+    v = v.withColumn("org", key_part("ors_id", 0)).join(zones, "org", "left")
+    for c in ("arrival", "departure"):
+        v = v.withColumn(c, F.date_trunc("second", local_time(c, F.col("timezone"))).cast("timestamp_ntz"))
+    both = F.col("arrival").isNotNull() & F.col("departure").isNotNull()
+    at = F.coalesce("arrival", "departure")
+    stay = F.when(both, F.round(elapsed("second", "arrival", "departure") / 60, 1)).otherwise(0.0)
+    none = F.lit("N/A")
+    out = v.select(F.col("visit_id").cast("string").alias("frame_id"), key_part("ors_id", 2).alias("site_id"), none.alias("case_id"), none.alias("breach_id"),
+                   none.alias("state"), none.alias("sub_state"), F.when(both, 1).otherwise(0).alias("stay"),
+                   F.when(F.col("arrival").isNotNull(), 1).otherwise(0).alias("arrivals"), F.when(F.col("departure").isNotNull(), 1).otherwise(0).alias("departures"),
+                   F.to_date(at).alias("day"), stay.alias("stay_minutes"), F.hour(at).alias("hour"))
+    return out.where(F.col("day").between(F.lit(parse_day(start)), F.lit(parse_day(end))) & (F.col("stay_minutes") <= longest))
+
+
+def first_states(cases: DataFrame, heads: DataFrame, start, end, substates=TEST_SUBSTATES, reasons=TEST_REASONS) -> DataFrame:
+    """The first revision of each (case, breach, state, sub-state) whose case day, in the case's zone, lies in the
+    period, in the columns of :func:`stay_frames`.
+
+    Rows fan out over breaches, sub-states (where the scalar one is NULL) and site groups; cases with an
+    excluded sub-state or cancel reason are out (NOT IN, NULL-aware).
+    """
+    from kerbside.functions.timefn import between_local_days
+    c = J.anti_null_aware(cases, excluded_case_ids(heads, substates, reasons), "id")
+    subs = F.when(F.col("substate").isNotNull(), F.array("substate")).otherwise(F.col("sub_states"))
+    c = c.select("id", "rev", "state", "case_ts", "timezone", subs.alias("subs"), F.filter("groups", lambda g: F.lower(g["type"]) == "site").alias("sites"),
+                 F.transform("breaches", lambda b: b["ticket_id"]).alias("tickets"))
+    r = c.select("*", F.explode_outer("tickets").alias("ticket")).select("*", F.explode_outer("subs").alias("sub")) \
+        .select("*", F.explode("sites.group_ref").alias("ref"))
+    # every group of a case is the same on each of its revisions' rows; the ranking is as the report's: without the group
+    first = W.earliest_by_key(r.select("id", "ticket", "state", "sub", "rev", "case_ts", "timezone", "ref"), ["id", "ticket", "state", "sub"], "rev", tiebreak="ref")
+    first = first.where(between_local_days("case_ts", F.col("timezone"), start, end))
+    at, zero = F.date_trunc("second", local_time("case_ts", F.col("timezone"))), F.lit(0)
+    return first.select(F.lit("N/A").alias("frame_id"), key_part("ref", 2).alias("site_id"), F.col("id").cast("string").alias("case_id"),
+                        F.col("ticket").cast("string").alias("breach_id"), "state", F.col("sub").alias("sub_state"), zero.alias("stay"), zero.alias("arrivals"),
+                        zero.alias("departures"), F.to_date(at).alias("day"), F.lit(0.0).alias("stay_minutes"), F.hour(at).alias("hour"))
+
+
+def stay_case_overview(frames: DataFrame, states: DataFrame, names: DataFrame) -> DataFrame:
+    """Frames and case states in one table with weekday and site name; sites without a name are out, equal rows are one."""
+    return frames.unionByName(states).withColumn("weekday", F.date_format("day", "EEEE")).distinct() \
+        .join(names.withColumnRenamed("group_id", "site_id"), "site_id")

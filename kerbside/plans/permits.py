@@ -41,6 +41,25 @@ def permits_and_payments(permits: DataFrame, payments: DataFrame) -> DataFrame:
     return out.withColumn("group_key", F.concat("region", "site"))
 
 
+def consolidated_payments(payments: DataFrame, since) -> DataFrame:
+    """Payments of the segments that start from ``since`` (UTC day) on: one per transaction with the sums of amount
+    and minutes from first start to last end, then the newest request per (plate, start, end)."""
+    whole = payments.where(F.to_date("start_time") >= F.lit(parse_day(since))) \
+        .groupBy("org", "region", "site", "plate", "request_time", "transaction_id", "source") \
+        .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.sum("amount").alias("amount"),
+             F.sum(F.col("duration_seconds") / 60).alias("duration"))
+    return W.latest_by_key(whole, ["plate", "start_time", "end_time"], "request_time", tiebreak=["transaction_id", "region", "site", "source"])
+
+
+def permits_and_consolidated_payments(permits: DataFrame, payments: DataFrame, since) -> DataFrame:
+    """Exemptions, permits and consolidated payments in one table (see :func:`permits_and_payments`)."""
+    pay = consolidated_payments(payments, since).select(
+        "start_time", "end_time", "region", "site", "plate", "amount", "request_time", "transaction_id", "source", "duration",
+        F.lit("payment").alias("record_type"), F.concat("region", "site").alias("group_key"))
+    both = permits_and_payments(permits, payments.where("false"))
+    return both.unionByName(pay, allowMissingColumns=True)
+
+
 def compliance(permits: DataFrame, payments: DataFrame, org: str, region: str, site: str, start, end,
                tz, amount_mode: str = "max", reach_months: int = 12) -> DataFrame:
     """Permits and consolidated payments of one site that start in a period and are valid in it locally.

@@ -151,3 +151,21 @@ def rate_anomalies(metrics: DataFrame, tz: str, start=None, end=None, org: str |
     h = W.rolling_values(d.withColumn("__r", F.coalesce("rate", F.lit(0.0))), "site", ["d", "org", "region"], "__r", back, name="prev")
     b = W.percentile_band(h, "site", "rate", lo, hi, names=("lower_band", "upper_band"))
     return b.drop("__r").withColumn("is_anomaly", (F.col("rate") < F.col("lower_band")) | (F.col("rate") > F.col("upper_band")))
+
+
+def current_devices(log: DataFrame, kind: str = "mav-camera") -> DataFrame:
+    """Devices at their newest row of the kind (ties kept), deleted ones gone, one row per site group:
+    device_id, camera_name, group_ref."""
+    cur = W.latest_ties(log, "device_id", "timestamp", inner=F.col("device_type") == kind).where(F.col("action_type") != "DeviceDeleted")
+    return cur.select("device_id", F.col("name").alias("camera_name"), F.explode("group_keys").alias("group_ref"))
+
+
+def image_gaps(reads: DataFrame, devices: DataFrame, sites: DataFrame, start, end, tz: str) -> DataFrame:
+    """Every image of the period's local days with its difference to the image before it in the one order of all
+    devices (device ascending, number descending), with camera and site names; images of unregistered cameras or
+    sites are out after the differences are taken.  A normal step is -1."""
+    from kerbside.plans.dimension import key_parts, with_site
+    r = reads.where(between_local_days("ts", tz, start, end)).select("event_id", "device_id", hex_to_long("seq_hex").alias("seq"), local_date("ts", tz).alias("day"))
+    g = W.sequence_gaps(r, "device_id", "seq", descending=True, name="difference")
+    g = g.join(devices, "device_id")
+    return with_site(g, sites, key_parts("group_ref"), how="inner").select("event_id", "device_id", "camera_name", "site_name", "seq", "day", "difference")

@@ -206,6 +206,21 @@ def period_report(fact: DataFrame, day: str, ts: str, periods: Mapping[str, tupl
                                            F.count_if(F.col("rn") > 1).alias("repeat_visits"))
 
 
+def period_visits(fact: DataFrame, day: str, ts: str, periods: Mapping[str, tuple[dt.date, dt.date]], site: str, vehicle: str,
+                  tiebreak: str, within_days: int = 30) -> DataFrame:
+    """Every visit of the periods with the vehicle's visit to the site before it and its entry count.
+
+    Both look inside the period: the visit before is per (vehicle, site); the count is the visit's rank per
+    vehicle, newest first over all sites, plus one if the visit before lies within ``within_days`` days.
+    """
+    lab = label_periods(fact, day, periods)
+    lab = W.with_previous(lab, ["period", vehicle, site], ts, [ts], tiebreak=tiebreak)
+    lab = W.rank_rows(lab, ["period", vehicle], [ts, tiebreak])
+    prev = F.col("prev_" + ts)
+    recent = F.coalesce(F.to_date(prev) >= F.date_sub(F.to_date(ts), within_days), F.lit(False))
+    return lab.withColumn("entry_count", F.col("rn") + F.when(recent, 1).otherwise(0)).drop("rn")
+
+
 def month_periods(month: dt.date) -> dict[str, tuple[dt.date, dt.date]]:
     """Current month, previous month, same month last year."""
     first = month.replace(day=1)

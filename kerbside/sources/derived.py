@@ -111,6 +111,17 @@ def area_texts(spark: SparkSession, base: str) -> DataFrame:
                                                                           F.lit(")")).alias("geometry"))
 
 
+def device_log(spark: SparkSession, base: str) -> DataFrame:
+    """Action log of the cameras: newest row per camera, some deleted, each at one or two sites."""
+    ref = "concat('org', user_id % 7, '#r', user_id % 5, '#', event_type)"
+    return _events(spark, base).select(
+        F.expr("concat('cam', user_id % 12)").alias("device_id"), F.col("ts").alias("timestamp"),
+        F.expr("CASE WHEN k % 6 = 0 THEN 'relay' ELSE 'mav-camera' END").alias("device_type"),
+        F.expr("CASE WHEN event_id % 8 = 0 THEN 'DeviceDeleted' ELSE 'DeviceUpdated' END").alias("action_type"),
+        F.expr("concat('Camera ', user_id % 12, ' v', event_id % 3)").alias("name"),
+        F.expr(f"CASE WHEN k % 2 = 0 THEN array({ref}, 'org0#r0#view') ELSE array({ref}) END").alias("group_keys"))
+
+
 def park_status(spark: SparkSession, base: str) -> DataFrame:
     """Status changes of the sites that visits stand at; some NULL."""
     return _events(spark, base).select(

@@ -201,6 +201,13 @@ INPUTS["sites"] = """
 SELECT DISTINCT organization, parent, group_id, name FROM group_log
 WHERE (key, "timestamp") IN (SELECT key, max("timestamp") FROM group_log WHERE type = 'site' GROUP BY key)
   AND action_type <> 'GroupDeleted'"""
+INPUTS["device_log"] = f"""
+SELECT concat('cam', user_id % 12) AS device_id, ts AS "timestamp", CASE WHEN k % 6 = 0 THEN 'relay' ELSE 'mav-camera' END AS device_type,
+  CASE WHEN event_id % 8 = 0 THEN 'DeviceDeleted' ELSE 'DeviceUpdated' END AS action_type,
+  concat('Camera ', user_id % 12, ' v', event_id % 3) AS name,
+  CASE WHEN k % 2 = 0 THEN [concat('org', user_id % 7, '#r', user_id % 5, '#', event_type), 'org0#r0#view']
+       ELSE [concat('org', user_id % 7, '#r', user_id % 5, '#', event_type)] END AS group_keys
+FROM {_EV}"""
 INPUTS["park_status"] = f"""
 SELECT event_id, concat('org', user_id % 7) AS org, concat('r', user_id % 5) AS region, event_type AS site,
   CASE k % 5 WHEN 0 THEN 'Active' WHEN 1 THEN 'Created' WHEN 2 THEN 'Stopped' WHEN 3 THEN 'Inactive' END AS status, ts AS created

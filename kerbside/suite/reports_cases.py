@@ -131,28 +131,35 @@ def foreign_notices(spark, base):
 
 
 @q("stay_case_overview", f"""
-WITH lv AS (SELECT * FROM visits WHERE action <> 'deleted'
+WITH lv AS (SELECT * FROM visits WHERE visit_id NOT IN (SELECT visit_id FROM visits WHERE action = 'deleted')
             QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated DESC, rev_id DESC) = 1),
+z AS (SELECT lv.visit_id, lv.ors_id, date_trunc('second', timezone(t.timezone, arrival AT TIME ZONE 'UTC')) AS came,
+             date_trunc('second', timezone(t.timezone, departure AT TIME ZONE 'UTC')) AS went
+      FROM lv LEFT JOIN org_timezone t ON t.org = split_part(ors_id, '#', 1)),
+frames AS (SELECT CAST(visit_id AS VARCHAR) AS frame_id, nullif(split_part(ors_id, '#', 3), '') AS site_id, 'N/A' AS case_id, 'N/A' AS breach_id, 'N/A' AS state,
+  'N/A' AS sub_state, CAST((came IS NOT NULL AND went IS NOT NULL) AS INTEGER) AS stay, CAST((came IS NOT NULL) AS INTEGER) AS arrivals,
+  CAST((went IS NOT NULL) AS INTEGER) AS departures, CAST(coalesce(came, went) AS DATE) AS day,
+  coalesce(round(date_diff('second', came, went) / 60, 1), 0) AS stay_minutes, CAST(hour(coalesce(came, went)) AS INTEGER) AS hour FROM z),
 {_EXCLUDED},
-fc AS (SELECT DISTINCT id, rev, uri, site_name, fact_ts, plate, state FROM case_lines),
-first_rev AS (SELECT * FROM fc QUALIFY row_number() OVER (PARTITION BY id ORDER BY rev) = 1)
-SELECT 'frame' AS kind, CAST(visit_id AS VARCHAR) AS ref, coalesce(nullif(split_part(ors_id, '#', 3), ''), 'N/A') AS site,
-  arrival AS "time", coalesce(in_plate, out_plate, 'N/A') AS plate, 'N/A' AS detail FROM lv
-UNION ALL
-SELECT 'case', uri, site_name, fact_ts, plate, state FROM first_rev WHERE id NOT IN (SELECT id FROM ex)""",
-   ["visits", "case_lines"])
+fan AS (SELECT DISTINCT id, rev, state, case_ts, timezone, ticket_id, site_ref, unnest(CASE WHEN substate IS NULL THEN [sub_state_1, sub_state_2] ELSE [substate] END) AS sub
+        FROM case_lines WHERE id NOT IN (SELECT id FROM ex)),
+firsts AS (SELECT *, date_trunc('second', timezone(timezone, case_ts AT TIME ZONE 'UTC')) AS seen FROM fan
+           QUALIFY row_number() OVER (PARTITION BY id, ticket_id, state, sub ORDER BY rev, site_ref) = 1),
+states AS (SELECT 'N/A' AS frame_id, split_part(site_ref, '#', 3) AS site_id, CAST(id AS VARCHAR) AS case_id, CAST(ticket_id AS VARCHAR) AS breach_id, state,
+  sub AS sub_state, 0 AS stay, 0 AS arrivals, 0 AS departures, CAST(seen AS DATE) AS day, CAST(0 AS DOUBLE) AS stay_minutes, CAST(hour(seen) AS INTEGER) AS hour
+  FROM firsts WHERE CAST(seen AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'),
+n AS (SELECT group_id, name FROM group_log QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY "timestamp" DESC, name DESC) = 1),
+u AS (SELECT DISTINCT * FROM (SELECT * FROM frames WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND stay_minutes <= 10000
+                              UNION ALL SELECT * FROM states))
+SELECT u.* EXCLUDE (day), strftime(day, '%Y-%m-%d') AS day, strftime(day, '%A') AS weekday, n.name AS site_name FROM u JOIN n ON n.group_id = u.site_id""",
+   ["visits", "org_timezone", "case_lines", "group_log"])
 def stay_case_overview(spark, base):
-    lv = latest_visits(D.visits(spark, base))
-    frames = lv.select(F.lit("frame").alias("kind"), F.col("visit_id").cast("string").alias("ref"),
-                       F.coalesce(key_part("ors_id", 2), F.lit("N/A")).alias("site"), F.col("arrival").alias("time"),
-                       F.coalesce("in_plate", "out_plate", F.lit("N/A")).alias("plate"), F.lit("N/A").alias("detail"))
-    c = D.cases(spark, base, with_breaches=False)
-    first = W.earliest_by_key(c.select("id", "rev", "uri", PC.site_group(field="name").alias("site"), "fact_ts",
-                                       F.col("vehicle.plate").alias("plate"), "state"), "id", "rev")
-    first = J.anti_null_aware(first, PC.excluded_case_ids(c, EXCL_SUB, EXCL_REASON), "id")
-    cases = first.select(F.lit("case").alias("kind"), F.col("uri").alias("ref"), "site", F.col("fact_ts").alias("time"),
-                         "plate", F.col("state").alias("detail"))
-    return frames.unionByName(cases)
+    from kerbside.plans.dimension import newest_names
+    heads = D.cases(spark, base, with_breaches=False)
+    # one fixture, two spans of time: the frames lie in 2024, the cases in the nineties
+    frames = PC.stay_frames(D.visits(spark, base), D.org_timezone(spark), "20240105", "20240125")
+    states = PC.first_states(D.cases(spark, base), heads, "19970101", "19971231", EXCL_SUB, EXCL_REASON)
+    return PC.stay_case_overview(frames, states, newest_names(D.group_log(spark, base))).withColumn("day", day_text("day"))
 
 
 _PCN = f"""SELECT ticket_id, 'parking' AS offense_type, base_fee AS fee_amount, 'base' AS fee_source,

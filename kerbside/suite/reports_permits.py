@@ -39,6 +39,24 @@ def permit_payment_union(spark, base):
     return PP.permits_and_payments(D.permits(spark, base), D.payments(spark, base))
 
 
+@q("permit_payment_consolidated", """
+WITH whole AS (SELECT org, region, site, plate, request_time, transaction_id, source, min(start_time) AS start_time, max(end_time) AS end_time,
+                      sum(amount) AS amount, sum(duration_seconds / 60) AS duration
+               FROM payments WHERE CAST(start_time AS DATE) >= DATE '1993-01-01' GROUP BY ALL),
+pay AS (SELECT * FROM whole QUALIFY row_number() OVER (PARTITION BY plate, start_time, end_time
+                                                      ORDER BY request_time DESC, transaction_id DESC, region DESC, site DESC, source DESC) = 1)
+SELECT start_time, CASE WHEN kind = 'exemption' THEN coalesce(end_time, TIMESTAMP '2099-01-01 00:00:00') ELSE end_time END AS end_time, region, site, plate,
+  round(amount, 6) AS amount, request_time, CAST(permit_id AS VARCHAR) AS permit_id, CAST(NULL AS BIGINT) AS transaction_id, CAST(NULL AS VARCHAR) AS source,
+  CAST(NULL AS DOUBLE) AS duration, kind AS record_type, concat(region, site) AS group_key
+FROM permits WHERE kind IN ('exemption', 'permit')
+UNION ALL
+SELECT start_time, end_time, region, site, plate, round(amount, 6), request_time, NULL, transaction_id, source, round(duration, 6), 'payment', concat(region, site)
+FROM pay""", ["permits", "payments"])
+def permit_payment_consolidated(spark, base):
+    u = PP.permits_and_consolidated_payments(D.permits(spark, base), D.payments(spark, base), "19930101")
+    return u.withColumns({"amount": r6("amount"), "duration": r6("duration")})
+
+
 _S, _E = dt.date(1997, 1, 1), dt.date(1997, 12, 31)
 _TZ = "Pacific/Auckland"
 

@@ -71,9 +71,10 @@ rm AS (SELECT ors_id, CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) AS d
 SELECT rm.ors_id, strftime(rm.day, '%Y-%m-%d') AS day, entries, exits,
   {dround('accepted / total', 2)} AS process_rate,
   {dround('least(exits / ((entries + exits) / 2), entries / ((entries + exits) / 2))', 2)} AS raw_rate,
-  total AS footfall
+  total AS footfall, s.name AS site_name
 FROM pm JOIN rm ON pm.day = rm.day AND rm.ors_id = concat(pm.org, '#', pm.region, '#', pm.site)
-WHERE total <> 0""", ["process_metrics", "plate_events"])
+JOIN sites s ON s.organization = pm.org AND s.parent = pm.region AND s.group_id = pm.site
+WHERE total <> 0""", ["process_metrics", "plate_events", "group_log", "sites"])
 def match_rate(spark, base):
     pm = PS.process_rates(D.process_metrics(spark, base), UK, "20240105", "20240125")
     p = D.plate_events(spark, base).select("*", key_part("ors_id", 0).alias("org"), key_part("ors_id", 1).alias("region"),
@@ -81,10 +82,12 @@ def match_rate(spark, base):
     # the read side is keyed by its composite id; join on the parts, not a built string
     rm = PS.raw_flows(p, ["ors_id", "org", "region", "site"], UK, "20240105", "20240125")
     j = pm.where(F.col("total") != 0).join(rm, ["org", "region", "site", "day"])
+    from kerbside.plans.dimension import PARTS, site_dimension, with_site
+    j = with_site(j, site_dimension(D.group_log(spark, base)), dict(zip(PARTS, (F.col(c) for c in ("org", "region", "site")))), how="inner")
     return j.select("ors_id", day_text("day").alias("day"), "entries", "exits",
                     F.round(F.col("accepted") / F.col("total"), 2).alias("process_rate"),
                     F.round(PS.raw_match_rate(F.col("entries"), F.col("exits")), 2).alias("raw_rate"),
-                    F.col("total").alias("footfall"))
+                    F.col("total").alias("footfall"), "site_name")
 
 
 _RATE_SQL = """
@@ -154,6 +157,23 @@ def camera_gaps(spark, base):
                                                                               "missing_images")
 
 
+@q("camera_gap_rows", f"""
+WITH dev AS (SELECT device_id, name AS camera_name, unnest(group_keys) AS ref FROM device_log WHERE (device_id, "timestamp") IN
+               (SELECT device_id, max("timestamp") FROM device_log WHERE device_type = 'mav-camera' GROUP BY device_id) AND action_type <> 'DeviceDeleted'),
+p AS (SELECT event_id, device_id, CASE WHEN regexp_full_match(seq_hex, '[0-9A-Fa-f]+') THEN CAST('0x' || seq_hex AS BIGINT) END AS seq,
+             CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) AS day FROM plate_events
+      WHERE CAST(timezone('{UK}', ts AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'),
+g AS (SELECT *, seq - lag(seq) OVER (ORDER BY device_id ASC NULLS FIRST, seq DESC NULLS LAST) AS difference FROM p)
+SELECT event_id, g.device_id, camera_name, s.name AS site_name, seq, strftime(day, '%Y-%m-%d') AS day, difference
+FROM g JOIN dev ON dev.device_id = g.device_id JOIN sites s ON dev.ref = concat_ws('#', s.organization, s.parent, s.group_id)""",
+   ["plate_events", "device_log", "group_log", "sites"])
+def camera_gap_rows(spark, base):
+    from kerbside.plans.dimension import site_dimension
+    g = PS.image_gaps(D.plate_events(spark, base), PS.current_devices(D.device_log(spark, base)), site_dimension(D.group_log(spark, base)),
+                      "20240105", "20240125", UK)
+    return g.withColumn("day", day_text("day"))
+
+
 @q("weekday_grid", """
 WITH b AS (SELECT site, CAST(timezone('Europe/London', "time" AT TIME ZONE 'UTC') AS DATE) AS day, breach_id FROM ledger),
 l AS (SELECT site, breach_id,

@@ -212,6 +212,34 @@ def period_compare_history(spark, base):
                             "vehicle_key", "visit_key", rank_scope="history")
 
 
+@q("period_visits", f"""
+WITH lab AS ({_period_sql()}),
+p AS (SELECT *, lag(entry_time) OVER (PARTITION BY period, vehicle_key, site_key ORDER BY entry_time, visit_key) AS prev_entry_time,
+             row_number() OVER (PARTITION BY period, vehicle_key ORDER BY entry_time DESC, visit_key DESC) AS rn FROM lab)
+SELECT period, visit_key, site_key, vehicle_key, entry_time, exit_time, prev_entry_time,
+  rn + CASE WHEN CAST(prev_entry_time AS DATE) >= CAST(entry_time AS DATE) - 30 THEN 1 ELSE 0 END AS entry_count FROM p""", ["fact_visit"])
+def period_visits(spark, base):
+    v = PV.period_visits(D.fact_visit(spark, base), "entry_date", "entry_time", _PERIODS, "site_key", "vehicle_key", "visit_key")
+    return v.select("period", "visit_key", "site_key", "vehicle_key", "entry_time", "exit_time", "prev_entry_time", "entry_count")
+
+
+@q("week_over_week_rows", f"""
+WITH {_LATEST},
+d AS (SELECT *, split_part(ors_id, '#', 1) AS org, CAST(arrival AS DATE) AS d FROM lv),
+t AS (SELECT org,
+  sum(CASE WHEN (dayofyear(d) + 6 - dayofweek(d)) // 7 = (dayofyear(DATE '2024-01-24') + 6 - dayofweek(DATE '2024-01-24')) // 7
+            AND year(d) = 2024 THEN 1 ELSE 0 END) AS current_week_visits,
+  sum(CASE WHEN (dayofyear(d) + 6 - dayofweek(d)) // 7 = (dayofyear(DATE '2024-01-17') + 6 - dayofweek(DATE '2024-01-17')) // 7
+            AND year(d) = 2024 THEN 1 ELSE 0 END) AS previous_week_visits
+  FROM d GROUP BY org)
+SELECT d.visit_id, d.ors_id, d.out_plate, d.arrival, t.current_week_visits, t.previous_week_visits FROM d JOIN t ON d.org = t.org""", ["visits"])
+def week_over_week_rows(spark, base):
+    """The totals joined back to the visits."""
+    lv = PV.latest_visits(D.visits(spark, base)).withColumn("org", key_part("ors_id", 0))
+    t = PV.week_totals(lv, "org", F.to_date("arrival"), dt.date(2024, 1, 24))
+    return lv.join(t, "org").select("visit_id", "ors_id", "out_plate", "arrival", "current_week_visits", "previous_week_visits")
+
+
 @q("week_over_week", f"""
 WITH {_LATEST},
 d AS (SELECT split_part(ors_id, '#', 1) AS org, CAST(arrival AS DATE) AS d FROM lv)
