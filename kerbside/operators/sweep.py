@@ -1,7 +1,9 @@
 """Intervals and events of one key without comparing all of one with all of the other.
 
-Keys whose events times intervals stay under ``pairs`` are joined plainly (an
-equi-join with a range residual).  For a key that is hot on both sides:
+A key with few intervals is joined plainly (an equi-join with a range
+residual): each event meets at most those few, whatever the number of events.
+So is one whose events times intervals stay under ``pairs``.  For a key that is
+hot on both sides:
 
 * *counts* need no pairs.  Starts, ends and events run as one ordered stream
   and running counts are read at the interval's ends.  With lo and hi the
@@ -21,15 +23,14 @@ Running counts are bounded windows (``ranges.py``).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.operators import ranges as R
 
-#: Comparisons of one key that a plain join may cost.
-PAIRS = 50_000_000
+#: Intervals of one key that each of its events may meet, and comparisons of one key that a plain join may cost.
+FEW, PAIRS = 1_000, 50_000_000
 #: Events of one range when pairs are wanted.
 CUT = 2_000
 
@@ -57,14 +58,20 @@ def running(df: DataFrame, keys: Sequence[str], spec: list[Column], values: dict
     return R.bounded(df, keys, spec, plain, split, limit)
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], pairs: int) -> DataFrame | None:
-    """The keys for which left rows times right rows exceed ``pairs``.
+def hot_keys(intervals: DataFrame, events: DataFrame, keys: Sequence[str], pairs: int) -> DataFrame | None:
+    """The keys with more than a few intervals for which intervals times events exceed ``pairs``.
 
-    Each has over sqrt(pairs) rows on one side, so there are few."""
-    a, b = (d.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias(n)) for d, n in ((left, "__a"), (right, "__b")))
-    found = a.join(b, list(keys)).where(F.col("__a") * F.col("__b") > pairs).select(*keys)
+    Only the intervals are counted unless some key has many; such keys are at most one per ``FEW`` intervals.
+    """
+    many = intervals.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("__a")).where(F.col("__a") > min(FEW, pairs // 100))
+    rows = many.collect()
+    if not rows:
+        return None
+    many = intervals.sparkSession.createDataFrame([tuple(r) for r in rows], many.schema)
+    counts = events.join(many.select(*keys), list(keys), "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("__b"))
+    found = counts.join(many, list(keys)).where(F.col("__a") * F.col("__b") > pairs).select(*keys)
     rows = found.collect()
-    return left.sparkSession.createDataFrame([tuple(r) for r in rows], found.schema) if rows else None
+    return found.sparkSession.createDataFrame([tuple(r) for r in rows], found.schema) if rows else None
 
 
 def _either(a, d, s, e) -> Column:
@@ -129,18 +136,31 @@ def count_either(intervals: DataFrame, events: DataFrame, keys: Sequence[str], a
     time counts by that one.
     """
     keys = list(keys)
+    ev = events.select(*keys, F.least(a, d).alias("__lo"), F.greatest(a, d).alias("__hi")).where("__lo IS NOT NULL")
+    hot = hot_keys(intervals, ev, keys, pairs)
+    light = intervals if hot is None else _side(intervals, hot, keys, "left_anti")
+    light_ev = ev if hot is None else _side(ev, hot, keys, "left_anti")
+    # one join; the count needs no further exchange, as its groups hold the join's keys
+    rows = light.withColumn("__id", F.monotonically_increasing_id())
+    right = light_ev.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__lo", "__hi")
+    cond = [rows[k] == right[f"__k_{k}"] for k in keys] + [_either("__lo", "__hi", start, end)]
+    out = rows.join(right, cond, "left").groupBy("__id", *intervals.columns).agg(F.count("__lo").alias(name)).drop("__id")
+    if hot is None:
+        return out
+    heavy, heavy_ev = (_side(x, hot, keys, "left_semi") for x in (intervals, ev))
     whole = F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end))
-    iv = intervals.where(reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys], whole)) \
-        .select(*keys, F.col(start).alias("s"), F.col(end).alias("e")).distinct()
-    ev = events.select(*keys, F.least(a, d).alias("lo"), F.greatest(a, d).alias("hi")).where("lo IS NOT NULL")
-    hot = hot_keys(iv, ev, keys, pairs)
-    light_iv, light_ev = (iv, ev) if hot is None else (x.join(hot, keys, "left_anti") for x in (iv, ev))
-    found = light_iv.join(light_ev, keys).where(_either("lo", "hi", "s", "e")).groupBy(*keys, "s", "e").agg(F.count(F.lit(1)).alias("n"))
-    if hot is not None:
-        found = found.unionByName(_swept(*(x.join(hot, keys, "left_semi") for x in (iv, ev)), keys, limit))
-    side = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("s").alias("__s"), F.col("e").alias("__e"), F.col("n").alias("__n"))
-    cond = [intervals[k] == side[f"__k_{k}"] for k in keys] + [intervals[start] == side["__s"], intervals[end] == side["__e"]]
-    return intervals.join(side, cond, "left").select(*[intervals[c] for c in intervals.columns], F.coalesce("__n", F.lit(0)).alias(name))
+    iv = heavy.where(whole).select(*keys, F.col(start).alias("s"), F.col(end).alias("e")).distinct()
+    found = _swept(iv, heavy_ev.withColumnsRenamed({"__lo": "lo", "__hi": "hi"}), keys, limit)
+    back = found.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col("s").alias("__s"), F.col("e").alias("__e"), F.col("n").alias("__n"))
+    cond = [heavy[k] == back[f"__k_{k}"] for k in keys] + [heavy[start] == back["__s"], heavy[end] == back["__e"]]
+    swept = heavy.join(back, cond, "left").select(*[heavy[c] for c in intervals.columns], F.coalesce("__n", F.lit(0)).alias(name))
+    return out.unionByName(swept)
+
+
+def _side(df: DataFrame, hot: DataFrame, keys: Sequence[str], kind: str) -> DataFrame:
+    """Rows of the hot keys (left_semi) or of all others, NULL keys included (left_anti)."""
+    h = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys])
+    return df.join(h, [df[k] == h[f"__h_{k}"] for k in keys], kind)
 
 
 def _touched(iv: DataFrame, cut: DataFrame, names: list[str], limit: int | None) -> DataFrame:
@@ -175,13 +195,12 @@ def interval_pairs(events: DataFrame, intervals: DataFrame, keys: Sequence[str],
         inside = F.coalesce((e[ts] <= i[end]) if end_inclusive else (e[ts] < i[end]), F.lit(True))
         return e.join(i, [*[e[k] == i[f"__k_{k}"] for k in on], e[ts] >= i[start], inside], how).drop(*[f"__k_{k}" for k in on])
 
-    hot = hot_keys(events.where(F.col(ts).isNotNull()), intervals, keys, pairs)
+    hot = hot_keys(intervals, events.where(F.col(ts).isNotNull()), keys, pairs)
     if hot is None:
         return joined(events, intervals, keys)
-    hot = hot.select(*[F.col(k).alias(f"__h_{k}") for k in keys])
 
     def side(df: DataFrame, kind: str) -> DataFrame:
-        return df.join(hot, [df[k] == hot[f"__h_{k}"] for k in keys], kind)
+        return _side(df, hot, keys, kind)
 
     light = joined(side(events, "left_anti"), side(intervals, "left_anti"), keys)
     ev, names = R.keyed(side(events, "left_semi").withColumn("__t", F.col(ts)), keys)

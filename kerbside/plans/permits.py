@@ -12,6 +12,7 @@ from kerbside.functions.timefn import local_time, parse_day
 from kerbside.operators import aggregates as A
 from kerbside.operators import sweep as S
 from kerbside.operators import windows as W
+from kerbside.operators.ranges import stored
 
 OPEN_END = dt.datetime(2099, 1, 1)
 
@@ -127,8 +128,12 @@ def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, in
     purchases = (p.groupBy("site", "plate", "amount", F.date_format("permit_start", "yyyy-MM").alias("permit_month"),
                            "permit_start", "permit_end")
                   .agg(F.count(F.lit(1)).alias("purchase_count")))
+    purchases = stored(purchases, "purchases")  # read four times below
     # a visit reported several times counts once
-    v = visits.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep")).distinct()
+    # only visits of purchased plates are converted and told apart
+    bought = purchases.select(F.col("site").alias("__s"), F.col("plate").alias("__p")).distinct()
+    near = visits.join(bought, (visits["site"] == bought["__s"]) & (visits["plate"] == bought["__p"]), "left_semi")
+    v = near.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep")).distinct()
     used = S.count_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", "entries")
     joined = used.groupBy("plate", "site", "permit_month", "amount").agg(F.sum("entries").alias("entry_count"))
     # the report re-joins every purchase of the plate and month to each row and counts the
