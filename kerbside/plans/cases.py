@@ -90,8 +90,9 @@ def case_total(field: str) -> Column:
     return J.sum_array(F.flatten(F.transform("breaches", lambda b: F.coalesce(b[field], F.array()))), "amount")
 
 
-def case_financials(cases: DataFrame, start, end) -> DataFrame:
+def case_financials(cases: DataFrame, start, end, sites: DataFrame | None = None) -> DataFrame:
     """Newest fact per (case, breach) with the whole case's fee and receipt totals and local times.
+    With ``sites``, only cases at a current site, with its name.
 
     The totals run over every breach of the case revision, so they repeat on
     each of its breaches.  Ranking runs on the whole history; the case time's
@@ -101,11 +102,15 @@ def case_financials(cases: DataFrame, start, end) -> DataFrame:
 
     b = J.explode_drop(cases.withColumns({"__fees": case_total("fees"), "__paid": case_total("transactions")}), "breaches", "b").select(
         "id", "rev", "fact_ts", "case_ts", "timezone", "arrival", "departure", F.col("b.ticket_id").alias("ticket_id"),
-        F.col("__fees").alias("fees"), F.col("__paid").alias("receipts")).where(F.col("ticket_id").isNotNull())
+        *([site_group().alias("site_ref")] if sites is not None else []), F.col("__fees").alias("fees"), F.col("__paid").alias("receipts")).where(F.col("ticket_id").isNotNull())
     cur = W.latest_by_key(b, ["id", "ticket_id"], "fact_ts", tiebreak=["rev", "fees", "receipts"])
     tz = F.col("timezone")
     cur = cur.where(local_date("case_ts", tz).between(F.lit(parse_day(start)), F.lit(parse_day(end))))
-    return cur.select("id", "ticket_id", "fees", "receipts", local_time("fact_ts", tz).alias("fact_local"),
+    extra = []
+    if sites is not None:
+        from kerbside.plans.dimension import key_parts, with_site
+        cur, extra = with_site(cur, sites, key_parts("site_ref"), how="inner"), ["site_name"]
+    return cur.select(*extra, "id", "ticket_id", "fees", "receipts", local_time("fact_ts", tz).alias("fact_local"),
                       F.date_trunc("second", local_time("case_ts", tz)).cast("timestamp_ntz").alias("case_local"),
                       local_time("arrival", tz).alias("arrival_local"),
                       local_time("departure", tz).alias("departure_local"))

@@ -70,12 +70,14 @@ WITH case_total AS (SELECT order_key, sum(base_fee + late_fee) AS fees, sum(paid
 newest AS (SELECT id, ticket_id, max({{'t': fact_ts, 'r': rev}}) AS m FROM case_lines WHERE ticket_id IS NOT NULL GROUP BY ALL)
 SELECT DISTINCT l.id, l.ticket_id, round(t.fees, 6) AS fees, round(t.receipts, 6) AS receipts, {_LOCAL_FACT} AS fact_local,
   date_trunc('second', timezone(timezone, case_ts AT TIME ZONE 'UTC')) AS case_local,
-  timezone(timezone, arrival AT TIME ZONE 'UTC') AS arrival_local, timezone(timezone, departure AT TIME ZONE 'UTC') AS departure_local
-FROM case_lines l JOIN newest n ON n.id = l.id AND n.ticket_id = l.ticket_id AND n.m.r = l.rev AND n.m.t = l.fact_ts
+  timezone(timezone, arrival AT TIME ZONE 'UTC') AS arrival_local, timezone(timezone, departure AT TIME ZONE 'UTC') AS departure_local,
+  s.name AS site_name
+FROM case_lines l JOIN sites s ON l.site_ref = concat_ws('#', s.organization, s.parent, s.group_id) JOIN newest n ON n.id = l.id AND n.ticket_id = l.ticket_id AND n.m.r = l.rev AND n.m.t = l.fact_ts
 JOIN case_total t ON t.order_key = l.order_key
-WHERE CAST(timezone(timezone, case_ts AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""", ["case_lines"])
+WHERE CAST(timezone(timezone, case_ts AT TIME ZONE 'UTC') AS DATE) BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'""", ["case_lines", "group_log", "sites"])
 def case_financials(spark, base):
-    f = PC.case_financials(D.cases(spark, base), "19980101", "19981231")
+    from kerbside.plans.dimension import site_dimension
+    f = PC.case_financials(D.cases(spark, base), "19980101", "19981231", site_dimension(D.group_log(spark, base)))
     return f.withColumns({"fees": r6("fees"), "receipts": r6("receipts")})
 
 

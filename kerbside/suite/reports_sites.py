@@ -199,11 +199,15 @@ lr AS (SELECT * FROM l WHERE (id, rev) IN (SELECT id, max(rev) FROM l GROUP BY i
 c AS (SELECT site_ref, CAST(issuing_time AS DATE) AS day, count(DISTINCT ticket_id) AS breaches,
              array_to_string(list_sort(list(DISTINCT CAST(ticket_id AS VARCHAR))), ',') AS tickets
       FROM lr WHERE ticket_id IS NOT NULL GROUP BY ALL),
-s AS (SELECT DISTINCT site_ref FROM case_lines)
-SELECT s.site_ref, strftime(c.day, '%Y-%m-%d') AS day, coalesce(c.breaches, 0) AS breaches, c.tickets
-FROM c RIGHT JOIN s ON c.site_ref = s.site_ref""", ["case_lines"])
+st AS (SELECT * FROM park_status QUALIFY row_number() OVER (PARTITION BY org, region, site ORDER BY created DESC, event_id DESC) = 1),
+s AS (SELECT concat_ws('#', sites.organization, sites.parent, sites.group_id) AS site_ref, sites.name AS site_name,
+             CASE WHEN st.status IS NULL THEN 'Active' WHEN st.status = 'Created' THEN 'Pending' ELSE st.status END AS site_status
+      FROM sites LEFT JOIN st ON st.org = sites.organization AND st.region = sites.parent AND st.site = sites.group_id)
+SELECT s.site_ref, s.site_name, s.site_status, strftime(c.day, '%Y-%m-%d') AS day, coalesce(c.breaches, 0) AS breaches, c.tickets
+FROM c RIGHT JOIN s ON c.site_ref = s.site_ref""", ["case_lines", "park_status", "group_log", "sites"])
 def sites_breach_summary(spark, base):
     from kerbside.operators.aggregates import collect_sorted_text
+    from kerbside.plans.dimension import PARTS, site_dimension
     c = D.cases(spark, base)
     site = F.filter("groups", lambda g: g["type"] == "site")[0]["group_ref"]
     c = c.withColumn("site_ref", site)
@@ -213,14 +217,18 @@ def sites_breach_summary(spark, base):
     # the date filter runs before the newest-revision test (as the report does); the
     # max revision comes from the documents without their nested arrays
     cur = W.latest_ties(c.where(rng), "id", "rev", source=heads.where(rng))
-    sites = heads.select(site.alias("site_ref")).distinct()
+    # every registered site with its name and status, with or without a breach
+    st = PS.site_status(D.park_status(spark, base), ["org", "region", "site"], "created", tiebreak="event_id") \
+        .select(*[F.col(k).alias(p) for k, p in zip(("org", "region", "site"), PARTS)], "status")
+    sites = site_dimension(D.group_log(spark, base)).join(st, list(PARTS), "left").select(
+        F.concat_ws("#", *PARTS).alias("site_ref"), F.col("name").alias("site_name"), F.coalesce("status", F.lit("Active")).alias("site_status"))
     b = J.explode_drop(cur, "breaches", "b").select("site_ref", F.to_date("b.issuing_time").alias("day"),
                                                     F.col("b.ticket_id").alias("ticket_id"))
     counts = b.groupBy("site_ref", "day").agg(F.count_distinct("ticket_id").alias("breaches"),
                                               collect_sorted_text(F.col("ticket_id").cast("string"), distinct=True)
                                               .alias("tickets"))
     return counts.join(sites, "site_ref", "right").select(
-        "site_ref", day_text("day").alias("day"), F.coalesce("breaches", F.lit(0)).alias("breaches"), "tickets")
+        "site_ref", "site_name", "site_status", day_text("day").alias("day"), F.coalesce("breaches", F.lit(0)).alias("breaches"), "tickets")
 
 
 @q("sites_without_breach", """

@@ -122,3 +122,50 @@ def test_exact_percentiles(spark, limit):
     want = df.groupBy("k").agg(*[F.percentile("v", p).alias(n) for p, n in zip((0.0, 0.05, 0.5, 0.95, 1.0), "abcde")])
     key = lambda x: (str(x[0]), [None if v is None else round(v, 12) for v in x[1:]])
     assert sorted(map(key, got.collect()), key=str) == sorted(map(key, want.collect()), key=str)
+
+
+def test_frames_deletions_days_and_long_stays(spark):
+    cols = "visit_id int, rev_id int, updated timestamp_ntz, ors_id string, arrival timestamp_ntz, departure timestamp_ntz, action string"
+    u = t(2024, 1, 9)
+    rows = [(1, 1, u, "o#r#a", t(2024, 1, 5, 23, 30), t(2024, 1, 6, 0, 0, 45), "upsert"),       # local day is the 6th
+            (2, 2, u, "o#r#a", t(2024, 1, 6), None, "upsert"), (2, 3, t(2024, 1, 8), "o#r#a", None, t(2024, 1, 1), "upsert"),
+            (3, 4, u, "o#r#a", t(2024, 1, 6), None, "upsert"), (3, 5, t(2024, 1, 1), "o#r#a", None, None, "Deleted"),  # any deleted revision
+            (4, 6, u, "o#r#a", t(2024, 1, 6), t(2024, 1, 20), "upsert"),                         # longer than 10,000 minutes
+            (5, 7, u, "o#r#a", None, t(2024, 1, 7, 5), "upsert"), (6, 8, u, "o#r#a", t(2024, 2, 6), None, "upsert"), (7, 9, None, "o#r#a", t(2024, 1, 6), None, "upsert")]
+    zones = spark.createDataFrame([("o", "Europe/Copenhagen")], "org string, timezone string")
+    got = PC.stay_frames(spark.createDataFrame(rows, cols), zones, "20240101", "20240131").orderBy("frame_id").collect()
+    assert [(r.frame_id, r.day.day, r.hour, r.stay, r.arrivals, r.departures, r.stay_minutes) for r in got] == \
+        [("1", 6, 0, 1, 1, 1, 30.8), ("2", 6, 1, 0, 1, 0, 0.0), ("5", 7, 6, 0, 0, 1, 0.0)]
+
+
+def test_image_gaps_keep_rows(spark, log):
+    reads = [(1, "c1", "A", t(2024, 1, 2)), (2, "c1", "8", t(2024, 1, 2)), (3, "c0", "5", t(2024, 1, 2)), (4, "c1", "zz", t(2024, 1, 2)), (5, "c1", "1", t(2024, 3, 2)),
+             (6, "c9", "3", t(2024, 1, 2))]
+    dev = [("c1", t(2024, 1, 1), "mav-camera", "DeviceUpdated", "One", ["o#r#a", "o#r#b"]), ("c0", t(2024, 1, 1), "mav-camera", "DeviceUpdated", "Null", ["o#q#c"]),
+           ("c9", t(2024, 1, 1), "mav-camera", "DeviceUpdated", "Nine", ["o#r#a"]), ("c9", t(2024, 1, 2), "mav-camera", "DeviceDeleted", "Nine", ["o#r#a"])]
+    devices = PS.current_devices(spark.createDataFrame(dev, "device_id string, timestamp timestamp_ntz, device_type string, action_type string, name string, group_keys array<string>"))
+    got = PS.image_gaps(spark.createDataFrame(reads, "event_id int, device_id string, seq_hex string, ts timestamp_ntz"), devices, site_dimension(log),
+                        "20240101", "20240131", "Europe/London").collect()
+    # one order over all devices: the first image of c1 is compared with the last of c0; c1 stands at one current site
+    assert sorted((r.event_id, r.camera_name, r.site_name, r.seq, r.difference) for r in got) == \
+        [(1, "One", "New", 10, 5), (2, "One", "New", 8, -2), (3, "Null", "New", 5, None), (4, "One", "New", None, None)]
+
+
+def test_consolidated_payments(spark):
+    from kerbside.plans.permits import consolidated_payments
+    cols = "org string, region string, site string, plate string, request_time timestamp_ntz, transaction_id int, source string, start_time timestamp_ntz, " \
+           "end_time timestamp_ntz, amount double, duration_seconds long"
+    rows = [("o", "r", "s", "P", t(2024, 1, 1), 1, "app", t(2024, 1, 1), t(2024, 1, 8), 1.0, 60), ("o", "r", "s", "P", t(2024, 1, 1), 1, "app", t(2024, 1, 8), t(2024, 1, 15), 2.0, 120),
+            ("o", "r", "s", "P", t(2024, 1, 2), 2, "app", t(2024, 1, 1), t(2024, 1, 15), 9.0, 60), ("o", "r", "s", "P", t(2024, 1, 2), 3, "app", t(2010, 1, 1), t(2010, 1, 2), 5.0, 60)]
+    got = consolidated_payments(spark.createDataFrame(rows, cols), "20110101").collect()
+    assert [(r.transaction_id, r.amount, r.duration) for r in got] == [(2, 9.0, 1.0)]
+    got = consolidated_payments(spark.createDataFrame(rows[:2], cols), "20110101").collect()
+    assert [(r.start_time, r.end_time, r.amount, r.duration) for r in got] == [(t(2024, 1, 1), t(2024, 1, 15), 3.0, 3.0)]
+
+
+def test_period_visits_count_and_previous(spark):
+    rows = [(1, "s", "v", t(2024, 1, 1)), (2, "s", "v", t(2024, 1, 20)), (3, "q", "v", t(2024, 1, 25)), (4, "s", "v", t(2024, 2, 25)), (5, "s", "v", t(2023, 12, 30))]
+    df = spark.createDataFrame(rows, "k int, site string, vehicle string, ts timestamp_ntz").withColumn("day", F.to_date("ts"))
+    got = PV.period_visits(df, "day", "ts", {"now": (dt.date(2024, 1, 1), dt.date(2024, 3, 1))}, "site", "vehicle", "k").orderBy("k").collect()
+    # rank over all sites, newest first, plus one if the site saw it within 30 days; the period's start is a border
+    assert [(r.k, r.prev_ts, r.entry_count) for r in got] == [(1, None, 4), (2, t(2024, 1, 1), 4), (3, None, 2), (4, t(2024, 1, 20), 1)]
