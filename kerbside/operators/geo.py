@@ -98,8 +98,9 @@ def points_on_sphere(points: DataFrame, areas: DataFrame, point_id: str, area_id
     e = polygon_edges(areas, area_id, rings)
     first, span = slab(F.pmod(F.col("x1") + 180, F.lit(360.0)) - 180), turn(F.col("x1"), F.col("x2"))
     last = slab(F.pmod(F.col("x1") + 180, F.lit(360.0)) - 180 + span)
-    e = e.where(span != 0).select(area_id, "x1", "y1", "x2", "y2", F.explode(F.sequence(F.least(first, last), F.greatest(first, last))).alias("s")) \
-        .withColumn("s", F.pmod("s", F.lit(slabs)))
+    # each slab once, also where few wide slabs wrap round
+    spanned = F.array_distinct(F.transform(F.sequence(F.least(first, last), F.greatest(first, last)), lambda v: F.pmod(v, F.lit(slabs))))
+    e = e.where(span != 0).select(area_id, "x1", "y1", "x2", "y2", F.explode(spanned).alias("s"))
     p = points.select(F.col(point_id).alias("__pid"), F.col(lon).alias("__px"), F.col(lat).alias("__py")) \
         .withColumn("s", F.pmod(slab(F.pmod(F.col("__px") + 180, F.lit(360.0)) - 180), F.lit(slabs)))
     hits = p.join(e, "s").where(meridian_crossing(F.col("__px"), F.col("__py"))).groupBy("__pid", area_id) \
