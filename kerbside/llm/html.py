@@ -53,8 +53,10 @@ _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 
 # fixed values: elements and class words of what is not main text
-_RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas"}
-_OUT = {"nav", "header", "footer", "aside", "form", "head", "button", "select", "dialog", "menu", "fieldset", "label"}
+_RAW = {"script", "style", "template", "iframe", "textarea", "title", "svg", "math", "object", "canvas"}
+_OUT = {"head", "button", "select", "dialog", "menu"}
+#: Boilerplate unless they hold the page's article; a form also if it holds most of the page's text.
+_FRAME, _FORM = {"nav", "header", "footer", "aside", "noscript"}, {"form", "fieldset"}
 _WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "banner",
           "sidebar", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "newsletter",
           "subscribe", "signup", "login", "share", "sharing", "social", "comment", "comments", "reply", "replies", "nav",
@@ -67,7 +69,7 @@ _HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _VOID = {"br", "img", "hr", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 _BLOCK = {"p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "table", "tr", "thead", "tbody",
           "tfoot", "caption", "blockquote", "pre", "section", "article", "main", "figure", "figcaption", "address", "details",
-          "summary", "body", "html", "hr", "center"} | _OUT
+          "summary", "body", "html", "hr", "center"} | _OUT | (_FRAME - {"noscript"}) | _FORM
 _SPACED = {"br", "td", "th"}
 _MAIN = {"article", "main"}
 
@@ -101,45 +103,73 @@ def _named(element: str, attrs: dict[str, str]) -> str:
     return kind
 
 
-def _spared(marks: list[tuple[str, tuple[int, ...]]], sizes: list[tuple[int, tuple[int, ...]]]) -> set[int]:
-    """The named elements that hold the page's content, so that their name doesn't count:
+def _spared(kinds: list[str], parents: list[int], sizes: list[tuple[int, int]]) -> set[int]:
+    """The marked elements that hold the page's content, so that their name doesn't count:
     those with a ``main`` element, with the page's only article, or with more text than
     stands outside boilerplate around them, and its largest article if there are articles.
-    ``marks`` has (kind, open marks around) of each marked element, ``sizes`` (characters,
-    open marks) of each block."""
-    if not any(k in "NC" for k, _ in marks):
+    ``kinds`` and ``parents`` describe the tree of marked elements (a parent comes before
+    its children, -1 is the page), ``sizes`` has (characters, innermost mark) of each block.
+    A few passes over the tree, whatever its depth."""
+    n = len(kinds)
+    if not any(k in "NCE" for k in kinds):
         return set()
-    size = [0] * len(marks)
-    for n, open_ in sizes:
-        if not any(marks[x][0] == "H" for x in open_):
-            for x in open_:
-                size[x] += n
-    hard = [any(marks[x][0] == "H" for x in around) for _, around in marks]
+    # the last place is the page itself
+    parent = [p if p >= 0 else n for p in parents]
+    text = [0] * (n + 1)
+    for c, at in sizes:
+        text[at if at >= 0 else n] += c
+    hard = [False] * (n + 1)
+    for x in range(n):
+        hard[x] = kinds[x] == "H" or hard[parent[x]]
+    size, clean = [0 if hard[x] else text[x] for x in range(n + 1)], list(text)
+    for x in range(n - 1, -1, -1):  # clean: text not inside further marks but articles
+        size[parent[x]] += 0 if hard[x] else size[x]
+        if kinds[x] in "AM":
+            clean[parent[x]] += clean[x]
+    article = [x < n and kinds[x] in "AM" and size[x] > 0 and not hard[x] for x in range(n + 1)]
+    # articles inside each mark, the largest of them, and whether one is a main element
+    count, largest, main = [0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
+    second, top = [0] * (n + 1), [-1] * (n + 1)
+    for x in range(n - 1, -1, -1):
+        p, own = parent[x], max(largest[x], size[x] if article[x] else 0)
+        count[p] += count[x] + article[x]
+        main[p] = main[p] or main[x] or article[x] and kinds[x] == "M"
+        if own > largest[p]:
+            largest[p], second[p], top[p] = own, largest[p], x
+        else:
+            second[p] = max(second[p], own)
+    # on the way down: articles and scopes around, text and largest article beside the way
+    around, scope, rest, beside = [0] * (n + 1), [False] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    rest[n] = clean[n]
     out = set()
-    for w, (kind, around) in enumerate(marks):
-        if kind not in "NC" or hard[w]:
+    for x in range(n):
+        p, kind = parent[x], kinds[x]
+        around[x] = around[p] + article[x]
+        scope[x] = scope[p] or kind in "AM"
+        rest[x] = clean[x] + (0 if kind in "AM" else rest[p])
+        beside[x] = max(beside[p], second[p] if top[p] == x else largest[p])
+        if kind not in "NCE" or hard[x]:
             continue
-        scope = [x for x in around if marks[x][0] in "AM"][-1:]
-        articles = [x for x, (k, _) in enumerate(marks) if k in "AM" and x not in around and size[x] and not hard[x]]
-        mine = [x for x in articles if w in marks[x][1]]
-        if articles and not mine:
+        articles = count[n] - around[p]
+        if articles and not count[x]:
             continue
-        rest = sum(n for n, open_ in sizes if w not in open_ and all(x in open_ for x in scope)
-                   and not any(marks[x][0] in "HNC" and x not in around for x in open_))
-        large = size[w] > rest and (not articles or max(size[x] for x in mine) == max(size[x] for x in articles))
-        if any(marks[x][0] == "M" for x in mine) or large and (articles or kind == "N") \
-                or kind == "N" and not scope and len(articles) == 1:
-            out.add(w)
+        large = size[x] > rest[p] and (not articles or largest[x] >= beside[x])
+        if main[x] or large and (articles or kind == "N") or kind in "NE" and not scope[p] and articles == 1:
+            out.add(x)
     return out
 
 
 def blocks(html: str) -> list[tuple[str, int]]:
     """(text, zone) of each block in page order: zone 2 main text, 1 other
-    text, 0 boilerplate by its element, role or name."""
-    out: list[tuple[str, tuple[int, ...]]] = []
+    text, 0 boilerplate by its element, role or name.  The time grows with the
+    length of the page, not with the depth of its elements."""
+    out: list[tuple[str, int]] = []
     open_: list[str] = []
-    # elements that decide zones: H boilerplate by element or hidden, N and C by name, A article, M main
-    marks: list[tuple[str, tuple[int, ...]]] = []
+    places: dict[str, list[int]] = {}  # depths of the open elements by name
+    nested: list[int] = []  # depths of the open block elements
+    # elements that decide zones: H boilerplate by element or hidden, E by element, N and C by name, A article, M main
+    kinds: list[str] = []
+    parents: list[int] = []
     stack: list[tuple[int, int]] = []  # (depth, mark) of the open ones
     text: list[str] = []
 
@@ -147,24 +177,28 @@ def blocks(html: str) -> list[tuple[str, int]]:
         if text:
             s = " ".join("".join(text).split())
             if s:
-                out.append((s, tuple(x for _, x in stack)))
+                out.append((s, stack[-1][1] if stack else -1))
             text.clear()
 
     def mark(kind: str) -> None:
         end_block()
-        marks.append((kind, tuple(x for _, x in stack)))
-        stack.append((len(open_), len(marks) - 1))
+        parents.append(stack[-1][1] if stack else -1)
+        kinds.append(kind)
+        stack.append((len(open_), len(kinds) - 1))
 
     def close(depth: int) -> None:
         if stack and stack[-1][0] >= depth:
             end_block()
             while stack and stack[-1][0] >= depth:
                 stack.pop()
-        del open_[depth - 1:]
+        while len(open_) >= depth:
+            places[open_.pop()].pop()
+        while nested and nested[-1] >= depth:
+            nested.pop()
 
-    pos = 0
+    pos, last = 0, html.rfind(">") + 1
     while True:
-        m = _TAG.search(html, pos)
+        m = _TAG.search(html, pos, last)
         piece = html[pos: m.start() if m else len(html)]
         if piece:
             text.append(unescape(piece) if "&" in piece else piece)
@@ -172,15 +206,17 @@ def blocks(html: str) -> list[tuple[str, int]]:
             break
         pos = m.end()
         if m[2] is None:
+            if pos == last and m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break
             continue
         name = m[2].lower()
         if m[1]:
-            if name in open_:
+            if places.get(name):
                 if name in _BLOCK:
                     end_block()
                 elif name in _SPACED:
                     text.append(" ")
-                close(len(open_) - open_[::-1].index(name))
+                close(places[name][-1])
             continue
         if name in _RAW:
             end = re.compile(rf"</{name}\s*>", re.I).search(html, pos)
@@ -190,26 +226,36 @@ def blocks(html: str) -> list[tuple[str, int]]:
             text.append(" ")
         if name in _BLOCK:
             end_block()
-        if name == "p" and "p" in open_ or name == "li" and open_ and open_[-1] == "li":
-            depth = len(open_) - open_[::-1].index(name)
-            if not any(x in _BLOCK for x in open_[depth:]):
-                close(depth)
+            if name != "head" and places.get("head"):  # its end tag may be left out
+                close(places["head"][-1])
+        if places.get("p") and name == "p" and nested[-1] == places["p"][-1] or name == "li" and open_ and open_[-1] == "li":
+            close(places[name][-1])
         if name in _VOID or m[3].rstrip().endswith("/") and name not in _BLOCK:
             continue
         open_.append(name)
-        if name in _MAIN:
-            mark("M" if name == "main" else "A")
-        elif name in _OUT:
+        places.setdefault(name, []).append(len(open_))
+        if name in _BLOCK:
+            nested.append(len(open_))
+        attrs = _attributes(m[3]) if m[3] and name not in ("body", "html") else {}
+        if attrs and name not in _MAIN and _hidden(attrs) or name in _OUT or name == "label" and (places.get("form") or places.get("fieldset")):
             mark("H")
-        elif name not in ("body", "html") and m[3]:
-            attrs = _attributes(m[3])
-            kind = "H" if _hidden(attrs) else _named(name, attrs)
+        elif name in _MAIN:
+            mark("M" if name == "main" else "A")
+        elif name in _FORM:
+            mark("N")
+        elif name in _FRAME and not (name == "header" and (places.get("article") or places.get("main"))):
+            mark("E")
+        elif attrs:
+            kind = _named(name, attrs)
             if kind:
                 mark(kind)
     end_block()
-    spared = _spared(marks, [(len(b), x) for b, x in out])
-    drop = [k == "H" or k in "NC" and i not in spared for i, (k, _) in enumerate(marks)]
-    return [(b, 0 if any(drop[x] for x in at) else 2 if any(marks[x][0] in "AM" for x in at) else 1) for b, at in out]
+    spared = _spared(kinds, parents, [(len(b), x) for b, x in out])
+    drop, main = [False] * (len(kinds) + 1), [False] * (len(kinds) + 1)  # the last place is the page
+    for i, (k, p) in enumerate(zip(kinds, parents)):
+        drop[i] = drop[p] or k == "H" or k in "NCE" and i not in spared
+        main[i] = main[p] or k in "AM"
+    return [(b, 0 if drop[x] else 2 if main[x] else 1) for b, x in out]
 
 
 # ---------------------------------------------------------------- repeated runs

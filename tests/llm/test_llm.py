@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -452,3 +453,24 @@ def test_pipeline_stages(spark):
             assert j == i or n / len(s | sets[j]) < 0.95
     assert sum(1 for r in seen[3][1].collect() if r["doc_id"] in near) == seen[3][1].count()
     assert {r["doc_id"] for r in seen[4][1].collect()} == {r["doc_id"] for r in seen[3][1].collect()}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<form action=x><div>the long text of the page</div><label>l</label><input><button>go</button></form>", ["the long text of the page"]),
+    ("<form><article><p>text</p></article></form>", ["text"]), ("<noscript><article>text</article></noscript>", ["text"]),
+    ("<nav><a>menu</a><article>text of it</article>", ["text of it"]), ("<p>a <label>b</label> c</p>", ["a b c"]),
+    ("<article><header><h1>Title</h1></header><p>x</p></article><header>site</header>", ["Title", "x"]),
+    ("<head><meta charset=x><title>t</title><p>an unclosed head", ["an unclosed head"]),
+    ("<div>a</div><nav>a menu longer than the text</nav><aside>and a sidebar</aside>", ["a"])])
+def test_html_elements_that_hold_the_text(page, text):
+    got = html.blocks(page)
+    best = max(z for _, z in got)
+    assert [b for b, z in got if z == best] == text
+
+
+def test_html_deep_nesting_takes_linear_time():
+    start = time.monotonic()
+    for e in ("<div class='ad'>", "<div class='comments'>", "<form>", "<p>", "<section>"):
+        html.blocks(e * 10_000 + "text" + "</div>" * 10_000)
+    html.blocks("<div class='comment'>x</div>" * 10_000)
+    assert time.monotonic() - start < 10
