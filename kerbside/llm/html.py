@@ -3,30 +3,41 @@
 Each page is cut into blocks of text, in the tasks that read it: mark-up,
 scripts, forms, menus, headers, footers, sidebars, notices, adverts and
 reader comments are known by their elements, roles and class names; what
-stands in ``article`` or ``main`` is marked as main text.  A wrapper whose
-name sounds like boilerplate but that holds the page's content is none.  A page is a stream
-of tokens; a run of ``RUN`` tokens that repeats across distinct pages of its
-host, however many, and stands outside the main text of one of them is
-boilerplate there; the tokens it covers are removed outside main text, and the
-unique runs are the page's text.  They are removed from main text only if the
-run stands in the main text of distinct pages and still more pages have it
+stands in ``article`` or ``main`` is marked as main text, an article's own
+header with it.  A wrapper whose name sounds like boilerplate, a form or a
+menu that holds the page's content is none.
+
+A page is a stream of tokens.  The suffix array of a host has the suffixes of
+all of its streams in order; it is cut after ``RUN`` tokens, as longer repeats
+are chains of its intervals.  It is dealt by ranges of (host, suffix), so a
+host of any size is sorted by many tasks, and neighbours with ``RUN`` tokens
+in common form an interval: a run and the pages that have it.  A run on
+distinct pages of its host that stands outside the main text of one of them
+is boilerplate there; the tokens it covers are removed outside main text, and
+the unique runs are the page's text.  They are removed from main text only if
+the run stands in the main text of distinct pages and still more pages have it
 outside: an article that other pages quote keeps the passage.  A passage that
-repeats only inside the main text of pages is content.
-
-Runs are counted over whole hosts without gathering them.  Equal windows of
-``RUN`` tokens have equal anchors (the least hash of their runs of ``ANCHOR``
-tokens), about one in eight tokens is one: those on several pages are found
-first and kept as a bit map, then only windows with such an anchor are
-counted, by their hash and host.  The map may hold too much, never too
-little, so it does not change the result.  The texts are dealt into chunks of
-some MB of a host, and each chunk gets the boilerplate windows that it has:
-how a host is dealt does not change the result either.
+repeats only inside the main text of pages is content.  An article under a
+few addresses is content, too: on a page without main text, runs of fewer
+than ``SPREAD`` classes of pages (64 by page digest) stay if they cover
+``LONG`` tokens or more and most of what the wide-spread runs leave.
+
+Only suffixes that can have an equal one are sorted.  Equal runs have equal
+anchors (the least hash of their pieces of ``ANCHOR`` tokens), about one in
+eight tokens is one: those on several pages are found first and kept as a bit
+map, which may hold too much, never too little, so it does not change the
+result; suffixes are compared as text.  The texts are dealt into chunks of some
+MB of a host, a suffix is told once per chunk and batch with the pages that
+have it, and each chunk gets its boilerplate runs: how a host is dealt does not
+change the result either.
 
 Defined results: a NULL or empty html has an empty text; a page without main
 text gives its other blocks less the boilerplate; pages with equal streams
-count as one page for repetition, so copies are kept; repeated rows are kept;
-a NULL url is a host of its own; an empty table gives no rows; extra columns
-are ignored.
+count as one page for repetition, so copies are kept; a stream shorter than
+``RUN`` has no run; words of more than 32 characters are compared by a 128-bit
+digest; very long texts and elements nested in thousands are read whole;
+repeated rows are kept; a NULL url is a host of its own; an empty table gives
+no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +56,10 @@ from kerbside.llm.common import _ODD, SPACE, mix64, small_batches, text_slices,
 
 #: Tokens of a repeated run at least; bytes of html of one chunk of a host.
 RUN, CHUNK_BYTES = 20, 1 << 20
+#: Runs on fewer classes of pages, of 64, are no boilerplate if they cover so many tokens and most of a page.
+SPREAD, LONG = 10, 100
+#: Shares of a host's chunks that tell a suffix on their own before it is sorted.
+SHARES = 256
 #: Tokens of an anchor; bits of the map of anchors at most, and of one page of it.
 ANCHOR, MAX_BITS, PAGE_BITS = 6, 1 << 29, 1 << 18
 
@@ -351,9 +366,16 @@ def _anchors(run: int):
     return emit
 
 
-def _repeats(run: int, bits, shift: int):
-    """Windows whose anchor may be repeated: (key, part, least and greatest digest, the same
-    of the pages with it inside main text, pages with it outside and inside), once a batch."""
+def _tokens(flat: list[str]) -> list[str]:
+    """The words of some blocks as they are compared: long ones by their digest."""
+    return [w if len(w) <= 32 else "\x01" + hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+            for b in flat for w in b.split()]
+
+
+def _suffixes(run: int, bits, shift: int):
+    """Suffixes whose anchor may be repeated, in order, cut after ``run`` tokens: (host_key,
+    suffix, key, part, least and greatest digest, the same of the pages with it inside main
+    text, classes of pages, pages with it outside and inside), once a batch and part."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(bits.value, np.uint8)
         for b in batches:
@@ -362,29 +384,64 @@ def _repeats(run: int, bits, shift: int):
             r, digest = Runs(pages, zones, hosts, run), _digests(pages)
             place = r.anchors() >> np.uint64(shift)
             hit = (seen[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            key, page, main = r.keys()[hit], r.page[hit], r.main[hit]
-            o = np.lexsort((main, page, part[page], key))
-            key, page, main = key[o], page[o], main[o]
+            key, page, main, at = r.keys()[hit], r.page[hit], r.main[hit], r.at[hit]
+            words = _tokens(r.flat) if len(at) else []
+            suffix = np.array([" ".join(words[i: i + run]) for i in at.tolist()], object)
+            rank = np.unique(suffix, return_inverse=True)[1] if len(at) else np.zeros(0, np.int64)
+            o = np.lexsort((main, page, part[page], rank, hosts[page]))
+            key, page, main, suffix, rank = key[o], page[o], main[o], suffix[o], rank[o]
             new = np.ones(len(key), bool)  # once a page and side
-            new[1:] = (key[1:] != key[:-1]) | (page[1:] != page[:-1]) | (main[1:] != main[:-1])
-            key, page, main = key[new], page[new], main[new]
-            p, d = part[page], digest[page]
+            new[1:] = (rank[1:] != rank[:-1]) | (page[1:] != page[:-1]) | (main[1:] != main[:-1])
+            key, page, main, suffix, rank = key[new], page[new], main[new], suffix[new], rank[new]
+            p, d, h = part[page], digest[page], hosts[page].view(np.int64)
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (p[1:] != p[:-1])
-            at = np.flatnonzero(new)
+            new[1:] = (rank[1:] != rank[:-1]) | (p[1:] != p[:-1]) | (h[1:] != h[:-1])
+            first = np.flatnonzero(new)
             big = np.iinfo(np.int64)
-            least = lambda x: np.minimum.reduceat(x, at) if len(at) else x
-            most = lambda x: np.maximum.reduceat(x, at) if len(at) else x
-            total = lambda x: np.add.reduceat(x.astype(np.int64), at) if len(at) else x.astype(np.int64)
+            over = lambda f, x: f.reduceat(x, first) if len(first) else x
+            kind = np.left_shift(np.int64(1), d & 63)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key[at].view(np.int64), p[at], least(d), most(d), least(np.where(main, d, big.max)),
-                                       most(np.where(main, d, big.min)), total(~main), total(main))], names=_REPEAT)
+                [pa.array(h[first]), pa.array(suffix[first].tolist(), pa.string()), pa.array(key[first].view(np.int64)), pa.array(p[first]),
+                 pa.array(over(np.minimum, d)), pa.array(over(np.maximum, d)), pa.array(over(np.minimum, np.where(main, d, big.max))),
+                 pa.array(over(np.maximum, np.where(main, d, big.min))), pa.array(over(np.bitwise_or, kind)),
+                 pa.array(over(np.add, (~main).astype(np.int64))), pa.array(over(np.add, main.astype(np.int64)))],
+                names=["host_key", "suffix", "key", "part", *_SUMS])
     return emit
 
 
-#: Boilerplate goes from main text, too, if it repeats there and most pages have it outside.
-INSIDE = "main_lo < main_hi AND n_out > n_main"
-_REPEAT = ["key", "part", "lo", "hi", "main_lo", "main_hi", "n_out", "n_main"]
+def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Walk over a range of the suffix array: neighbours that agree in the whole cut suffix
+    are one interval; those that are boilerplate are told.  Holds one interval at a time."""
+    def verdict(h: int, suffix: str, v: list[int]) -> tuple | None:
+        lo, hi, main_lo, main_hi, classes, n_out, n_main = v
+        if lo < hi and n_out > 0:
+            return h, suffix, main_lo < main_hi and n_out > n_main, (classes & (1 << 64) - 1).bit_count() < SPREAD
+        return None
+
+    fold = (min, max, min, max, int.__or__, int.__add__, int.__add__)
+    last, now = None, []
+    for b in batches:
+        out = []
+        cols = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("host_key", "suffix", *_SUMS)]
+        for h, suffix, *v in zip(*cols):
+            if last == (h, suffix):
+                now = [f(x, y) for f, x, y in zip(fold, now, v)]
+                continue
+            if last and (t := verdict(*last, now)):
+                out.append(t)
+            last, now = (h, suffix), v
+        if out:
+            yield _bad_runs(out)
+    if last and (t := verdict(*last, now)):
+        yield _bad_runs([t])
+
+
+def _bad_runs(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.string(), pa.bool_(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=["host_key", "suffix", "inside", "few"])
+
+
+_SUMS = ["lo", "hi", "main_lo", "main_hi", "classes", "n_out", "n_main"]
 
 
 def _bits(pages: pa.Table) -> pa.Table:
@@ -402,14 +459,23 @@ def _texts(run: int):
         lost: dict[int, list[int]] = {}
         if bad.num_rows and pages:
             r = Runs(pages, zones, t.column("host_key").to_numpy().astype(np.int64).view(np.uint64), run)
-            key = bad.column("key").to_numpy().astype(np.int64).view(np.uint64)
-            inside = key[bad.column("inside").to_numpy(zero_copy_only=False).astype(bool)]
-            mine = r.keys()
-            starts = r.at[np.where(r.main, np.isin(mine, inside), np.isin(mine, key))]
-            edge = np.zeros(len(r.block) + 1, np.int64)
-            np.add.at(edge, starts, 1)
-            np.add.at(edge, starts + run, -1)
-            for w in np.flatnonzero(np.cumsum(edge[:-1]) > 0).tolist():
+            runs = {(h, x): (i, f) for h, x, i, f in zip(*(bad.column(c).to_pylist() for c in ("host_key", "suffix", "inside", "few")))}
+            words, hosts = _tokens(r.flat), t.column("host_key").to_pylist()
+            wide, few = np.zeros(len(words) + 1, np.int64), np.zeros(len(words) + 1, np.int64)
+            for j in np.flatnonzero(np.isin(r.keys(), bad.column("key").to_numpy().astype(np.int64).view(np.uint64))).tolist():
+                i = int(r.at[j])
+                got = runs.get((hosts[r.page[j]], " ".join(words[i: i + run])))
+                if got and (got[0] or not r.main[j]):
+                    edge = few if got[1] else wide
+                    edge[i] += 1
+                    edge[i + run] -= 1
+            wide, few = np.cumsum(wide[:-1]) > 0, np.cumsum(few[:-1]) > 0
+            few &= ~wide
+            page = r.of_page[r.block]
+            main = np.array([2 in z for z in zones], bool)
+            n_few, left = np.bincount(page[few], minlength=len(pages)), np.bincount(page[~wide], minlength=len(pages))
+            article = ~main & (n_few >= LONG) & (2 * n_few > left)
+            for w in np.flatnonzero(wide | few & ~article[page]).tolist():
                 lost.setdefault(int(r.block[w]), []).append(w)
             first = np.searchsorted(r.block, np.arange(len(r.flat) + 1))
         out, k = [], 0
@@ -444,8 +510,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_runs(p: DataFrame, run: int = RUN) -> DataFrame:
-    """(part, key, inside): of every part the windows that are boilerplate on their
-    host; ``inside``: also where they stand in main text."""
+    """(part, host_key, key, suffix, inside, few): of every part the runs that are boilerplate on
+    their host; ``inside``: also where they stand in main text; ``few``: on few classes of pages."""
     # Anchors on several pages, one of them outside main text: a superset of the anchors of
     # boilerplate.  The bit map only spares windows; what is decided comes from their counts.
     anchors = written(p.select("host_key", "html").mapInArrow(_anchors(run), "anchor long, digest long, outside boolean")
@@ -459,13 +525,15 @@ def repeated_runs(p: DataFrame, run: int = RUN) -> DataFrame:
             .groupBy("page").applyInArrow(_bits, "page long, bits binary").collect():
         bits[r["page"] * PAGE_BITS // 8: (r["page"] + 1) * PAGE_BITS // 8] = r["bits"]
     shared = p.sparkSession.sparkContext.broadcast(bytes(bits))
-    sums = [F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.min("main_lo").alias("main_lo"), F.max("main_hi").alias("main_hi"),
-            F.sum("n_out").alias("n_out"), F.sum("n_main").alias("n_main")]
-    found = written(p.select("host_key", "part", "html")
-                    .mapInArrow(_repeats(run, shared, 64 - log), ", ".join(f"{c} long" for c in _REPEAT))
-                    .groupBy("key", "part").agg(*sums), "repeats")
-    bad = written(found.groupBy("key").agg(*sums).where("lo < hi AND n_out > 0").select("key", F.expr(INSIDE).alias("inside")), "boilerplate")
-    return found.select("key", "part").join(bad, "key").select("part", "key", "inside")
+    found = written(p.select("host_key", "part", "html").mapInArrow(
+        _suffixes(run, shared, 64 - log), "host_key long, suffix string, key long, part long, " + ", ".join(f"{c} long" for c in _SUMS)), "suffixes")
+    # a run of a third of all pages is told by SHARES rows at most when it is sorted
+    each = found.groupBy("host_key", "suffix", F.pmod("part", F.lit(SHARES)).alias("share")).agg(
+        *[{"lo": F.min, "hi": F.max, "main_lo": F.min, "main_hi": F.max, "classes": F.bit_or}.get(c, F.sum)(c).alias(c) for c in _SUMS])
+    bad = written(each.drop("share").repartitionByRange("host_key", "suffix").sortWithinPartitions("host_key", "suffix")
+                  .mapInArrow(_intervals, "host_key long, suffix string, inside boolean, few boolean"), "boilerplate")
+    return found.select("host_key", "suffix", "key", "part").join(bad, ["host_key", "suffix"]) \
+        .select("part", "host_key", "key", "suffix", "inside", "few")
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", run: int = RUN,

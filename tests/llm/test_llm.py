@@ -474,3 +474,17 @@ def test_html_deep_nesting_takes_linear_time():
         html.blocks(e * 10_000 + "text" + "</div>" * 10_000)
     html.blocks("<div class='comment'>x</div>" * 10_000)
     assert time.monotonic() - start < 10
+
+
+def test_html_article_under_two_addresses(spark):
+    """An article without an element of its own under two addresses stays; a wide-spread footer goes, long words too."""
+    article, blob = " ".join(words(200, 31)), "x" * 5000
+    footer = " ".join(words(30, 32)) + f" {blob} " + " ".join(words(30, 33))
+    page = lambda i, x: (i, f"http://two.example/{i}", f"<body>{x}<div>{footer}</div></body>")
+    rows = [page(k, f"<div>{article}</div><p>{' '.join(words(40, 50 + k))}</p>") for k in range(2)]
+    rows += [page(10 + k, f"<p>{' '.join(words(20, 200 + k))}</p>") for k in range(60)]
+    for chunk in (1 << 20, 300):
+        docs = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+        got = {x["page_id"]: x["text"] for x in html.extract(docs, chunk_bytes=chunk).collect()}
+        assert got[0] == article + "\n\n" + " ".join(words(40, 50)) and got[1].startswith(article)
+        assert all(got[10 + k] == " ".join(words(20, 200 + k)) for k in range(60))
