@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -16,6 +17,8 @@ from kerbside.session import checkpoint_dir
 BATCH_ROWS = 500
 #: Bytes of text that a task hashes at a time.
 SLICE_BYTES = 2 << 20
+#: Runs of more bytes are hashed by a digest: sums of powers modulo 2^64 let crafted long texts collide.
+LONG_RUN = 128
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -117,7 +120,11 @@ class Texts:
         if self._cum is None:
             self._cum = np.zeros(len(self.buf) + 1, np.uint64)
             np.cumsum((self.buf.astype(np.uint64) + np.uint64(1)) * pw[: len(self.buf)], out=self._cum[1:])
-        return mix64((self._cum[e] - self._cum[s]) * inv[s] + (e - s).astype(np.uint64) * _ODD)
+        out = mix64((self._cum[e] - self._cum[s]) * inv[s] + (e - s).astype(np.uint64) * _ODD)
+        data = memoryview(np.ascontiguousarray(self.buf))
+        for i in np.flatnonzero(e - s > LONG_RUN).tolist():
+            out[i] = int.from_bytes(hashlib.blake2b(data[s[i]: e[i]], digest_size=8).digest(), "little")
+        return out
 
     def sums(self, mask: np.ndarray) -> np.ndarray:
         """Count of true bytes of each text."""

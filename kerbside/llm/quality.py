@@ -1,16 +1,21 @@
 """Quality rules as a bitmask ledger.
 
 Every rule is evaluated once per document.  The ledger keeps, per document,
-the measurements and one integer whose bit *b* says that rule *b* failed.
-A *policy* is a versioned mask: a document is kept under it iff
-``failed & mask = 0``.  Because the ledger holds all bits, a new policy, or
-the effect of dropping one rule from it (an ablation), is a bitwise
-expression over the ledger -- the texts are not read again.
+the measurements and one integer whose bit *b* says that rule *b* failed; it is
+written to the shared folder.  A *policy* is a versioned mask: a document is
+kept under it iff ``failed & mask = 0``.  Because the stored ledger holds all
+bits, a new policy, or the effect of dropping one rule from it (an ablation),
+is a bitwise expression over it -- the texts are not read again.
+
+:func:`judged` stores the ledger beside its documents, so that a policy takes
+effect as a filter on the stored bits: no join moves a text, and rows with
+equal or NULL ids are each judged by their own text.
 
 Defined results: a NULL or empty text has no words and fails ``few_words``;
-repeated rows get equal ledger rows; an empty table gives an empty ledger;
-extra columns are carried only by :func:`apply_policy`, which adds columns
-under names that no input column has.
+very long texts are measured whole; repeated rows get equal ledger rows; an
+empty table gives an empty ledger; ids are whole numbers (a text id that is
+none is an error); :func:`ledger` ignores extra columns, :func:`judged` and
+:func:`apply_policy` keep them, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,19 +26,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kerbside.llm.common import SPACE, byte_set, mix64, small_batches, text_slices
+from kerbside.llm.common import SPACE, byte_set, mix64, small_batches, text_slices, written
 
 #: Rule names by bit.
-RULES = ("few_words", "repeated_trigrams", "symbol_heavy", "repeated_lines", "odd_word_length", "few_letters")
+RULES = ("few_words", "repeated_trigrams", "symbol_heavy", "repeated_lines", "odd_word_length", "few_letters",
+         "bullet_lines", "cut_lines")
 #: Policies by version: names of the rules that reject a document.
 POLICIES = {
     "base": ("few_words", "repeated_trigrams"),
     "v1": ("few_words", "repeated_trigrams", "symbol_heavy", "repeated_lines", "odd_word_length", "few_letters"),
+    "v2": RULES,
 }
 CURRENT = "v1"
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_letters",
+            "n_bullet_lines", "n_cut_lines")
 LEDGER = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES) + ", failed int"
 
 _SYMBOL = byte_set(b"#*$%&|<>")
@@ -52,6 +61,18 @@ def _distinct(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return cnt[inv], first
 
 
+def _first(buf: np.ndarray, at: np.ndarray, marks: tuple[bytes, ...]) -> np.ndarray:
+    """Whether one of the marks stands at each place."""
+    out = np.zeros(len(at), bool)
+    padded = np.concatenate([buf, np.zeros(3, np.uint8)])
+    for m in marks:
+        hit = np.ones(len(at), bool)
+        for k, c in enumerate(m):
+            hit &= padded[at + k] == c
+        out |= hit
+    return out
+
+
 def measure(t) -> dict[str, np.ndarray]:
     """Measurements of some texts (:class:`kerbside.llm.common.Texts`)."""
     inside = ~SPACE[t.buf]
@@ -63,6 +84,10 @@ def measure(t) -> dict[str, np.ndarray]:
     has = np.searchsorted(s, le) > np.searchsorted(s, ls)
     ld, ls, le = ld[has], ls[has], le[has]
     n_lines = np.bincount(ld, minlength=t.n)
+    # lines that begin with a bullet, lines that end in an ellipsis
+    bullet = _first(t.buf, s[np.searchsorted(s, ls)], (b"-", b"*", "\u2022".encode()))
+    end = e[np.searchsorted(s, le) - 1]
+    cut = _first(t.buf, end - 3, (b"...", "\u2026".encode())) & (end - 3 >= ls)
     _, first = _distinct(ld, t.hashes(ls, le))
     n_dup = n_lines - np.bincount(ld[first], minlength=t.n)
     # words inside a 3-word window that the text holds at least twice
@@ -78,7 +103,8 @@ def measure(t) -> dict[str, np.ndarray]:
     return {
         "n_words": n_words, "word_chars": t.sums(inside & lead), "n_symbols": t.sums(_SYMBOL[t.buf]),
         "n_dup_lines": n_dup, "n_repeat_words": np.bincount(doc[rep], minlength=t.n), "n_lines": n_lines,
-        "n_letters": t.sums(_LETTER[t.buf]),
+        "n_letters": t.sums(_LETTER[t.buf]), "n_bullet_lines": np.bincount(ld[bullet], minlength=t.n),
+        "n_cut_lines": np.bincount(ld[cut], minlength=t.n),
     }
 
 
@@ -92,6 +118,8 @@ def failures(m: dict[str, np.ndarray]) -> np.ndarray:
         "repeated_lines": (m["n_dup_lines"] >= 3) & (10 * m["n_dup_lines"] > 3 * m["n_lines"]),
         "odd_word_length": some & ((m["word_chars"] < 2 * words) | (m["word_chars"] > 25 * words)),
         "few_letters": some & (2 * m["n_letters"] < m["word_chars"]),
+        "bullet_lines": some & (10 * m["n_bullet_lines"] > 9 * m["n_lines"]),
+        "cut_lines": some & (10 * m["n_cut_lines"] > 3 * m["n_lines"]),
     }
     return sum(fails[r].astype(np.int32) << b for b, r in enumerate(RULES))
 
@@ -107,10 +135,10 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ledger(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: ``doc_id``, the measurements, ``failed`` (rule bits)."""
+    """The stored ledger, one row per document: ``doc_id``, the measurements, ``failed`` (rule bits)."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")) \
-        .mapInArrow(_rows, LEDGER)
+    return written(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+                   .mapInArrow(_rows, LEDGER), "quality-ledger")
 
 
 def kept(policy: str = CURRENT, failed: str = "failed"):
@@ -136,24 +164,29 @@ def ablations(led: DataFrame, policies: dict[str, tuple[str, ...]] | None = None
     return one.select(F.explode("x").alias("x")).select("x.*")
 
 
-_KEEP = "kept_by_policy"
+#: Name of the stored ledger's column beside the documents' own.
+_OF = "__ledger"
 
 
-def _keep_rows(policy: str, at: int):
-    m = mask(POLICIES[policy])
+def judged(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the column ``__ledger`` (measurements and ``failed``), stored: each text is
+    read once.  The documents' columns are numbered there, so that no name clashes."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index(text)
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    kind = T.StructType([*(T.StructField(m, T.LongType()) for m in MEASURES), T.StructField("failed", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, t in text_slices(b.column(at)):
-                ok = (failures(measure(t)) & m) == 0
-                part = b.slice(i, j - i).filter(pa.array(ok))
-                if part.num_rows:
-                    yield part
-    return run
+                m = measure(t)
+                led = pa.StructArray.from_arrays(
+                    [*(pa.array(m[k], pa.int64()) for k in MEASURES), pa.array(failures(m), pa.int32())], names=[*MEASURES, "failed"])
+                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, led], names=[*b.schema.names, _OF])
+
+    return written(numbered.mapInArrow(run, T.StructType([*numbered.schema.fields, T.StructField(_OF, kind)])), "judged-documents")
 
 
 def apply_policy(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all columns as they are) that the policy keeps.
-    Row-local: rows with equal or NULL ids are each judged by their own text."""
-    small_batches(docs.sparkSession)
-    return docs.mapInArrow(_keep_rows(policy, docs.columns.index(text)), docs.schema)
+    """The rows of ``docs`` (all columns as they are) that the policy keeps by the stored bits."""
+    return judged(docs, text).where(kept(policy, f"{_OF}.failed")).drop(_OF).toDF(*docs.columns)

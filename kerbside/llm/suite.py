@@ -105,7 +105,9 @@ rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
         FROM (SELECT doc_id, unnest([s, s + 1, s + 2]) AS p
               FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri) WHERE c > 1) GROUP BY doc_id),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
-dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+dup AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
+               count(*) FILTER (WHERE regexp_matches(line, '^[\x20\x09-\x0D]*[-*\x{2022}]')) AS n_bullet,
+               count(*) FILTER (WHERE regexp_matches(line, '(\.\.\.|\x{2026})[\x20\x09-\x0D]*$')) AS n_cut
         FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 m AS (
   SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words,
@@ -113,19 +115,25 @@ m AS (
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
          coalesce(n_lines, 0) AS n_lines,
-         length(regexp_replace(text, '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) AS n_letters
+         length(regexp_replace(text, '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) AS n_letters,
+         coalesce(n_bullet, 0) AS n_bullet, coalesce(n_cut, 0) AS n_cut
   FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN dup USING (doc_id)),
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR 4 * n_symbols > n_words OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)
             OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words))
-            OR (n_words > 0 AND 2 * n_letters < word_chars)) AS kept
+            OR (n_words > 0 AND 2 * n_letters < word_chars)) AS kept,
+       CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (4 * n_symbols > n_words)::INT
+            + 8 * (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines)::INT
+            + 16 * (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 25 * n_words))::INT
+            + 32 * (n_words > 0 AND 2 * n_letters < word_chars)::INT + 64 * (n_words > 0 AND 10 * n_bullet > 9 * n_lines)::INT
+            + 128 * (n_words > 0 AND 10 * n_cut > 3 * n_lines)::INT AS INT) AS failed
 FROM f
 """)
 def op8(spark: SparkSession, base: str) -> DataFrame:
     led = quality.ledger(table(spark, base, "documents"))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                      (~quality.kept("base")).alias("base_failed"), quality.kept().alias("kept"))
+                      (~quality.kept("base")).alias("base_failed"), quality.kept().alias("kept"), "failed")
 
 
 @query("op9_chat", r"""

@@ -488,3 +488,28 @@ def test_html_article_under_two_addresses(spark):
         got = {x["page_id"]: x["text"] for x in html.extract(docs, chunk_bytes=chunk).collect()}
         assert got[0] == article + "\n\n" + " ".join(words(40, 50)) and got[1].startswith(article)
         assert all(got[10 + k] == " ".join(words(20, 200 + k)) for k in range(60))
+
+
+def test_quality_ledger_policies_and_ablations(spark):
+    """Stored bits decide: policies and ablations against a plain count, crafted lines are told apart, clashing names stay."""
+    letters = lambda n, seed: [w.translate(str.maketrans("0123456789", "abcdefghij")) for w in words(n, seed)]
+    flat = "\n".join(" ".join(letters(12, k)) for k in range(6))
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    rows = [(1, flat), (1, flat), (2, "few words"), (None, None), (3, "\n".join("- " + " ".join(letters(9, 50 + k)) for k in range(8))),
+            (4, "\n".join(" ".join(letters(12, 70 + k)) + ("..." if k % 2 else " …\t") for k in range(6))),
+            (5, flat + "\n" + morse + "\n" + morse.translate(str.maketrans("ab", "ba")) + "\n" + flat.replace("w", "v")), (6, flat + "\n# % $ * & | < >" * 9)]
+    docs = spark.createDataFrame([(i, t, "x", t) for i, t in rows], "doc_id long, text string, failed string, __ledger string").repartition(3)
+    led = quality.ledger(docs)
+    assert "MapInArrow" not in led._jdf.queryExecution().toString()  # read from the stored table
+    bits = sorted((r["doc_id"] or 0, r["failed"]) for r in led.collect())
+    bit = {r: 1 << i for i, r in enumerate(quality.RULES)}
+    assert bits == [(0, 1), (1, 0), (1, 0), (2, 1), (3, bit["bullet_lines"]), (4, bit["cut_lines"]), (5, 0), (6, bit["symbol_heavy"] | bit["repeated_lines"])]
+    assert [r["n_dup_lines"] for r in led.where("doc_id = 5").collect()] == [0]
+    for name, rules in quality.POLICIES.items():
+        m = sum(bit[r] for r in rules)
+        out = quality.apply_policy(docs, name)
+        assert out.columns == docs.columns
+        assert sorted(r[0] or 0 for r in out.collect()) == sorted(i for i, b in bits if not b & m)
+        for r in quality.ablations(led, {name: rules}).collect():
+            assert r["n_failed"] == sum(1 for _, b in bits if b & bit[r["rule"]])
+            assert r["n_only"] == sum(1 for _, b in bits if b & m == bit[r["rule"]])
