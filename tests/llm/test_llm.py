@@ -503,7 +503,7 @@ def test_quality_ledger_policies_and_ablations(spark):
     assert "MapInArrow" not in led._jdf.queryExecution().toString()  # read from the stored table
     bits = sorted((r["doc_id"] or 0, r["failed"]) for r in led.collect())
     bit = {r: 1 << i for i, r in enumerate(quality.RULES)}
-    assert bits == [(0, 1), (1, 0), (1, 0), (2, 1), (3, bit["bullet_lines"]), (4, bit["cut_lines"]), (5, 0), (6, bit["symbol_heavy"] | bit["repeated_lines"])]
+    assert bits == [(0, 1), (1, 0), (1, 0), (2, 1), (3, bit["bullet_lines"]), (4, bit["cut_lines"]), (5, bit["odd_word_length"]), (6, bit["symbol_heavy"] | bit["repeated_lines"])]
     assert [r["n_dup_lines"] for r in led.where("doc_id = 5").collect()] == [0]
     for name, rules in quality.POLICIES.items():
         m = sum(bit[r] for r in rules)
