@@ -137,6 +137,69 @@ def build_visit_fact(visits: DataFrame, permits: DataFrame, sites_tz: DataFrame,
     return out.withColumn("stay_minutes", F.round(elapsed("second", "entry_time", "exit_time") / 60, 1))
 
 
+def visit_fact_with_sites(visits: DataFrame, permits: DataFrame, sites: DataFrame, attrs: Mapping[str, tuple[str, str]], since=None) -> DataFrame:
+    """The visit fact with site name and zone, vehicle attributes and local update time, one row per distinct visit.
+
+    ``sites`` is the site dimension with zones, joined on organisation and group: a site of two parents gives
+    two rows, a visit without a site keeps NULLs (its local times, too, as the zone comes from the site).
+    ``attrs`` maps each output name to (in-column, out-column); a blank is a value.  Visits that agree in site,
+    plate, attributes and times are one whatever their ids, as the script's DISTINCT runs without the id.
+    """
+    if since is not None:
+        visits = visits.where(F.col("arrival") >= F.lit(since).cast("timestamp_ntz"))
+    second = lambda c: F.date_trunc("second", c).cast("timestamp_ntz").alias(c)
+    v = latest_visits(visits, earliest=True).select(
+        "ors_id", F.coalesce("in_plate", "out_plate").alias("plate"), *[F.coalesce(i, o).alias(n) for n, (i, o) in attrs.items()],
+        second("arrival"), second("departure"), second("updated")).distinct()
+    p = normalise_permits(permits).select(F.concat("org", F.lit("#"), "region", F.lit("#"), "site").alias("ors_id"), "plate",
+                                          "valid_from", "valid_to")
+    # the flag is a property of (site, plate, arrival), so only these travel to the permits and back
+    entry = ["ors_id", "plate", "arrival"]
+    e = v.select(*entry).where(F.col("ors_id").isNotNull() & F.col("plate").isNotNull()).distinct()
+    hits = e.join(p, (e.ors_id == p.ors_id) & (e.plate == p.plate) & e.arrival.between(p.valid_from, p.valid_to), "left_semi")
+    v = v.join(hits.withColumn("__hit", F.lit(True)), entry, "left")
+    s = sites.select("organization", "parent", "group_id", F.col("name").alias("site_name"), "timezone")
+    v = v.withColumn("organization", key_part("ors_id", 0)).withColumn("group_id", key_part("ors_id", 2)).join(s, ["organization", "group_id"], "left")
+    local = lambda c: local_time(c, F.col("timezone"))
+    on_site = lambda c: F.when(F.col("site_name").isNotNull() | F.col("parent").isNotNull(), F.col(c)).alias(c)
+    out = v.select(on_site("organization"), "parent", on_site("group_id"), "site_name", "timezone", "plate", *attrs, local("arrival").alias("entry_time"),
+                   local("departure").alias("exit_time"), local("updated").alias("update_time"), F.lit(1).alias("visits"),
+                   F.coalesce("__hit", F.lit(False)).alias("is_whitelisted"))
+    return out.withColumn("stay_minutes", F.round(elapsed("second", "entry_time", "exit_time") / 60, 1))
+
+
+def hourly_visits(visits: DataFrame, sites: DataFrame, start, end, names=None) -> DataFrame:
+    """Visits that arrive on a local day in [start, end], each with its site, bay count, entry hour and whether it
+    counts as in and as out of that hour.
+
+    ``sites`` is the site dimension with zones and ``bays``, joined on organisation and group (inner); ``names``
+    keeps only sites of these names.  The newest revision *of those in the period* counts.  ``stay_clock`` is the
+    stay in whole minutes as a clock time on the first day of the period.  A visit counts as out in its entry
+    hour only, and one without a plate on that side never.
+    """
+    from kerbside.functions.timefn import between_local_days
+    s = sites.select("organization", "group_id", F.col("name").alias("site_name"), "bays", "timezone").distinct()
+    if names is not None:
+        s = s.where(F.col("site_name").isin(list(names)))
+    # the coarse bound on the stored column reaches the scan, the exact test follows the join
+    d0, d1 = (dt.datetime.combine(parse_day(x), dt.time()) for x in (start, end))
+    bound = lambda x: F.lit(x).cast("timestamp_ntz")
+    v = visits.where((F.col("arrival") >= bound(d0 - dt.timedelta(days=1))) & (F.col("arrival") < bound(d1 + dt.timedelta(days=2))))
+    v = v.withColumn("organization", key_part("ors_id", 0)).withColumn("group_id", key_part("ors_id", 2)).join(s, ["organization", "group_id"])
+    v = v.where(between_local_days("arrival", F.col("timezone"), start, end))
+    v = W.latest_by_key(v, ["visit_id", "organization", "group_id", "site_name", "bays"], "updated", tiebreak="rev_id")
+    local = lambda c: local_time(c, F.col("timezone"))
+    v = v.select("organization", "group_id", "site_name", "bays", "in_plate", "out_plate", local("arrival").alias("arrival"),
+                 local("departure").alias("departure"), "updated")
+    hour = lambda c: F.date_trunc("hour", c).cast("timestamp_ntz")
+    stay = F.floor(elapsed("second", "arrival", "departure") / 60)
+    same = F.coalesce(hour("departure") == hour("arrival"), F.lit(False))
+    return v.select(
+        "*", hour("arrival").alias("hour"), (bound(d0) + F.make_dt_interval(mins=stay.cast("int"))).alias("stay_clock"),
+        F.col("in_plate").isNotNull().cast("long").alias("vehicles_in"),
+        (same & F.col("out_plate").isNotNull()).cast("long").alias("vehicles_out")).distinct()
+
+
 def refresh_visit_fact(path: str, visits: DataFrame, added: DataFrame, permits: DataFrame, sites_tz: DataFrame, since=None) -> list[str]:
     """Bring the visit fact kept by day at ``path`` up to date after the revisions ``added`` (part of ``visits``):
     only days that they touch are rebuilt, from all revisions of the visits that have one on such a day.

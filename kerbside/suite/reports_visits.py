@@ -297,3 +297,52 @@ def hourly_vehicle_counts(spark, base):
     )).alias("e")).select("ors_id", "hour", "e.kind", "e.plate").distinct()
     seen = lambda k: F.count_if((F.col("kind") == k) & F.col("plate").isNotNull())
     return ev.groupBy("ors_id", "hour").agg(seen("in").alias("vehicles_in"), seen("out").alias("vehicles_out"))
+
+
+ATTRS = {"colour": ("in_colour", "out_colour"), "make": ("in_make", "out_make")}
+
+
+@q("visit_fact_sites", """
+WITH v AS (SELECT * FROM visits WHERE action <> 'deleted' AND arrival >= TIMESTAMP '2024-01-03 00:00:00'
+           QUALIFY row_number() OVER (PARTITION BY visit_id ORDER BY updated, rev_id) = 1),
+m AS (SELECT DISTINCT ors_id, coalesce(in_plate, out_plate) AS plate, coalesce(in_colour, out_colour) AS colour, coalesce(in_make, out_make) AS make,
+             date_trunc('second', arrival) AS came, date_trunc('second', departure) AS went, date_trunc('second', updated) AS upd FROM v),
+p AS (SELECT DISTINCT m.*, e.permit_id IS NOT NULL AS is_whitelisted FROM m
+      LEFT JOIN exemptions e ON e.org || '#' || e.region || '#' || e.site = m.ors_id AND e.plate = m.plate
+       AND m.came >= date_trunc('second', CASE WHEN e.start_time < e.response_time THEN e.response_time ELSE e.start_time END)
+       AND (e.end_time IS NULL OR year(e.end_time) = 2099 OR m.came <= date_trunc('second', e.end_time))),
+j AS (SELECT p.*, s.organization, s.parent, s.group_id, s.name AS site_name, z.timezone FROM p
+      LEFT JOIN sites s ON s.organization = split_part(p.ors_id, '#', 1) AND s.group_id = split_part(p.ors_id, '#', 3)
+      LEFT JOIN org_timezone z ON z.org = s.organization),
+l AS (SELECT *, timezone(timezone, came AT TIME ZONE 'UTC') AS entry_time, timezone(timezone, went AT TIME ZONE 'UTC') AS exit_time,
+             timezone(timezone, upd AT TIME ZONE 'UTC') AS update_time FROM j)
+SELECT organization, parent, group_id, site_name, timezone, plate, colour, make, entry_time, exit_time, update_time, CAST(1 AS INT) AS visits,
+  is_whitelisted, round(date_diff('second', entry_time, exit_time) / 60, 1) AS stay_minutes
+FROM l""", ["visits", "exemptions", "org_timezone", "group_log", "sites"])
+def visit_fact_sites(spark, base):
+    from kerbside.plans.dimension import site_dimension
+    sites = site_dimension(D.group_log(spark, base), zones=D.org_timezone(spark))
+    return PV.visit_fact_with_sites(D.visits(spark, base), D.exemptions(spark, base), sites, ATTRS, since=dt.datetime(2024, 1, 3))
+
+
+@q("hourly_visit_rows", """
+WITH s AS (SELECT DISTINCT organization, group_id, name, length(name) * 3 AS bays FROM sites),
+n AS (SELECT v.*, s.organization, s.group_id, s.name AS site_name, s.bays, z.timezone,
+             timezone(z.timezone, arrival AT TIME ZONE 'UTC') AS came, timezone(z.timezone, departure AT TIME ZONE 'UTC') AS went
+      FROM visits v JOIN s ON s.organization = split_part(ors_id, '#', 1) AND s.group_id = split_part(ors_id, '#', 3)
+      LEFT JOIN org_timezone z ON z.org = s.organization),
+l AS (SELECT * FROM n WHERE CAST(came AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+      QUALIFY row_number() OVER (PARTITION BY visit_id, organization, group_id, site_name, bays ORDER BY updated DESC, rev_id DESC) = 1)
+SELECT DISTINCT organization, group_id, site_name, CAST(bays AS INT) AS bays, in_plate, out_plate, came AS arrival, went AS departure, updated,
+  date_trunc('hour', came) AS hour,
+  TIMESTAMP '2024-01-10 00:00:00' + to_minutes(CAST(floor(date_diff('second', date_trunc('second', came), date_trunc('second', went)) / 60) AS BIGINT)) AS stay_clock,
+  CAST(in_plate IS NOT NULL AS BIGINT) AS vehicles_in,
+  CAST(coalesce(date_trunc('hour', went) = date_trunc('hour', came), false) AND out_plate IS NOT NULL AS BIGINT) AS vehicles_out
+FROM l""", ["visits", "org_timezone", "group_log", "sites"])
+def hourly_visit_rows(spark, base):
+    """Rows of the hourly counts with site name and bay count, by local day of arrival."""
+    from kerbside.functions.values import json_text
+    from kerbside.plans.dimension import site_dimension
+    log = D.group_log(spark, base).withColumn("json", F.expr("concat('{\"metadata\": {\"bayCount\": \"', length(name) * 3, '\"}}')"))
+    sites = site_dimension(log, zones=D.org_timezone(spark), extra=("json",)).withColumn("bays", json_text("json", "$.metadata.bayCount").try_cast("int"))
+    return PV.hourly_visits(D.visits(spark, base), sites, "20240110", "20240120")

@@ -169,3 +169,40 @@ def test_period_visits_count_and_previous(spark):
     got = PV.period_visits(df, "day", "ts", {"now": (dt.date(2024, 1, 1), dt.date(2024, 3, 1))}, "site", "vehicle", "k").orderBy("k").collect()
     # rank over all sites, newest first, plus one if the site saw it within 30 days; the period's start is a border
     assert [(r.k, r.prev_ts, r.entry_count) for r in got] == [(1, None, 4), (2, t(2024, 1, 1), 4), (3, None, 2), (4, t(2024, 1, 20), 1)]
+
+
+VISITS = ("visit_id int, rev_id int, ors_id string, in_plate string, out_plate string, in_colour string, out_colour string, arrival timestamp_ntz, "
+          "departure timestamp_ntz, updated timestamp_ntz, action string")
+
+
+def test_visit_fact_with_sites(spark, log):
+    """Equal visits of different ids are one; a site of the registry gives name, zone and local times; others keep NULLs."""
+    at, zones = t(2024, 1, 5, 10), spark.createDataFrame([("o", "Europe/Berlin")], "org string, timezone string")
+    rows = [(i, i, "o#r#a", "P", None, None, "red", at, at + dt.timedelta(minutes=30), at, "upsert") for i in (1, 2)]
+    rows += [(3, 3, "o#r#a", "P", None, "blue", "red", at, None, at, "upsert"), (4, 4, "o#r#x", "Q", None, None, None, at, at, at, "upsert"),
+             (5, 5, "o#r#a", "R", None, None, None, at, at, at, "deleted"), (6, 6, None, None, None, None, None, at, at, at, "upsert")]
+    permits = spark.createDataFrame([("o", "r", "a", "P", t(2024, 1, 1), None, None)] * 3,
+                                    "org string, region string, site string, plate string, start_time timestamp_ntz, "
+                                    "response_time timestamp_ntz, end_time timestamp_ntz")
+    out = PV.visit_fact_with_sites(spark.createDataFrame(rows, VISITS), permits, site_dimension(log, zones=zones), {"colour": ("in_colour", "out_colour")})
+    got = sorted(map(tuple, out.select("site_name", "plate", "colour", "entry_time", "stay_minutes", "is_whitelisted", "visits").collect()), key=str)
+    here = t(2024, 1, 5, 11)
+    assert got == sorted([("New", "P", "red", here, 30.0, True, 1), ("New", "P", "blue", here, None, True, 1),
+                          (None, "Q", None, None, None, False, 1), (None, None, None, None, None, False, 1)], key=str)
+
+
+def test_hourly_visits(spark, log):
+    """Newest revision in the period by local day; out counts in the entry hour only; sites without a row or of other names go."""
+    zones = spark.createDataFrame([("o", "Europe/Berlin")], "org string, timezone string")
+    sites = site_dimension(log, zones=zones).withColumn("bays", F.lit(7))
+    late = t(2024, 1, 4, 23, 30)  # the 5th in Berlin
+    rows = [(1, 1, "o#r#a", "P", "P", None, None, late, late + dt.timedelta(minutes=20), late, "upsert"),
+            (1, 2, "o#r#a", "P", "P", None, None, t(2024, 1, 9), None, late + dt.timedelta(hours=1), "upsert"),  # newer, but outside
+            (2, 3, "o#r#a", "Q", "Q", None, None, t(2024, 1, 5, 10, 50), t(2024, 1, 5, 12, 1, 30), late, "upsert"),
+            (3, 4, "o#r#a", None, "S", None, None, t(2024, 1, 5, 9), None, late, "upsert"), (4, 5, "o#r#b", "T", "T", None, None, t(2024, 1, 5, 9), None, late, "upsert")]
+    v = spark.createDataFrame(rows, VISITS)
+    got = sorted(map(tuple, PV.hourly_visits(v, sites, "20240105", "20240105").select(
+        "site_name", "bays", "hour", "stay_clock", "vehicles_in", "vehicles_out").collect()), key=str)
+    assert got == sorted([("New", 7, t(2024, 1, 5), t(2024, 1, 5, 0, 20), 1, 1), ("New", 7, t(2024, 1, 5, 11), t(2024, 1, 5, 1, 11), 1, 0),
+                          ("New", 7, t(2024, 1, 5, 10), None, 0, 0)], key=str)
+    assert PV.hourly_visits(v, sites, "20240105", "20240105", names=["Other"]).count() == 0
