@@ -169,3 +169,27 @@ def image_gaps(reads: DataFrame, devices: DataFrame, sites: DataFrame, start, en
     g = W.sequence_gaps(r, "device_id", "seq", descending=True, name="difference")
     g = g.join(devices, "device_id")
     return with_site(g, sites, key_parts("group_ref"), how="inner").select("event_id", "device_id", "camera_name", "site_name", "seq", "day", "difference")
+
+
+def breach_states(facts: DataFrame, sites: DataFrame, zones: DataFrame, start, end, excluded=("breachError", "nip")) -> DataFrame:
+    """Breaches per (site, local offence day, state) of every current site, with code, status and the breach ids.
+
+    The newest fact of each ticket *among those whose local offence day is in [start, end]* counts; a closed one
+    with an ``excluded`` sub-state goes, and so does a closed one without a sub-state (the test is NULL there).
+    ``sites`` has site_ref, site_name, site_code, site_status; a site without a breach gives one row with 0.
+    Only facts of the sites are counted.  A day's ids of a site and state are one text.
+    """
+    from kerbside.operators.aggregates import collect_sorted_text
+    s, e = parse_day(start), parse_day(end)
+    bound = lambda d, n: F.lit(dt.datetime.combine(d + dt.timedelta(days=n), dt.time())).cast("timestamp_ntz")
+    near = facts.where((F.col("offense_time") >= bound(s, -1)) & (F.col("offense_time") < bound(e, 2)))
+    f = near.join(zones, "org", "left").where(between_local_days("offense_time", F.col("timezone"), start, end))
+    f = f.withColumn("day", local_date("offense_time", F.col("timezone"))).withColumn("site_ref", F.concat_ws("#", "org", "region", "site"))
+    new = W.latest_by_key(f, "breach_id", "fact_ts", tiebreak="event_id")
+    closed = F.col("state") == "Closed"
+    for x in excluded:
+        new = new.where(~(closed & (F.col("substate") == x)))
+    counts = new.groupBy("site_ref", "day", "state").agg(
+        F.count_distinct("breach_id").alias("breaches"), collect_sorted_text(F.col("breach_id").cast("string"), distinct=True).alias("breach_ids"))
+    return counts.join(sites, "site_ref", "right").select(
+        "site_ref", "site_name", "site_code", "site_status", "state", "day", F.coalesce("breaches", F.lit(0)).alias("breaches"), "breach_ids")

@@ -385,3 +385,31 @@ def site_map_counts(spark, base):
         F.count("c_custkey").alias("sites"), collect_sorted_text("c_mktsegment", distinct=True).alias("segments")) \
         .select("name", r6("centroid_lon").alias("centroid_lon"), r6("centroid_lat").alias("centroid_lat"), "sites",
                 "segments")
+
+
+@q("sites_breach_states", """
+WITH f AS (SELECT n.*, CAST(timezone(z.timezone, offense_time AT TIME ZONE 'UTC') AS DATE) AS day, concat_ws('#', n.org, region, site) AS site_ref
+           FROM notice_facts n LEFT JOIN org_timezone z ON z.org = n.org),
+l AS (SELECT * FROM f WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
+      QUALIFY row_number() OVER (PARTITION BY breach_id ORDER BY fact_ts DESC, event_id DESC) = 1),
+c AS (SELECT site_ref, day, state, count(DISTINCT breach_id) AS breaches,
+             array_to_string(list_sort(list(DISTINCT CAST(breach_id AS VARCHAR)) FILTER (WHERE breach_id IS NOT NULL)), ',') AS breach_ids
+      FROM l WHERE NOT (state = 'Closed' AND substate = 'breachError') AND NOT (state = 'Closed' AND substate = 'nip') GROUP BY ALL),
+st AS (SELECT * FROM park_status QUALIFY row_number() OVER (PARTITION BY org, region, site ORDER BY created DESC, event_id DESC) = 1),
+s AS (SELECT concat_ws('#', sites.organization, sites.parent, sites.group_id) AS site_ref, sites.name AS site_name, upper(sites.name) AS site_code,
+             CASE WHEN st.event_id IS NULL THEN NULL WHEN st.status IS NULL THEN 'Active' WHEN st.status = 'Created' THEN 'Pending'
+                  ELSE st.status END AS site_status
+      FROM sites LEFT JOIN st ON st.org = sites.organization AND st.region = sites.parent AND st.site = sites.group_id)
+SELECT s.site_ref, site_name, site_code, site_status, state, strftime(day, '%Y-%m-%d') AS day, coalesce(breaches, 0) AS breaches, breach_ids
+FROM c RIGHT JOIN s ON c.site_ref = s.site_ref""", ["notice_facts", "org_timezone", "park_status", "group_log", "sites"])
+def sites_breach_states(spark, base):
+    """Breach counts and ids by site, local offence day and state, with site code and status; every site appears."""
+    from kerbside.functions.values import json_text
+    from kerbside.plans.dimension import PARTS, site_dimension
+    log = D.group_log(spark, base).withColumn("json", F.expr("concat('{\"metadata\": {\"siteCode\": \"', upper(name), '\"}}')"))
+    st = PS.site_status(D.park_status(spark, base), ["org", "region", "site"], "created", tiebreak="event_id") \
+        .select(*[F.col(k).alias(p) for k, p in zip(("org", "region", "site"), PARTS)], F.col("status").alias("site_status"))
+    sites = site_dimension(log, extra=("json",)).join(st, list(PARTS), "left").select(
+        F.concat_ws("#", *PARTS).alias("site_ref"), F.col("name").alias("site_name"), json_text("json", "$.metadata.siteCode").alias("site_code"), "site_status")
+    out = PS.breach_states(D.notice_facts(spark, base), sites, D.org_timezone(spark), "20240108", "20240114")
+    return out.withColumn("day", day_text("day"))

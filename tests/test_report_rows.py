@@ -206,3 +206,19 @@ def test_hourly_visits(spark, log):
     assert got == sorted([("New", 7, t(2024, 1, 5), t(2024, 1, 5, 0, 20), 1, 1), ("New", 7, t(2024, 1, 5, 11), t(2024, 1, 5, 1, 11), 1, 0),
                           ("New", 7, t(2024, 1, 5, 10), None, 0, 0)], key=str)
     assert PV.hourly_visits(v, sites, "20240105", "20240105", names=["Other"]).count() == 0
+
+
+def test_breach_states(spark):
+    """Newest fact of a ticket in the period decides; closed errors and closed ones without a sub-state go; a site without a breach has 0."""
+    day = t(2024, 1, 5, 23, 30)  # the 6th in Berlin
+    rows = [(1, 10, "o", "r", "a", day, day, "Open", None), (2, 10, "o", "r", "a", day + dt.timedelta(hours=1), day, "Closed", "paid"),
+            (3, 11, "o", "r", "a", day, day, "Closed", "nip"), (4, 12, "o", "r", "a", day, day, "Open", "nip"), (5, 13, "o", "r", "a", day, day, "Closed", None),
+            (6, 14, "o", "r", "a", day, t(2024, 1, 7, 23, 30), "Open", None), (7, None, "o", "r", "a", day, day, "Open", None), (8, 15, "o", "r", "z", day, day, "Open", None)]
+    facts = spark.createDataFrame(rows, "event_id int, breach_id int, org string, region string, site string, fact_ts timestamp_ntz, "
+                                        "offense_time timestamp_ntz, state string, substate string")
+    sites = spark.createDataFrame([("o#r#a", "A", "7", "Active"), ("o#r#b", "B", None, None)], "site_ref string, site_name string, site_code string, site_status string")
+    zones = spark.createDataFrame([("o", "Europe/Berlin")], "org string, timezone string")
+    got = sorted(map(tuple, PS.breach_states(facts, sites, zones, "20240106", "20240107").collect()), key=str)
+    d = dt.date(2024, 1, 6)
+    assert got == sorted([("o#r#a", "A", "7", "Active", "Closed", d, 1, "10"), ("o#r#a", "A", "7", "Active", "Open", d, 1, "12"),
+                          ("o#r#b", "B", None, None, None, None, 0, None)], key=str)
