@@ -17,8 +17,11 @@ into a score.  It is fitted on labelled rows that the models it sees were not
 counted on (a third of the training rows); the models that score are counted
 on all training rows, none left out.  What is collected and broadcast is bounded:
 the 2^25 strings of five symbols (six bytes each that occurs, two each in a
-worker), and ``STEMS`` stems with their next symbols.  If toxic rows hold more
-stems than that, the least count of a stem is doubled until they fit.
+worker), and about ``STEMS`` stems with their next symbols.  If toxic rows hold
+more stems than that, the stems are dealt into parts by their first five
+symbols, so that a word's stems lie in one part, and the texts are read once for
+each part.  Which stems there are doesn't depend on it, and what a text's words
+tell is added up over the parts.
 
 Defined results: a NULL or empty text, or one without words, scores 0; repeated
 rows get equal rows; a NULL doc_id is never held out and never labelled; of
@@ -46,9 +49,9 @@ from kerbside.llm.common import small_batches, written
 THRESHOLD = 0.3
 #: crc32(doc_id) mod 4 of the rows that no label is learnt from, and of those the regression is fitted on.
 HELD_OUT, CALIBRATION = 2, 3
-#: Bits of the filter that keeps texts without a label out of the join with the labels.
+#: Bits of the filters that keep texts without a label and unknown stems out of the joins that decide.
 LABEL_BITS = 1 << 26
-#: Stems (words' beginnings of six to eleven symbols) of the model, and the occurrences in toxic rows that make one.
+#: Stems (words' beginnings of six to eleven symbols) of one part of the model, and the occurrences in toxic rows that make one.
 STEMS, STEM_COUNT = 1 << 21, 2
 #: Places of the most telling words that count by themselves, log ratios of a telling word, characters handled at a time.
 PLACES, TELLING, TOLD, SLICE_CHARS = (1, 3, 5), 2.5, 1.5, 1 << 20
@@ -57,6 +60,7 @@ FEATURES = ("whole", "first", "third", "fifth", "size", "n_telling", "n_dense",
 _BITS, _ORDER = 5, 5
 _CTX, _CELLS = 1 << _BITS * (_ORDER - 1), 1 << _BITS * _ORDER
 _STEM = range(5, 12)
+_SUMS, _SPREAD = 6, 2654435761
 _TOKENS = "g long, toxic int, part int, n long"
 
 
@@ -183,15 +187,35 @@ def _read_stems(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[deep], key >> _BITS
 
 
-def _read_known(known):
+def _read_known(bits):
+    """Stems with a symbol, those that pass the filter of the known stems."""
     def run(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, _ = grams(s)
         deep, key = stems(s, at)
-        hit, _ = known.value.find(key >> _BITS)
+        bit = _stem_bit(key >> _BITS)
+        hit = np.flatnonzero(bits.value[bit >> 3] & (128 >> (bit & 7)).astype(np.uint8))
         return at[deep[hit]], key[hit]
     return run
 
 
+def _stem_bit(stem: np.ndarray) -> np.ndarray:
+    return ((stem.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 26)).astype(np.int64)
+
+
+def _stem_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_stem_bit(b.column("g").to_numpy()).astype(np.int32))], names=["bit"])
+
+
+def _filter(bits: DataFrame) -> np.ndarray:
+    """A string of ``LABEL_BITS`` bits, those of the column ``bit`` set."""
+    cells = bits.distinct().select(F.expr("cast(bit div 8 as int)").alias("cell"), (F.col("bit") % 8).alias("place")) \
+        .groupBy("cell").agg(F.sum(F.expr("shiftright(128, place)")).cast("int").alias("bits")).toArrow()
+    out = np.zeros(LABEL_BITS // 8, np.uint8)
+    out[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return out
+
+
 def _sums(held: list) -> tuple[np.ndarray, np.ndarray]:
     g, inverse = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
     return g, np.bincount(inverse, np.concatenate([h[1] for h in held])).astype(np.int64)
@@ -346,8 +370,9 @@ def _once_twice(counts: DataFrame) -> tuple[float, float]:
     return tuple(min(0.95, max(0.1, a / (a + 2 * b))) if a else 0.5 for a, b in zip(one, two))
 
 
-def fit(counts: DataFrame, grown: DataFrame) -> Model:
-    """The model of counts (g, t, o) of five-symbol strings and of stems with a symbol: t in toxic, o in ordinary texts."""
+def fit(counts: DataFrame, grown: DataFrame, parts: int = 1) -> Iterator[Model]:
+    """The model of counts (g, t, o) of five-symbol strings and of stems with a symbol: t in toxic, o in ordinary texts;
+    its parts by stem one after the other."""
     spark = counts.sparkSession
 
     def by(key: Column) -> dict:
@@ -365,21 +390,45 @@ def fit(counts: DataFrame, grown: DataFrame) -> Model:
     def left(c: str, k: int) -> Column:
         return F.when(F.col(c + "all") > 0, F.lit(dg[k]) * F.col(c + "kinds") / F.col(c + "all")).otherwise(1.0)
 
-    stem = whole.select("stem", F.log(left("t", 0) / left("o", 1)).cast("float").alias("ratio")).orderBy("stem").toArrow()
+    stem = whole.select("stem", F.log(left("t", 0) / left("o", 1)).cast("float").alias("ratio"))
     fifth = counts.select(F.col("g").alias("last"), F.col("t").alias("t5"), F.col("o").alias("o5"))
     full = grown.withColumn("stem", F.shiftright("g", _BITS)).join(whole, "stem") \
         .withColumn("last", F.col("g").bitwiseAND(_CELLS - 1)).join(fifth, "last", "left").fillna(0, ["t5", "o5"]) \
         .select("g", "t", "o", "tall", "oall", "tkinds", "okinds", "t5", "o5")
-    grown_ratio = full.mapInArrow(_grown(tables, dg), "g long, ratio float").orderBy("g").toArrow()
-    return Model(Counts(tables.value.contexts, tables.value.suffixes, tables.value.d),
-                 seen.column("g").to_numpy().astype(np.int32), seen.column("ratio").to_numpy().astype(np.float16),
-                 stem.column("stem").to_numpy(), stem.column("ratio").to_numpy(),
-                 grown_ratio.column("g").to_numpy(), grown_ratio.column("ratio").to_numpy())
-
-
-def features(model: Model, texts: list) -> np.ndarray:
-    """Evidence per text (one row each, see FEATURES; NaN without words)."""
-    out = np.full((len(texts), len(FEATURES)), np.nan)
+    ratio = full.mapInArrow(_grown(tables, dg), "g long, ratio float")
+    if parts > 1:  # read once for each part
+        stem, ratio = written(stem, "toxicity-stem-ratios"), written(ratio, "toxicity-grown-ratios")
+    for part in range(parts):
+        a, b = stem, ratio
+        if parts > 1:
+            a, b = a.where(stem_part(F.col("stem"), parts) == part), b.where(stem_part(F.shiftright("g", _BITS), parts) == part)
+        a, b = a.orderBy("stem").toArrow(), b.orderBy("g").toArrow()
+        yield Model(Counts(tables.value.contexts, tables.value.suffixes, tables.value.d),
+                    seen.column("g").to_numpy().astype(np.int32), seen.column("ratio").to_numpy().astype(np.float16),
+                    a.column("stem").to_numpy(), a.column("ratio").to_numpy(), b.column("g").to_numpy(), b.column("ratio").to_numpy())
+
+
+def word_part(s: np.ndarray, first: np.ndarray, parts: int) -> np.ndarray:
+    """Part of the model that holds the stems of the words that begin at ``first``: by their first five symbols."""
+    code, inside = np.zeros(len(first), np.int64), np.ones(len(first), bool)
+    for k in range(_STEM[0]):
+        now = s[np.minimum(first + k, len(s) - 1)].astype(np.int64)
+        inside &= now > 0
+        code = code << _BITS | np.where(inside, now, 0)
+    return ((code * _SPREAD) % (1 << 32) >> 12) % parts
+
+
+def stem_part(stem: Column, parts: int) -> Column:
+    """Part of a stem (see :func:`word_part`)."""
+    code = F.coalesce(*[F.when(stem < F.lit(1 << _BITS * k), F.shiftright(stem, _BITS * (k - _STEM[0]))) for k in _STEM])
+    return F.shiftright((code * F.lit(_SPREAD)) % F.lit(1 << 32), 12) % F.lit(parts)
+
+
+def states(model: Model, texts: list, part: int = 0, parts: int = 1) -> np.ndarray:
+    """What the words of one part of the model tell of each text: sum and symbols of all, words, telling words,
+    dense ones, what the telling ones tell, and the most telling ones."""
+    out = np.zeros((len(texts), _SUMS + PLACES[-1]))
+    out[:, _SUMS:] = -np.inf
     for ids, starts, s in _slices(texts):
         at, r = model.ratios(s)
         if not len(at):
@@ -388,36 +437,75 @@ def features(model: Model, texts: list) -> np.ndarray:
         size = np.diff(np.append(first, len(at)))
         word = np.add.reduceat(r, first)
         doc = np.searchsorted(starts, at[first], "right") - 1
+        if parts > 1:
+            mine = word_part(s, at[first], parts) == part
+            size, word, doc = size[mine], word[mine], doc[mine]
+            if not len(doc):
+                continue
         has, begin, words = np.unique(doc, return_index=True, return_counts=True)
         rows = np.array(ids)[has]
-        out[rows, 0] = np.add.reduceat(word, begin) / np.add.reduceat(size, begin)
         per = word / np.sqrt(size)
+        for k, v in enumerate((word, size, np.ones(len(word)), word > TELLING, per > 1, np.maximum(word - TOLD, 0))):
+            out[rows, k] = np.add.reduceat(v, begin, dtype=np.float64)
         best = np.lexsort((-per, doc))
-        for k, place in enumerate(PLACES):
-            out[rows, 1 + k] = per[best[begin + np.minimum(words, place) - 1]]
-        out[rows, 4] = np.log1p(words)
-        out[rows, 5] = np.log1p(np.add.reduceat(word > TELLING, begin, dtype=np.int64))
-        out[rows, 6] = np.log1p(np.add.reduceat(per > 1, begin, dtype=np.int64))
-        out[rows, 7] = np.sqrt(np.add.reduceat(np.maximum(word - TOLD, 0), begin))
+        for k in range(PLACES[-1]):
+            some = words > k
+            out[rows[some], _SUMS + k] = per[best[begin[some] + k]]
+    return out
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The state of both parts' words."""
+    best = -np.sort(-np.concatenate([a[:, _SUMS:], b[:, _SUMS:]], axis=1), axis=1)
+    return np.concatenate([a[:, :_SUMS] + b[:, :_SUMS], best[:, : PLACES[-1]]], axis=1)
+
+
+def features(state: np.ndarray) -> np.ndarray:
+    """Evidence per text (one row each, see FEATURES; NaN without words)."""
+    out = np.full((len(state), len(FEATURES)), np.nan)
+    rows = np.flatnonzero(state[:, 2] > 0)
+    total, size, words, telling, dense, told = state[rows, :_SUMS].T
+    out[rows, 0] = total / size
+    for k, place in enumerate(PLACES):
+        out[rows, 1 + k] = state[rows, _SUMS + np.minimum(words, place).astype(np.int64) - 1]
+    out[rows, 4] = np.log1p(words)
+    out[rows, 5] = np.log1p(telling)
+    out[rows, 6] = np.log1p(dense)
+    out[rows, 7] = np.sqrt(told)
     return out
 
 
-def _evidence(model):
+def _evidence(model, part: int, parts: int):
+    def lists(x: np.ndarray) -> pa.Array:
+        return pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = features(_opened(model), b.column("text").to_pylist())
-            keep = [b.column(i) for i in range(b.num_columns - 1)]
-            ev = pa.FixedSizeListArray.from_arrays(pa.array(np.nan_to_num(f).ravel()), f.shape[1]).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(keep + [pa.array(~np.isnan(f[:, 0])), ev],
-                                             names=b.schema.names[:-1] + ["worded", "evidence"])
+            state = states(_opened(model), b.column("text").to_pylist(), part, parts)
+            keep = [c for c in b.schema.names if c not in ("state", "text")]
+            held = [b.column(c) for c in keep]
+            if part:
+                state = joined(np.array(b.column("state").to_pylist(), np.float64).reshape(state.shape), state)
+            if part < parts - 1:
+                yield pa.RecordBatch.from_arrays([*held, lists(state), b.column("text")], names=[*keep, "state", "text"])
+            else:
+                f = features(state)
+                yield pa.RecordBatch.from_arrays([*held, pa.array(~np.isnan(f[:, 0])), lists(np.nan_to_num(f))],
+                                                 names=[*keep, "worded", "evidence"])
 
     return run
 
 
-def evidence(df: DataFrame, model: Model) -> DataFrame:
-    """``df``, whose last column is ``text``, with (worded, evidence) in its place."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1])
-    return df.mapInArrow(_evidence(_share(df.sparkSession, model)), schema + ", worded boolean, evidence array<double>")
+def evidence(df: DataFrame, models: Iterator[Model], parts: int) -> DataFrame:
+    """``df``, whose last column is ``text``, with (worded, evidence) in its place.  The parts of the model are
+    read one after the other, and the texts stored with what they told in between."""
+    keep = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields[:-1])
+    for part, model in enumerate(models):
+        schema = f"{keep}, worded boolean, evidence array<double>" if part == parts - 1 else f"{keep}, state array<double>, text string"
+        df = df.mapInArrow(_evidence(_share(df.sparkSession, model), part, parts), schema)
+        if part < parts - 1:
+            df = written(df, "toxicity-state")
+    return df
 
 
 def _bit(id_col: str) -> Column:
@@ -438,11 +526,7 @@ def training(docs: DataFrame, known: DataFrame) -> DataFrame:
     Only texts that pass a filter of fixed size (a bit per hashed id; passing means nothing by itself) are
     shuffled for the join; the join decides."""
     kind = docs.schema["id"].dataType.simpleString()
-    cells = known.select(_bit("id").alias("bit")).distinct() \
-        .select(F.expr("cast(bit div 8 as int)").alias("cell"), (F.col("bit") % 8).alias("place")).groupBy("cell").agg(F.sum(F.expr("shiftright(128, place)")).cast("int").alias("bits")).toArrow()
-    bits = np.zeros(LABEL_BITS // 8, np.uint8)
-    bits[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(known.select(_bit("id").alias("bit"))))
     near = docs.select("id", _bit("id").alias("bit"), "text").mapInArrow(_maybe_labelled(shared), f"id {kind}, text string")
     return written(near.join(known, "id").select("toxic", (remainder("id") == CALIBRATION).cast("int").alias("part"), "text"), "toxicity-training")
 
@@ -477,22 +561,21 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = written(train.mapInArrow(_count(lambda s: grams(s)), _TOKENS).groupBy("g").agg(*sums), "toxicity-counts")
     held = written(train.where("toxic = 1").mapInArrow(_count(_read_stems), _TOKENS).groupBy("g").agg(F.sum("n").alias("n"))
                    .where(F.col("n") >= STEM_COUNT), "toxicity-stems")
-    least = STEM_COUNT
-    while held.where(F.col("n") >= least).count() > STEMS:
-        least *= 2
-    known = spark.sparkContext.broadcast(Keys(held.where(F.col("n") >= least).select("g").toArrow().column("g").to_numpy()))
-    grown = written(train.mapInArrow(_count(_read_known(known)), _TOKENS).groupBy("g").agg(*sums), "toxicity-grown")
-    inside = grown.groupBy(F.shiftright("g", _BITS).alias("stem")).agg(F.sum("t0").alias("n")).where(F.col("n") >= least)
+    parts = max(1, -(-held.count() // STEMS))
+    near = spark.sparkContext.broadcast(_filter(held.select("g").mapInArrow(_stem_bits, "bit int")))
+    grown = train.mapInArrow(_count(_read_known(near)), _TOKENS).groupBy("g").agg(*sums).withColumn("stem", F.shiftright("g", _BITS)) \
+        .join(held.select(F.col("g").alias("stem")), "stem", "left_semi").drop("stem")
+    grown = written(grown, "toxicity-grown")
+    inside = grown.groupBy(F.shiftright("g", _BITS).alias("stem")).agg(F.sum("t0").alias("n")).where(F.col("n") >= STEM_COUNT)
     apart = all(rows.get((k, p)) for k in (0, 1) for p in (0, 1))
-    model = fit(counts.select("g", "t", "o"), grown.select("g", "t", "o"))
     half = [x.select("g", F.col("t0").alias("t"), F.col("o0").alias("o")).where("t + o > 0") for x in
             (counts, grown.withColumn("stem", F.shiftright("g", _BITS)).join(inside.select("stem"), "stem", "left_semi"))]
-    inner = fit(*half) if apart else model
-    seen = written(evidence(train.where("part = 1") if apart else train, inner), "toxicity-calibration")
+    whole = counts.select("g", "t", "o"), grown.select("g", "t", "o")
+    seen = written(evidence(train.where("part = 1") if apart else train, fit(*(half if apart else whole), parts), parts), "toxicity-calibration")
     reg = LogisticRegression(maxIter=100, regParam=1e-4).fit(
         seen.where("worded").select(F.col("toxic").cast("double").alias("label"), array_to_vector("evidence").alias("features")))
     z = F.lit(float(reg.intercept))
     for i, w in enumerate(reg.coefficients):
         z = z + F.lit(float(w)) * F.get("evidence", F.lit(i))
-    return evidence(out, model).select(id_col, "held_out", F.when(F.col("worded"), 1 / (1 + F.exp(-z))).otherwise(0.0).alias("score")) \
+    return evidence(out, fit(*whole, parts), parts).select(id_col, "held_out", F.when(F.col("worded"), 1 / (1 + F.exp(-z))).otherwise(0.0).alias("score")) \
         .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -249,3 +249,32 @@ def test_queries_have_the_agreed_columns(spark):
     con = duckdb.connect()
     n = con.execute(f"SELECT count(*) FROM '{small}/embeddings.parquet'").fetchone()[0]
     assert E.queries()["op12_whitening"](spark, small).count() == n * min(32, n - 1)
+
+
+def test_scores_do_not_depend_on_the_parts_of_the_model(spark, monkeypatch):
+    """All stems count, whatever the number of them that one part may hold."""
+    r = random.Random(5)
+    word = [["grub", "vile", "wretch", "scum"][i % 4] + "".join(r.choice("aeioulnrst") for _ in range(r.randrange(3, 8))) for i in range(60)]
+    plain = ["".join(r.choice("aeioulnrstdm") for _ in range(r.randrange(2, 11))) for _ in range(60)]
+    rows = [(i, " ".join(r.choice(word if i % 4 == 0 and r.random() < 0.4 else plain) for _ in range(12))) for i in range(240)]
+    docs = spark.createDataFrame([*rows, (None, word[0]), (900, ""), (901, None), rows[0]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(240)], "doc_id long, toxic int")
+
+    def scores():
+        return sorted((-1 if x["doc_id"] is None else x["doc_id"], x["score"]) for x in toxicity.score(docs, labels).collect())
+
+    want = scores()
+    monkeypatch.setattr(toxicity, "STEMS", 150)
+    got = scores()
+    assert [k for k, _ in got] == [k for k, _ in want] and np.allclose([v for _, v in got], [v for _, v in want], rtol=0, atol=1e-9)
+
+
+def test_words_and_stems_agree_on_their_part(spark):
+    s = np.concatenate([[0], toxicity.encode("ab abcdef wonderfully inter zzzzzzzzzzzzzz"), [0]]).astype(np.uint8)
+    at, _ = toxicity.grams(s)
+    deep, key = toxicity.stems(s, at)
+    first = at[np.flatnonzero((s[at] > 0) & (s[at - 1] == 0))]
+    of = toxicity.word_part(s, first, 7)
+    want = [(int(k >> 5), int(of[np.searchsorted(first, at[d], "right") - 1])) for d, k in zip(deep, key)]
+    got = spark.createDataFrame([(k,) for k, _ in want], "stem long").select("stem", toxicity.stem_part(F.col("stem"), 7).alias("p"))
+    assert {tuple(x) for x in got.collect()} == set(want) and len({p for _, p in want}) > 1
