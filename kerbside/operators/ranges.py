@@ -31,6 +31,8 @@ from kerbside.session import checkpoint_dir
 
 #: Rows of one key that a plain window may hold.
 LIMIT = 4_000_000
+#: Rows of one task of what is dealt by :func:`spread`.
+TASK_ROWS = 125_000
 
 
 def keyed(df: DataFrame, keys) -> tuple[DataFrame, list[str]]:
@@ -54,6 +56,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as ``rows`` rows need.
+
+    Partitions that are joined up by bytes hold ever more rows the better these compress; what a task sorts or
+    groups is rows.  Sides that are spread by the same number of rows join without another exchange."""
+    return df.repartition(max(1, math.ceil(rows / TASK_ROWS)), *keys)
+
+
 def heavy_keys(df: DataFrame, names: list[str], limit: int) -> tuple[DataFrame | None, int]:
     """The key columns of keys with more than ``limit`` rows, and the rows they hold."""
     found = df.groupBy(*names).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)

@@ -2,8 +2,9 @@
 
 A key with few intervals is joined plainly (an equi-join with a range
 residual): each event meets at most those few, whatever the number of events.
-So is one whose events times intervals stay under ``pairs``.  For a key that is
-hot on both sides:
+So is one whose events times intervals stay under ``pairs``.  When they are
+counted, both sides are dealt over tasks by their number of rows.  For a key
+that is hot on both sides:
 
 * *counts* need no pairs.  Starts, ends and events run as one ordered stream
   and running counts are read at the interval's ends.  With lo and hi the
@@ -137,12 +138,14 @@ def count_either(intervals: DataFrame, events: DataFrame, keys: Sequence[str], a
     """
     keys = list(keys)
     ev = events.select(*keys, F.least(a, d).alias("__lo"), F.greatest(a, d).alias("__hi")).where("__lo IS NOT NULL")
+    ev = R.stored(ev, "events")
+    size = intervals.count() + ev.count()
     hot = hot_keys(intervals, ev, keys, pairs)
     light = intervals if hot is None else _side(intervals, hot, keys, "left_anti")
     light_ev = ev if hot is None else _side(ev, hot, keys, "left_anti")
     # one join; the count needs no further exchange, as its groups hold the join's keys
-    rows = light.withColumn("__id", F.monotonically_increasing_id())
-    right = light_ev.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__lo", "__hi")
+    rows = R.spread(light, size, *keys).withColumn("__id", F.monotonically_increasing_id())
+    right = R.spread(light_ev.select(*[F.col(k).alias(f"__k_{k}") for k in keys], "__lo", "__hi"), size, *[f"__k_{k}" for k in keys])
     cond = [rows[k] == right[f"__k_{k}"] for k in keys] + [_either("__lo", "__hi", start, end)]
     out = rows.join(right, cond, "left").groupBy("__id", *intervals.columns).agg(F.count("__lo").alias(name)).drop("__id")
     if hot is None:

@@ -12,7 +12,7 @@ from kerbside.functions.timefn import local_time, parse_day
 from kerbside.operators import aggregates as A
 from kerbside.operators import sweep as S
 from kerbside.operators import windows as W
-from kerbside.operators.ranges import stored
+from kerbside.operators.ranges import spread, stored
 
 OPEN_END = dt.datetime(2099, 1, 1)
 
@@ -124,15 +124,19 @@ def permit_usage(permits: DataFrame, visits: DataFrame, tiers: Mapping[float, in
     p = (permits.where(amt.isin(list(tiers)) & F.to_date("start_time").between(F.lit(s), F.lit(e)))
          .select("site", "plate", "amount", ls.alias("permit_start"), days.alias("__days")))
     p = p.withColumn("permit_end", F.expr("timestampadd(DAY, __days, permit_start)")).drop("__days")
+    p = spread(p, p.count(), "plate", "permit_start")
     p = W.earliest_by_key(p, ["plate", "permit_start"], "amount", tiebreak="site")
     purchases = (p.groupBy("site", "plate", "amount", F.date_format("permit_start", "yyyy-MM").alias("permit_month"),
                            "permit_start", "permit_end")
                   .agg(F.count(F.lit(1)).alias("purchase_count")))
     purchases = stored(purchases, "purchases")  # read four times below
     # a visit reported several times counts once
-    # only visits of purchased plates are converted and told apart
-    bought = purchases.select(F.col("site").alias("__s"), F.col("plate").alias("__p")).distinct()
-    near = visits.join(bought, (visits["site"] == bought["__s"]) & (visits["plate"] == bought["__p"]), "left_semi")
+    # only visits from a plate's first to its last valid time are converted and told apart; they are
+    # in UTC here, so a day is left to each side for the zone
+    bought = purchases.groupBy(F.col("site").alias("__s"), F.col("plate").alias("__p")) \
+        .agg(F.expr("min(permit_start) - INTERVAL 1 DAY").alias("__lo"), F.expr("max(permit_end) + INTERVAL 1 DAY").alias("__hi"))
+    near = visits.join(bought, (visits["site"] == bought["__s"]) & (visits["plate"] == bought["__p"])) \
+        .where("arrival BETWEEN __lo AND __hi OR departure BETWEEN __lo AND __hi")
     v = near.select("site", "plate", local_time("arrival", tz).alias("arr"), local_time("departure", tz).alias("dep")).distinct()
     used = S.count_either(purchases, v, ["site", "plate"], "arr", "dep", "permit_start", "permit_end", "entries")
     joined = used.groupBy("plate", "site", "permit_month", "amount").agg(F.sum("entries").alias("entry_count"))

@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from kerbside.operators import ranges as R
 from kerbside.operators import sweep as S
@@ -80,3 +81,12 @@ def test_empty_sides(spark):
     assert S.count_either(i.where("false"), e, ["k"], "a", "d", "s", "e", pairs=0).count() == 0
     assert {r["n"] for r in S.count_either(i, e.where("false"), ["k"], "a", "d", "s", "e", pairs=0).collect()} == {0}
     assert S.interval_pairs(e, i.where("false"), ["k"], "a", "s", "e", pairs=0).count() == e.count()
+
+
+def test_counts_are_dealt_by_rows(spark, monkeypatch):
+    """However few bytes they take, no task gets many of the rows."""
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    e, i = frames(spark, [(j, f"k{j % 300}", j, j + 5) for j in range(900)], [(j, f"k{j % 300}", j, j + 50) for j in range(900)])
+    got = S.count_either(i, e, ["k"], "a", "d", "s", "e")
+    per = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == 900 and max(per) < 200
