@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.operators.ranges import stored
+from kerbside.operators.ranges import spread, stored
 from kerbside.operators.spatial import points_in_polygons, polygon_edges
 
 #: Point-edge tests of one cell from which it is split, and the deepest level (4^LEVELS cells).
@@ -210,9 +210,10 @@ def points_in_areas(points: DataFrame, polys: DataFrame, point_id: str, poly_id:
     if b[0] is None:
         none = points.select(point_id, F.lit(None).cast(polys.schema[poly_id].dataType).alias(poly_id))
         return none if how == "left" else none.where("false")
-    if points.count() * b[4] <= work:  # one cell would do
+    n = points.count()
+    if n * b[4] <= work:  # one cell would do
         return points_in_polygons(points, polys, point_id, poly_id, lon, lat, rings, how=how)
-    edges = stored(edges, "polygon-edges")
+    edges = stored(edges.where(F.col(poly_id).isNotNull()), "polygon-edges")
     side = max(b[2] - b[0], b[3] - b[1]) * 1.0000001 or 1.0
     x0, y0, cells = b[0], b[1], 2 ** levels
     inside_box = F.col(lon).between(x0, x0 + side) & F.col(lat).between(y0, y0 + side)
@@ -220,22 +221,22 @@ def points_in_areas(points: DataFrame, polys: DataFrame, point_id: str, poly_id:
     def index(c: str, o: float) -> Column:
         return F.least(F.floor((F.col(c) - o) / side * cells).cast("long"), F.lit(cells - 1))
 
-    pts = points.where(inside_box).select(F.col(point_id).alias("__pid"), F.col(lon).alias("__px"), F.col(lat).alias("__py"),
-                                          _interleave(index(lon, x0), index(lat, y0), levels).alias("__cell"))
+    pts = spread(points.where(inside_box).select(F.col(point_id).alias("__pid"), F.col(lon).alias("__px"), F.col(lat).alias("__py"),
+                                          _interleave(index(lon, x0), index(lat, y0), levels).alias("__cell")), n, "__pid")
     leaves, leaf_edges = cover(pts, edges, poly_id, (x0, y0, side), work, levels)
     leaves, leaf_edges = stored(leaves, "cover"), stored(leaf_edges, "cover-edges")
     # the levels in use: at most levels + 1 values
     used = [r["level"] for r in leaves.select("level").distinct().collect()]
     at = pts.select("*", F.explode(F.array(*[F.lit(v) for v in sorted(used)] or [F.lit(0)])).alias("level")) \
         .withColumn("cell", F.expr(f"shiftright(__cell, 2 * ({levels} - level))"))
-    near = at.join(leaves, ["level", "cell"])
-    sure = near.where("NOT edged").select("__pid", poly_id)
+    # one mark a leaf that tells the side of its place, and one an edge
+    marks = leaves.select("level", "cell", poly_id, F.col("inside").cast("int").alias("side")) \
+        .unionByName(leaf_edges, allowMissingColumns=True)
     # the deepest level's coordinates give back the leaf's known place
     unit = F.lit(side) / F.pow(F.lit(2.0), F.col("level"))
     qx, qy = (F.lit(o) + (F.floor((F.col(p) - F.lit(o)) / unit) + a) * unit for o, p, a in ((x0, "__px", _AT_X), (y0, "__py", _AT_Y)))
-    tested = near.where("edged").withColumns({"__qx": qx, "__qy": qy}).join(leaf_edges, ["level", "cell", poly_id]) \
-        .groupBy("__pid", poly_id, "__px", "__py", "inside") \
-        .agg((F.sum(_Planar.path(F.col("__px"), F.col("__py"), F.col("__qx"), F.col("__qy"))) % 2 == 1).alias("odd")) \
-        .where(F.col("inside") != F.col("odd")).select("__pid", poly_id)
-    hits = sure.unionByName(tested).distinct().select(F.col("__pid").alias(point_id), poly_id)
-    return hits if how == "inner" else points.select(point_id).join(hits, point_id, "left")
+    odd = F.coalesce("side", _Planar.path(F.col("__px"), F.col("__py"), F.col("__qx"), F.col("__qy")))
+    # the points are dealt by their id, and so are the counts
+    hits = at.withColumns({"__qx": qx, "__qy": qy}).join(marks, ["level", "cell"]) \
+        .groupBy("__pid", poly_id).agg((F.sum(odd) % 2 == 1).alias("odd")).where("odd").select(F.col("__pid").alias(point_id), poly_id)
+    return hits if how == "inner" else spread(points.select(point_id), n, point_id).join(hits, point_id, "left")

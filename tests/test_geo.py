@@ -101,3 +101,20 @@ def test_sphere_centroid(spark):
     for i in (1, 2):
         assert abs(abs(got[i][0]) - 180) < 1e-9 and abs(got[i][1]) < 1e-9
     assert abs(got[3][0] - 10.1) < 1e-6 and abs(got[3][1] - 50.05) < 1e-3
+
+
+def test_points_are_dealt_by_rows(spark, points, polys, monkeypatch):
+    """However few bytes they take, no task gets many of the points."""
+    from kerbside.operators import ranges as R
+    monkeypatch.setattr(R, "TASK_ROWS", 200)
+    got = G.points_in_areas(points, polys, "pid", "id", work=2000)
+    per = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) >= 3001 and max(per) < 600
+
+
+def test_quadtree_with_repeated_points(points, polys):
+    """A repeated point id counts the crossings of all its rows, at any size."""
+    twice = points.unionByName(points.where("pid % 4 = 0")).unionByName(points.where("pid % 8 = 0").withColumn("lon", F.col("lon") + 1))
+    got = sorted((r.pid, -1 if r.id is None else r.id) for r in G.points_in_areas(twice, polys, "pid", "id", work=500).collect())
+    want = sorted((r.pid, -1 if r.id is None else r.id) for r in points_in_polygons(twice, polys, "pid", "id").collect())
+    assert got == want
