@@ -16,6 +16,7 @@ from kerbside.functions.timefn import local_time
 from kerbside.functions.values import key_part, recode
 from kerbside.operators import joins as J
 from kerbside.operators import windows as W
+from kerbside.operators.ranges import spread, stored
 
 # Sub-state spellings normalised to report labels (reference lists).
 SUBSTATE_LABELS = {
@@ -220,12 +221,16 @@ def reconcile(cases: DataFrame, ledger: DataFrame, sites: DataFrame, tz: str, si
         .select("*", F.col("g.group_ref").alias("group_ref"), F.col("g.name").alias("group_name")).drop("g")
     keys = ["group_ref", "ticket_id"] if newest_line_only else ["organization", "group_name", "ticket_id"]
     pcn = W.latest_by_key(f, keys, "fact_ts", tiebreak=["rev", "fee_amount", "group_ref"][:2 if newest_line_only else 3])
-    lines = ledger.where(F.to_date("time") >= F.lit(parse_day(since)))
+    pcn = stored(with_site(pcn, sites, key_parts("group_ref"), how="inner"), "notices")
+    # a line without a ticket has no notice
+    lines = ledger.where((F.to_date("time") >= F.lit(parse_day(since))) & F.col("ticket_id").isNotNull())
+    # both sides are dealt by ticket once; ranking, join and distinct need no other exchange
+    size = pcn.count() + lines.count()
+    lines, pcn = (spread(x, size, "ticket_id") for x in (lines.select("site", "ticket_id", "time", "breach_id", "debit"), pcn))
     if newest_line_only:
-        lines = W.latest_by_key(lines.select("site", "ticket_id", "time", "breach_id", "debit"), ["site", "ticket_id"], "time",
+        lines = W.latest_by_key(lines, ["site", "ticket_id"], "time",
                                 tiebreak=["breach_id", "debit"])
     lines = lines.select(F.col("ticket_id").alias("__t"), F.col("time").alias("line_time"), F.coalesce("debit", F.lit(0.0)).alias("debit"))
-    pcn = with_site(pcn, sites, key_parts("group_ref"), how="inner")
     j = pcn.join(lines, pcn["ticket_id"] == lines["__t"], "inner" if newest_line_only else "left")
     out = j.select("ticket_id", "offense_type", "fee_amount", "fee_source", local_time("fact_ts", tz).alias("updated"), "state", "substate",
                    "organization", "group_ref", "site_name", "line_time", F.coalesce("debit", F.lit(0.0)).alias("debit"))

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.operators.ranges import spread
 from kerbside.sources.tables import literal_table, scan
 
 # Fixed values of the test mapping (not reference data).
@@ -345,7 +346,7 @@ def cases(spark: SparkSession, base: str, with_breaches: bool = True) -> DataFra
     One row per order (three revisions per case id), breaches = its line
     items.  Built with one shuffle (line items grouped by order key: a
     bounded group, a handful of lines per order), joined to orders on the
-    same key.  Orders without lines get a NULL breach array.  Reports that
+    same key, both dealt over tasks by the number of lines.  Orders without lines get a NULL breach array.  Reports that
     read no breach pass ``with_breaches=False`` and skip the nesting job
     (Catalyst cannot drop a left join it does not know to be 1:1).
     """
@@ -359,7 +360,8 @@ def cases(spark: SparkSession, base: str, with_breaches: bool = True) -> DataFra
     # group flat line columns (cheap to buffer and shuffle), nest afterwards per row
     flat = F.struct("l_linenumber", "l_shipdate", "l_extendedprice", "l_tax", "l_discount", "l_returnflag",
                     "l_linestatus")
-    lines = li.groupBy("l_orderkey").agg(F.collect_list(flat).alias("__lines"))
+    size = li.count()  # from the files' footers
+    lines = spread(li, size, "l_orderkey").groupBy("l_orderkey").agg(F.collect_list(flat).alias("__lines"))
 
     def breach(x):
         return F.struct(
@@ -379,6 +381,7 @@ def cases(spark: SparkSession, base: str, with_breaches: bool = True) -> DataFra
         )
 
     lines = lines.select("l_orderkey", F.transform("__lines", breach).alias("breaches"))
+    o = spread(o, size, "o_orderkey")
     return _case_columns(o.join(lines, o.o_orderkey == lines.l_orderkey, "left"))
 
 

@@ -94,6 +94,19 @@ def test_reconcile_keeps_lines_on_two_sites(spark, log):
     assert sorted((r.ticket_id, r.debit) for r in got) == [(1, 3.0), (1, 4.0), (1, 6.0), (5, 0.0)]
 
 
+@pytest.mark.parametrize("newest", [True, False])
+def test_reconciled_rows_are_dealt_by_rows(spark, log, monkeypatch, newest):
+    """However few bytes they take, no task gets many of the rows."""
+    from kerbside.operators import ranges as R
+    monkeypatch.setattr(R, "TASK_ROWS", 100)
+    c = spark.createDataFrame([case(k, 0, "Closed", "s", "o#r#a", None, [k]) for k in range(800)], CASE)
+    led = spark.createDataFrame([(k, "S1", t(2024, 1, 5), k, 3.0) for k in range(800)] + [(None, "S1", t(2024, 1, 5), 1, 3.0)],
+                                "ticket_id int, site string, time timestamp_ntz, breach_id int, debit double")
+    got = PC.reconcile(c, led, site_dimension(log), "Europe/Copenhagen", "20240101", newest_line_only=newest)
+    per = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per) == 800 and max(per) < 200
+
+
 def test_sites_without_breach_by_gaps(spark):
     day = dt.date
     sites = spark.createDataFrame([("a",), ("never",), ("all",), ("a",)], "site string")
