@@ -513,3 +513,27 @@ def test_quality_ledger_policies_and_ablations(spark):
         for r in quality.ablations(led, {name: rules}).collect():
             assert r["n_failed"] == sum(1 for _, b in bits if b & bit[r["rule"]])
             assert r["n_only"] == sum(1 for _, b in bits if b & m == bit[r["rule"]])
+
+
+def test_new_words_are_split_once_a_batch(monkeypatch):
+    """The ids are those of the library, also for words met again, mixed with odd ones and after a cache began anew."""
+    from kerbside.llm import tokens
+
+    class Counting:
+        calls = 0
+
+        def findall(self, text):
+            Counting.calls += 1
+            return real.findall(text)
+
+    enc, real = tokens.Encoder(default_path()), tokens._PARTS
+    monkeypatch.setattr(tokens, "_PARTS", Counting())
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 30)
+    texts = ["It's we'll' 'twas don't''re O'Brien 12ab3 --!'s", "naïve café ÆØÅ ſtop İstanbul 日本語 текст", "a<|b <|endoftext|> x|>y", "", None,
+             " ".join(f"word{i}x" for i in range(50)), "same same same  word1x,\nword2x;", "Á é", "...!!! '' $$ 's 'S"]
+    for batch in (texts, texts[::-1], texts[:4], texts):
+        before = Counting.calls
+        ids, off = enc.encode(batch)
+        assert Counting.calls - before <= 1
+        for i, text in enumerate(batch):
+            assert ids[off[i]: off[i + 1]].tolist() == enc.tok.encode(text or "", add_special_tokens=False).ids
